@@ -62,14 +62,17 @@ class Adapter:
     def header_field(self, doc: Column, key: str) -> Column:
         return V.field(doc, *self.header, key)
 
-    def broken_path(self, doc: Column) -> Column:
-        """Some object on the way to header or parameters is present but not an object."""
-        paths = {self.header[: i + 1] for i in range(len(self.header))}
-        paths |= {self.params[: i + 1] for i in range(len(self.params))}
-        broken = F.lit(False)
-        for path in sorted(paths):
-            broken = broken | V.not_object(V.field(doc, *path))
-        return broken
+    def broken_path(self, doc: Column, params: Column) -> Column:
+        """Some object on the way to header or parameters is present but not an object.
+
+        ``params`` is what was found at the end of the parameter path; if it is there,
+        that path is whole.
+        """
+        to_params = [self.params[: i + 1] for i in range(len(self.params))]
+        to_header = [self.header[: i + 1] for i in range(len(self.header))]
+        broken = params.isNull() & _any_not_object(doc, to_params)
+        others = [path for path in to_header if path not in to_params]
+        return broken | _any_not_object(doc, others) if others else broken
 
     def stderr_keys(self, metric: str) -> list[str]:
         """Names under which the standard error of ``metric`` may be stored, best first."""
@@ -86,14 +89,21 @@ class Adapter:
         if not self.stderr_inside:
             return appended
         commas = F.filter(
-            F.sequence(F.lit(1), F.greatest(F.length(metric), F.lit(1))),
+            F.sequence(F.lit(1), F.length(metric)),
             lambda i: F.substr(metric, i, F.lit(1)) == ",",
         )
         inserted = F.transform(
             commas,
             lambda i: F.concat(F.substr(metric, F.lit(1), i - 1), F.lit("_stderr"), F.substr(metric, i)),
         )
-        return F.concat(inserted, appended)
+        return F.when(metric.contains(","), F.concat(inserted, appended)).otherwise(appended)
+
+
+def _any_not_object(doc: Column, paths: list[tuple[str, ...]]) -> Column:
+    broken = F.lit(False)
+    for path in paths:
+        broken = broken | V.not_object(V.field(doc, *path))
+    return broken
 
 
 LIGHTEVAL = Adapter(

@@ -8,7 +8,9 @@ shuffle is needed to keep files atomic.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,51 +47,98 @@ def extract(
     """
     if metrics not in ("registry", "auto"):
         raise ValueError("metrics must be 'registry' or 'auto'")
-    reported = as_mapping(registry)
-    parsed = _parse(docs)
-    located = _locate(parsed, adapters, set(reported), metrics == "auto")
-    measured = located.withColumn(
-        "_tasks", _by_adapter(adapters, lambda a: _task_rows(a, reported, metrics == "auto"))
-    )
-    return measured.select(
-        "path",
-        "source_filename",
-        "framework",
-        _code().alias("code"),
-        "model_name",
+    reported = tuple((task, tuple(keys)) for task, keys in as_mapping(registry).items())
+    for columns in _stages(tuple(adapters), reported, metrics == "auto", _gateway()):
+        docs = docs.select(*columns)
+    return docs
+
+
+def _gateway() -> int:
+    """Columns are JVM objects: those of another JVM are of no use."""
+    return id(SparkContext._gateway)
+
+
+@lru_cache(maxsize=32)
+def _stages(
+    adapters: tuple[Adapter, ...], reported: tuple[tuple[str, tuple[str, ...]], ...], auto: bool, gateway: int
+) -> list[list[Column | str]]:
+    """The projections of an extraction, in order.
+
+    They do not depend on the input, and composing some thousand expressions from
+    Python takes a second or two, so they are kept for the next call.
+    """
+    return [
+        *_parse(),
+        *_locate(adapters, dict(reported), auto),
+        _typed(adapters),
+        ["*", _code().alias("code")],
+        _finish(),
+        [_sealed()],
+    ]
+
+
+def _finish() -> list[Column]:
+    kept = ("path", "source_filename", "framework", "code", "model_name")
+    return [
+        *(F.col(name).alias(name) for name in kept),
         F.when(F.col("_started_ok"), F.col("_started")).alias("evaluation_datetime"),
         S.epoch_iso(F.col("_started")).alias("evaluation_datetime_iso"),
-        F.col("_duration").alias("evaluation_duration_seconds"),
-        "inference_parameters",
-        F.when(_code().isNull(), _ordered_rows()).otherwise(F.array()).alias("rows"),
-    )
+        F.col("evaluation_duration_seconds"),
+        F.col("inference_parameters"),
+        F.coalesce(F.when(F.col("code").isNull(), _rows()), F.array()).alias("rows"),
+    ]
+
+
+OUTCOME_COLUMNS = [
+    "path",
+    "source_filename",
+    "framework",
+    "code",
+    "model_name",
+    "evaluation_datetime",
+    "evaluation_datetime_iso",
+    "evaluation_duration_seconds",
+    "inference_parameters",
+    "rows",
+]
+
+
+def _sealed() -> Column:
+    """The same columns behind a generator.
+
+    A filter on a projected column is rewritten in terms of what is below, and here
+    that means copies of the whole parse. It is not pushed below a generator.
+    """
+    return F.inline(F.array(F.struct(*OUTCOME_COLUMNS)))
 
 
-def _parse(docs: DataFrame) -> DataFrame:
+def _parse() -> list[list[Column | str]]:
     """Strict parse; a failed text gets a second try with bare NaN / Infinity quoted."""
     text = F.col("content")
-    first = docs.select(
-        "path",
-        "source_filename",
-        F.when(F.is_valid_utf8(text), text).alias("content"),
-        F.when(F.octet_length(text) == 0, "EMPTY_FILE")
-        .when(~F.is_valid_utf8(text), "INVALID_UTF8")
-        .alias("_unreadable"),
-    ).withColumn("_first", V.strict_envelope(text))
-    second = first.withColumn("_strict", V.envelope_is_strict(F.col("_first"), text)).withColumn(
-        "_fixed", F.when(~F.col("_strict"), V.quote_nonfinite(text))
-    )
-    third = second.withColumn("_second", V.strict_envelope(F.col("_fixed")))
-    return third.select(
-        "path",
-        "source_filename",
-        "_unreadable",
-        F.coalesce("_fixed", "content").alias("_text"),
-        F.col("_fixed").isNotNull().alias("_quoted"),
-        F.when(F.col("_strict"), F.col("_first"))
-        .when(V.envelope_is_strict(F.col("_second"), F.col("_fixed")), F.col("_second"))
-        .alias("_doc"),
-    )
+    return [
+        [
+            "path",
+            "source_filename",
+            F.when(F.is_valid_utf8(text), text).alias("content"),
+            F.when(F.octet_length(text) == 0, "EMPTY_FILE")
+            .when(~F.is_valid_utf8(text), "INVALID_UTF8")
+            .alias("_unreadable"),
+        ],
+        ["*", V.strict_envelope(text).alias("_first")],
+        ["*", V.envelope_is_strict(F.col("_first"), text).alias("_strict")],
+        ["*", F.when(~F.col("_strict"), V.quote_nonfinite(text)).alias("_fixed")],
+        ["*", V.strict_envelope(F.col("_fixed")).alias("_second")],
+        [
+            "path",
+            "source_filename",
+            "_unreadable",
+            F.coalesce("_fixed", "content").alias("_text"),
+            F.col("_fixed").isNotNull().alias("_quoted"),
+            F.when(F.col("_strict"), F.col("_first"))
+            .when(V.envelope_is_strict(F.col("_second"), F.col("_fixed")), F.col("_second"))
+            .alias("_doc"),
+        ],
+    ]
 
 
 def _by_adapter(adapters: Sequence[Adapter], build) -> Column:
@@ -103,54 +152,64 @@ def _by_adapter(adapters: Sequence[Adapter], build) -> Column:
 
 
 def _locate(
-    parsed: DataFrame, adapters: Sequence[Adapter], registered: set[str], auto: bool
-) -> DataFrame:
-    """Classify the documents and pick the fields all their tasks share."""
-    doc, quoted = F.col("_doc"), F.col("_quoted")
+    adapters: tuple[Adapter, ...], reported: dict[str, tuple[str, ...]], auto: bool
+) -> list[list[Column | str]]:
+    """Classify the documents and pick the raw fields; the document is dropped here."""
+    doc = F.col("_doc")
     framework = None
     for adapter in adapters:
         hit, name = adapter.matches(doc), F.lit(adapter.name)
         framework = F.when(hit, name) if framework is None else framework.when(hit, name)
-    found = parsed.withColumn("framework", framework).withColumn(
-        "_results", V.field(doc, "results")
-    )
-
-    picked = found.select(
-        "*",
-        _by_adapter(adapters, lambda a: _wanted_tasks(a, registered, auto)).alias("_wanted"),
-        _by_adapter(adapters, lambda a: a.header_field(doc, a.started)).alias("_started_raw"),
-        _by_adapter(adapters, lambda a: a.header_field(doc, a.duration)).alias("_duration_raw"),
-        _by_adapter(adapters, lambda a: a.header_field(doc, a.model)).alias("_model_raw"),
-        _by_adapter(adapters, lambda a: a.broken_path(doc)).alias("_broken_path"),
-        _by_adapter(adapters, lambda a: _temperature_unusable(a, doc, quoted)).alias("_bad_temp"),
-        _by_adapter(adapters, lambda a: _params(a, doc, quoted)).alias("inference_parameters"),
-    )
-
+    header = lambda key: _by_adapter(adapters, lambda a: a.header_field(doc, getattr(a, key)))
+    return [
+        ["*", framework.alias("framework")],
+        [
+            "*",
+            V.field(doc, "results").isNotNull().alias("_has_results"),
+            _by_adapter(adapters, lambda a: V.field_map(doc, *a.params)).alias("_params"),
+            header("started").alias("_started_raw"),
+            header("duration").alias("_duration_raw"),
+            header("model").alias("_model_raw"),
+        ],
+        [
+            "path", "source_filename", "framework", "_unreadable", "_quoted",
+            doc.isNotNull().alias("_parsed"), "_has_results", "_params",
+            "_started_raw", "_duration_raw", "_model_raw",
+            _by_adapter(adapters, lambda a: a.broken_path(doc, F.col("_params"))).alias("_broken_path"),
+            _by_adapter(adapters, lambda a: _task_rows(a, reported, auto)).alias("_tasks"),
+        ],
+    ]
+
+
+def _typed(adapters: tuple[Adapter, ...]) -> list[Column | str]:
+    """Raw fields to their types, with a flag where the type is wrong."""
+    quoted = F.col("_quoted")
     started, duration, model = F.col("_started_raw"), F.col("_duration_raw"), F.col("_model_raw")
-    return picked.select(
-        "path", "source_filename", "framework", "_unreadable", "_text", "_quoted", "_doc",
-        "_results", "_wanted", "_broken_path", "_bad_temp", "inference_parameters",
+    return [
+        "path", "source_filename", "framework", "_unreadable", "_parsed", "_has_results",
+        "_broken_path", "_tasks",
         V.number(started, quoted).alias("_started"),
         _started_usable(started, quoted).alias("_started_ok"),
-        F.coalesce(V.number(duration, quoted), S.float_text(V.text_of(duration))).alias("_duration"),
+        F.coalesce(V.number(duration, quoted), S.float_text(V.text_of(duration))).alias(
+            "evaluation_duration_seconds"
+        ),
         F.coalesce(V.type_tag(duration).isin("OBJ", "ARR"), F.lit(False)).alias("_bad_duration"),
         V.text_of(model).alias("model_name"),
         (V.is_present(model) & V.text_of(model).isNull()).alias("_bad_model"),
-    )
+        _by_adapter(adapters, lambda a: _temperature_unusable(a, quoted)).alias("_bad_temp"),
+        _by_adapter(adapters, lambda a: _params(a, quoted)).alias("inference_parameters"),
+    ]
 
 
-def _wanted_tasks(adapter: Adapter, registered: set[str], auto: bool) -> Column:
-    """Number of result keys to report; NULL if results is present but not an object."""
-    names = F.map_keys(V.as_map(F.col("_results")))
-    wanted = F.size(F.filter(names, lambda name: _is_wanted(adapter, name, registered, auto)))
-    return F.when(F.col("_results").isNull(), F.lit(0)).when(names.isNotNull(), wanted)
-
-
-def _is_wanted(adapter: Adapter, name: Column, registered: set[str], auto: bool) -> Column:
+def _is_wanted(adapter: Adapter, name: Column, reported: dict[str, tuple[str, ...]], auto: bool) -> Column:
     keep = F.lit(True)
     if adapter.skip_tasks:
-        keep = ~name.isin(*adapter.skip_tasks)
-    return keep if auto else keep & name.isin(*sorted(registered))
+        keep = ~F.array_contains(F.array(*map(F.lit, adapter.skip_tasks)), name)
+    if auto:
+        return keep
+    if not reported:
+        return F.lit(False)
+    return keep & F.array_contains(F.array(*map(F.lit, sorted(reported))), name)
 
 
 def _started_usable(value: Column, quoted: Column) -> Column:
@@ -163,131 +222,144 @@ def _started_usable(value: Column, quoted: Column) -> Column:
     )
 
 
-def _temperature_unusable(adapter: Adapter, doc: Column, quoted: Column) -> Column:
+def _temperature_unusable(adapter: Adapter, quoted: Column) -> Column:
     """Sampling can only be inferred from a number."""
     if not adapter.infer_sampling:
         return F.lit(False)
-    value = V.field(doc, *adapter.params, _temperature(adapter).key)
-    return V.is_present(value) & ~V.is_number(value, quoted)
+    value = F.try_element_at("_params", F.lit(_temperature(adapter).key))
+    return F.coalesce(V.is_present(value) & V.number(value, quoted).isNull(), F.lit(False))
 
 
 def _temperature(adapter: Adapter):
     return next(f for f in adapter.fields if f.name == "temperature")
 
 
-def _params(adapter: Adapter, doc: Column, quoted: Column) -> Column:
+def _params(adapter: Adapter, quoted: Column) -> Column:
     by_name = {f.name: f for f in adapter.fields}
     values = []
     for name, kind in PARAMS_TYPES.items():
         if name == "do_sample" and adapter.infer_sampling:
-            temp = _param_value(adapter, _temperature(adapter), "double", doc, quoted)
+            temp = _param_value(adapter, _temperature(adapter), "double", quoted)
             values.append((F.coalesce((temp > 0) & ~F.isnan(temp), F.lit(False))).alias(name))
         elif name in by_name:
-            values.append(_param_value(adapter, by_name[name], kind, doc, quoted).alias(name))
+            values.append(_param_value(adapter, by_name[name], kind, quoted).alias(name))
         else:
             values.append(F.lit(None).cast(kind).alias(name))
     return F.struct(*values)
 
 
-def _param_value(adapter: Adapter, spec: ParamField, kind: str, doc: Column, quoted: Column) -> Column:
-    value = V.field(doc, *adapter.params, spec.key)
-    typed = V.number(value, quoted) if kind == "double" else F.try_variant_get(value, "$", kind)
-    if kind == "double" and not adapter.infer_sampling:
-        typed = F.coalesce(typed, S.float_text(V.text_of(value)))
+def _param_value(adapter: Adapter, spec: ParamField, kind: str, quoted: Column) -> Column:
+    value = F.try_element_at("_params", F.lit(spec.key))
+    if kind == "double":
+        typed = V.number(value, quoted)
+        if not adapter.infer_sampling:
+            typed = F.coalesce(typed, S.float_text(V.text_of(value)))
+    else:
+        typed = F.try_variant_get(value, "$", kind)
     if spec.if_absent is not None:
         typed = F.when(value.isNull(), F.lit(spec.if_absent)).otherwise(typed)
     return typed
 
 
 def _task_rows(adapter: Adapter, reported: dict[str, tuple[str, ...]], auto: bool) -> Column:
-    """``array<struct<task_name, ok, poison, metrics>>`` of the wanted tasks."""
-    entries = F.filter(
-        F.map_entries(V.as_map(F.col("_results"))),
-        lambda e: _is_wanted(adapter, e["key"], set(reported), auto),
-    )
+    """``array<struct<task_name, is_object, metrics>>`` of the wanted tasks in document order.
+
+    NULL if there are no results or they are not an object.
+    """
     quoted = F.col("_quoted")
+    wanted = lambda names: F.filter(names, lambda n: _is_wanted(adapter, n, reported, auto))
 
-    def task(entry: Column) -> Column:
+    def task(name: Column, value: Column) -> Column:
         return V.let(
-            V.as_map(entry["value"]),
-            lambda members: V.let(
-                F.transform(
-                    _metric_keys(adapter, entry["key"], members, reported, auto, quoted),
-                    lambda spec: _measure(spec, members, quoted),
-                ),
-                lambda found: F.struct(
-                    entry["key"].alias("task_name"),
-                    members.isNotNull().alias("is_object"),
-                    F.filter(found, lambda m: m["present"]).alias("metrics"),
-                ),
+            V.as_map(value),
+            lambda members: F.struct(
+                name.alias("task_name"),
+                members.isNotNull().alias("is_object"),
+                _metrics(adapter, name, members, reported, auto, quoted).alias("metrics"),
             ),
         )
 
-    return F.transform(entries, task)
-
-
-def _metric_keys(adapter, task_name, members, reported, auto, quoted) -> Column:
-    """``array<struct<metric, stderr_keys>>`` to look up for one task."""
-    known = F.create_map(
-        *(
-            part
-            for name, keys in reported.items()
-            for part in (
-                F.lit(name),
-                F.array(
-                    *(
-                        F.struct(
-                            F.lit(key).alias("metric"),
-                            F.array(*map(F.lit, adapter.stderr_keys(key))).alias("stderr_keys"),
-                        )
-                        for key in keys
-                    )
-                ),
-            )
-        )
+    return V.let(
+        V.field_map(F.col("_doc"), "results"),
+        lambda tasks: V.let(
+            wanted(F.map_keys(tasks)),
+            lambda names: F.transform(
+                F.when(F.size(names) > 1, _document_order(names, wanted)).otherwise(names),
+                lambda name: task(name, F.try_element_at(tasks, name)),
+            ),
+        ),
     )
-    if not auto:
-        return F.try_element_at(known, task_name)
-    numeric = F.filter(
-        F.map_entries(members),
-        lambda e: ~e["key"].contains("_stderr")
-        & (~e["key"].isin(*adapter.skip_metrics) if adapter.skip_metrics else F.lit(True))
-        & V.is_number(e["value"], quoted),
+
+
+def _document_order(names: Column, wanted) -> Column:
+    """A VARIANT object is sorted by key; the order of its keys is taken from the text again."""
+    in_text = F.json_object_keys(F.get_json_object(F.col("_text"), "$.results"))
+    return V.let(
+        wanted(F.array_distinct(in_text)),
+        lambda ordered: F.when(F.size(ordered) == F.size(names), ordered).otherwise(names),
     )
-    any_metric = F.transform(
-        numeric,
-        lambda e: F.struct(
-            e["key"].alias("metric"), adapter.stderr_key_array(e["key"]).alias("stderr_keys")
+
+
+def _metrics(adapter, task_name, members, reported, auto, quoted) -> Column:
+    """Measured metrics of one task."""
+    registered = F.filter(
+        F.transform(
+            F.try_element_at(_known(adapter, reported), task_name),
+            lambda spec: _measure(
+                spec["metric"], F.try_element_at(members, spec["metric"]), spec["stderr_keys"], members, quoted
+            ),
         ),
+        lambda m: m["present"],
+    ) if reported else None
+    if not auto:
+        return registered
+    is_metric = lambda e: (
+        ~e["key"].contains("_stderr")
+        & (~F.array_contains(F.array(*map(F.lit, adapter.skip_metrics)), e["key"]) if adapter.skip_metrics else F.lit(True))
+        & V.number(e["value"], quoted).isNotNull()
     )
-    return F.coalesce(F.try_element_at(known, task_name), any_metric) if reported else any_metric
+    every = F.transform(
+        F.filter(F.map_entries(members), is_metric),
+        lambda e: _measure(e["key"], e["value"], adapter.stderr_key_array(e["key"]), members, quoted),
+    )
+    return every if registered is None else F.coalesce(registered, every)
+
+
+def _known(adapter: Adapter, reported: dict[str, tuple[str, ...]]) -> Column:
+    """Constant ``map<task, array<struct<metric, stderr_keys>>>``."""
+    pairs = []
+    for name, keys in reported.items():
+        specs = [
+            F.struct(
+                F.lit(key).alias("metric"),
+                F.array(*map(F.lit, adapter.stderr_keys(key))).alias("stderr_keys"),
+            )
+            for key in keys
+        ]
+        pairs += [F.lit(name), F.array(*specs)]
+    return F.create_map(*pairs)
 
 
-def _measure(spec: Column, members: Column, quoted: Column) -> Column:
+def _measure(metric: Column, value: Column, stderr_keys: Column, members: Column, quoted: Column) -> Column:
     """Value and standard error of one metric; the first non-null candidate decides."""
     candidates = F.filter(
-        F.transform(spec["stderr_keys"], lambda key: F.try_element_at(members, key)), V.is_present
+        F.transform(stderr_keys, lambda key: F.try_element_at(members, key)), V.is_present
     )
-    return V.let(
-        F.struct(
-            F.try_element_at(members, spec["metric"]).alias("value"),
-            F.get(candidates, F.lit(0)).alias("stderr"),
-        ),
-        lambda raw: F.struct(
-            spec["metric"].alias("metric"),
-            V.number(raw["value"], quoted).alias("value"),
-            V.number(raw["stderr"], quoted).alias("stderr"),
-            F.coalesce(V.is_present(raw["value"]), F.lit(False)).alias("present"),
+
+    def measured(stderr: Column) -> Column:
+        return F.struct(
+            metric.alias("metric"),
+            V.number(value, quoted).alias("value"),
+            V.number(stderr, quoted).alias("stderr"),
+            F.coalesce(V.is_present(value), F.lit(False)).alias("present"),
             (
-                ~V.is_number(raw["value"], quoted)
-                | (
-                    raw["stderr"].isNotNull()
-                    & ~V.is_number(raw["stderr"], quoted)
-                    & ~F.coalesce(V.text_of(raw["stderr"]) == "N/A", F.lit(False))
-                )
-            ).alias("poison"),
-        ),
-    )
+                stderr.isNotNull()
+                & V.number(stderr, quoted).isNull()
+                & ~F.coalesce(V.text_of(stderr) == "N/A", F.lit(False))
+            ).alias("bad_stderr"),
+        )
+
+    return V.let(F.get(candidates, F.lit(0)), measured)
 
 
 def _code() -> Column:
@@ -295,11 +367,11 @@ def _code() -> Column:
     tasks = F.col("_tasks")
     return (
         F.when(F.col("_unreadable").isNotNull(), F.col("_unreadable"))
-        .when(F.col("_doc").isNull(), "MALFORMED_JSON")
+        .when(~F.col("_parsed"), "MALFORMED_JSON")
         .when(F.col("framework").isNull(), "UNKNOWN_FORMAT")
-        .when(F.col("_wanted").isNull(), "BAD_RESULTS")
+        .when(F.col("_has_results") & tasks.isNull(), "BAD_RESULTS")
         # from here on only documents with something to report can fail
-        .when(F.col("_wanted") == 0, F.lit(None).cast("string"))
+        .when(tasks.isNull() | (F.size(tasks) == 0), F.lit(None).cast("string"))
         .when(F.exists(tasks, lambda t: ~t["is_object"]), "BAD_TASK")
         .when(F.col("_broken_path"), "BAD_PARAMS")
         .when(F.col("_bad_temp"), "BAD_TEMPERATURE")
@@ -307,42 +379,29 @@ def _code() -> Column:
         .when(F.col("_bad_model"), "BAD_MODEL_NAME")
         .when(F.col("_bad_duration"), "BAD_DURATION")
         .when(
-            F.exists(tasks, lambda t: F.exists(t["metrics"], lambda m: m["poison"])),
+            F.exists(
+                tasks,
+                lambda t: F.exists(t["metrics"], lambda m: m["value"].isNull() | m["bad_stderr"]),
+            ),
             "NON_NUMERIC_METRIC",
         )
     )
 
 
-def _ordered_rows() -> Column:
-    """Task rows in document order.
-
-    A VARIANT object is sorted by key, so the order is taken from the text again, but
-    only where a document has more than one row.
-    """
-    names = F.json_object_keys(F.get_json_object(F.col("_text"), "$.results"))
-    plain = F.transform(F.col("_tasks"), lambda t: _row(t, F.lit(0)))
-    ranked = V.let(
-        F.coalesce(F.array_distinct(names), F.array().cast("array<string>")),
-        lambda keys: F.array_sort(
+def _rows() -> Column:
+    """Task rows without the flags."""
+    return F.transform(
+        "_tasks",
+        lambda t: F.struct(
+            t["task_name"].alias("task_name"),
             F.transform(
-                F.col("_tasks"), lambda t: _row(t, F.array_position(keys, t["task_name"]).cast("int"))
-            )
+                t["metrics"],
+                lambda m: F.struct(
+                    m["metric"].alias("metric"), m["value"].alias("value"), m["stderr"].alias("stderr")
+                ),
+            ).alias("metrics"),
         ),
     )
-    return F.when(F.size("_tasks") > 1, ranked).otherwise(F.coalesce(plain, F.array()))
-
-
-def _row(task: Column, rank: Column) -> Column:
-    return F.struct(
-        rank.alias("rank"),
-        task["task_name"].alias("task_name"),
-        F.transform(
-            task["metrics"],
-            lambda m: F.struct(
-                m["metric"].alias("metric"), m["value"].alias("value"), m["stderr"].alias("stderr")
-            ),
-        ).alias("metrics"),
-    )
 
 
 def results(outcomes: DataFrame) -> DataFrame:

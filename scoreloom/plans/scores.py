@@ -151,10 +151,10 @@ def _checks():
 
 
 CHECKS_SQL = """with checks as (
-    select lang, len(list_filter(regexp_split_to_array(text, '\\s+'), x -> x <> '')) >= 50 as words_at_least_50,
+    select lang, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) >= 50 as words_at_least_50,
         not contains(text, ',') as no_comma,
         len(regexp_extract_all(text, '(?m)^\\s*[*-]\\s+\\S')) = 2 as two_bullets,
-        case when n_chars > 1000 then len(list_filter(regexp_split_to_array(text, '\\s+'), x -> x <> '')) <= 500 end
+        case when n_chars > 1000 then len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) <= 500 end
             as words_at_most_500
     from documents)
 """

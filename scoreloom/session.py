@@ -34,6 +34,8 @@ def build_session(app_name: str = "scoreloom", master: str | None = None, **conf
         builder = builder.master(master)
     for key, value in _SETTINGS.items():
         builder = builder.config(key, value)
+    # Plans here have thousands of expressions; no call site is recorded for each.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return ensure_conf(builder.getOrCreate())
@@ -54,6 +56,18 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Cut an input of fewer pieces than cores into one piece per core.
+
+    Parsing costs far more than moving a row, so a single small file should not end up
+    in a single task. Inputs with enough splits are left alone, and so are streams.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
