@@ -91,15 +91,11 @@ def choose_exemplars(
     """
     by = list(by)
     ring = number_by_hash(pool, pool_id, seed, by)
-    sizes = ring.groupBy(*by).agg(F.max("pool_size").alias("_size"))
     keys = items.select(item_id, *by)
     if by:
-        placed = keys.join(sizes, by)
+        placed = keys.join(ring.groupBy(*by).agg(F.max("pool_size").alias("_size")), by)
     else:
-        placed = keys.withColumn("_one", F.lit(1)).join(
-            F.broadcast(sizes.withColumn("_one", F.lit(1))),  # a single row
-            "_one",
-        )
+        placed = keys.withColumn("_size", ring.agg(F.max("pool_size")).scalar())
     start = F.pmod(_hash_number(seeded_hash(F.col(item_id), seed + 1), 13), F.col("_size"))
     # one place more than needed, in case an item meets itself
     steps = F.sequence(F.lit(0), F.least(F.lit(shots), F.col("_size") - 1).cast("int"))

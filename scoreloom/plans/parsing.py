@@ -24,8 +24,10 @@ TASK_SQL = """case event_type when 'click' then 'gsm8k_platinum_cot_llama'
 METRIC_SQL = """case event_type when 'click' then 'exact_match,strict-match'
         when 'purchase' then 'exact_match,strict_match' when 'signup' then 'exact_match,custom-extract'
         when 'view' then 'inst_level_strict_acc,none' end"""
+# Scores below 1. The odd divisor also keeps means off the exact ties of rounding.
+SCALE = 490.03
 RUNS_SQL = f"""with runs as (
-    select *, {TASK_SQL} as task_name, {METRIC_SQL} as metric,
+    select * replace (value / {SCALE} as value), {TASK_SQL} as task_name, {METRIC_SQL} as metric,
            'm' || (user_id % 5) as model_name,
            lpad(event_id::varchar, 19, '0') || '.json' as source_filename
     from events where event_type <> 'error')
@@ -36,8 +38,16 @@ def r6(name: str):
     return F.round(name, 6).alias(name.split(".")[-1])
 
 
+def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").withColumn("value", F.col("value") / SCALE)
+
+
+def scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice") / SCALE)
+
+
 def event_results(spark: SparkSession, sf_dir: str, **extra) -> DataFrame:
-    docs = synth.event_documents(table(spark, sf_dir, "events"), **extra)
+    docs = synth.event_documents(scored_events(spark, sf_dir), **extra)
     return X.results(X.extract(docs))
 
 
@@ -52,14 +62,14 @@ def lmeval_group_stats(spark, sf_dir):
     return stats.select(*G.GROUP, "metric", "n", r6("value_mean"), r6("value_std"))
 
 
-@query("""select task_name, model_name, count(*) as n, round(avg(o_totalprice), 4) as value_mean,
-    round(stddev_samp(o_totalprice), 4) as value_std
-from (select *, case o_orderpriority when '1-URGENT' then 'math_500|0' when '2-HIGH' then 'aime25|0'
+@query(f"""select task_name, model_name, count(*) as n, round(avg(price), 4) as value_mean,
+    round(stddev_samp(price), 4) as value_std
+from (select *, o_totalprice / {SCALE} as price, case o_orderpriority when '1-URGENT' then 'math_500|0' when '2-HIGH' then 'aime25|0'
         when '3-MEDIUM' then 'gpqa:diamond|0' when '4-NOT SPECIFIED' then 'lcb:codegeneration_v6' end as task_name,
         'c' || (o_custkey % 7) as model_name from orders)
 where task_name is not null group by all""")
 def lighteval_group_stats(spark, sf_dir):
-    docs = synth.order_documents(table(spark, sf_dir, "orders"))
+    docs = synth.order_documents(scored_orders(spark, sf_dir))
     stats = G.group_stats(G.metrics_long(X.results(X.extract(docs))))
     return stats.select(
         *G.GROUP, "n", F.round("value_mean", 4).alias("value_mean"), F.round("value_std", 4).alias("value_std")
@@ -68,17 +78,17 @@ def lighteval_group_stats(spark, sf_dir):
 
 @query(
     RUNS_SQL
-    + """select 'lm_eval' as framework, task_name, count(*) as n, round(avg(value), 4) as value_mean
+    + f"""select 'lm_eval' as framework, task_name, count(*) as n, round(avg(value), 4) as value_mean
 from runs group by task_name
 union all
 select 'lighteval', case o_orderpriority when '1-URGENT' then 'math_500|0' when '2-HIGH' then 'aime25|0'
     when '3-MEDIUM' then 'gpqa:diamond|0' else 'lcb:codegeneration_v6' end as task_name, count(*),
-    round(avg(o_totalprice), 4)
+    round(avg(o_totalprice / {SCALE}), 4)
 from orders where o_orderpriority <> '5-LOW' group by 2"""
 )
 def mixed_framework_union(spark, sf_dir):
-    docs = synth.event_documents(table(spark, sf_dir, "events")).unionByName(
-        synth.order_documents(table(spark, sf_dir, "orders"))
+    docs = synth.event_documents(scored_events(spark, sf_dir)).unionByName(
+        synth.order_documents(scored_orders(spark, sf_dir))
     )
     found = X.results(X.extract(docs))
     values = found.select("framework", "task_name", F.explode(F.map_values("metrics")).alias("m"))
@@ -110,7 +120,7 @@ def stderr_lookup(spark, sf_dir):
     content = synth.lm_eval_content(
         F.create_map(synth.event_task(kind), members), model=synth.event_model(F.col("user_id"))
     )
-    events = table(spark, sf_dir, "events")
+    events = scored_events(spark, sf_dir)
     docs = synth.documents(events, synth.file_path(F.col("event_id")), content)
     stats = G.group_stats(G.metrics_long(X.results(X.extract(docs))))
     return stats.select(*G.GROUP, "n", "n_stderr", r6("stderr_mean"), r6("stderr_std"))
@@ -159,7 +169,7 @@ from (select f.framework, source_filename, event_id,
       from runs, (values ('lm_eval'), ('lighteval')) f(framework))"""
 )
 def inference_params(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
+    events = scored_events(spark, sf_dir)
     turn = F.pmod(F.col("event_id"), F.lit(3))
     temperature = (
         F.when(turn == 0, F.create_map(F.lit("temperature"), synth.variant(F.col("value"), "double")))
@@ -253,7 +263,7 @@ def singleton_std(spark, sf_dir):
     results = F.create_map(synth.event_task(kind), F.create_map(synth.event_metric(kind), F.col("value")))
     model = F.concat(F.lit("e"), F.col("event_id").cast("string"))
     docs = synth.documents(
-        table(spark, sf_dir, "events"),
+        scored_events(spark, sf_dir),
         synth.file_path(F.col("event_id")),
         synth.lm_eval_content(results, model=model),
     )
@@ -269,7 +279,7 @@ union all select distinct 'task', task_name, null::bigint from runs
 union all select distinct 'model', model_name, null from runs"""
 )
 def report_metadata(spark, sf_dir):
-    outcomes = X.extract(synth.event_documents(table(spark, sf_dir, "events")))
+    outcomes = X.extract(synth.event_documents(scored_events(spark, sf_dir)))
     totals = G.totals(outcomes).select(
         F.inline(
             F.array(
@@ -293,7 +303,7 @@ def report_metadata(spark, sf_dir):
 group by code""")
 def reject_codes(spark, sf_dir):
     """Every 11th document is damaged in one of four ways; a bad date only counts beside a reported task."""
-    docs = synth.event_documents(table(spark, sf_dir, "events"), date=F.lit(1.7e9))
+    docs = synth.event_documents(scored_events(spark, sf_dir), date=F.lit(1.7e9))
     number = F.substring_index("source_filename", ".", 1).cast("bigint")
     way = F.pmod(F.floor(number / 11), F.lit(4))
     content = F.col("content")
@@ -403,7 +413,7 @@ from runs group by all"""
 )
 def nonfinite_metrics(spark, sf_dir):
     """Bare NaN and Infinity tokens, beside a string that only looks like one."""
-    docs = synth.event_documents(table(spark, sf_dir, "events"))
+    docs = synth.event_documents(scored_events(spark, sf_dir))
     number = F.substring_index("source_filename", ".", 1).cast("bigint")
     bare = F.regexp_replace(
         F.regexp_replace("content", r"(\":)[0-9.Ee+-]+\}\}", "$1NaN}}"),
@@ -457,7 +467,7 @@ def report_line_counts(spark, sf_dir):
     """Lines of the report by place, and how many of them start with a separating comma."""
     from datetime import datetime, timezone
 
-    docs = synth.event_documents(table(spark, sf_dir, "events"), date=synth.epoch(F.col("ts")))
+    docs = synth.event_documents(scored_events(spark, sf_dir), date=synth.epoch(F.col("ts")))
     outcomes = materialize(X.extract(docs), "outcomes")
     lines = report_lines(outcomes, datetime(2024, 1, 1, tzinfo=timezone.utc))
     return lines.groupBy("section", "part").agg(
@@ -537,8 +547,9 @@ def scan_files(spark, sf_dir):
 )
 def incremental_ingest(spark, sf_dir):
     """A stream of documents, stored batch by batch, aggregated from the table."""
-    events = table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    schema = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    stream = stream.withColumn("value", F.col("value") / SCALE)
     work = f"{shared_dir(spark)}/ingest-{uuid.uuid4().hex}"
     ingest(synth.event_documents(stream), f"{work}/table", f"{work}/state").awaitTermination()
     stats = G.group_stats(G.metrics_long(X.results(stored_outcomes(spark, f"{work}/table"))))

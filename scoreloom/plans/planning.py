@@ -10,7 +10,7 @@ from scoreloom.operators import extract as X
 from scoreloom.operators import grouping as G
 from scoreloom.plans import synth
 from scoreloom.plans.catalog import query, table
-from scoreloom.plans.parsing import RUNS_SQL, event_results, r6
+from scoreloom.plans.parsing import RUNS_SQL, event_results, r6, scored_events
 
 
 def _part_configs(spark, sf_dir):
@@ -141,7 +141,7 @@ def _scored(spark, sf_dir):
     content = synth.lm_eval_content(
         F.create_map(synth.event_task(kind), members), model=synth.event_model(F.col("user_id"))
     )
-    docs = synth.documents(table(spark, sf_dir, "events"), synth.file_path(F.col("event_id")), content)
+    docs = synth.documents(scored_events(spark, sf_dir), synth.file_path(F.col("event_id")), content)
     return G.group_stats(G.metrics_long(X.results(X.extract(docs))))
 
 

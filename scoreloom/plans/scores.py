@@ -10,7 +10,7 @@ from scoreloom.operators import prompts as P
 from scoreloom.operators import scoring as S
 from scoreloom.operators.generate import generate
 from scoreloom.plans.catalog import query, table
-from scoreloom.plans.parsing import r6
+from scoreloom.plans.parsing import SCALE, r6, scored_events
 from scoreloom.session import shared_dir
 from scoreloom.sources.harness import write_details
 
@@ -267,12 +267,12 @@ def batch_generate(spark, sf_dir):
     return answered.select("conv_id", "turn", "output", "error", "attempts")
 
 
-@query("""select event_type as task_name, 'm' || (user_id % 5) as model_name, (event_id % 3 + 1)::int as rep,
-    count(*) as n, round(avg(value), 6) as score
+@query(f"""select event_type as task_name, 'm' || (user_id % 5) as model_name, (event_id % 3 + 1)::int as rep,
+    count(*) as n, round(avg(value / {SCALE}), 6) as score
 from events group by all""")
 def details_sink(spark, sf_dir):
     """Per-sample details stored per run, scored from the stored table."""
-    samples = table(spark, sf_dir, "events").select(
+    samples = scored_events(spark, sf_dir).select(
         F.col("event_type").alias("task_name"),
         F.concat(F.lit("m"), F.pmod(F.col("user_id"), F.lit(5)).cast("string")).alias("model_name"),
         (F.pmod(F.col("event_id"), F.lit(3)) + 1).cast("int").alias("rep"),

@@ -67,9 +67,8 @@ def report_lines(outcomes: DataFrame, now: datetime) -> DataFrame:
     results = X.results(outcomes)
     groups = G.group_rows(results)
     seen = groups.select(*G.GROUP, "first_seen")
-    # one small row: the group that comes first goes without a comma
-    first = groups.agg(F.min("first_seen").alias("first")).withColumn("_one", F.lit(1))
-    ranked = groups.withColumn("_one", F.lit(1)).join(F.broadcast(first), "_one")
+    # the group that comes first goes without a comma
+    ranked = groups.withColumn("first", groups.agg(F.min("first_seen")).scalar())
 
     body = (
         _group_lines(ranked)
