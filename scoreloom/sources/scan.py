@@ -72,7 +72,6 @@ def passed_over(spark: SparkSession, directories: Sequence[str]) -> DataFrame:
     """
     roots = spark.createDataFrame([(d, False) for d in dict.fromkeys(map(_rooted, directories))], "dir string, hidden boolean")
     top = roots.repartition("dir").mapInPandas(_list_one_level, "dir string, hidden boolean, path string, content binary")
-    # the first level is listed again for its files or for its subdirectories, never kept
     below = (
         top.where(F.col("dir").isNotNull())
         .select("dir", "hidden")
@@ -91,10 +90,10 @@ def _rooted(directory: str) -> str:
     return directory.rstrip("/") if "://" in directory else os.path.abspath(directory)
 
 
-def _is_hidden(name: str) -> bool:
+def _is_hidden(name: str, is_directory: bool) -> bool:
     """Names that Spark's file index leaves out."""
-    if name.startswith(("_common_metadata", "_metadata")):
-        return False
+    if is_directory and name.startswith(("_common_metadata", "_metadata")):
+        return False  # listed, though files of such names are not taken for data
     return (name.startswith("_") and "=" not in name) or name.startswith(".") or name.endswith("._COPYING_")
 
 
@@ -114,7 +113,7 @@ def _entries(uri: str, hidden: bool):
 
     system, path, prefix = _open(uri)
     for info in system.get_file_info(fs.FileSelector(path, recursive=False)):
-        concealed = hidden or _is_hidden(info.base_name)
+        concealed = hidden or _is_hidden(info.base_name, info.type == fs.FileType.Directory)
         if info.type == fs.FileType.Directory:
             yield prefix + info.path, concealed, None, None
         elif info.type == fs.FileType.File and info.base_name.endswith(SUFFIX):
