@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 HEX_DIGITS = 4  # 65,536 hash ranges per pool
+SMALL_LIMIT = 10_000
 
 
 @dataclass(frozen=True)
@@ -30,12 +31,15 @@ def seeded_limit(df: DataFrame, key: str, seed: int, limit: float) -> DataFrame:
     """The sampling switch of the harnesses: a share below 1, otherwise a number of rows.
 
     A share is a filter on the hash and needs no shuffle; a number is the top of the
-    hash order.
+    hash order. A large number is counted off in ranges, as a limit would pass all its
+    rows through one place.
     """
     hashed = seeded_hash(F.col(key), seed)
     if limit < 1:
         return df.where(_hash_number(hashed, 13) < F.lit(int(limit * 16**13)))
-    return df.orderBy(hashed, key).limit(int(limit))
+    if limit <= SMALL_LIMIT:
+        return df.orderBy(hashed, key).limit(int(limit))
+    return number_by_hash(df, key, seed).where(F.col("ordinal") < int(limit)).select(*df.columns)
 
 
 def _hash_number(hashed: Column, digits: int) -> Column:

@@ -77,7 +77,7 @@ def words_at_most(text: Column, n: int) -> Column:
 
 
 def _word_count(text: Column) -> Column:
-    return F.size(F.filter(F.split(text, r"\s+"), lambda w: w != ""))
+    return F.regexp_count(text, F.lit(r"\S+"))
 
 
 def keyword_at_least(text: Column, keyword: str, n: int = 1) -> Column:
@@ -115,11 +115,12 @@ def instruction_accuracy(df: DataFrame, checks: Mapping[str, Column], by: Sequen
     A check that gives NULL does not apply to that prompt. Sums per row are enough, so
     nothing is exploded before the aggregation.
     """
-    marks = F.filter(F.array(*checks.values()), lambda c: c.isNotNull())
-    rows = df.select(
+    names = [f"_check{i}" for i in range(len(checks))]
+    marks = df.select(*by, *(check.alias(name) for name, check in zip(names, checks.values())))
+    rows = marks.select(
         *by,
-        F.size(marks).alias("_asked"),
-        F.size(F.filter(marks, lambda c: c)).alias("_met"),
+        sum(F.col(name).isNotNull().cast("int") for name in names).alias("_asked"),
+        sum(F.coalesce(F.col(name), F.lit(False)).cast("int") for name in names).alias("_met"),
     )
     return rows.groupBy(*by).agg(
         F.sum("_asked").alias("n_instructions"),

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreloom.session import ensure_conf
+from scoreloom.session import ensure_conf, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,3 +36,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def work_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows take much work each: at least one piece per core."""
+    return spread(table(spark, sf_dir, name))

@@ -11,7 +11,7 @@ from scoreloom.operators import extract as X
 from scoreloom.operators import grouping as G
 from scoreloom.operators.adapters import DEFAULT_ADAPTERS, Adapter, ParamField
 from scoreloom.plans import synth
-from scoreloom.plans.catalog import query, table
+from scoreloom.plans.catalog import query, table, work_table
 from scoreloom.session import materialize, shared_dir
 from scoreloom.sources.harness import harness_documents, write_documents
 from scoreloom.sources.report import report_lines
@@ -39,11 +39,11 @@ def r6(name: str):
 
 
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").withColumn("value", F.col("value") / SCALE)
+    return work_table(spark, sf_dir, "events").withColumn("value", F.col("value") / SCALE)
 
 
 def scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice") / SCALE)
+    return work_table(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice") / SCALE)
 
 
 def event_results(spark: SparkSession, sf_dir: str, **extra) -> DataFrame:
@@ -239,7 +239,7 @@ def run_list_ordered(spark, sf_dir):
         F.lit("ifeval"), F.create_map(F.lit("inst_level_strict_acc,none"), value / 2),
     )
     content = synth.lm_eval_content(results, model=synth.event_model(F.col("user_id")))
-    docs = synth.documents(table(spark, sf_dir, "events"), synth.file_path(F.col("event_id")), content)
+    docs = synth.documents(work_table(spark, sf_dir, "events"), synth.file_path(F.col("event_id")), content)
     found = X.results(X.extract(docs))
     runs, firsts = G.runs(found), G.first_run(found).select(*G.GROUP, "first_seen")
     return runs.join(firsts, G.same_group(runs, firsts)).select(
@@ -338,7 +338,7 @@ def auto_metrics(spark, sf_dir):
     results = F.create_map(F.concat(F.lit("flag_"), F.col("l_returnflag")), members)
     path = F.concat(synth.file_path(F.col("l_orderkey")), F.lit("."), F.col("l_linenumber").cast("string"))
     docs = synth.documents(
-        table(spark, sf_dir, "lineitem"), path, synth.lm_eval_content(results, model=F.lit("m"))
+        work_table(spark, sf_dir, "lineitem"), path, synth.lm_eval_content(results, model=F.lit("m"))
     )
     found = X.results(X.extract(docs, registry={}, metrics="auto"))
     return G.group_stats(G.metrics_long(found)).select(
@@ -351,7 +351,7 @@ def auto_metrics(spark, sf_dir):
 from documents where source in (select distinct source from documents order by source limit 3) group by all""")
 def custom_registry(spark, sf_dir):
     """A caller's registry, as a DataFrame, decides what is reported."""
-    documents = table(spark, sf_dir, "documents")
+    documents = work_table(spark, sf_dir, "documents")
     names = documents.select("source").distinct().orderBy("source").limit(3)
     registry = names.select(
         F.concat(F.lit("src_"), F.col("source")).alias("task_name"),
@@ -391,7 +391,7 @@ def custom_adapter(spark, sf_dir):
     )
     results = F.create_map(F.lit("ifeval"), F.create_map(F.lit("inst_level_strict_acc,none"), F.col("c_acctbal")))
     docs = synth.documents(
-        table(spark, sf_dir, "customer"),
+        work_table(spark, sf_dir, "customer"),
         synth.file_path(F.col("c_custkey")),
         F.to_json(F.struct(run.alias("run"), results.alias("results"))),
     )
@@ -549,6 +549,8 @@ def incremental_ingest(spark, sf_dir):
     """A stream of documents, stored batch by batch, aggregated from the table."""
     schema = table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # the table is a single file; a folder of documents comes in many pieces
+    stream = stream.repartition(spark.sparkContext.defaultParallelism)
     stream = stream.withColumn("value", F.col("value") / SCALE)
     work = f"{shared_dir(spark)}/ingest-{uuid.uuid4().hex}"
     ingest(synth.event_documents(stream), f"{work}/table", f"{work}/state").awaitTermination()

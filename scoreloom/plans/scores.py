@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from scoreloom.operators import prompts as P
 from scoreloom.operators import scoring as S
 from scoreloom.operators.generate import generate
-from scoreloom.plans.catalog import query, table
+from scoreloom.plans.catalog import query, table, work_table
 from scoreloom.plans.parsing import SCALE, r6, scored_events
 from scoreloom.session import shared_dir
 from scoreloom.sources.harness import write_details
@@ -172,7 +172,7 @@ CHECKS_SQL = """with checks as (
 from checks group by lang"""
 )
 def inst_level_strict(spark, sf_dir):
-    scores = S.instruction_accuracy(table(spark, sf_dir, "documents"), _checks(), ["lang"])
+    scores = S.instruction_accuracy(work_table(spark, sf_dir, "documents"), _checks(), ["lang"])
     return scores.select(
         "lang", "n_instructions", "n_prompts", r6("inst_level_strict_acc"), r6("prompt_level_strict_acc")
     )
@@ -185,7 +185,7 @@ from (unpivot checks on words_at_least_50, no_comma, two_bullets, words_at_most_
 group by all"""
 )
 def instruction_breakdown(spark, sf_dir):
-    scores = S.instruction_breakdown(table(spark, sf_dir, "documents"), _checks(), ["lang"])
+    scores = S.instruction_breakdown(work_table(spark, sf_dir, "documents"), _checks(), ["lang"])
     return scores.select("lang", "instruction", "n", r6("accuracy"))
 
 

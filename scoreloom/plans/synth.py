@@ -8,8 +8,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.session import spread
-
 IFEVAL = "ifeval"
 
 
@@ -94,7 +92,7 @@ def lighteval_content(
 
 
 def documents(df: DataFrame, path: Column, content: Column) -> DataFrame:
-    return spread(df).select(
+    return df.select(
         path.alias("path"),
         F.substring_index(path, "/", -1).alias("source_filename"),
         content.alias("content"),

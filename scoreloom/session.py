@@ -60,10 +60,11 @@ def spread(df: DataFrame) -> DataFrame:
     """Cut an input of fewer pieces than cores into one piece per core.
 
     Parsing costs far more than moving a row, so a single small file should not end up
-    in a single task. Inputs with enough splits are left alone, and so are streams.
+    in a single task. Inputs with enough splits are left alone. Only for plain scans:
+    asking for the number of pieces of anything with a shuffle would run the shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
 

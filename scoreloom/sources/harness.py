@@ -21,6 +21,8 @@ def harness_documents(scores: DataFrame, harness: str = "lm_eval") -> DataFrame:
     the maps built here are as small as the run's task list.
     """
     inside = harness == "lm_eval"
+    # one shuffle serves the three groupings and the join below
+    scores = scores.repartition("path")
     metric, stderr = F.col("metric"), F.col("stderr")
     entries = F.array(
         F.struct(metric.alias("key"), F.col("value").alias("value")),

@@ -76,6 +76,8 @@ def test_seeded_limit(spark):
     df = spark.range(1000)
     top = [r.id for r in prompts.seeded_limit(df, "id", 5, 10).collect()]
     assert top == sorted(range(1000), key=lambda i: md5(i, 5))[:10]
+    many = prompts.seeded_limit(spark.range(30_000), "id", 5, 12_000)
+    assert {r.id for r in many.collect()} == set(sorted(range(30_000), key=lambda i: md5(i, 5))[:12_000])
     share = prompts.seeded_limit(df, "id", 5, 0.25).count()
     assert share == sum(int(md5(i, 5)[:13], 16) < 0.25 * 16**13 for i in range(1000))
 
