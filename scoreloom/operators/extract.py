@@ -113,7 +113,7 @@ def _sealed() -> Column:
 
 
 def _parse() -> list[list[Column | str]]:
-    """Strict parse; a failed text gets a second try with bare NaN / Infinity quoted."""
+    """Strict parse; a failed text gets a second try in repaired form."""
     text = F.col("content")
     return [
         [
@@ -126,12 +126,13 @@ def _parse() -> list[list[Column | str]]:
         ],
         ["*", V.strict_envelope(text).alias("_first")],
         ["*", V.envelope_is_strict(F.col("_first"), text).alias("_strict")],
-        ["*", F.when(~F.col("_strict"), V.quote_nonfinite(text)).alias("_fixed")],
+        ["*", F.when(~F.col("_strict"), V.repaired(text)).alias("_fixed")],
         ["*", V.strict_envelope(F.col("_fixed")).alias("_second")],
         [
             "path",
             "source_filename",
             "_unreadable",
+            (F.octet_length(text) > V.MAX_DOCUMENT).alias("_too_large"),
             F.coalesce("_fixed", "content").alias("_text"),
             F.col("_fixed").isNotNull().alias("_quoted"),
             F.when(F.col("_strict"), F.col("_first"))
@@ -172,7 +173,7 @@ def _locate(
             header("model").alias("_model_raw"),
         ],
         [
-            "path", "source_filename", "framework", "_unreadable", "_quoted",
+            "path", "source_filename", "framework", "_unreadable", "_too_large", "_quoted",
             doc.isNotNull().alias("_parsed"), "_has_results", "_params",
             "_started_raw", "_duration_raw", "_model_raw",
             _by_adapter(adapters, lambda a: a.broken_path(doc, F.col("_params"))).alias("_broken_path"),
@@ -186,7 +187,7 @@ def _typed(adapters: tuple[Adapter, ...]) -> list[Column | str]:
     quoted = F.col("_quoted")
     started, duration, model = F.col("_started_raw"), F.col("_duration_raw"), F.col("_model_raw")
     return [
-        "path", "source_filename", "framework", "_unreadable", "_parsed", "_has_results",
+        "path", "source_filename", "framework", "_unreadable", "_too_large", "_parsed", "_has_results",
         "_broken_path", "_tasks",
         V.number(started, quoted).alias("_started"),
         _started_usable(started, quoted).alias("_started_ok"),
@@ -367,7 +368,7 @@ def _code() -> Column:
     tasks = F.col("_tasks")
     return (
         F.when(F.col("_unreadable").isNotNull(), F.col("_unreadable"))
-        .when(~F.col("_parsed"), "MALFORMED_JSON")
+        .when(~F.col("_parsed"), F.when(F.col("_too_large"), "TOO_LARGE").otherwise("MALFORMED_JSON"))
         .when(F.col("framework").isNull(), "UNKNOWN_FORMAT")
         .when(F.col("_has_results") & tasks.isNull(), "BAD_RESULTS")
         # from here on only documents with something to report can fail

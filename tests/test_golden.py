@@ -4,6 +4,7 @@ import json
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from scoreloom.operators.extract import BadDocumentError, extract, rejects, results  # noqa: F401
 from scoreloom.operators import grouping as G
@@ -251,6 +252,19 @@ def test_nonfinite_values_are_kept(docs):
     assert math.isnan(value) and stderr == -math.inf
 
 
+def test_very_long_strings_are_no_obstacle(docs, spark):
+    head, tail = json.dumps(lm({IFEVAL_KEY: float("nan")}))[:-1] + ',"log":"', '"}'
+    frame = docs({"/g/a.json": head}).withColumn(
+        "content", F.concat("content", F.repeat(F.lit('x, NaN \\" '), 3_000_000), F.lit(tail))
+    )
+    row = results(extract(frame)).first()
+    assert math.isnan(row.metrics[IFEVAL_KEY].value)
+    wide = docs({"/g/b.json": '{"a":['}).withColumn(
+        "content", F.concat("content", F.repeat(F.lit("12345678,"), 15_000_000), F.lit("1]}"))
+    )
+    assert [r.code for r in extract(wide).select("code").collect()] == ["TOO_LARGE"]
+
+
 def test_auto_metrics(docs):
     members = {"acc,none": 0.5, "acc_stderr,none": 0.1, "alias": 3, "name": 4, "sample_len": 5, "flag": True, "s": "1", "n": None}
     row = one(docs, lm(members, task="anything"), metrics="auto")

@@ -192,6 +192,11 @@ def test_scores_to_files_and_back(spark, tmp_path, harness):
     assert row.evaluation_duration_seconds == 12.5
 
 
+def test_stored_outcomes_live_in_the_shared_folder(spark, docs):
+    run = parse_documents(docs({"/r/a.json": doc()}))
+    assert all(spark.conf.get("spark.checkpoint.dir") in f for f in run.outcomes.inputFiles())
+
+
 def test_details_are_partitioned_by_run(spark, tmp_path):
     samples = spark.range(1000).selectExpr("id", "'a|0' task_name", "'x/y' model_name", "cast(id % 3 as int) rep")
     write_details(samples, str(tmp_path / "d"), max_rows_per_file=100)
