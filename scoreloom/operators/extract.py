@@ -73,7 +73,7 @@ def _stages(
         _typed(adapters),
         ["*", _code().alias("code")],
         _finish(),
-        [_sealed()],
+        _sealed(),
     ]
 
 
@@ -103,13 +103,15 @@ OUTCOME_COLUMNS = [
 ]
 
 
-def _sealed() -> Column:
-    """The same columns behind a generator.
+def _sealed() -> list[Column]:
+    """The same columns, closed to filters.
 
     A filter on a projected column is rewritten in terms of what is below, and here
-    that means copies of the whole parse. It is not pushed below a generator.
+    that means copies of the whole parse. Spark does not do that for columns it takes
+    for nondeterministic, as anything with the partition number. Columns nobody asks for
+    are still left out of the plan.
     """
-    return F.inline(F.array(F.struct(*OUTCOME_COLUMNS)))
+    return [F.when(F.spark_partition_id() >= 0, F.col(name)).alias(name) for name in OUTCOME_COLUMNS]
 
 
 def _parse() -> list[list[Column | str]]:
@@ -407,8 +409,6 @@ def _rows() -> Column:
 
 def results(outcomes: DataFrame) -> DataFrame:
     """One row per (document, reported task)."""
-    # The generator input is an expression on purpose: for a bare column Spark infers
-    # a size filter and would push the whole parse below it a second time.
     exploded = outcomes.select(
         "path",
         "source_filename",
@@ -418,7 +418,7 @@ def results(outcomes: DataFrame) -> DataFrame:
         "evaluation_datetime_iso",
         "evaluation_duration_seconds",
         "inference_parameters",
-        F.posexplode(F.coalesce("rows", F.array())).alias("task_ord", "_row"),
+        F.posexplode("rows").alias("task_ord", "_row"),
     )
     return exploded.select(
         "path",
