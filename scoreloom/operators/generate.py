@@ -9,6 +9,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from scoreloom.session import ship_with_tasks
+
+ship_with_tasks(__name__)
+
 Generator = Callable[[str], str]
 
 

@@ -11,9 +11,11 @@ from scoreloom.operators import scoring as S
 from scoreloom.operators.generate import generate
 from scoreloom.plans.catalog import query, table, work_table
 from scoreloom.plans.parsing import SCALE, r6, scored_events
-from scoreloom.session import shared_dir
+from scoreloom.session import shared_dir, ship_with_tasks
 from scoreloom.sources.harness import write_details
 
+ship_with_tasks(__name__)
+
 SHOTS, SEED = 5, 1234
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTINGS = {
@@ -19,6 +21,14 @@ _SETTINGS = {
 }
 
 
+def ship_with_tasks(module: str) -> None:
+    """Send the functions of a module along with the tasks that call them.
+
+    Otherwise a Python worker would import them, and executors need not have this package.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def ensure_conf(spark: SparkSession) -> SparkSession:
     """Set what the operators rely on; call before building a plan on a foreign session."""
     for key, value in _SETTINGS.items():

@@ -8,8 +8,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scoreloom.session import ship_with_tasks
 from scoreloom.sources.scan import _open, _rooted
 
+ship_with_tasks(__name__)
+
 RUN_COLUMNS = ["path", "model_name", "started", "duration", "params"]
 
 

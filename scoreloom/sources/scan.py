@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.functions.scalars import base_name, decoded_path
+from scoreloom.session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 SUFFIX = ".json"
 
