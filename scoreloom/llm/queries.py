@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import byte_bpe, url_filters
+from scoreloom.llm import byte_bpe, packing, url_filters, warc
 from scoreloom.llm.common import prepare
 from scoreloom.plans.catalog import Entry, table
 
@@ -83,3 +83,46 @@ def repeated_addresses(pages: DataFrame) -> DataFrame:
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filters.judge(pages, repeated_addresses(pages), URL_RULES)
+
+
+@query(
+    """
+    with p as (
+        select page_id, coalesce(html, '') as html from pages),
+    d as (select page_id, strlen(html) as payload_bytes, sha1(html) as payload_digest from p),
+    g as (
+        select *, max(page_id) over (partition by payload_digest) as holder from d)
+    select page_id, payload_bytes, payload_digest,
+           case when payload_bytes >= 1000 and page_id < holder then 'revisit' else 'response' end as record_type,
+           case when payload_bytes >= 1000 and page_id < holder then holder end as refers_to
+    from g
+    """
+)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    store = warc.store_records(warc.read_warc(spark, folder))
+    payloads = store.payloads.select(
+        "digest",
+        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"),
+    )
+    return store.headers.join(payloads, "digest", "left").select(
+        warc.key_of(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.key_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+def packing_tokenizer() -> packing.WordTokenizer:
+    return packing.WordTokenizer.read(public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@query()
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), packing_tokenizer())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
