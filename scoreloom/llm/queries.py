@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import byte_bpe, packing, url_filters, warc
+from scoreloom.llm import byte_bpe, language_id, packing, url_filters, warc
 from scoreloom.llm.common import prepare
 from scoreloom.plans.catalog import Entry, table
 
@@ -126,3 +126,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+LANGUAGES = ("de", "en", "es", "fr")
+
+
+@query()
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, LANGUAGES)
+    found = language_id.identify(docs, model, declared=F.col("lang"), host=F.col("source"))
+    return found.select("doc_id", "language", "confidence", "kept")
