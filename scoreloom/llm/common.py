@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from scoreloom.session import ensure_conf
 
-#: Rows of an Arrow batch: with texts of a few thousand characters a batch stays at some megabytes.
-BATCH_ROWS = "512"
+#: Rows and bytes of an Arrow batch: a task holds a few batches at a time, however long the texts are.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2048", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
 
 Work = Callable[[pa.RecordBatch], list]
 
@@ -21,7 +21,8 @@ Work = Callable[[pa.RecordBatch], list]
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings for rows that carry whole texts."""
     ensure_conf(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
     return spark
 
 

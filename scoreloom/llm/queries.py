@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import byte_bpe, language_id, packing, url_filters, warc
+from scoreloom.llm import byte_bpe, language_id, packing, topk, url_filters, warc
 from scoreloom.llm.common import prepare
 from scoreloom.plans.catalog import Entry, table
 
@@ -137,3 +137,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs, LANGUAGES)
     found = language_id.identify(docs, model, declared=F.col("lang"), host=F.col("source"))
     return found.select("doc_id", "language", "confidence", "kept")
+
+
+@query(
+    """
+    with f as (
+        select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+        from embeddings where embedding is not null),
+    s as (
+        select q.vec_id as query_id, c.vec_id,
+               list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+        from f q join f c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id),
+    r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+    select query_id, rank, vec_id, score from r where rank <= 10
+    """
+)
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
