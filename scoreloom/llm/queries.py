@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import byte_bpe, language_id, packing, topk, url_filters, warc
+from scoreloom.llm import byte_bpe, language_id, line_dedup, packing, topk, url_filters, warc
 from scoreloom.llm.common import prepare
 from scoreloom.plans.catalog import Entry, table
 
@@ -154,3 +154,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
+
+
+@query()
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_lines(docs, line_dedup.repeated_lines(docs))
