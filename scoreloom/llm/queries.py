@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import byte_bpe, jaccard, language_id, line_dedup, packing, topk, url_filters, warc
+from scoreloom.llm import byte_bpe, jaccard, language_id, line_dedup, packing, token_counts, topk, url_filters, warc
 from scoreloom.llm.common import prepare
 from scoreloom.plans.catalog import Entry, table
 
@@ -165,3 +165,35 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def tidying_edits(text) -> Column:
+    """Edits of one document: its first line goes, the first mail address and the first IPv4 address are
+    hidden, and a closing line is added."""
+
+    def hidden(pattern: str, new: str) -> Column:
+        found = F.regexp_substr(text, F.lit(pattern))
+        start = F.length(F.call_function("substring_index", text, found, F.lit(1)))
+        return F.struct(start.alias("start"), (start + F.length(found)).alias("end"), F.lit(new).alias("new"))
+
+    first_line = F.length(F.substring_index(text, "\n", 1)) + 1
+    size = F.length(text)
+    return F.array(
+        F.struct(F.lit(0).alias("start"), F.least(first_line, size).alias("end"), F.lit("").alias("new")),
+        hidden(r"[\w.]+@[\w.]+", "<mail>"),
+        hidden(r"\d{1,3}(\.\d{1,3}){3}", "<address>"),
+        F.struct(size.alias("start"), size.alias("end"), F.lit("\nEnd of document.").alias("new")),
+    )
+
+
+@query()
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_bpe.Vocabulary.read(
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, vocabulary)
+    total = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    before = counted.select("*", total.alias("n_tokens"), tidying_edits(F.col("text")).alias("edits"))
+    after = token_counts.apply_edits(before, vocabulary)
+    return after.select("doc_id", "n_tokens", total.alias("n_tokens_edited"), "encoded_chars", F.length("text").alias("n_chars_edited"))
