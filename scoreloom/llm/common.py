@@ -15,6 +15,9 @@ from scoreloom.session import ensure_conf
 #: Rows and bytes of an Arrow batch: a task holds a few batches at a time, however long the texts are.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2048", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
 
+#: Values of a side up to which it is broadcast: some tens of megabytes.
+BROADCAST_VALUES = 1_000_000
+
 Work = Callable[[pa.RecordBatch], list]
 
 
@@ -26,6 +29,15 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def broadcast_if_small(stored: DataFrame, values: Column | None = None) -> DataFrame:
+    """A hint to broadcast a stored table if it is small enough; beyond, both sides are shuffled.
+
+    Counted are rows, which must be narrow, or the sum of ``values`` where rows hold arrays.
+    """
+    size = stored.agg(F.sum(F.lit(1) if values is None else values + 1)).first()[0] or 0
+    return F.broadcast(stored) if size <= BROADCAST_VALUES else stored
+
+
 def ascii_lower(column: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(column, string.ascii_uppercase, string.ascii_lowercase)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from scoreloom.llm.components import components
+from scoreloom.llm.common import broadcast_if_small
 from scoreloom.session import materialize
 
 WORDS = 5
@@ -36,8 +37,6 @@ COMMON_FROM, COMMON_MOST = 20, 1 << 18
 PAIRED, BLOCK = 32, 256
 #: Shingles counted at a time.
 COUNTED = 1 << 21
-#: Rows of a side up to which it is broadcast; beyond, Spark shuffles both sides.
-BROADCAST_ROWS = 300_000
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -82,10 +81,6 @@ def _need(n: int | np.ndarray, similar: tuple[int, int]):
     return -(-n * similar[0] // similar[1])
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def _survey(docs: DataFrame, words: int) -> DataFrame:
     """In one pass over the texts: a row per document (key, n, node), and partial counts (token, n)."""
     key_type = docs.schema["key"].dataType.simpleString()
@@ -344,8 +339,8 @@ def near_duplicates(
     )
     # one row of each set is enough from here on; the others are few and known by key
     twice = nodes.where("rows > 1").select("node", "first")
-    copies = materialize(listed.join(_small(twice), "node").where("key > first").select("key").distinct(), "copies")
-    alone = rows.join(_small(copies), "key", "left_anti")
+    copies = materialize(listed.join(broadcast_if_small(twice), "node").where("key > first").select("key").distinct(), "copies")
+    alone = rows.join(broadcast_if_small(copies), "key", "left_anti")
     posted = _postings(alone, order, words, similar)
     many = Window.partitionBy("token")
     live = posted.withColumn("m", F.count(F.lit(1)).over(many)).where("m > 1").select("token", "node", "group", "n")
@@ -354,7 +349,7 @@ def near_duplicates(
     pairs, buckets = materialize(pairs.distinct(), "node-pairs"), materialize(buckets, "crowded")
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).unionByName(buckets.select("node")).distinct()
     keys = materialize(nodes.join(wanted, "node").select(F.col("first").alias("key")), "wanted")
-    sets = _sets(alone.join(_small(keys), "key", "left_semi"), words).dropDuplicates(["node"])
+    sets = _sets(alone.join(broadcast_if_small(keys), "key", "left_semi"), words).dropDuplicates(["node"])
     sets = materialize(sets, "sets")
     links = materialize(_verified(pairs, sets, similar), "pair-links")
     if not buckets.isEmpty():

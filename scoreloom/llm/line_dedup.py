@@ -13,27 +13,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scoreloom.llm.common import broadcast_if_small
 from scoreloom.session import materialize
 
 THRESHOLD = 2
 #: Shorter lines are never removed.
 MIN_CHARS = 40
-#: Rows of a side up to which it is broadcast; beyond, Spark shuffles both sides.
-BROADCAST_ROWS = 300_000
 
 _ADDRESS = ["key", "text_hash", "line_no"]
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """A hint to broadcast a stored table, if its counted rows are few enough."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def _lines(docs: DataFrame, min_chars: int, skip: DataFrame | None = None) -> DataFrame:
     """Lines that take part, by address, without those that ``skip`` (key, text_hash, lines) names."""
     rows = docs.select("key", "text", F.xxhash64("text").alias("text_hash"))
     if skip is not None:
-        rows = rows.join(_small(skip), ["key", "text_hash"], "left")
+        rows = rows.join(broadcast_if_small(skip, F.size("lines")), ["key", "text_hash"], "left")
     lines = rows.select("*", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     if skip is not None:
         lines = lines.where(~F.coalesce(F.array_contains("lines", F.col("line_no")), F.lit(False)))
@@ -51,7 +45,7 @@ def exact_repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     address = F.struct(*_ADDRESS)
     groups = hashed.groupBy("h1", "h2").agg(F.min(address).alias("first"), F.count(F.lit(1)).alias("n"))
     groups = materialize(groups.where("n > 1").select("h1", "h2", "first"), "line-groups")
-    later = hashed.join(_small(groups), ["h1", "h2"]).where(address > F.col("first"))
+    later = hashed.join(broadcast_if_small(groups), ["h1", "h2"]).where(address > F.col("first"))
     return materialize(later.groupBy("key", "text_hash").agg(F.collect_set("line_no").alias("lines")), "line-repeats")
 
 
@@ -102,7 +96,7 @@ def near_repeats(docs: DataFrame, skip: DataFrame, threshold: int = THRESHOLD, m
     pairs = pairs.where("a.id <> b.id and (a.length < b.length or a.id < b.id)")
     pairs = materialize(pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "line-pairs")
     met = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-ids")
-    texts = materialize(lines.select("id", *_ADDRESS, "line").join(_small(met), "id", "left_semi"), "line-texts")
+    texts = materialize(lines.select("id", *_ADDRESS, "line").join(broadcast_if_small(met), "id", "left_semi"), "line-texts")
 
     def side(name: str) -> DataFrame:
         return texts.select(F.col("id").alias(name), F.struct(*_ADDRESS).alias(f"at_{name}"), F.col("line").alias(f"line_{name}"))
@@ -136,7 +130,7 @@ def repeated_lines(
 def without_lines(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the lines that ``found`` names taken out of the text, and ``removed``, their number."""
     marks = found.select(F.col(key).alias("__key"), F.col("text_hash").alias("__hash"), F.col("lines").alias("__lines"))
-    joined = docs.join(_small(marks), (F.col(key) == F.col("__key")) & (F.xxhash64(F.col(text)) == F.col("__hash")), "left")
+    joined = docs.join(broadcast_if_small(marks, F.size("__lines")), (F.col(key) == F.col("__key")) & (F.xxhash64(F.col(text)) == F.col("__hash")), "left")
     numbered = F.filter(F.split(F.col(text), "\n"), lambda line, i: ~F.array_contains("__lines", i))
     removed = F.coalesce(F.size("__lines"), F.lit(0))
     kept = F.when(F.col("__lines").isNull(), F.col(text)).otherwise(F.array_join(numbered, "\n"))
