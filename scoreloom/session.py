@@ -87,5 +87,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     target = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(target)
+    df.write.option("compression", "zstd").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
