@@ -8,6 +8,7 @@ their own. Joining the two gives back the records byte by byte.
 
 from __future__ import annotations
 
+import gzip
 import uuid
 from dataclasses import dataclass
 
@@ -24,6 +25,7 @@ REVISIT_FROM = 1000
 #: Records of a file; a file is read back as a whole.
 FILE_RECORDS = 4096
 _ID = "urn:page:"
+GZIP = b"\x1f\x8b"
 
 
 def plan_records(pages: DataFrame, key: str, url: str, html: str, revisit_from: int = REVISIT_FROM) -> DataFrame:
@@ -81,7 +83,7 @@ def write_warc(
     revisit_from: int = REVISIT_FROM,
     file_records: int = FILE_RECORDS,
 ) -> None:
-    """Write a record per row into files under ``folder``.
+    """Write a record per row into gzip files under ``folder``.
 
     A null text is an empty payload, a null url gives a record without target address, line breaks in
     a url are percent-encoded, and a null key is written as ``null``. An empty table writes no
@@ -89,7 +91,8 @@ def write_warc(
     """
     records = plan_records(pages, key, url, html, revisit_from).select(record_text(date).alias("value"))
     # the writer closes each row with this separator: the end of a record
-    records.write.option("lineSep", END).option("maxRecordsPerFile", file_records).text(folder)
+    writer = records.write.option("lineSep", END).option("maxRecordsPerFile", file_records)
+    writer.option("compression", "gzip").text(folder)
 
 
 def _headers(text: str) -> dict[str, str]:
@@ -102,6 +105,8 @@ def _parse(batches):
     for batch in batches:
         for content in batch.column("content"):
             data, at = content.as_buffer().to_pybytes(), 0
+            if data[:2] == GZIP:
+                data = gzip.decompress(data)
             rows: dict[str, list] = {n: [] for n in ("record_id", "record_type", "refers_to", "digest", "header", "payload")}
             while at < len(data):
                 stop = data.index(end, at) + len(end)
@@ -130,7 +135,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """The records under ``folder``: record_id, record_type, refers_to, digest, header, payload.
 
     ``header`` has the exact bytes of the WARC and HTTP headers; ``payload`` is null on revisits.
-    A record cut short or with a wrong length is an error.
+    Plain and gzip files are read alike. A record cut short or with a wrong length is an error.
     """
     files = spark.read.format("binaryFile").load(folder).select("content")
     return files.mapInArrow(
