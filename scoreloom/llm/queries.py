@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import byte_bpe, jaccard, language_id, line_dedup, packing, token_counts, topk, url_filters, warc
+from scoreloom.llm import ann, byte_bpe, jaccard, language_id, line_dedup, packing, token_counts, topk, url_filters, warc
 from scoreloom.llm.common import prepare
 from scoreloom.plans.catalog import Entry, table
 
@@ -197,3 +197,8 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = counted.select("*", total.alias("n_tokens"), tidying_edits(F.col("text")).alias("edits"))
     after = token_counts.apply_edits(before, vocabulary)
     return after.select("doc_id", "n_tokens", total.alias("n_tokens_edited"), "encoded_chars", F.length("text").alias("n_chars_edited"))
+
+
+@query()
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
