@@ -22,8 +22,10 @@ from scoreloom.llm.vectors import in_blocks, usable
 from scoreloom.session import materialize
 
 BLOCK, QUERY_BLOCK = 4096, 256
-#: Segments of a component; rounds of segments between two bounds; possible rows that end the search.
-SEGMENTS, ROUND, POSSIBLE = 16, 96, 256
+#: Segments of a component; possible rows that end the search.
+SEGMENTS, POSSIBLE = 8, 256
+#: Bounds are compared when these shares of a block's postings have been taken.
+SHARES = (0.25, 0.5, 0.65, 0.75, 0.85, 0.95, 1.0)
 #: Whole numbers up to this are exact as doubles.
 EXACT = 1 << 53
 
@@ -35,6 +37,7 @@ class BlockIndex:
     keys: np.ndarray
     values: np.ndarray
     order: np.ndarray
+    ordered: np.ndarray
     starts: np.ndarray
 
     @classmethod
@@ -45,7 +48,7 @@ class BlockIndex:
             column = values[rows, component]
             edges = np.linspace(column[0], column[-1], SEGMENTS + 1)[1:-1]
             starts.append([0, *np.searchsorted(column, edges).tolist(), len(rows)])
-        return cls(keys, values, order, np.asarray(starts, np.int32))
+        return cls(keys, values, order, np.take_along_axis(values.T, order, 1), np.asarray(starts, np.int32))
 
     def fields(self) -> dict:
         parts = {"keys": self.keys.astype("<i8"), "values": self.values.astype("<f8"), "order": self.order, "starts": self.starts}
@@ -57,7 +60,8 @@ class BlockIndex:
         values = np.frombuffer(row["values"], "<f8").reshape(len(keys), -1)
         width = values.shape[1]
         order = np.frombuffer(row["order"], np.int32).reshape(width, len(keys))
-        return cls(keys, values, order, np.frombuffer(row["starts"], np.int32).reshape(width, SEGMENTS + 1))
+        starts = np.frombuffer(row["starts"], np.int32).reshape(width, SEGMENTS + 1)
+        return cls(keys, values, order, np.take_along_axis(values.T, order, 1), starts)
 
     def possible(self, query: np.ndarray, own: int, k: int) -> np.ndarray:
         """Rows that may be among the ``k`` best of the block, ``own`` left out; proven to hold them all."""
@@ -65,34 +69,33 @@ class BlockIndex:
         others = np.flatnonzero(self.keys != own)
         if len(others) <= max(k, POSSIBLE):
             return others
-        component = np.arange(width)
-        # least and greatest of each segment of each component, as impact of this query
-        first = np.minimum(self.starts[:, :-1], rows - 1)
-        last = np.maximum(self.starts[:, 1:] - 1, 0)
-        low = self.values[self.order[component[:, None], first], component[:, None]] * query[:, None]
-        high = self.values[self.order[component[:, None], last], component[:, None]] * query[:, None]
-        most = np.maximum(low, high)
-        floor = np.minimum(low, high)
-        filled = self.starts[:, 1:] > self.starts[:, :-1]
-        base = np.where(filled, floor, np.inf).min(1)
-        gain = np.where(filled, most - base[:, None], -1.0)
-        ranked = np.argsort(-gain, axis=None, kind="stable")
-        ranked = ranked[gain.ravel()[ranked] >= 0]
-        found = np.zeros(rows)
-        unseen = np.ones((rows, width), np.float64)
-        for at in range(0, len(ranked), ROUND):
-            for segment in ranked[at : at + ROUND].tolist():
-                c, s = divmod(segment, SEGMENTS)
-                members = self.order[c, self.starts[c, s] : self.starts[c, s + 1]]
-                found[members] += self.values[members, c] * query[c] - base[c]
-                unseen[members, c] = 0.0
+        component = np.arange(width)[:, None]
+        # the ends of each segment of each component, as impact of this query
+        low = self.ordered[component, np.minimum(self.starts[:, :-1], rows - 1)] * query[:, None]
+        high = self.ordered[component, np.maximum(self.starts[:, 1:] - 1, 0)] * query[:, None]
+        sizes = self.starts[:, 1:] - self.starts[:, :-1]
+        base = np.where(sizes > 0, np.minimum(low, high), np.inf).min(1)
+        gain = np.where(sizes > 0, np.maximum(low, high) - base[:, None], -1.0).ravel()
+        ranked = np.argsort(-gain, kind="stable")[: np.count_nonzero(sizes)]
+        taken = np.cumsum(sizes.ravel()[ranked])
+        found, unseen, at = np.zeros(rows), np.ones(rows * width), 0
+        for stop in np.searchsorted(taken, np.asarray(SHARES) * taken[-1]) + 1:
+            segments = ranked[at:stop]
+            at = max(at, int(stop))
+            if len(segments):
+                owner, inside = np.divmod(segments, SEGMENTS)
+                begin, size = self.starts[owner, inside], self.starts[owner, inside + 1] - self.starts[owner, inside]
+                # where each posting of the round lies in the rows of ``order``
+                place = np.repeat(owner * rows + begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+                owner, members = np.repeat(owner, size), self.order.ravel()[place]
+                found += np.bincount(members, self.ordered.ravel()[place] * query[owner] - base[owner], rows)
+                unseen[members * width + owner] = 0.0
             rest = np.zeros(width)
-            ahead = ranked[at + ROUND :]
-            np.maximum.at(rest, ahead // SEGMENTS, gain.ravel()[ahead])
+            np.maximum.at(rest, ranked[at:] // SEGMENTS, gain[ranked[at:]])
             proven = np.partition(found[others], -k)[-k]
-            left = others[(found + unseen @ rest)[others] >= proven]
+            left = others[(found + unseen.reshape(rows, width) @ rest)[others] >= proven]
             if len(left) <= max(k, POSSIBLE):
-                return left
+                break
         return left
 
     def best(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
