@@ -20,6 +20,7 @@ class ParsedRun:
     """Frames over one stored extraction."""
 
     outcomes: DataFrame
+    stored: bool = True
 
     @property
     def results(self) -> DataFrame:
@@ -52,7 +53,7 @@ class ParsedRun:
     def write_report(self, output_dir: str, **options) -> str:
         from scoreloom.sources.report import write_report
 
-        return write_report(self.outcomes, output_dir, **options)
+        return write_report(self.outcomes, output_dir, **{"stored": self.stored} | options)
 
 
 def parse_documents(
@@ -75,10 +76,13 @@ def parse_documents(
     outcomes = X.extract(docs, registry=registry, adapters=adapters, metrics=metrics)
     if on_bad == "fail":
         outcomes = X.fail_on_rejects(outcomes)
-    return ParsedRun(materialize(outcomes, "outcomes") if store else outcomes)
+    return ParsedRun(materialize(outcomes, "outcomes") if store else outcomes, store)
 
 
-def parse(spark: SparkSession, directories: Sequence[str], **options) -> ParsedRun:
-    """Scan the directories and extract what is found."""
+def parse(spark: SparkSession, directories: Sequence[str], *, leftovers: bool = True, **options) -> ParsedRun:
+    """Scan the directories and extract what is found.
+
+    ``leftovers=False`` passes over hidden and empty files, as Spark's own sources do.
+    """
     ensure_conf(spark)
-    return parse_documents(scan_documents(spark, directories), **options)
+    return parse_documents(scan_documents(spark, directories, leftovers=leftovers), **options)

@@ -240,7 +240,7 @@ def run_list_ordered(spark, sf_dir):
     )
     content = synth.lm_eval_content(results, model=synth.event_model(F.col("user_id")))
     docs = synth.documents(work_table(spark, sf_dir, "events"), synth.file_path(F.col("event_id")), content)
-    found = X.results(X.extract(docs))
+    found = X.results(materialize(X.extract(docs), "outcomes"))
     runs, firsts = G.runs(found), G.first_run(found).select(*G.GROUP, "first_seen")
     return runs.join(firsts, G.same_group(runs, firsts)).select(
         runs["task_name"],
@@ -279,7 +279,7 @@ union all select distinct 'task', task_name, null::bigint from runs
 union all select distinct 'model', model_name, null from runs"""
 )
 def report_metadata(spark, sf_dir):
-    outcomes = X.extract(synth.event_documents(scored_events(spark, sf_dir)))
+    outcomes = materialize(X.extract(synth.event_documents(scored_events(spark, sf_dir))), "outcomes")
     totals = G.totals(outcomes).select(
         F.inline(
             F.array(
@@ -530,7 +530,7 @@ def harness_roundtrip(spark, sf_dir):
 )
 def scan_files(spark, sf_dir):
     """Documents written as files, found again by the directory scan."""
-    root = f"{shared_dir(spark)}/files-{uuid.uuid4().hex}".removeprefix("file:")
+    root = f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
     docs = harness_documents(_language_scores(spark, sf_dir))
     stem = F.regexp_replace(F.regexp_extract("path", "^results/(.*)_1_seed", 1), "[^A-Za-z0-9]", "_")
     write_documents(docs.withColumn("path", F.concat(F.lit("results/"), stem, F.lit("_1_seed_1234.json"))), root)
@@ -548,8 +548,6 @@ def incremental_ingest(spark, sf_dir):
     """A stream of documents, stored batch by batch, aggregated from the table."""
     schema = table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    # the table is a single file; a folder of documents comes in many pieces
-    stream = stream.repartition(spark.sparkContext.defaultParallelism)
     stream = stream.withColumn("value", F.col("value") / SCALE)
     work = f"{shared_dir(spark)}/ingest-{uuid.uuid4().hex}"
     ingest(synth.event_documents(stream), f"{work}/table", f"{work}/state").awaitTermination()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.session import ship_with_tasks
-from scoreloom.sources.scan import _open, _rooted
+from scoreloom.sources.scan import _open, listable, qualified
 
 ship_with_tasks(__name__)
 
@@ -21,7 +21,9 @@ def harness_documents(scores: DataFrame, harness: str = "lm_eval") -> DataFrame:
     task_name, metric, value, stderr)``.
 
     ``params`` is a map of strings to doubles. A run has one row per task and metric, so
-    the maps built here are as small as the run's task list.
+    the maps built here are as small as the run's task list. Of rows that repeat task and metric
+    the greatest value and the greatest standard error count. A run without any value has no
+    results. NaN and infinities are written bare, as the harnesses do.
     """
     inside = harness == "lm_eval"
     # one shuffle serves the three groupings and the join below
@@ -34,6 +36,8 @@ def harness_documents(scores: DataFrame, harness: str = "lm_eval") -> DataFrame:
     per_task = (
         scores.select(*RUN_COLUMNS[:1], "task_name", F.inline(entries))
         .where(F.col("value").isNotNull())
+        .groupBy("path", "task_name", "key")
+        .agg(F.max("value").alias("value"))
         .groupBy("path", "task_name")
         .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "value")))).alias("_members"))
     )
@@ -46,10 +50,16 @@ def harness_documents(scores: DataFrame, harness: str = "lm_eval") -> DataFrame:
         F.max("duration").alias("duration"),
         F.max(F.to_json("params")).alias("_params"),
     )
-    results = F.transform_values("_tasks", lambda _, m: F.map_from_entries(m))
+    results = F.transform_values(
+        F.coalesce("_tasks", F.create_map().cast(per_run.schema["_tasks"].dataType)), lambda _, m: F.map_from_entries(m)
+    )
     params = F.from_json("_params", "map<string,double>")
-    joined = per_run.join(heads, "path")
-    return joined.select("path", F.to_json(_layout(harness, results, params)).alias("content"))
+    joined = heads.join(per_run, "path", "left")
+    # in the results only numbers follow a colon in quotes: those that JSON cannot write
+    numbers = F.regexp_replace(F.to_json(F.struct(results.alias("results"))), ':"(NaN|-?Infinity)"', ":$1")
+    rest = F.to_json(_layout(harness, params))
+    content = F.concat(F.regexp_replace(numbers, r"\}$", ","), F.substring(rest, 2, F.length(rest)))
+    return joined.select("path", content.alias("content"))
 
 
 def _stderr_key(metric: Column, inside: bool) -> Column:
@@ -60,10 +70,10 @@ def _stderr_key(metric: Column, inside: bool) -> Column:
     return F.when(metric.contains(","), F.regexp_replace(metric, "^([^,]*),", "$1_stderr,")).otherwise(appended)
 
 
-def _layout(harness: str, results: Column, params: Column) -> Column:
+def _layout(harness: str, params: Column) -> Column:
+    """All but the results."""
     if harness == "lm_eval":
         return F.struct(
-            results.alias("results"),
             F.create_map().cast("map<string,string>").alias("configs"),
             F.struct(params.alias("gen_kwargs")).alias("config"),
             F.col("started").alias("date"),
@@ -78,7 +88,6 @@ def _layout(harness: str, results: Column, params: Column) -> Column:
                 F.col("model_name"),
                 F.struct(params.alias("generation_parameters")).alias("model_config"),
             ).alias("config_general"),
-            results.alias("results"),
         )
     raise ValueError(f"unknown harness: {harness}")
 
@@ -89,12 +98,15 @@ def write_documents(docs: DataFrame, directory: str) -> int:
     Spark's writers name their own files, so the tasks write these. A file is finished
     under another name and then moved, and a retried task writes the same file again.
     """
-    root = _rooted(directory)
+    spark = docs.sparkSession
+    root = listable(qualified(spark, directory))
+    if root.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("documents need a file system that all executors share")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                system, target, _ = _open(f"{root}/{path.lstrip('/')}")
+                system, target, _ = _open(f"{root.rstrip('/')}/{path.lstrip('/')}")
                 system.create_dir(target.rsplit("/", 1)[0], recursive=True)
                 with system.open_output_stream(f"{target}.part") as out:
                     out.write(content.encode())

@@ -28,35 +28,53 @@ def write_report(
     output_dir: str,
     *,
     stored: bool = True,
-    single_file_rows: int = 100_000,
+    layout: str = "file",
     now: datetime | None = None,
 ) -> str:
     """Write ``parsed_results_<UTC time>.json`` and return its path.
 
-    Up to ``single_file_rows`` runs it is one file. Beyond that it is a directory of
-    part files which, concatenated in name order, are the document; nothing is left out
-    either way. Pass ``stored=False`` for outcomes that are not backed by a table yet.
+    The lines are sorted in ranges and written by many tasks. ``layout="parts"`` leaves a directory of part
+    files which, concatenated in name order, are the document; ``"file"`` streams them, one
+    after the other, into one file of any size. Pass ``stored=False`` for outcomes that are not backed by a
+    table yet.
     """
+    if layout not in ("file", "parts"):
+        raise ValueError("layout must be 'file' or 'parts'")
     spark = outcomes.sparkSession
     if not stored:
         outcomes = materialize(outcomes, "outcomes")
     now = now or datetime.now(timezone.utc)
     target = f"{output_dir.rstrip('/')}/parsed_results_{now:%Y%m%d_%H%M%S}.json"
     lines = report_lines(outcomes, now)
-    count = G.totals(outcomes).first()["total_results_parsed"]
     fs, path = _hadoop(spark, target)
-    if count > single_file_rows:
-        lines.orderBy(*_POSITION).select("text").write.mode("overwrite").text(target)
+    fs.delete(path, True)  # a report of the same second is replaced
+    ordered = lines.orderBy(*_POSITION).select("text").write.mode("overwrite")
+    if layout == "parts":
+        ordered.text(target)
         return target
     work = f"{output_dir.rstrip('/')}/_report_{now:%Y%m%d_%H%M%S%f}"
-    lines.coalesce(1).sortWithinPartitions(*_POSITION).select("text").write.mode("overwrite").text(work)
-    part = fs.globStatus(_hadoop(spark, f"{work}/part-*")[1])[0].getPath()
-    fs.delete(path, True)  # a report of the same second is replaced
-    fs.rename(part, path)
+    ordered.text(work)
+    _concatenate(spark, work, target)
     fs.delete(_hadoop(spark, work)[1], True)
     return target
 
 
+def _concatenate(spark, parts_dir: str, target: str) -> None:
+    """Copy part files in name order into one file, a buffer at a time."""
+    fs, path = _hadoop(spark, target)
+    parts = sorted(s.getPath().toString() for s in fs.globStatus(_hadoop(spark, f"{parts_dir}/part-*")[1]))
+    out = fs.create(path, True)
+    try:
+        for part in parts:
+            source = fs.open(_hadoop(spark, part)[1])
+            try:
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+            finally:
+                source.close()
+    finally:
+        out.close()
+
+
 def _hadoop(spark, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -65,7 +83,7 @@ def _hadoop(spark, path: str):
 def report_lines(outcomes: DataFrame, now: datetime) -> DataFrame:
     """Lines of the report with their sort position."""
     results = X.results(outcomes)
-    groups = G.group_rows(results)
+    groups = materialize(G.group_rows(results), "report-groups")
     seen = groups.select(*G.GROUP, "first_seen")
     # the group that comes first goes without a comma
     ranked = groups.withColumn("first", groups.agg(F.min("first_seen")).scalar())
@@ -197,9 +215,9 @@ def _frame_lines(outcomes: DataFrame, results: DataFrame, now: datetime) -> Data
         F.struct(F.lit(6).alias("section"), F.lit("]}}").alias("line")),
     )
     frame = _lines(
-        G.totals(outcomes).select(F.inline(fixed)), F.col("section"), F.lit(0), F.col("line")
+        materialize(G.totals(outcomes), "report-totals").select(F.inline(fixed)), F.col("section"), F.lit(0), F.col("line")
     )
-    names = G.unique_names(results)
+    names = materialize(G.unique_names(results), "report-names")
     # two rows: the first task and the first model
     firsts = names.groupBy("kind").agg(F.min("name").alias("first"))
     listed = names.join(F.broadcast(firsts), "kind")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -10,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.functions.scalars import base_name, decoded_path
-from scoreloom.session import ship_with_tasks
+from scoreloom.session import materialize, ship_with_tasks
 
 ship_with_tasks(__name__)
 
@@ -57,9 +56,9 @@ def check_directory(spark: SparkSession, directory: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(directory)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path):
-        raise FileNotFoundError(f"Directory not found: {directory}")
+        raise FileNotFoundError(f"nothing to scan at {directory}")
     if not fs.getFileStatus(path).isDirectory():
-        raise NotADirectoryError(f"Not a directory: {directory}")
+        raise NotADirectoryError(f"{directory} is a file, a folder is needed")
 
 
 def _no_glob(directory: str) -> str:
@@ -67,30 +66,42 @@ def _no_glob(directory: str) -> str:
     return "".join("\\" + c if c in "{}[]*?\\" else c for c in directory)
 
 
+def qualified(spark: SparkSession, directory: str) -> str:
+    """The address with the file system that Spark takes it to be on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+# Hadoop's schemes, and those under which the listing in tasks knows the same stores.
+_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def listable(uri: str) -> str:
+    """``uri`` itself, if tasks can list and write there."""
+    scheme = uri.partition(":")[0]
+    if scheme not in _SCHEMES:
+        raise ValueError(f"tasks cannot list {scheme}: addresses; scan with leftovers=False")
+    return uri
+
+
 def passed_over(spark: SparkSession, directories: Sequence[str]) -> DataFrame:
     """``(path, content)`` of hidden and of empty documents.
 
-    First one task per root lists one level, then the subdirectories found are spread
-    over the cluster and walked there, a directory at a time.
+    Directories are listed in tasks, level by level: what one level finds is spread over the cluster anew for
+    the next. Each level is a table in the shared folder.
     """
-    roots = spark.createDataFrame([(d, False) for d in dict.fromkeys(map(_rooted, directories))], "dir string, hidden boolean")
-    top = roots.repartition("dir").mapInPandas(_list_one_level, "dir string, hidden boolean, path string, content binary")
-    below = (
-        top.where(F.col("dir").isNotNull())
-        .select("dir", "hidden")
-        .distinct()
-        .repartition("dir")
-        .mapInPandas(_walk, "path string, content binary")
-    )
-    direct = top.where(F.col("path").isNotNull()).select("path", "content")
+    roots = dict.fromkeys(listable(qualified(spark, d)) for d in directories)
+    level = spark.createDataFrame([(d, False) for d in roots], "dir string, hidden boolean")
+    found = spark.createDataFrame([], "path string, content binary")
+    while True:
+        listed = level.repartition("dir").mapInPandas(_list_one_level, "dir string, hidden boolean, path string, content binary")
+        listed = materialize(listed, "listing")
+        found = found.unionByName(listed.where(F.col("path").isNotNull()).select("path", "content"))
+        level = listed.where(F.col("dir").isNotNull()).select("dir", "hidden").distinct()
+        if level.isEmpty():
+            break
     # overlapping roots meet the same file twice
-    return direct.unionByName(below).dropDuplicates(["path"]).select("path", F.col("content").cast("string").alias("content"))
-
-
-def _rooted(directory: str) -> str:
-    if directory.startswith("file:"):
-        directory = "/" + directory.removeprefix("file:").lstrip("/")
-    return directory.rstrip("/") if "://" in directory else os.path.abspath(directory)
+    return found.dropDuplicates(["path"]).select("path", F.col("content").cast("string").alias("content"))
 
 
 def _is_hidden(name: str, is_directory: bool) -> bool:
@@ -104,10 +115,11 @@ def _open(uri: str):
     """File system, path in it, and the prefix that turns such paths into URIs again."""
     from pyarrow import fs
 
-    if "://" not in uri:
-        return fs.LocalFileSystem(), uri, ""
-    system, path = fs.FileSystem.from_uri(uri)
-    return system, path, uri[: len(uri) - len(path)]
+    if uri.startswith(("/", "file:")):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/"), ""
+    scheme, _, rest = uri.partition(":")
+    system, path = fs.FileSystem.from_uri(f"{_SCHEMES[scheme]}:{rest}")
+    return system, path, uri[: len(uri) - len(path.rstrip("/"))] if path else uri
 
 
 def _entries(uri: str, hidden: bool):
@@ -127,20 +139,19 @@ def _entries(uri: str, hidden: bool):
                     yield None, concealed, prefix + info.path, stream.read()
 
 
+#: Bytes of content held before a batch of rows goes out.
+_HELD = 8 << 20
+
+
 def _list_one_level(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["dir", "hidden", "path", "content"]
     for batch in batches:
+        rows, size = [], 0
         for uri, hidden in batch.itertuples(index=False):
             for row in _entries(uri, hidden):
-                yield pd.DataFrame([row], columns=["dir", "hidden", "path", "content"])
-
-
-def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        pending = list(batch.itertuples(index=False, name=None))
-        while pending:
-            uri, hidden = pending.pop()
-            for subdirectory, concealed, path, content in _entries(uri, hidden):
-                if subdirectory is not None:
-                    pending.append((subdirectory, concealed))
-                else:
-                    yield pd.DataFrame([(path, content)], columns=["path", "content"])
+                rows.append(row)
+                size += 200 + len(row[3] or b"")
+                if size > _HELD:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, size = [], 0
+        yield pd.DataFrame(rows, columns=columns).astype({"hidden": "bool"})

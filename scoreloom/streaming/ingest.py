@@ -17,7 +17,10 @@ from scoreloom.sources.scan import SUFFIX, _no_glob, check_directory
 
 
 def document_stream(spark: SparkSession, directory: str, *, max_files: int | None = None) -> DataFrame:
-    """New ``*.json`` files below a directory as ``(path, source_filename, content)``."""
+    """New ``*.json`` files below a directory as ``(path, source_filename, content)``.
+
+    Hidden and empty files do not show up in a stream: a batch scan with ``leftovers=False`` sees the same files.
+    """
     check_directory(spark, directory)
     reader = (
         spark.readStream.format("text")
@@ -62,5 +65,9 @@ def ingest(
 
 
 def stored_outcomes(spark: SparkSession, table: str) -> DataFrame:
-    """All outcomes ingested so far; aggregates are computed from here."""
-    return spark.read.parquet(table).drop("batch_id")
+    """All outcomes ingested so far; aggregates are computed from here. None if no batch has come yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.read.parquet(table).drop("batch_id")
+    none = spark.createDataFrame([], "path string, source_filename string, content string")
+    return extract(none)

@@ -134,7 +134,7 @@ def test_report_in_parts(spark, tmp_path):
     for name, text in RUNS.items():
         put(tmp_path / "in" / name, text)
     run = parse(spark, [str(tmp_path / "in")])
-    target = run.write_report(str(tmp_path / "out"), now=NOW, single_file_rows=1)
+    target = run.write_report(str(tmp_path / "out"), now=NOW, layout="parts")
     parts = sorted(p for p in os.listdir(target) if p.startswith("part-"))
     expected_report(json.loads("".join(open(os.path.join(target, p)).read() for p in parts)))
 
@@ -223,3 +223,59 @@ def test_ingestion_picks_up_only_new_files(spark, tmp_path):
     assert stored.count() == 4
     stats = G.group_stats(G.metrics_long(X.results(stored))).collect()
     assert [(r.n, round(r.value_mean, 6), round(r.value_std, 6)) for r in stats] == [(3, 0.3, 0.2)]
+
+
+def test_addresses_are_qualified_and_checked(spark, tmp_path):
+    from scoreloom.sources import scan
+
+    assert scan.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    assert scan.listable("s3a://bucket/x") == "s3a://bucket/x"
+    with pytest.raises(ValueError, match="leftovers=False"):
+        scan.listable("dbfs:/x")
+    (tmp_path / ".hidden.json").write_text(doc())
+    put(tmp_path / "a.json", doc())
+    assert parse(spark, [f"file://{tmp_path}"], leftovers=False).totals.first().total_files_parsed == 1
+    assert parse(spark, [f"file:{tmp_path}"]).totals.first().total_files_parsed == 2
+
+
+def test_report_of_a_run_that_is_not_stored(spark, tmp_path):
+    put(tmp_path / "in" / "a.json", doc())
+    run = parse(spark, [str(tmp_path / "in")], store=False)
+    assert not run.stored
+    report = json.loads(open(run.write_report(str(tmp_path / "out"), now=NOW)).read())
+    assert report["metadata"]["total_results_parsed"] == 1
+
+
+def test_ingestion_of_an_empty_folder(spark, tmp_path):
+    from scoreloom.streaming.ingest import document_stream, ingest, stored_outcomes
+
+    (tmp_path / "in").mkdir()
+    table = str(tmp_path / "table")
+    for expected in (0, 1, 2):
+        if expected:
+            put(tmp_path / "in" / f"{expected}.json", doc())
+        ingest(document_stream(spark, str(tmp_path / "in")), table, str(tmp_path / "state")).awaitTermination()
+        assert stored_outcomes(spark, table).count() == expected
+
+
+@pytest.mark.parametrize("harness", ["lm_eval", "lighteval"])
+def test_hostile_scores_to_documents_and_back(spark, harness):
+    from scoreloom.operators.extract import extract
+    from scoreloom.sources.harness import harness_documents
+    from scoreloom.sources.scan import documents_from_table
+
+    nan = float("nan")
+    rows = [
+        ("p1", "NaN", 1.7e9, 1.0, {"seed": 1.0}, "ifeval", KEY, nan, float("inf")),
+        ("p2", "m", 1.7e9, 1.0, {"seed": 1.0}, "ifeval", KEY, None, None),
+        ("p3", "m", 1.7e9, 1.0, {"seed": 1.0}, "ifeval", KEY, 0.25, 0.5),
+        ("p3", "m", 1.7e9, 1.0, {"seed": 1.0}, "ifeval", KEY, 0.5, None),
+    ]
+    kind = "path string, model_name string, started double, duration double, params map<string,double>, task_name string, metric string, value double, stderr double"
+    documents = harness_documents(spark.createDataFrame(rows, kind), harness)
+    got = {r.path: r for r in extract(documents_from_table(documents)).collect()}
+    assert {p: r.code for p, r in got.items()} == {"p1": None, "p2": None, "p3": None}
+    assert got["p1"].model_name == "NaN" and str(got["p1"].rows[0].metrics[0].value) == "nan"
+    assert got["p1"].rows[0].metrics[0].stderr == float("inf")
+    assert list(got["p2"].rows) == []
+    assert (got["p3"].rows[0].metrics[0].value, got["p3"].rows[0].metrics[0].stderr) == (0.5, 0.5)
