@@ -1,7 +1,7 @@
 """scoreloom: evaluation-result analytics on Spark DataFrames."""
 
 from scoreloom.operators.adapters import LIGHTEVAL, LM_EVAL, Adapter, ParamField
-from scoreloom.operators.extract import BadDocumentError, extract, rejects, results
+from scoreloom.operators.extract import extract, rejects, results
 from scoreloom.operators.grouping import group_stats, grouped, metrics_long
 from scoreloom.operators.registry import DEFAULT_REGISTRY
 from scoreloom.pipeline import parse
@@ -10,7 +10,6 @@ from scoreloom.sources.scan import documents_from_table, scan_documents
 
 __all__ = [
     "Adapter",
-    "BadDocumentError",
     "DEFAULT_REGISTRY",
     "LIGHTEVAL",
     "LM_EVAL",

@@ -75,12 +75,19 @@ def render_nested_params(outer: Column, name: str, inner: Column) -> Column:
     return F.concat_ws(",", render_params(outer), F.concat(F.lit(name + "={"), braced, F.lit("}")))
 
 
+def _last_of_each(entries: Column) -> Column:
+    """Map of ``(key, value)`` entries; the last of several with one key counts."""
+    keys = F.reverse(F.transform(entries, lambda e: e["key"]))
+    last = F.filter(entries, lambda e, i: i == F.size(entries) - F.array_position(keys, e["key"]))
+    return F.map_from_entries(last)
+
+
 def parse_params(text: Column) -> Column:
     """Map of the ``k=v`` pairs outside braces."""
     flat = F.trim(F.regexp_replace(text, r"(?:^|,)[A-Za-z_][\w.]*=\{[^}]*\}", ""))
     flat = F.regexp_replace(flat, "^,|,$", "")
     pairs = F.filter(F.split(flat, ","), lambda p: p.contains("="))
-    return F.map_from_entries(
+    return _last_of_each(
         F.transform(
             pairs,
             # only the first = separates, values such as think_end_token=</a=b> keep theirs
@@ -96,7 +103,7 @@ def parse_nested_params(text: Column, name: str) -> Column:
     """Map inside ``name={k:v,k:v}``; empty if the list is absent."""
     inner = F.regexp_extract(text, rf"(?:^|,){name}=\{{([^}}]*)\}}", 1)
     pairs = F.filter(F.split(inner, ","), lambda p: p.contains(":"))
-    return F.map_from_entries(
+    return _last_of_each(
         F.transform(
             pairs,
             lambda p: F.struct(

@@ -53,24 +53,16 @@ def quote_nonfinite(text: Column) -> Column:
     )
 
 
-# The parser takes no string above 20 million characters and no document above 128 MiB.
-LONG_TEXT = 16 * 1024 * 1024
+# Limits of the parser: characters of one string, and bytes of a document.
+MAX_STRING = 20_000_000
 MAX_DOCUMENT = 128 * 1024 * 1024
-_LONG_LITERAL = r'\G((?:[^"]++|"(?:[^"\\]|\\.){0,4096}+")*+)"(?:[^"\\]++|\\.)*+"'
 
 
-def repaired(text: Column) -> Column:
-    """Second form of a text the parser refused; NULL if there is nothing to repair.
-
-    Bare non-finite numbers are quoted. In very long documents string literals of more
-    than 4096 characters are emptied: transcripts and the like, as no name, number or
-    marker that is read has such a length.
-    """
-    quoted = quote_nonfinite(text)
-    return F.when(
-        F.octet_length(text) > LONG_TEXT,
-        F.regexp_replace(F.coalesce(quoted, text), _LONG_LITERAL, '$1""'),
-    ).otherwise(quoted)
+def has_long_string(text: Column) -> Column:
+    """Whether a string literal is longer than the parser takes; only to be asked of texts that it refused."""
+    unescaped = F.regexp_replace(text, r"\\.", "")
+    longest = F.array_max(F.transform(F.split(unescaped, '"'), F.length))
+    return F.when(F.octet_length(text) > MAX_STRING, longest > MAX_STRING).otherwise(False)
 
 
 def field(envelope: Column, *keys: str) -> Column:

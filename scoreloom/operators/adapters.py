@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from scoreloom.functions import variants as V
 
 
+# Fixed value: how the harnesses mark a standard error.
+STDERR_MARK = "_stderr"
+
+
 @dataclass(frozen=True)
 class ParamField:
     """One inference parameter: output name, key in the document, default if the key is absent."""
@@ -75,28 +79,28 @@ class Adapter:
         return broken | _any_not_object(doc, others) if others else broken
 
     def stderr_keys(self, metric: str) -> list[str]:
-        """Names under which the standard error of ``metric`` may be stored, best first."""
-        names = []
-        if self.stderr_inside:
-            names = [
-                f"{metric[:i]}_stderr{metric[i:]}" for i, char in enumerate(metric) if char == ","
-            ]
-        return [*names, f"{metric}_stderr"]
+        """Names under which the standard error of ``metric`` may be stored, best first.
+
+        The mark closes a leading run of the comma-separated parts: each shorter one in turn where
+        the harness does so, and at last the whole name.
+        """
+        parts = metric.split(",")
+        cuts = [*range(1, len(parts)), len(parts)] if self.stderr_inside else [len(parts)]
+        return [",".join([",".join(parts[:cut]) + STDERR_MARK, *parts[cut:]]) for cut in cuts]
 
     def stderr_key_array(self, metric: Column) -> Column:
         """``stderr_keys`` for metric names that are only known at run time."""
-        appended = F.array(F.concat(metric, F.lit("_stderr")))
+        whole = F.array(F.concat(metric, F.lit(STDERR_MARK)))
         if not self.stderr_inside:
-            return appended
-        commas = F.filter(
-            F.sequence(F.lit(1), F.length(metric)),
-            lambda i: F.substr(metric, i, F.lit(1)) == ",",
-        )
-        inserted = F.transform(
-            commas,
-            lambda i: F.concat(F.substr(metric, F.lit(1), i - 1), F.lit("_stderr"), F.substr(metric, i)),
+            return whole
+        parts = F.split(metric, ",")
+        marked = lambda cut: F.concat(
+            F.array_join(F.slice(parts, F.lit(1), cut), ","),
+            F.lit(STDERR_MARK + ","),
+            F.array_join(F.slice(parts, cut + 1, F.size(parts)), ","),
         )
-        return F.when(metric.contains(","), F.concat(inserted, appended)).otherwise(appended)
+        inside = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), marked)
+        return F.when(F.size(parts) > 1, F.concat(inside, whole)).otherwise(whole)
 
 
 def _any_not_object(doc: Column, paths: list[tuple[str, ...]]) -> Column:

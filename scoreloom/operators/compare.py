@@ -5,25 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
 def compare_models(stats: DataFrame, baseline: str) -> DataFrame:
     """Delta, recovery and z-score of every model against ``baseline``.
 
-    ``stats`` is ``group_stats`` output: the join runs on aggregated rows, one per
-    (task, metric) on the baseline side. The z-score divides by the root of the summed
+    ``stats`` is ``group_stats`` output: the window runs on aggregated rows, one per
+    model in each (task, metric). The z-score divides by the root of the summed
     squares of the two mean standard errors and is NULL where either is missing.
     """
-    base = stats.where(F.col("model_name") == baseline).select(
-        "task_name",
-        "metric",
-        F.col("value_mean").alias("baseline_mean"),
-        F.col("stderr_mean").alias("baseline_stderr"),
+    same = W.partitionBy("task_name", "metric")
+    of_base = lambda name: F.max(F.when(F.col("model_name") == baseline, F.col(name))).over(same)
+    stats = stats.select(
+        "*", of_base("value_mean").alias("baseline_mean"), of_base("stderr_mean").alias("baseline_stderr")
     )
     pooled = F.sqrt(F.pow("stderr_mean", F.lit(2)) + F.pow("baseline_stderr", F.lit(2)))
     delta = F.col("value_mean") - F.col("baseline_mean")
-    return stats.join(base, ["task_name", "metric"], "left").select(
+    return stats.select(
         "task_name",
         "model_name",
         "metric",

@@ -29,10 +29,6 @@ PARAMS_TYPES = {
 }
 
 
-class BadDocumentError(ValueError):
-    """Raised by ``on_bad='fail'``."""
-
-
 def extract(
     docs: DataFrame,
     *,
@@ -115,7 +111,7 @@ def _sealed() -> list[Column]:
 
 
 def _parse() -> list[list[Column | str]]:
-    """Strict parse; a failed text gets a second try in repaired form."""
+    """Strict parse; a failed text gets a second try with bare non-finite numbers quoted."""
     text = F.col("content")
     return [
         [
@@ -128,13 +124,16 @@ def _parse() -> list[list[Column | str]]:
         ],
         ["*", V.strict_envelope(text).alias("_first")],
         ["*", V.envelope_is_strict(F.col("_first"), text).alias("_strict")],
-        ["*", F.when(~F.col("_strict"), V.repaired(text)).alias("_fixed")],
+        ["*", F.when(~F.col("_strict"), V.quote_nonfinite(text)).alias("_fixed")],
         ["*", V.strict_envelope(F.col("_fixed")).alias("_second")],
         [
             "path",
             "source_filename",
             "_unreadable",
-            (F.octet_length(text) > V.MAX_DOCUMENT).alias("_too_large"),
+            F.when(F.octet_length(text) > V.MAX_DOCUMENT, "TOO_LARGE")
+            .when(~F.col("_strict") & V.has_long_string(text), "STRING_TOO_LONG")
+            .otherwise("MALFORMED_JSON")
+            .alias("_refused"),
             F.coalesce("_fixed", "content").alias("_text"),
             F.col("_fixed").isNotNull().alias("_quoted"),
             F.when(F.col("_strict"), F.col("_first"))
@@ -175,7 +174,7 @@ def _locate(
             header("model").alias("_model_raw"),
         ],
         [
-            "path", "source_filename", "framework", "_unreadable", "_too_large", "_quoted",
+            "path", "source_filename", "framework", "_unreadable", "_refused", "_quoted",
             doc.isNotNull().alias("_parsed"), "_has_results", "_params",
             "_started_raw", "_duration_raw", "_model_raw",
             _by_adapter(adapters, lambda a: a.broken_path(doc, F.col("_params"))).alias("_broken_path"),
@@ -189,7 +188,7 @@ def _typed(adapters: tuple[Adapter, ...]) -> list[Column | str]:
     quoted = F.col("_quoted")
     started, duration, model = F.col("_started_raw"), F.col("_duration_raw"), F.col("_model_raw")
     return [
-        "path", "source_filename", "framework", "_unreadable", "_too_large", "_parsed", "_has_results",
+        "path", "source_filename", "framework", "_unreadable", "_refused", "_parsed", "_has_results",
         "_broken_path", "_tasks",
         V.number(started, quoted).alias("_started"),
         _started_usable(started, quoted).alias("_started_ok"),
@@ -370,7 +369,7 @@ def _code() -> Column:
     tasks = F.col("_tasks")
     return (
         F.when(F.col("_unreadable").isNotNull(), F.col("_unreadable"))
-        .when(~F.col("_parsed"), F.when(F.col("_too_large"), "TOO_LARGE").otherwise("MALFORMED_JSON"))
+        .when(~F.col("_parsed"), F.col("_refused"))
         .when(F.col("framework").isNull(), "UNKNOWN_FORMAT")
         .when(F.col("_has_results") & tasks.isNull(), "BAD_RESULTS")
         # from here on only documents with something to report can fail
@@ -448,6 +447,5 @@ def rejects(outcomes: DataFrame) -> DataFrame:
 def fail_on_rejects(outcomes: DataFrame) -> DataFrame:
     """``outcomes`` unchanged, but the job fails at the first refused document."""
     message = F.concat(F.lit("refused document "), F.col("path"), F.lit(": "), F.col("code"))
-    return outcomes.withColumn(
-        "code", F.when(F.col("code").isNotNull(), F.raise_error(message).cast("string"))
-    )
+    # a filter, unlike a column, is never left out because nobody asks for it
+    return outcomes.where(F.when(F.col("code").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from threading import Thread
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -16,6 +17,33 @@ ship_with_tasks(__name__)
 Generator = Callable[[str], str]
 
 
+class RequestTimeout(TimeoutError):
+    """A call that took longer than it may."""
+
+
+def _within(fn: Generator, text: str | None, seconds: float | None) -> str:
+    """``fn(text)``, given up after so many seconds. The call itself cannot be stopped; its thread ends with it."""
+    if seconds is None:
+        return fn(text)
+    done: list[tuple[bool, object]] = []
+
+    def call() -> None:
+        try:
+            done.append((True, fn(text)))
+        except Exception as failure:  # noqa: BLE001 - raised again by the caller
+            done.append((False, failure))
+
+    thread = Thread(target=call, daemon=True)
+    thread.start()
+    thread.join(seconds)
+    if not done:
+        raise RequestTimeout(f"no answer within {seconds:g} s")
+    ok, value = done[0]
+    if not ok:
+        raise value
+    return value
+
+
 def generate(
     prompts: DataFrame,
     fn: Generator,
@@ -25,11 +53,12 @@ def generate(
     tasks: int | None = None,
     threads: int = 1,
     retries: int = 3,
+    timeout: float | None = None,
 ) -> DataFrame:
-    """``prompts`` with ``output``, ``error`` and ``attempts``.
+    """``prompts`` with ``output``, ``error`` and ``attempts``; all other columns pass untouched.
 
-    ``fn`` is called once per row and again up to ``retries`` times after an exception.
-    A row that still fails keeps its error and stays in the result. ``tasks`` x ``threads``
+    ``fn`` is called once per row and again up to ``retries`` times after an exception or after
+    ``timeout`` seconds. A row that still fails keeps its error and stays in the result. ``tasks`` x ``threads``
     bounds the open requests of a cluster; requests wait on a remote side, so a task may
     keep several open. Rows are spread by their key, which makes a retried task see the
     same rows.
@@ -43,24 +72,23 @@ def generate(
             T.StructField("attempts", T.IntegerType()),
         ]
     )
+    names = schema.names
 
     def attempt(text: str | None) -> tuple[str | None, str | None, int]:
         error = None
         for count in range(1, retries + 2):
             try:
-                return fn(text), None, count
+                return _within(fn, text, timeout), None, count
             except Exception as failure:  # noqa: BLE001 - kept as data
                 error = f"{type(failure).__name__}: {failure}"
         return None, error, retries + 1
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ThreadPoolExecutor(threads) as pool:
             for batch in batches:
-                answers = list(pool.map(attempt, batch[prompt]))
-                yield batch.assign(
-                    output=[a[0] for a in answers],
-                    error=[a[1] for a in answers],
-                    attempts=pd.Series([a[2] for a in answers], index=batch.index, dtype="int32"),
-                )
-
-    return spread.mapInPandas(run, schema)
+                answers = list(pool.map(attempt, batch.column(prompt).to_pylist()))
+                columns = zip(*answers, strict=True) if answers else ((), (), ())
+                added = [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int32()), strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
+
+    return spread.mapInArrow(run, schema)

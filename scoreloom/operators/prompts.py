@@ -10,7 +10,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 HEX_DIGITS = 4  # 65,536 hash ranges per pool
-SMALL_LIMIT = 10_000
 
 
 @dataclass(frozen=True)
@@ -31,14 +30,11 @@ def seeded_limit(df: DataFrame, key: str, seed: int, limit: float) -> DataFrame:
     """The sampling switch of the harnesses: a share below 1, otherwise a number of rows.
 
     A share is a filter on the hash and needs no shuffle; a number is the top of the
-    hash order. A large number is counted off in ranges, as a limit would pass all its
-    rows through one place.
+    hash order, counted off in ranges, as a limit would pass all its rows through one place.
     """
     hashed = seeded_hash(F.col(key), seed)
     if limit < 1:
         return df.where(_hash_number(hashed, 13) < F.lit(int(limit * 16**13)))
-    if limit <= SMALL_LIMIT:
-        return df.orderBy(hashed, key).limit(int(limit))
     return number_by_hash(df, key, seed).where(F.col("ordinal") < int(limit)).select(*df.columns)
 
 
@@ -70,12 +66,19 @@ def number_by_hash(df: DataFrame, key: str, seed: int, by: Sequence[str] = ()) -
     inside = W.partitionBy(*by, "_range").orderBy("_hash", key)
     return (
         hashed.withColumn("_row", F.row_number().over(inside))
-        .join(offsets, [*by, "_range"])
+        .transform(_join_null_safe, offsets, [*by, "_range"])
         .withColumn("ordinal", F.col("_before") + F.col("_row") - 1)
         .drop("_hash", "_range", "_before", "_row")
     )
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join in which a NULL meets a NULL; the columns of ``on`` come once."""
+    renamed = right.withColumnsRenamed({name: f"_right_{name}" for name in on})
+    same = [F.col(name).eqNullSafe(F.col(f"_right_{name}")) for name in on]
+    return left.join(renamed, same).drop(*(f"_right_{name}" for name in on))
+
+
 def choose_exemplars(
     items: DataFrame,
     pool: DataFrame,
@@ -97,7 +100,7 @@ def choose_exemplars(
     ring = number_by_hash(pool, pool_id, seed, by)
     keys = items.select(item_id, *by)
     if by:
-        placed = keys.join(ring.groupBy(*by).agg(F.max("pool_size").alias("_size")), by)
+        placed = _join_null_safe(keys, ring.groupBy(*by).agg(F.max("pool_size").alias("_size")), by)
     else:
         placed = keys.withColumn("_size", ring.agg(F.max("pool_size")).scalar())
     start = F.pmod(_hash_number(seeded_hash(F.col(item_id), seed + 1), 13), F.col("_size"))
@@ -112,7 +115,7 @@ def choose_exemplars(
         "_step",
         F.pmod(F.col("_start") + F.col("_step"), F.col("_size")).alias("ordinal"),
     )
-    met = wanted.join(ring.drop("pool_size"), [*by, "ordinal"]).where(
+    met = _join_null_safe(wanted, ring.drop("pool_size"), [*by, "ordinal"]).where(
         F.col("_item") != F.col(pool_id)
     )
     # at most shots + 1 rows per item

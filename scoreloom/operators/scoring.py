@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scoreloom.functions import stats
+from scoreloom.functions import variants as V
 
 INVALID = "[invalid]"
 
@@ -105,8 +106,9 @@ def bullets_exactly(text: Column, n: int) -> Column:
 
 
 def is_json(text: Column) -> Column:
+    """One JSON value and nothing else, a code fence around it aside."""
     body = F.regexp_replace(F.trim(text), r"^```(?:json)?\s*|\s*```$", "")
-    return F.try_parse_json(body).isNotNull()
+    return V.envelope_is_strict(V.strict_envelope(body), body)
 
 
 def instruction_accuracy(df: DataFrame, checks: Mapping[str, Column], by: Sequence[str]) -> DataFrame:
@@ -169,28 +171,34 @@ def code_pass_at_k(
 
 
 def length_bucket(length: Column, bounds: Sequence[int]) -> Column:
-    """Upper bound of the bucket ``(lower, upper]``; NULL outside all buckets."""
-    bucket = None
-    for lower, upper in zip(bounds, bounds[1:]):
-        inside = (length > lower) & (length <= upper)
-        bucket = F.when(inside, F.lit(upper)) if bucket is None else bucket.when(inside, F.lit(upper))
-    return bucket
+    """Number of the bucket: 0 up to the first bound, then ``(lower, upper]``, and one beyond the last bound.
+
+    NULL for an unknown length.
+    """
+    return F.when(length.isNotNull(), sum((length > bound).cast("int") for bound in bounds))
 
 
 def bucket_scores(
     df: DataFrame, length: str, score: str, bounds: Sequence[int], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Mean score per length bucket; rows outside all buckets are not scored."""
-    upper = length_bucket(F.col(length), bounds)
-    lower = F.create_map(*(F.lit(v) for pair in zip(bounds[1:], bounds) for v in pair))
-    return (
-        df.select(*by, upper.alias("upper"), F.col(score).cast("double").alias("_score"))
-        .where(F.col("upper").isNotNull())
-        .groupBy(*by, "upper")
+    """Mean score per length bucket. Every row is in one: the first bucket has no lower bound, the last no
+    upper bound, and rows of unknown length have a bucket without either."""
+    number = F.col("_bucket")
+    edges = F.array(F.lit(None).cast("bigint"), *map(F.lit, bounds), F.lit(None).cast("bigint"))
+    found = (
+        df.select(*by, length_bucket(F.col(length), bounds).alias("_bucket"), F.col(score).cast("double").alias("_score"))
+        .groupBy(*by, "_bucket")
         .agg(F.count("_score").alias("n"), F.avg("_score").alias("score"))
-        .withColumn("lower", lower[F.col("upper")])
-        .withColumn("metric", F.format_string("score_gt_%s_le_%s", _short(F.col("lower")), _short(F.col("upper"))))
+        .withColumns({"lower": F.get(edges, number), "upper": F.get(edges, number + 1)})
+    )
+    lower, upper = F.col("lower"), F.col("upper")
+    name = (
+        F.when(lower.isNotNull() & upper.isNotNull(), F.format_string("score_gt_%s_le_%s", _short(lower), _short(upper)))
+        .when(lower.isNotNull(), F.format_string("score_gt_%s", _short(lower)))
+        .when(upper.isNotNull(), F.format_string("score_le_%s", _short(upper)))
+        .otherwise("score_length_unknown")
     )
+    return found.drop("_bucket").withColumn("metric", name)
 
 
 def _short(bound: Column) -> Column:
@@ -204,12 +212,15 @@ def _short(bound: Column) -> Column:
 def length_auc(buckets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Area under score over log2(bucket upper bound), divided by the span.
 
-    Our own definition. A group has as many rows here as there are buckets.
+    Our own definition. The open bucket stands at twice its lower bound; the bucket without lower bound and unknown lengths
+    have no place. A group has as many rows here as there are buckets.
     """
     by = list(by)
-    x = F.log2("upper")
-    order = W.partitionBy(*(by or [F.lit(0)])).orderBy("upper")
-    steps = buckets.where(F.col("score").isNotNull()).select(
+    end = F.coalesce("upper", F.col("lower") * 2)
+    placed = buckets.where(F.col("score").isNotNull() & F.col("lower").isNotNull()).withColumn("_end", end)
+    x = F.log2("_end")
+    order = W.partitionBy(*(by or [F.lit(0)])).orderBy("_end")
+    steps = placed.select(
         *by,
         x.alias("x"),
         "score",

@@ -39,5 +39,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows take much work each: at least one piece per core."""
-    return spread(table(spark, sf_dir, name))
+    """A table whose rows take much work each, in as many pieces as ``spark.scoreloom.pieces`` asks for, if it is set."""
+    pieces = spark.conf.get("spark.scoreloom.pieces", None)
+    return spread(table(spark, sf_dir, name), int(pieces) if pieces else None)

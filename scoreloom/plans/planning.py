@@ -164,9 +164,10 @@ def model_comparison(spark, sf_dir):
 @query(
     RUNS_SQL
     + """select task_name, metric, round(avg(value) filter (model_name = 'm0'), 6) as m0,
-    round(avg(value) filter (model_name = 'm1'), 6) as m1, round(avg(value) filter (model_name = 'm2'), 6) as m2
+    round(avg(value) filter (model_name = 'm1'), 6) as m1, round(avg(value) filter (model_name = 'm2'), 6) as m2,
+    round(avg(value) filter (model_name = 'm3'), 6) as m3, round(avg(value) filter (model_name = 'm4'), 6) as m4
 from runs group by all"""
 )
 def model_wide(spark, sf_dir):
-    table_ = compare.wide(_scored(spark, sf_dir), ["m0", "m1", "m2"])
-    return table_.select("task_name", "metric", r6("m0"), r6("m1"), r6("m2"))
+    table_ = compare.wide(_scored(spark, sf_dir), [f"m{i}" for i in range(5)])
+    return table_.select("task_name", "metric", *(r6(f"m{i}") for i in range(5)))

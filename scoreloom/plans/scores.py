@@ -218,9 +218,10 @@ def codegen_pass_at_k(spark, sf_dir):
 BOUNDS = [0, 1024, 4096, 8192, 16384, 32768]
 BUCKETS_SQL = """with scored as (
     select lang, quality, case when n_chars <= 0 then null when n_chars <= 1024 then 1024 when n_chars <= 4096 then 4096
-        when n_chars <= 8192 then 8192 when n_chars <= 16384 then 16384 when n_chars <= 32768 then 32768 end as upper
+        when n_chars <= 8192 then 8192 when n_chars <= 16384 then 16384 when n_chars <= 32768 then 32768
+        else 65536 end as upper
     from documents left join labels using (doc_id)),
-buckets as (select lang, upper, count(quality) as n, avg(quality) as score from scored where upper is not null group by all)
+buckets as (select lang, upper, count(quality) as n, avg(quality) as score from scored group by all)
 """
 
 
@@ -231,9 +232,10 @@ def _scored_documents(spark, sf_dir):
 
 @query(
     BUCKETS_SQL
-    + """select lang, upper, n, round(score, 6) as score, case upper when 1024 then 'score_gt_0_le_1k'
-    when 4096 then 'score_gt_1k_le_4k' when 8192 then 'score_gt_4k_le_8k' when 16384 then 'score_gt_8k_le_16k'
-    else 'score_gt_16k_le_32k' end as metric from buckets"""
+    + """select lang, case when upper <= 32768 then upper end as upper, n, round(score, 6) as score,
+    case upper when 1024 then 'score_gt_0_le_1k' when 4096 then 'score_gt_1k_le_4k' when 8192 then 'score_gt_4k_le_8k'
+    when 16384 then 'score_gt_8k_le_16k' when 32768 then 'score_gt_16k_le_32k' when 65536 then 'score_gt_32k'
+    else 'score_le_0' end as metric from buckets"""
 )
 def length_buckets(spark, sf_dir):
     buckets = S.bucket_scores(_scored_documents(spark, sf_dir), "n_chars", "quality", BOUNDS, ["lang"])
@@ -243,7 +245,7 @@ def length_buckets(spark, sf_dir):
 @query(
     BUCKETS_SQL
     + """, steps as (select lang, log2(upper) as x, score, lag(log2(upper)) over w as x0, lag(score) over w as s0
-    from buckets where score is not null window w as (partition by lang order by upper))
+    from buckets where score is not null and upper is not null window w as (partition by lang order by upper))
 select lang, count(*) as n_buckets,
     round(sum((x - x0) * (score + s0) / 2) / sum(x - x0), 6) as length_auc from steps group by lang"""
 )

@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from scoreloom.operators.extract import BadDocumentError, extract, rejects, results  # noqa: F401
+from scoreloom.operators.extract import extract, rejects, results  # noqa: F401
 from scoreloom.operators import grouping as G
 
 IFEVAL, IFEVAL_KEY = "ifeval", "inst_level_strict_acc,none"
@@ -252,13 +252,19 @@ def test_nonfinite_values_are_kept(docs):
     assert math.isnan(value) and stderr == -math.inf
 
 
-def test_very_long_strings_are_no_obstacle(docs, spark):
-    head, tail = json.dumps(lm({IFEVAL_KEY: float("nan")}))[:-1] + ',"log":"', '"}'
-    frame = docs({"/g/a.json": head}).withColumn(
-        "content", F.concat("content", F.repeat(F.lit('x, NaN \\" '), 3_000_000), F.lit(tail))
-    )
-    row = results(extract(frame)).first()
-    assert math.isnan(row.metrics[IFEVAL_KEY].value)
+def test_long_documents_keep_every_string(docs):
+    name = "m" * 5000
+    small = lm({IFEVAL_KEY: float("nan")}) | {"model_name": name}
+    head, tail = json.dumps(small)[:-1] + ',"log":"', '"}'
+    long = docs({"/g/a.json": head}).withColumn("content", F.concat("content", F.repeat(F.lit('x, NaN \\" '), 1_800_000), F.lit(tail)))
+    row = results(extract(long)).first()
+    assert math.isnan(row.metrics[IFEVAL_KEY].value) and row.model_name == name
+
+
+def test_what_the_parser_does_not_take_has_its_own_code(docs):
+    head, tail = json.dumps(lm({IFEVAL_KEY: 0.5}))[:-1] + ',"log":"', '"}'
+    frame = docs({"/g/a.json": head}).withColumn("content", F.concat("content", F.repeat(F.lit("x, y "), 4_100_000), F.lit(tail)))
+    assert [r.code for r in extract(frame).select("code").collect()] == ["STRING_TOO_LONG"]
     wide = docs({"/g/b.json": '{"a":['}).withColumn(
         "content", F.concat("content", F.repeat(F.lit("12345678,"), 15_000_000), F.lit("1]}"))
     )
@@ -278,12 +284,16 @@ def test_auto_keeps_registry_metrics_of_registered_tasks(docs):
     assert metrics_of(row) == {IFEVAL_KEY: (1.0, None)}
 
 
-def test_fail_on_first_refused_document(docs):
+@pytest.mark.parametrize("frame", ["outcomes", "results", "runs", "grouped", "metrics_long", "totals", "unique_names", "rejects"])
+def test_fail_on_first_refused_document(docs, frame):
     from scoreloom.pipeline import parse_documents
 
-    run = parse_documents(docs({"/g/a.json": "x"}), on_bad="fail", store=False)
+    run = parse_documents(docs({"/g/a.json": "x", "/g/b.json": json.dumps(lm({IFEVAL_KEY: 0.5}))}), on_bad="fail", store=False)
     with pytest.raises(Exception, match="refused document /g/a.json: MALFORMED_JSON"):
-        run.outcomes.collect()
+        getattr(run, frame).collect()
+    with pytest.raises(Exception, match="refused document"):
+        parse_documents(docs({"/g/a.json": "x"}), on_bad="fail")
+
 
 
 def _groups(docs, contents):

@@ -192,8 +192,62 @@ def test_length_buckets_and_area(spark):
         1024: ("score_gt_0_le_1k", 1, 1.0),
         2048: ("score_gt_1k_le_2k", 2, 0.5),
         4096: ("score_gt_2k_le_4k", 1, 0.0),
+        None: ("score_gt_4k", 1, 9.0),
+        0: ("score_le_0", 1, 9.0),
     }
-    assert scoring.length_auc(buckets).first().length_auc == pytest.approx((0.75 + 0.25) / 2)
+    # the open bucket stands at 8192, one doubling on; the one below has no place
+    assert scoring.length_auc(buckets).first().length_auc == pytest.approx((0.75 + 0.25 + 4.5) / 3)
+
+
+def test_json_check_takes_one_value_and_nothing_else(spark):
+    texts = {'{"a":1}': True, '{"a":1} trailing': False, '{"a":1}{"b":2}': False, "```json\n[1]\n```": True, "": False, "[1": False}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.ok for r in df.select("t", scoring.is_json(F.col("t")).alias("ok")).collect()} == texts
+
+
+def test_exemplars_of_a_null_group(spark):
+    pool = spark.createDataFrame([(i, None if i % 2 else "x", f"t{i}") for i in range(100, 120)], "id long, g string, t string")
+    items = spark.createDataFrame([(1, None), (2, "x"), (3, "none")], "item long, g string")
+    rows = prompts.choose_exemplars(items, pool, item_id="item", pool_id="id", shots=3, seed=5, by=["g"]).collect()
+    assert sorted((r.for_item, r.id % 2) for r in rows) == [(1, 1)] * 3 + [(2, 0)] * 3
+
+
+def test_sampling_a_number_of_rows_at_any_size(spark):
+    df = spark.range(30_000)
+    want = [r.id for r in df.orderBy(prompts.seeded_hash(F.col("id"), 3), "id").limit(12_000).collect()]
+    for n in (5, 12_000):
+        assert {r.id for r in prompts.seeded_limit(df, "id", 3, n).collect()} == set(want[:n])
+
+
+def test_last_of_repeated_parameters_counts(spark):
+    from scoreloom.functions.scalars import parse_params
+
+    row = spark.range(1).select(parse_params(F.lit("a=1,b=x=y,a=2")).alias("m")).first()
+    assert row.m == {"a": "2", "b": "x=y"}
+
+
+def test_generation_leaves_other_columns_alone(spark):
+    from scoreloom.operators.generate import generate
+
+    def slow(text):
+        import time
+
+        time.sleep(3 if text == "slow" else 0)
+        return text.upper()
+
+    df = spark.createDataFrame([(9007199254740993, "a"), (None, "slow")], "big long, t string").coalesce(1)
+    rows = {r.t: r for r in generate(df, slow, key="t", prompt="t", retries=0, timeout=1.0).collect()}
+    assert (rows["a"].big, rows["a"].output) == (9007199254740993, "A")
+    assert rows["slow"].error.startswith("RequestTimeout") and rows["slow"].output is None
+
+
+def test_comparison_needs_no_second_pass(spark):
+    from scoreloom.operators.compare import compare_models
+
+    rows = [("t", "m0", "k", 0.5, 0.1), ("t", "m1", "k", 1.0, None), ("u", "m1", "k", 1.0, 0.1)]
+    stats = spark.createDataFrame(rows, "task_name string, model_name string, metric string, value_mean double, stderr_mean double")
+    got = {(r.task_name, r.model_name): (r.baseline_mean, r.delta, r.z_score) for r in compare_models(stats, "m0").collect()}
+    assert got == {("t", "m0"): (0.5, 0.0, 0.0), ("t", "m1"): (0.5, 0.5, None), ("u", "m1"): (None, None, None)}
 
 
 @settings(max_examples=15, deadline=None)
