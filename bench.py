@@ -55,6 +55,7 @@ def main() -> None:
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="12g",
+        spark__scoreloom__pieces=cpus,
         spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("OFF")

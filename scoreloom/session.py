@@ -59,24 +59,21 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="scoreloom-")
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Cut an input of fewer pieces than cores into one piece per core.
+def spread(df: DataFrame, pieces: int | None) -> DataFrame:
+    """``df`` in that many pieces; as it is without a number.
 
-    Parsing costs far more than moving a row, so a single small file should not end up
-    in a single task. Inputs with enough splits are left alone. Only for plain scans:
-    asking for the number of pieces of anything with a shuffle would run the shuffle.
+    For inputs of few splits whose rows take far more work than a move. The caller decides: on a cluster
+    the splits of the scan are enough.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    return df.repartition(pieces) if pieces else df
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
