@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from scoreloom.functions import scalars as S
 from scoreloom.functions import variants as V
 from scoreloom.operators.adapters import DEFAULT_ADAPTERS, Adapter
-from scoreloom.operators.registry import Registry, as_mapping
+from scoreloom.operators.registry import Registry, as_mapping, registry_frame, with_registry
 
 PARAMS_TYPES = {
     "do_sample": "boolean",
@@ -43,7 +43,10 @@ def extract(
     """
     if metrics not in ("registry", "auto"):
         raise ValueError("metrics must be 'registry' or 'auto'")
-    reported = tuple((task, tuple(keys)) for task, keys in as_mapping(registry).items())
+    known = as_mapping(registry)
+    if known is None:
+        docs = with_registry(docs, registry_frame(docs.sparkSession, registry))
+    reported = None if known is None else tuple((task, tuple(keys)) for task, keys in known.items())
     for columns in _stages(tuple(adapters), reported, metrics == "auto", _gateway()):
         docs = docs.select(*columns)
     return docs
@@ -56,16 +59,17 @@ def _gateway() -> int:
 
 @lru_cache(maxsize=32)
 def _stages(
-    adapters: tuple[Adapter, ...], reported: tuple[tuple[str, tuple[str, ...]], ...], auto: bool, gateway: int
+    adapters: tuple[Adapter, ...], reported: tuple[tuple[str, tuple[str, ...]], ...] | None, auto: bool, gateway: int
 ) -> list[list[Column | str]]:
     """The projections of an extraction, in order.
 
     They do not depend on the input, and composing some thousand expressions from
-    Python takes a second or two, so they are kept for the next call.
+    Python takes a second or two, so they are kept for the next call. ``reported`` is the registry, or
+    None if each document brings its part of it in a column of that name.
     """
     return [
-        *_parse(),
-        *_locate(adapters, dict(reported), auto),
+        *_parse([] if reported is not None else ["reported"]),
+        *_locate(adapters, None if reported is None else dict(reported), auto),
         _typed(adapters),
         ["*", _code().alias("code")],
         _finish(),
@@ -110,13 +114,14 @@ def _sealed() -> list[Column]:
     return [F.when(F.spark_partition_id() >= 0, F.col(name)).alias(name) for name in OUTCOME_COLUMNS]
 
 
-def _parse() -> list[list[Column | str]]:
+def _parse(kept: list[str]) -> list[list[Column | str]]:
     """Strict parse; a failed text gets a second try with bare non-finite numbers quoted."""
     text = F.col("content")
     return [
         [
             "path",
             "source_filename",
+            *kept,
             F.when(F.is_valid_utf8(text), text).alias("content"),
             F.when(F.octet_length(text) == 0, "EMPTY_FILE")
             .when(~F.is_valid_utf8(text), "INVALID_UTF8")
@@ -129,6 +134,7 @@ def _parse() -> list[list[Column | str]]:
         [
             "path",
             "source_filename",
+            *kept,
             "_unreadable",
             F.when(F.octet_length(text) > V.MAX_DOCUMENT, "TOO_LARGE")
             .when(~F.col("_strict") & V.has_long_string(text), "STRING_TOO_LONG")
@@ -154,7 +160,7 @@ def _by_adapter(adapters: Sequence[Adapter], build) -> Column:
 
 
 def _locate(
-    adapters: tuple[Adapter, ...], reported: dict[str, tuple[str, ...]], auto: bool
+    adapters: tuple[Adapter, ...], reported: dict[str, tuple[str, ...]] | None, auto: bool
 ) -> list[list[Column | str]]:
     """Classify the documents and pick the raw fields; the document is dropped here."""
     doc = F.col("_doc")
@@ -209,6 +215,8 @@ def _is_wanted(adapter: Adapter, name: Column, reported: dict[str, tuple[str, ..
         keep = ~F.array_contains(F.array(*map(F.lit, adapter.skip_tasks)), name)
     if auto:
         return keep
+    if reported is None:
+        return keep & F.map_contains_key("reported", name)
     if not reported:
         return F.lit(False)
     return keep & F.array_contains(F.array(*map(F.lit, sorted(reported))), name)
@@ -306,13 +314,13 @@ def _metrics(adapter, task_name, members, reported, auto, quoted) -> Column:
     """Measured metrics of one task."""
     registered = F.filter(
         F.transform(
-            F.try_element_at(_known(adapter, reported), task_name),
+            _specs(adapter, task_name, reported),
             lambda spec: _measure(
                 spec["metric"], F.try_element_at(members, spec["metric"]), spec["stderr_keys"], members, quoted
             ),
         ),
         lambda m: m["present"],
-    ) if reported else None
+    ) if reported is None or reported else None
     if not auto:
         return registered
     is_metric = lambda e: (
@@ -327,6 +335,16 @@ def _metrics(adapter, task_name, members, reported, auto, quoted) -> Column:
     return every if registered is None else F.coalesce(registered, every)
 
 
+def _specs(adapter: Adapter, task_name: Column, reported: dict[str, tuple[str, ...]] | None) -> Column:
+    """``array<struct<metric, stderr_keys>>`` of a task, NULL if it is not registered."""
+    if reported is not None:
+        return F.try_element_at(_known(adapter, reported), task_name)
+    return F.transform(
+        F.try_element_at("reported", task_name),
+        lambda key: F.struct(key.alias("metric"), adapter.stderr_key_array(key).alias("stderr_keys")),
+    )
+
+
 def _known(adapter: Adapter, reported: dict[str, tuple[str, ...]]) -> Column:
     """Constant ``map<task, array<struct<metric, stderr_keys>>>``."""
     pairs = []

@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from scoreloom.functions import variants as V
 
 # Task and metric names as the harnesses print them.
 DEFAULT_REGISTRY: dict[str, tuple[str, ...]] = {
@@ -19,7 +22,8 @@ DEFAULT_REGISTRY: dict[str, tuple[str, ...]] = {
     "mrcr": ("score_gt_16k_le_32k", "AUC"),
 }
 
-MAX_ENTRIES = 20_000
+#: Rows up to which a registry is a literal in the plan; a larger one is joined. Both report the same.
+LITERAL_ENTRIES = 1000
 
 REGISTRY_SCHEMA = "task_name string, metric_key string, ord int"
 
@@ -32,32 +36,43 @@ def registry_frame(spark: SparkSession, registry: Registry | None = None) -> Dat
         return registry
     rows = [
         (task, metric, i)
-        for task, metrics in as_mapping(registry).items()
+        for task, metrics in (DEFAULT_REGISTRY if registry is None else registry).items()
         for i, metric in enumerate(metrics)
     ]
     return spark.createDataFrame(rows, REGISTRY_SCHEMA)
 
 
-def as_mapping(registry: Registry | None) -> dict[str, tuple[str, ...]]:
-    """Registry as a dictionary that becomes a literal in the plan.
-
-    The registry is configuration, a few hundred rows at most in practice. Its size
-    is checked, because a literal is shipped with every task.
-    """
+def as_mapping(registry: Registry | None) -> dict[str, tuple[str, ...]] | None:
+    """Registry as a dictionary that becomes a literal in the plan; None if it is too large for one."""
     if registry is None:
         return dict(DEFAULT_REGISTRY)
     if isinstance(registry, DataFrame):
-        rows = registry.select("task_name", "metric_key", "ord").limit(MAX_ENTRIES + 1).collect()
-        if len(rows) > MAX_ENTRIES:
-            raise ValueError(
-                f"registry has more than {MAX_ENTRIES} rows; extract with metrics='auto' "
-                "and semi-join metrics_long with the registry instead"
-            )
+        rows = registry.select("task_name", "metric_key", "ord").limit(LITERAL_ENTRIES + 1).collect()
+        if len(rows) > LITERAL_ENTRIES:
+            return None
         found: dict[str, tuple[str, ...]] = {}
         for row in sorted(rows, key=lambda r: (r.task_name, r.ord)):
             found[row.task_name] = (*found.get(row.task_name, ()), row.metric_key)
         return found
-    return {task: tuple(metrics) for task, metrics in registry.items()}
+    found = {task: tuple(metrics) for task, metrics in registry.items()}
+    return found if sum(map(len, found.values())) <= LITERAL_ENTRIES else None
+
+
+def with_registry(docs: DataFrame, registry: DataFrame) -> DataFrame:
+    """``docs`` with ``reported``: for each of its own tasks that the registry has, the metrics in order.
+
+    Task names are exploded and joined with the registry, so no task holds it whole.
+    """
+    text = F.coalesce(V.quote_nonfinite(F.col("content")), F.col("content"))
+    names = F.json_object_keys(F.get_json_object(text, "$.results"))
+    asked = docs.select("path", F.explode(F.array_distinct(names)).alias("task_name"))
+    metrics = registry.groupBy("task_name").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("ord", "metric_key"))), lambda e: e["metric_key"]).alias("metrics")
+    )
+    found = asked.join(metrics, "task_name").distinct().groupBy("path")
+    found = found.agg(F.map_from_entries(F.collect_list(F.struct("task_name", "metrics"))).alias("reported"))
+    none = F.create_map().cast("map<string,array<string>>")
+    return docs.join(found, "path", "left").withColumn("reported", F.coalesce("reported", none))
 
 
 def keep_registered(metrics: DataFrame, registry: DataFrame) -> DataFrame:

@@ -365,6 +365,26 @@ def custom_registry(spark, sf_dir):
     return stats.select(*G.GROUP, "n", r6("value_mean"))
 
 
+@query("""with lines as (
+    select l_orderkey, l_linenumber, max(l_quantity) as q from lineitem group by all)
+select 'q' || l_linenumber as metric, count(*) as n, round(avg(q), 6) as value_mean
+from lines where l_linenumber % 2 = 1 group by l_linenumber""")
+def large_registry(spark, sf_dir):
+    """A registry with a row per order line of odd number, far too long for a literal; one document per order."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("q"))
+    lines = lines.withColumn("metric", F.concat(F.lit("q"), F.col("l_linenumber").cast("string")))
+    task = F.concat(F.lit("order_"), F.col("l_orderkey").cast("string"))
+    registry = lines.where("l_linenumber % 2 = 1").select(
+        task.alias("task_name"), F.col("metric").alias("metric_key"), F.col("l_linenumber").alias("ord")
+    )
+    orders = lines.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct("metric", "q"))).alias("members"))
+    docs = synth.documents(
+        orders, synth.file_path(F.col("l_orderkey")), synth.lm_eval_content(F.create_map(task, F.col("members")), model=F.lit("m"))
+    )
+    long = G.metrics_long(X.results(X.extract(docs, registry=registry)))
+    return long.groupBy("metric").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("value_mean"))
+
+
 THIRD_FORMAT = Adapter(
     name="ledger",
     required=("run", "results"),

@@ -352,3 +352,18 @@ def test_totals_count_files_without_rows(docs):
 def test_rejects(docs):
     rows = rejects(extract(docs({"/g/a.json": GOOD, "/g/b.json": "x"}))).collect()
     assert [(r.path, r.code) for r in rows] == [("/g/b.json", "MALFORMED_JSON")]
+
+
+def test_joined_registry_reports_the_same(docs, monkeypatch):
+    from scoreloom.operators import registry
+
+    contents = {
+        "/g/a.json": json.dumps(lm({IFEVAL_KEY: 0.5, "other": 1})), "/g/b.json": json.dumps(lm({IFEVAL_KEY: "x"})),
+        "/g/c.json": json.dumps(lm({IFEVAL_KEY: float("nan")})), "/g/d.json": "{", "/g/e.json": json.dumps(lm({"k": 1}, task="unknown")),
+        "/g/f.json": json.dumps(le({"acc": 0.5}, task="mrcr")), "/g/g.json": "",
+    }
+    columns = ("path", "code", "model_name", "rows")
+    literal = sorted(map(str, extract(docs(contents)).select(*columns).collect()))
+    monkeypatch.setattr(registry, "LITERAL_ENTRIES", 3)
+    joined = sorted(map(str, extract(docs(contents), registry=registry.DEFAULT_REGISTRY).select(*columns).collect()))
+    assert joined == literal

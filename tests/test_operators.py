@@ -314,6 +314,7 @@ def test_registry_forms(spark):
     frame = registry.registry_frame(spark)
     assert frame.count() == 10
     assert registry.as_mapping(frame) == registry.DEFAULT_REGISTRY
+    assert registry.as_mapping({f"t{i}": ("a",) for i in range(registry.LITERAL_ENTRIES + 1)}) is None
     assert registry.as_mapping(frame)["mrcr"] == ("score_gt_16k_le_32k", "AUC")
     metrics = spark.createDataFrame([("mrcr", "AUC", 1.0), ("mrcr", "x", 2.0)], "task_name string, metric string, value double")
     assert registry.keep_registered(metrics, frame).collect()[0].metric == "AUC"
