@@ -27,7 +27,12 @@ QUERIES = [
     "nonfinite_metrics",
     "grouped_report_rows",
     "report_line_counts",
+    "report_metadata",
+    "run_list_ordered",
+    "custom_registry",
+    "large_registry",
     "harness_roundtrip",
+    "scan_files",
     "incremental_ingest",
     "run_plan",
     "run_gaps",
@@ -40,6 +45,8 @@ QUERIES = [
     "pass_at_k",
     "codegen_pass_at_k",
     "length_auc",
+    "batch_generate",
+    "details_sink",
 ]
 
 

@@ -124,6 +124,34 @@ def generation_params(runs: DataFrame) -> DataFrame:
     )
 
 
+# What the harnesses are told besides the request settings.
+_CHAT_SETTINGS = {"tokenized_requests": "False", "tokenizer_backend": "None"}
+_THINKING = {"enable_thinking": "True", "think_end_token": "</think>"}
+_LIGHTEVAL_TASK = "%s@k=1@n=1|0"
+
+
+def model_args(runs: DataFrame) -> DataFrame:
+    """Adds ``model_args``, the string that names model and requests for one harness; NULL for the other.
+
+    ``max_length`` and the two keys of thinking models are left out where a run has none. Server addresses are
+    the caller's.
+    """
+    settings = REQUESTS["lm_eval"] | _CHAT_SETTINGS
+    order = ("num_concurrent", "max_retries", "tokenized_requests", "tokenizer_backend", "timeout")
+    pairs = [("model", F.col("model_name")), ("max_length", F.col("max_length").cast("string"))]
+    pairs += [(key, F.lit(settings[key])) for key in order]
+    thinks = F.col("think_budget").isNotNull()
+    pairs += [(key, F.when(thinks, value)) for key, value in _THINKING.items()]
+    packed = render_params(F.create_map(*(c for key, value in pairs for c in (F.lit(key), value))))
+    return runs.withColumn("model_args", F.when(F.col("harness") == "lm_eval", packed))
+
+
+def task_spec(runs: DataFrame) -> DataFrame:
+    """Adds ``task_spec``: the task as each harness is asked for it."""
+    spec = F.when(F.col("harness") == "lighteval", F.format_string(_LIGHTEVAL_TASK, "task_tag"))
+    return runs.withColumn("task_spec", spec.otherwise(F.col("task_tag")))
+
+
 def suite_rollup(stats: DataFrame, configs: DataFrame) -> DataFrame:
     """Mean over tasks per suite and model of per-metric group statistics.
 

@@ -51,6 +51,21 @@ def run_plan(spark, sf_dir):
     )
 
 
+@query("""select 'part_' || p_partkey as task_label,
+    case when p_partkey % 2 = 0 then 'model=' || p_brand || ',max_length=' || p_size * 256
+        || ',num_concurrent=128,max_retries=3,tokenized_requests=False,tokenizer_backend=None,timeout=1200'
+        || case when p_partkey % 4 = 0 then ',enable_thinking=True,think_end_token=</think>' else '' end end as model_args,
+    'tag' || p_size || case when p_partkey % 2 = 1 then '@k=1@n=1|0' else '' end as task_spec
+from part""")
+def harness_calls(spark, sf_dir):
+    """What each harness is told about model, requests and task."""
+    runs = _part_configs(spark, sf_dir).select(
+        "*", (F.col("max_gen_toks") * 2).alias("max_length"),
+        F.concat(F.lit("tag"), (F.col("max_gen_toks") / 128).cast("int").cast("string")).alias("task_tag"),
+    )
+    return runplan.task_spec(runplan.model_args(runs)).select("task_label", "model_args", "task_spec")
+
+
 @query("""select event_id, user_id as seed, event_type as kind, round(value, 6) as temperature,
     'x=' || event_id as tail, event_id as nested_seed, 'a' || user_id as nested_name
 from events""")
