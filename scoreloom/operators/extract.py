@@ -81,6 +81,7 @@ def _finish() -> list[Column]:
     kept = ("path", "source_filename", "framework", "code", "model_name")
     return [
         *(F.col(name).alias(name) for name in kept),
+        _detail().alias("detail"),
         F.when(F.col("_started_ok"), F.col("_started")).alias("evaluation_datetime"),
         S.epoch_iso(F.col("_started")).alias("evaluation_datetime_iso"),
         F.col("evaluation_duration_seconds"),
@@ -94,6 +95,7 @@ OUTCOME_COLUMNS = [
     "source_filename",
     "framework",
     "code",
+    "detail",
     "model_name",
     "evaluation_datetime",
     "evaluation_datetime_iso",
@@ -408,6 +410,31 @@ def _code() -> Column:
     )
 
 
+def _detail() -> Column:
+    """The task, or task and metric, for which a document is refused; NULL where the code says it all."""
+    bad = lambda m: m["value"].isNull() | m["bad_stderr"]
+    metrics = F.flatten(
+        F.transform(
+            "_tasks",
+            lambda t: F.transform(F.filter(t["metrics"], bad), lambda m: F.concat(t["task_name"], F.lit(": "), m["metric"])),
+        )
+    )
+    return F.when(
+        F.col("code") == "BAD_TASK", F.get(F.filter("_tasks", lambda t: ~t["is_object"]), F.lit(0))["task_name"]
+    ).when(F.col("code") == "NON_NUMERIC_METRIC", F.get(metrics, F.lit(0)))
+
+
+#: At which step a document is refused, by code; all other codes are given while fields are extracted.
+STAGES = {
+    "EMPTY_FILE": "read",
+    "INVALID_UTF8": "read",
+    "MALFORMED_JSON": "parse",
+    "TOO_LARGE": "parse",
+    "STRING_TOO_LONG": "parse",
+    "UNKNOWN_FORMAT": "classify",
+}
+
+
 def _rows() -> Column:
     """Task rows without the flags."""
     return F.transform(
@@ -458,8 +485,12 @@ def results(outcomes: DataFrame) -> DataFrame:
 
 
 def rejects(outcomes: DataFrame) -> DataFrame:
-    """Refused documents with the reason."""
-    return outcomes.where(F.col("code").isNotNull()).select("path", "source_filename", "framework", "code")
+    """Refused documents with the step that refused them, the reason, and the task and metric where one is at fault."""
+    stages = F.create_map(*(F.lit(x) for pair in STAGES.items() for x in pair))
+    stage = F.coalesce(F.try_element_at(stages, "code"), F.lit("extract"))
+    return outcomes.where(F.col("code").isNotNull()).select(
+        "path", "source_filename", "framework", stage.alias("stage"), "code", "detail"
+    )
 
 
 def fail_on_rejects(outcomes: DataFrame) -> DataFrame:

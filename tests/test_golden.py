@@ -367,3 +367,15 @@ def test_joined_registry_reports_the_same(docs, monkeypatch):
     monkeypatch.setattr(registry, "LITERAL_ENTRIES", 3)
     joined = sorted(map(str, extract(docs(contents), registry=registry.DEFAULT_REGISTRY).select(*columns).collect()))
     assert joined == literal
+
+
+def test_rejects_name_step_task_and_metric(docs):
+    contents = {
+        "/g/a.json": "{", "/g/b.json": json.dumps(lm({IFEVAL_KEY: "x"})), "/g/c.json": "{}", "/g/d.json": "",
+        "/g/e.json": json.dumps(lm({IFEVAL_KEY: 1}) | {"results": {"ifeval": 3}}),
+    }
+    got = {r.path[3]: (r.stage, r.code, r.detail) for r in rejects(extract(docs(contents))).collect()}
+    assert got == {
+        "a": ("parse", "MALFORMED_JSON", None), "b": ("extract", "NON_NUMERIC_METRIC", f"ifeval: {IFEVAL_KEY}"),
+        "c": ("classify", "UNKNOWN_FORMAT", None), "d": ("read", "EMPTY_FILE", None), "e": ("extract", "BAD_TASK", "ifeval"),
+    }
