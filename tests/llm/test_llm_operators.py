@@ -108,7 +108,8 @@ def test_near_duplicates(spark):
 
 def test_near_duplicates_in_crowded_groups(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "PAIRED", 3)
-    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 450)
+    monkeypatch.setattr(jaccard, "PURE", 4)
     docs = near_copies(2, 2, 60)
     got = jaccard.near_duplicates(frame(spark, docs)).collect()
     want = brute_components(docs)

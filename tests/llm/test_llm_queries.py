@@ -56,7 +56,7 @@ def close(a: str, b: str, limit: int = 2) -> bool:
 
 
 def test_pipeline(spark):
-    from test_operators import brute_components
+    from test_llm_operators import brute_components
 
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()}
     first: dict[str, tuple] = {}
