@@ -33,8 +33,10 @@ WORDS = 5
 SIMILAR = (3, 4)
 #: The order needs to know common shingles only: seen this often, and at most this many of them.
 COMMON_FROM, COMMON_MOST = 20, 1 << 18
-#: Nodes under one shingle that are still paired row by row; nodes of a block.
-PAIRED, BLOCK = 32, 256
+#: Nodes under one shingle that are still paired row by row; shingles in the sets of a block.
+PAIRED, BLOCK_TOKENS = 32, 1 << 18
+#: Nodes from which a component gets blocks of its own.
+PURE = 16
 #: Shingles counted at a time.
 COUNTED = 1 << 21
 
@@ -46,7 +48,7 @@ class _Words(dict):
     """Hash of each word; forgets when it grows beyond a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 400_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
@@ -82,7 +84,7 @@ def _need(n: int | np.ndarray, similar: tuple[int, int]):
 
 
 def _survey(docs: DataFrame, words: int) -> DataFrame:
-    """In one pass over the texts: a row per document (key, n, node), and partial counts (token, n)."""
+    """In one pass over the texts: a row per document (key, n, node, text_hash), and partial counts (token, n)."""
     key_type = docs.schema["key"].dataType.simpleString()
 
     def run(batches):
@@ -93,15 +95,15 @@ def _survey(docs: DataFrame, words: int) -> DataFrame:
             often = counts > 1
             tokens, counts = tokens[often].astype(np.int64), counts[often].astype(np.int64)
             none = pa.nulls(len(tokens))
-            return [none.cast(key_kind), pa.array(counts), none.cast(pa.int64()), pa.array(tokens)]
+            return [none.cast(key_kind), pa.array(counts), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(tokens)]
 
-        names = ["key", "n", "node", "token"]
+        names = ["key", "n", "node", "text_hash", "token"]
         for batch in batches:
             key_kind = batch.column("key").type
             sets = [shingles(t, known, words) for t in batch.column("text").to_pylist()]
             nodes = [_number(s.tobytes()) if len(s) else None for s in sets]
             lengths = pa.array([len(s) for s in sets], pa.int64())
-            rows = [batch.column("key"), lengths, pa.array(nodes, pa.int64()), pa.nulls(len(sets), pa.int64())]
+            rows = [batch.column("key"), lengths, pa.array(nodes, pa.int64()), batch.column("text_hash"), pa.nulls(len(sets), pa.int64())]
             yield pa.RecordBatch.from_arrays(rows, names=names)
             held += sets
             size += sum(map(len, sets))
@@ -111,7 +113,7 @@ def _survey(docs: DataFrame, words: int) -> DataFrame:
         if size:
             yield pa.RecordBatch.from_arrays(counted(), names=names)
 
-    return docs.mapInArrow(run, f"key {key_type}, n bigint, node bigint, token bigint")
+    return docs.mapInArrow(run, f"key {key_type}, n bigint, node bigint, text_hash bigint, token bigint")
 
 
 @dataclass(frozen=True)
@@ -266,9 +268,10 @@ def _forest(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.ndarra
 
 
 def _blocks(nodes: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``nodes (node, pool, pure)`` dealt to blocks of about ``BLOCK`` within each pool; and the blocks with their sets."""
-    pools = nodes.groupBy("pool").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
-    dealt = nodes.join(pools, "pool").select(
+    """``nodes (node, pool, pure)`` dealt to blocks of about ``BLOCK_TOKENS`` within each pool; and the blocks with their sets."""
+    sized = nodes.join(sets.select("node", (F.octet_length("tokens") / 8).alias("size")), "node")
+    pools = sized.groupBy("pool", "pure").agg(F.ceil(F.sum("size") / BLOCK_TOKENS).alias("parts"))
+    dealt = nodes.join(pools, ["pool", "pure"]).select(
         "node", "pure", "pool", F.xxhash64("pool", "pure", F.expr("pmod(xxhash64(node), parts)")).alias("block")
     )
     dealt = materialize(dealt, "blocks")
@@ -293,13 +296,14 @@ def _links_of_blocks(met: DataFrame, filled: DataFrame, similar: tuple[int, int]
                 columns = zip(*links, strict=True) if links else ([], [])
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["u", "v"])
 
-    # a pair of blocks is some hundred kilobytes; spread them over tasks
-    return met.select("sets_p", "sets_q").repartition(64).mapInArrow(run, "u bigint, v bigint")
+    return met.select("sets_p", "sets_q").mapInArrow(run, "u bigint, v bigint")
 
 
 def _crowded_links(buckets: DataFrame, sets: DataFrame, links: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Links among nodes of crowded buckets, as few as connect what those links connect."""
-    nodes = buckets.groupBy("node").agg(F.min("bucket").alias("pool"))
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
+    largest = F.max(F.struct("m", "bucket"))["bucket"]
+    nodes = buckets.join(sizes, "bucket").groupBy("node").agg(largest.alias("pool"))
     dealt, filled = _blocks(nodes.withColumn("pure", F.lit(False)), sets)
     placed = buckets.join(dealt, "node").select("bucket", "block").distinct()
     hubs = placed.groupBy("bucket").agg(F.min("block").alias("p"))
@@ -307,7 +311,7 @@ def _crowded_links(buckets: DataFrame, sets: DataFrame, links: DataFrame, simila
     first = materialize(_links_of_blocks(met, filled, similar), "hub-links")
     roots = materialize(components(links.unionByName(first)), "roots")
     labelled = nodes.join(roots, "node", "left").select("node", "pool", F.coalesce("root", "node").alias("root"))
-    sizes = labelled.groupBy("root").agg((F.count(F.lit(1)) >= BLOCK // 4).alias("pure"))
+    sizes = labelled.groupBy("root").agg((F.count(F.lit(1)) >= PURE).alias("pure"))
     labelled = labelled.join(sizes, "root").select("node", "pure", F.when(F.col("pure"), F.col("root")).otherwise(F.col("pool")).alias("pool"))
     dealt, filled = _blocks(labelled, sets)
     placed = materialize(buckets.join(dealt, "node").select("bucket", "block", "pure", "pool").distinct(), "placed")
@@ -331,16 +335,17 @@ def near_duplicates(
     gives no rows, and further columns are not looked at.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).where("key is not null")
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
     survey = materialize(_survey(rows, words), "survey")
     order = _common(survey)
-    listed = survey.where("token is null").select("key", "n", "node")
+    listed = survey.where("token is null").select("key", "n", "node", "text_hash")
     nodes = materialize(
         listed.where("node is not null").groupBy("node").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("rows")), "nodes"
     )
-    # one row of each set is enough from here on; the others are few and known by key
+    # one row of each set is enough from here on; the others are few and known by key and text
     twice = nodes.where("rows > 1").select("node", "first")
-    copies = materialize(listed.join(broadcast_if_small(twice), "node").where("key > first").select("key").distinct(), "copies")
-    alone = rows.join(broadcast_if_small(copies), "key", "left_anti")
+    copies = materialize(listed.join(broadcast_if_small(twice), "node").where("key > first").select("key", "text_hash").distinct(), "copies")
+    alone = rows.join(broadcast_if_small(copies), ["key", "text_hash"], "left_anti")
     posted = _postings(alone, order, words, similar)
     many = Window.partitionBy("token")
     live = posted.withColumn("m", F.count(F.lit(1)).over(many)).where("m > 1").select("token", "node", "group", "n")

@@ -102,6 +102,9 @@ def near_copies(seed, groups, copies, words=60):
 
 def test_near_duplicates(spark):
     docs = DOCS + [(9, "one two three"), (10, "ONE  two\tthree"), (11, "one two three four")] + near_copies(1, 6, 5)
+    # an id with two texts: one equals that of a smaller id, the other is close to a third
+    other = " ".join(f"z{i}" for i in range(50))
+    docs += [(300, "a b c d e f g"), (301, "A b c d e f g"), (301, other), (302, other + " end")]
     got = jaccard.near_duplicates(frame(spark, docs)).collect()
     assert sorted(map(tuple, got)) == brute_components(docs)
 
