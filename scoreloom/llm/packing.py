@@ -4,13 +4,14 @@ Documents become token ids once. A sharded BM25 index over those ids then finds,
 that opens a window, the unused documents most like it, and the window is filled with them in that
 order; the last one is cut and what is left of it opens the next window. So every window is full.
 
-Shards come from the order of the documents by their heaviest term: neighbours in that order are
+Shards come from the order of the documents by their rarest term: neighbours in that order are
 in one shard, a partition is read as a stream, and a task holds one shard at a time. Statistics of
 the terms cover all documents; their table has a row per id of the vocabulary at most.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
@@ -28,7 +29,7 @@ WINDOW = 4096
 SHARD_TOKENS = 1 << 19
 PARTITION_TOKENS = 1 << 23
 #: Units of text whose ids a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 K1, B = 1.2, 0.75
 
 
@@ -56,31 +57,86 @@ class WordTokenizer:
 
     def encoder(self, kind: str):
         """A function from texts to packed ids. Runs without blanks are encoded once and remembered."""
-        tokenizer, known = self._load(), {}
+        tokenizer, plain, known = self._load(), _PlainWords(self.file), {}
         end = np.asarray([self.end_id], kind).tobytes()
 
         def encode(texts: list[str]) -> list[bytes]:
             cut = [t.replace("\n", " ").split(" ") for t in texts]
             if len(known) > REMEMBERED:
                 known.clear()
-            new = list({u for units in cut for u in units if u not in known})
-            for unit, found in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
+            new = {u for units in cut for u in units if u not in known}
+            words = [u for u in new if plain.takes(u)]
+            known.update(plain.encode(words, kind))
+            rest = list(new.difference(words))
+            for unit, found in zip(rest, tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
                 known[unit] = np.asarray(found.ids, kind).tobytes()
             return [b"".join(map(known.__getitem__, units)) + end for units in cut]
 
         return encode
 
 
+class _PlainWords:
+    """The same merges on plain words, many in one call: Latin-1 letters, then a comma or full stop or nothing.
+
+    Such a word is one pre-token (two with the mark), lower case changes it letter by letter and
+    normalisation leaves it alone. A zero byte stands for the end of a word, as the suffix does in the file.
+    """
+
+    SUFFIX = "</w>"
+
+    def __init__(self, file: bytes):
+        import tiktoken
+
+        letters = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
+        hidden = [b for b in range(256) if b not in letters]
+        byte_of = {chr(b): b for b in letters} | {chr(256 + i): b for i, b in enumerate(hidden)}
+        vocabulary = json.loads(file)
+        special = {t["content"] for t in vocabulary["added_tokens"]}
+        ranks = {}
+        for token, number in vocabulary["model"]["vocab"].items():
+            if token not in special:
+                core = token.removesuffix(self.SUFFIX)
+                ranks[bytes(byte_of[c] for c in core) + b"\0" * (core != token)] = number
+        self.encoding = tiktoken.Encoding("words", pat_str="[^\0]+\0", mergeable_ranks=ranks, special_tokens={})
+        self.closes = np.zeros(max(ranks.values()) + 1, bool)
+        self.closes[[n for t, n in ranks.items() if len(t) > 1 and t.endswith(b"\0")]] = True
+
+    @staticmethod
+    def takes(unit: str) -> bool:
+        core = unit[:-1] if unit[-1:] in (",", ".") else unit
+        return core.isalpha() and max(core) <= "\xff"
+
+    def encode(self, words: list[str], kind: str) -> dict[str, bytes]:
+        if not words:
+            return {}
+        pieces = [[w[:-1], w[-1]] if w[-1] in ",." else [w] for w in words]
+        text = "\0".join(p for piece in pieces for p in piece).lower() + "\0"
+        ids = np.asarray(self.encoding.encode_ordinary(text))
+        ends = np.flatnonzero(self.closes[ids])[np.cumsum([len(p) for p in pieces]) - 1] + 1
+        data, width = ids.astype(kind).tobytes(), np.dtype(kind).itemsize
+        cuts = [0, *(ends * width).tolist()]
+        return {w: data[a:b] for w, a, b in zip(words, cuts[:-1], cuts[1:], strict=True)}
+
+
 def tokens_of(docs: DataFrame, tokenizer: WordTokenizer, key: str, text: str) -> DataFrame:
-    """``(key, ids)`` with ids as packed integers of the narrowest kind that holds the vocabulary."""
+    """``(key, lead, ids)``: ids packed as the narrowest integers that hold the vocabulary, and the greatest of them.
+
+    Vocabularies number their tokens from common to rare, so the lead is the rarest term of the document.
+    """
     kind = id_kind(tokenizer)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def make():
         encode = tokenizer.encoder(kind)
-        return lambda batch: [pa.array(encode(batch.column("text").to_pylist()), pa.binary())]
 
-    return add_columns(rows, make, "ids binary", drop=("text",))
+        def work(batch):
+            ids = encode(batch.column("text").to_pylist())
+            leads = [int(np.frombuffer(x, kind).max()) for x in ids]
+            return [pa.array(leads, pa.int32()), pa.array(ids, pa.binary())]
+
+        return work
+
+    return add_columns(rows, make, "lead int, ids binary", drop=("text",))
 
 
 def id_kind(tokenizer: WordTokenizer) -> str:
@@ -242,13 +298,6 @@ def pack(
     tokens = materialize(tokens_of(docs, tokenizer, key, text), "tokens")
     terms = term_statistics(tokens, kind, vocabulary)
 
-    def heaviest(batch):
-        leads = []
-        for ids in batch.column("ids").to_pylist():
-            found, weight = _weights(np.frombuffer(ids, kind), terms)
-            leads.append(int(found[np.argmax(weight)]))
-        return [pa.array(leads, pa.int32())]
-
     def run(batches):
         packer, held, size, number = _Packer(terms, window), [], 0, TaskContext.get().partitionId() << 40
         key_type = None
@@ -285,8 +334,7 @@ def pack(
             yield rows(True)
 
     partitions = max(1, math.ceil(terms.tokens / partition_tokens))
-    led = add_columns(tokens, lambda: heaviest, "lead int")
-    dealt = led.repartitionByRange(partitions, "lead", "key", F.xxhash64("ids")).sortWithinPartitions("lead", "key", "ids")
+    dealt = tokens.repartitionByRange(partitions, "lead", "key", F.xxhash64("ids")).sortWithinPartitions("lead", "key", "ids")
     key_kind = docs.schema[key].dataType.simpleString()
     pieces = dealt.select("key", "ids").mapInArrow(
         run, f"key {key_kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
