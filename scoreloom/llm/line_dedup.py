@@ -4,8 +4,8 @@ Equal lines are found by a grouping of hashes. Then a segment-partition join fin
 distance: a line of length l is cut into threshold + 1 segments, of which an equal or longer line
 within the threshold must hold one unchanged, near the same place. Every line is indexed by the hash
 of each of its segments, together with l and the segment's number, and probes with the few substrings that may match
-a segment of each length from its own down to the threshold less. Pairs that meet are
-verified on their texts with Spark's ``levenshtein`` with a threshold, which works on a band.
+a segment of each length from its own down to the threshold less. Pairs that meet, and whose
+words and letters differ by no more than the threshold allows, are verified on their texts with Spark's ``levenshtein`` with a threshold, which works on a band.
 """
 
 from __future__ import annotations
@@ -20,6 +20,25 @@ THRESHOLD = 2
 #: Shorter lines are never removed.
 MIN_CHARS = 40
 
+#: For each of 64 classes of words, whether the line has an odd number of them.
+_PARITY = "aggregate(split(line, ' '), 0L, (a, w) -> a ^ shiftleft(1L, cast(xxhash64(w) & 63 as int)))"
+
+#: Counts of eight frequent letters, a byte each (modulo 256), in one number.
+_LETTERS = "etaonirs"
+_COUNTS = " | ".join(
+    f"shiftleft(cast((length(line) - length(replace(line, '{c}'))) & 255 as bigint), {8 * i})" for i, c in enumerate(_LETTERS)
+)
+
+
+def _count_distance(a: str, b: str) -> str:
+    """At most the difference of the counts, summed over the letters."""
+    terms = []
+    for shift in range(0, 8 * len(_LETTERS), 8):
+        apart = f"abs((shiftright({a}, {shift}) & 255) - (shiftright({b}, {shift}) & 255))"
+        terms.append(f"least({apart}, 256 - {apart})")
+    return " + ".join(terms)
+
+
 _ADDRESS = ["key", "text_hash", "line_no"]
 
 
@@ -88,10 +107,16 @@ def near_repeats(docs: DataFrame, skip: DataFrame, threshold: int = THRESHOLD, m
     if min_chars <= 2 * threshold:
         raise ValueError("lines must be longer than twice the threshold")
     index, probe = _tokens(threshold)
-    lines = _lines(docs, min_chars, skip).withColumns({"id": F.xxhash64("line"), "length": F.length("line")})
-    indexed = lines.select("id", "length", F.explode(F.array(*index)).alias("token"))
-    probing = lines.select("id", "length", F.explode(F.array_distinct(F.array(*probe))).alias("token"))
+    lines = _lines(docs, min_chars, skip).withColumns(
+        {"id": F.xxhash64("line"), "length": F.length("line"), "parity": F.expr(_PARITY), "counts": F.expr(_COUNTS)}
+    )
+    indexed = lines.select("id", "length", "parity", "counts", F.explode(F.array(*index)).alias("token"))
+    probing = lines.select("id", "length", "parity", "counts", F.explode(F.array_distinct(F.array(*probe))).alias("token"))
     pairs = indexed.alias("a").join(probing.alias("b"), "token")
+    # an edit changes three words at most (two become one, or one two), and each change one bit;
+    # and it takes away one character at most and adds one at most
+    pairs = pairs.where(f"bit_count(a.parity ^ b.parity) <= {3 * threshold}")
+    pairs = pairs.where(f"{_count_distance('a.counts', 'b.counts')} <= {2 * threshold}")
     # of two lines of one length each probes for the other; one of the two meetings is enough
     pairs = pairs.where("a.id <> b.id and (a.length < b.length or a.id < b.id)")
     pairs = materialize(pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "line-pairs")
