@@ -1,10 +1,12 @@
 """Removal of repeated and nearly repeated lines with DataFrame functions only.
 
-Equal lines are found by a grouping of hashes. Then a segment-partition join finds pairs within an edit
+Equal lines of any length are found by a grouping of hashes. Then a segment-partition join finds pairs within an edit
 distance: a line of length l is cut into threshold + 1 segments, of which an equal or longer line
 within the threshold must hold one unchanged, near the same place. Every line is indexed by the hash
 of each of its segments, together with l and the segment's number, and probes with the few substrings that may match
-a segment of each length from its own down to the threshold less. Pairs that meet, and whose
+a segment of each length from its own down to the threshold less. Segments of short lines would be a letter or
+two, so a line under ``SHORT`` characters meets others on the hash of what is left without any ``threshold`` of its characters
+or fewer, which two lines within the distance share. Pairs that meet, and whose
 words and letters differ by no more than the threshold allows, are verified on their texts with Spark's ``levenshtein`` with a threshold, which works on a band.
 """
 
@@ -17,8 +19,10 @@ from scoreloom.llm.common import broadcast_if_small
 from scoreloom.session import materialize
 
 THRESHOLD = 2
-#: Shorter lines are never removed.
-MIN_CHARS = 40
+#: Shorter lines are compared for equality only: within the threshold they might have less than half in common.
+MIN_CHARS = 2 * THRESHOLD + 1
+#: Lines from here on have segments of five characters at least.
+SHORT = 5 * (THRESHOLD + 1)
 
 #: For each of 64 classes of words, whether the line has an odd number of them.
 _PARITY = "aggregate(split(line, ' '), 0L, (a, w) -> a ^ shiftleft(1L, cast(xxhash64(w) & 63 as int)))"
@@ -42,15 +46,15 @@ def _count_distance(a: str, b: str) -> str:
 _ADDRESS = ["key", "text_hash", "line_no"]
 
 
-def _lines(docs: DataFrame, min_chars: int, skip: DataFrame | None = None) -> DataFrame:
-    """Lines that take part, by address, without those that ``skip`` (key, text_hash, lines) names."""
+def _lines(docs: DataFrame, skip: DataFrame | None = None) -> DataFrame:
+    """Lines with more than white space, by address, without those that ``skip`` (key, text_hash, lines) names."""
     rows = docs.select("key", "text", F.xxhash64("text").alias("text_hash"))
     if skip is not None:
         rows = rows.join(broadcast_if_small(skip, F.size("lines")), ["key", "text_hash"], "left")
     lines = rows.select("*", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     if skip is not None:
         lines = lines.where(~F.coalesce(F.array_contains("lines", F.col("line_no")), F.lit(False)))
-    return lines.where(F.length("line") >= min_chars).select(*_ADDRESS, "line")
+    return lines.where(F.col("line").rlike(r"\S")).select(*_ADDRESS, "line")
 
 
 def _identity() -> list[Column]:
@@ -58,9 +62,9 @@ def _identity() -> list[Column]:
     return [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
 
 
-def exact_repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def exact_repeats(docs: DataFrame) -> DataFrame:
     """``(key, text_hash, lines)``: numbers of lines that equal an earlier one, per document that has any."""
-    hashed = _lines(docs, min_chars).select(*_ADDRESS, *_identity())
+    hashed = _lines(docs).select(*_ADDRESS, *_identity())
     address = F.struct(*_ADDRESS)
     groups = hashed.groupBy("h1", "h2").agg(F.min(address).alias("first"), F.count(F.lit(1)).alias("n"))
     groups = materialize(groups.where("n > 1").select("h1", "h2", "first"), "line-groups")
@@ -80,8 +84,19 @@ def _token(number: int, length: Column, start: Column, size: Column) -> Column:
     return F.xxhash64(F.lit(number), length, F.substring("line", start + 1, size))
 
 
-def _tokens(threshold: int) -> tuple[list[Column], list[Column]]:
-    """Hashes that a line is indexed by, and those it probes with."""
+def _shortened(threshold: int) -> Column:
+    """Hashes of the line without each choice of up to ``threshold`` characters."""
+    texts = last = F.array("line")
+    for _ in range(threshold):
+        last = F.array_distinct(F.flatten(F.transform(last, lambda t: F.transform(
+            F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(F.substr(t, F.lit(1), i - 1), F.substr(t, i + 1))
+        ))))
+        texts = F.concat(texts, last)
+    return F.transform(F.array_distinct(texts), lambda t: F.xxhash64(F.lit(-1), t))
+
+
+def _tokens(threshold: int) -> tuple[Column, Column]:
+    """Hashes that a line of at least ``SHORT`` characters is indexed by, and those it probes with."""
     own = F.col("length")
     index, probe = [], []
     for number in range(threshold + 1):
@@ -96,7 +111,7 @@ def _tokens(threshold: int) -> tuple[list[Column], list[Column]]:
             highest = min(number, less + (threshold - number))
             for shift in range(lowest, highest + 1):
                 probe.append(_token(number, length, start + shift, size))
-    return index, probe
+    return F.array(*index), F.array_distinct(F.array(*probe))
 
 
 def near_repeats(docs: DataFrame, skip: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -104,14 +119,19 @@ def near_repeats(docs: DataFrame, skip: DataFrame, threshold: int = THRESHOLD, m
 
     Lines that ``skip`` names take no part; they equal one that does.
     """
-    if min_chars <= 2 * threshold:
+    if not 2 * threshold < min_chars or SHORT <= 2 * threshold:
         raise ValueError("lines must be longer than twice the threshold")
     index, probe = _tokens(threshold)
-    lines = _lines(docs, min_chars, skip).withColumns(
+    lines = _lines(docs, skip).where(F.length("line") >= min_chars).withColumns(
         {"id": F.xxhash64("line"), "length": F.length("line"), "parity": F.expr(_PARITY), "counts": F.expr(_COUNTS)}
     )
-    indexed = lines.select("id", "length", "parity", "counts", F.explode(F.array(*index)).alias("token"))
-    probing = lines.select("id", "length", "parity", "counts", F.explode(F.array_distinct(F.array(*probe))).alias("token"))
+    facts = ["id", "length", "parity", "counts"]
+    # of two lines the shorter says how they meet
+    short = lines.where(F.length("line") < SHORT + threshold).select(*facts, _shortened(threshold).alias("tokens"))
+    short = materialize(short, "short-lines").select(*facts, F.explode("tokens").alias("token"))
+    long = lines.where(F.length("line") >= SHORT)
+    indexed = long.select(*facts, F.explode(index).alias("token")).unionByName(short.where(F.col("length") < SHORT))
+    probing = long.select(*facts, F.explode(probe).alias("token")).unionByName(short)
     pairs = indexed.alias("a").join(probing.alias("b"), "token")
     # an edit changes three words at most (two become one, or one two), and each change one bit;
     # and it takes away one character at most and adds one at most
@@ -136,16 +156,16 @@ def repeated_lines(
 ) -> DataFrame:
     """``(key, text_hash, lines)``: per document with such lines, the numbers of the lines to remove.
 
-    Lines end at line feeds. A line of at least ``min_chars`` characters is removed if an earlier line
-    (by key, hash of the text, line number) equals it or is within ``threshold`` edits of it. The earlier line
-    counts even if it is removed itself.
+    Lines end at line feeds. A line is removed if an earlier line (by key, hash of the text, line number) equals it,
+    or if both have at least ``min_chars`` characters and are within ``threshold`` edits. The earlier line
+    counts even if it is removed itself. Blank lines part paragraphs and stay.
 
     Rows without key or text take no part. Rows that repeat key and text are one document; rows that
     share only the key are told apart by the hash of the text. An empty table gives no rows, and further columns
     are not looked at.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key is not null and text is not null")
-    exact = exact_repeats(rows, min_chars)
+    exact = exact_repeats(rows)
     near = near_repeats(rows, exact, threshold, min_chars)
     both = exact.select("key", "text_hash", F.explode("lines").alias("line_no")).unionByName(near)
     found = both.groupBy("key", "text_hash").agg(F.sort_array(F.collect_set("line_no")).alias("lines"))
