@@ -1,8 +1,9 @@
 """Approximate nearest neighbours by inner product: NN-descent in Spark joins, greedy graph search.
 
 Equal vectors are one node. Vectors get one more component that makes their lengths equal, so that the largest
-inner product is the nearest; the graph and the search work on that in whole numbers of eight bits, and what they find is
-scored on the original vectors in double precision.
+inner product is the nearest; the graph and the search work on that in whole numbers of sixteen
+bits, each vector on a scale of its own and the added component apart, and what they find is scored on the
+original vectors in double precision.
 
 The graph starts from blocks of nodes on the same side of random planes. Then each round every
 node meets its neighbours and those it is a neighbour of: all of them are compared with each other, and each
@@ -58,11 +59,37 @@ def _rows(nodes: list, lists: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordB
     return pa.RecordBatch.from_arrays(columns, names=["node", "ids", "scores"])
 
 
+def _packed(vectors: np.ndarray, extra: np.ndarray) -> list[bytes]:
+    """Whole numbers of sixteen bits for each row, then its own scale and the added component."""
+    scale = (np.abs(vectors).max(1) / 32767).astype("<f4")
+    whole = np.rint(vectors / np.maximum(scale, np.finfo("<f4").tiny)[:, None].astype(float)).clip(-32767, 32767).astype("<i2")
+    tail = np.stack([scale, extra.astype("<f4")], 1)
+    return [a.tobytes() + b.tobytes() for a, b in zip(whole, tail, strict=True)]
+
+
+def _vectors(codes: bytes, count: int) -> np.ndarray:
+    """``count`` packed vectors as rows, the added component last."""
+    data = np.frombuffer(codes, np.uint8).reshape(count, -1)
+    whole = np.ascontiguousarray(data[:, :-8]).view("<i2").astype(np.float32)
+    tail = np.ascontiguousarray(data[:, -8:]).view("<f4")
+    return np.hstack([whole * tail[:, :1], tail[:, 1:]])
+
+
+def _nearness(vectors: np.ndarray) -> np.ndarray:
+    """Minus half the squared distance of each two rows: the inner product less what all rows have in common, so that
+    one very long vector does not drown the others."""
+    own, extra = vectors[:, :-1], vectors[:, -1]
+    half = (own * own).sum(1) / 2
+    apart = extra[:, None] - extra
+    return own @ own.T - half[:, None] - half - apart * apart / 2
+
+
 def _codes(nodes: DataFrame, planes: int, block: int) -> DataFrame:
-    """``(node, code, buckets)``: eight-bit components, and the side of random planes per set of planes."""
-    size = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    scalars = nodes.agg(F.count(F.lit(1)), F.max(size), F.max(F.array_max(F.transform("vector", F.abs)))).first()
-    count, longest, widest = (x or 0.0 for x in scalars)
+    """``(node, code, buckets)``: packed components, and the side of random planes per set of planes."""
+    count, widest = (x or 0.0 for x in nodes.agg(F.count(F.lit(1)), F.max(F.array_max(F.transform("vector", F.abs)))).first())
+    # components are taken as shares of the widest of the table, so that their squares neither overflow nor vanish
+    size = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / widest) * (x / widest))
+    longest = nodes.agg(F.max(size)).first()[0] or 0.0
     means = nodes.select(F.posexplode("vector")).groupBy("pos").agg(F.avg("col").alias("mean")).orderBy("pos").collect()
     centre = np.asarray([r["mean"] for r in means])
     bits = max(0, math.ceil(math.log2(max(1, count / block))))
@@ -74,14 +101,13 @@ def _codes(nodes: DataFrame, planes: int, block: int) -> DataFrame:
             vectors = matrix(batch.column("vector"))
             if not len(vectors):
                 continue
-            extra = np.sqrt(np.maximum(0.0, longest - (vectors * vectors).sum(1)))[:, None]
-            widened = np.hstack([vectors, extra])
-            step = max(widest, math.sqrt(longest)) / 127 if extra.max() > widest else widest / 127
-            codes = np.rint(widened / step).astype(np.int8)
+            scaled = vectors / widest
+            extra = np.sqrt(np.maximum(0.0, longest - (scaled * scaled).sum(1)))
+            codes = _packed(scaled, extra)
             above = ((vectors - centre) @ sides > 0).reshape(len(vectors), planes, bits)
             buckets = (above << np.arange(bits)).sum(2) if bits else np.zeros((len(vectors), planes), np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(buckets.tolist(), pa.list_(pa.int64()))],
+                [batch.column("node"), pa.array(codes, pa.binary()), pa.array(buckets.tolist(), pa.list_(pa.int64()))],
                 names=["node", "code", "buckets"],
             )
 
@@ -89,11 +115,10 @@ def _codes(nodes: DataFrame, planes: int, block: int) -> DataFrame:
 
 
 def _unpacked(members) -> tuple[np.ndarray, np.ndarray]:
-    """Nodes and codes of a collected list of (node, code)."""
+    """Nodes and vectors of a collected list of (node, code)."""
     found = members.values if hasattr(members, "values") else members
     ids = found.field("node").to_numpy()
-    codes = np.frombuffer(b"".join(found.field("code").to_pylist()), np.int8).reshape(len(ids), -1)
-    return ids, codes.astype(np.float32)
+    return ids, _vectors(b"".join(found.field("code").to_pylist()), len(ids))
 
 
 def _neighbourhoods(groups: DataFrame, k: int) -> DataFrame:
@@ -104,8 +129,8 @@ def _neighbourhoods(groups: DataFrame, k: int) -> DataFrame:
             column = batch.column("members")
             nodes, lists = [], []
             for i in range(len(column)):
-                ids, codes = _unpacked(column[i])
-                scores = codes @ codes.T
+                ids, vectors = _unpacked(column[i])
+                scores = _nearness(vectors)
                 np.fill_diagonal(scores, -np.inf)
                 keep = min(k, len(ids) - 1)
                 if keep < 1:
@@ -188,9 +213,9 @@ def _step(asked: DataFrame, graph_codes: DataFrame) -> DataFrame:
             queries, lists = [], []
             columns = (batch.column(c).to_pylist() for c in ("query", "code", "floor", "ids", "codes"))
             for query, code, floor, ids, codes in zip(*columns, strict=True):
-                own = np.frombuffer(code, np.int8).astype(np.float32)
+                own = _vectors(code, 1)[0]
                 ids = _ids(ids)
-                scores = np.frombuffer(codes, np.int8).reshape(len(ids), -1).astype(np.float32) @ own
+                scores = _vectors(codes, len(ids)) @ own
                 good = (scores > floor) & (ids != query)
                 if good.any():
                     queries.append(query)
@@ -217,7 +242,7 @@ def _searched(graph: DataFrame, codes: DataFrame, queries: DataFrame, beam: int)
 
     graph_codes = materialize(held.mapInArrow(packed, "node bigint, ids binary, codes binary"), "graph-codes")
     # a query is a point without the additional component
-    asked = codes.join(queries, "node").select(F.col("node").alias("query"), F.expr("overlay(code placing X'00' from octet_length(code))").alias("code"))
+    asked = codes.join(queries, "node").select(F.col("node").alias("query"), F.expr("overlay(code placing X'00000000' from octet_length(code) - 3)").alias("code"))
     asked = materialize(asked, "asked")
     pool = asked.select("query", *[F.lit(b"").alias(c) for c in ("ids", "scores", "done")])
     frontier = asked.select("query", F.col("query").alias("node"), "code", F.lit(float("-inf")).cast("float").alias("floor"))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
-from test_llm_operators import frame, within
+from pyspark.sql import functions as F
+from test_llm_operators import best_of, frame, within
 
-from scoreloom.llm import line_dedup
+from scoreloom.llm import ann, line_dedup
 from scoreloom.llm.common import prepare
 
 
@@ -35,3 +37,16 @@ def test_line_dedup_of_short_lines(spark):
     want = {(k, i) for n, (k, i, x) in enumerate(places) for _, _, y in places[:n] if x == y or near(x, y)}
     assert got == want
     assert min(len(docs[k][1].split("\n")[i]) for k, i in got) == 1
+
+
+@pytest.mark.parametrize("stretch", [1.0, 30.0, 1000.0])
+def test_neighbours_of_unequal_norms(spark, stretch):
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(1500, 16))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    vectors[7] *= stretch
+    vectors[8, 3] = stretch / 10  # one component far out
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    got = {(r.query_id, r.vec_id) for r in ann.search(df, F.col("vec_id") % 50 == 1, 10).collect()}
+    want = {(r[0], r[2]) for q in range(1, 1500, 50) for r in best_of(dict(enumerate(vectors)), q, 10, float)}
+    assert len(got & want) >= 0.9 * len(want)
