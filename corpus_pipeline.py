@@ -16,13 +16,14 @@ from scoreloom.session import materialize
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is in one of the languages; the model is fitted on their own labels.
+    """Documents whose text is in one of the languages; the model is fitted on their own labels,
+    which are no evidence beside it.
 
     Null and blank texts are rejected.
     """
     prepare(spark)
     model = language_id.fit(docs, LANGUAGES)
-    found = language_id.identify(docs, model, declared=F.col("lang"), host=F.col("source"))
+    found = language_id.identify(docs, model, host=F.col("source"))
     rejected = found.where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     rejected = broadcast_if_small(materialize(rejected, "rejected"))
     same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("__hash"))

@@ -9,7 +9,9 @@ languages: every trigram is equally likely there.
 
 from __future__ import annotations
 
+import html as markup
 import math
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -108,6 +110,25 @@ def declared_in(html: Column) -> Column:
     return F.lower(F.nullif(F.regexp_extract(html, r"(?i)<html[^>]*\slang\s*=\s*[\"']?([a-z]{2,3})", 1), F.lit("")))
 
 
+#: What is no prose of the page itself.
+_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|nav|footer|template|noscript)\b.*?</\1\s*>", re.I | re.S)
+_TAG = re.compile(r"<[/!?]?[a-z][^>]*>", re.I)
+
+
+def page_text(page: str) -> str:
+    """The text of a page without markup, scripts, menus and footers."""
+    return " ".join(markup.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", page))).split())
+
+
+def with_page_text(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
+    """``pages`` with the text of each page; null without a page."""
+
+    def make():
+        return lambda batch: [pa.array([None if p is None else page_text(p) for p in batch.column(html).to_pylist()], pa.string())]
+
+    return add_columns(pages, make, f"{text} string")
+
+
 def _evidence(found: Column, languages: Sequence[str], trust: float) -> list[Column]:
     """Log probability of what was found under each language; even where it names none of them."""
     other = math.log((1 - trust) / max(1, len(languages) - 1))

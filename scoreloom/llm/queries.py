@@ -135,10 +135,22 @@ LANGUAGES = ("de", "en", "es", "fr")
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs, LANGUAGES)
-    found = language_id.identify(docs, model, declared=F.col("lang"), host=F.col("source"))
+    # the label that the model is fitted on is no evidence here
+    found = language_id.identify(docs, model, host=F.col("source"))
     return found.select("doc_id", "language", "confidence", "kept")
 
 
+@query()
+def op10_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_id.fit(table(spark, sf_dir, "documents"), LANGUAGES)
+    pages = language_id.with_page_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    host = url_filters.host_of(F.col("url"))
+    found = language_id.identify(
+        pages, model, "page_id", declared=language_id.declared_in(F.col("html")), address=F.col("url"), host=host
+    )
+    return found.select("page_id", "language", "confidence", "kept")
+
+
 @query(
     """
     with f as (
