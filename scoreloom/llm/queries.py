@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import ann, byte_bpe, jaccard, language_id, line_dedup, packing, token_counts, topk, url_filters, warc
+from scoreloom.llm import ann, byte_bpe, jaccard, language_id, line_dedup, merkle, packing, token_counts, topk, url_filters, warc
 from scoreloom.llm.common import prepare
 from scoreloom.plans.catalog import Entry, table
 
@@ -214,3 +214,83 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query(
+    """
+    with recursive docs as (
+        select doc_id, source, text, row_number() over () as id,
+               concat(coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                      coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-')) as head,
+               replace(text, chr(10), '') as joined,
+               list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+                           lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                               lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) & 1 as odd
+        from documents),
+    hashed as (
+        select id, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+               case when odd = 1 then sha256(head || coalesce(strlen(joined) || ':' || joined, '-')) end as tampered
+        from docs),
+    leaves as (
+        select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as rank,
+               count(*) over (partition by source) as n
+        from hashed),
+    nodes(source, height, pos, n, digest) as (
+        select source, 0, rank, n, leaf from leaves
+        union all
+        select source, height + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by pos))
+        from nodes where n > 1 group by source, height, pos // 3, n),
+    subroots as (
+        select source, digest as subroot, row_number() over (order by source nulls first) - 1 as tree, count(*) over () as trees
+        from nodes where n = 1),
+    tops(height, pos, n, digest) as (
+        select 0, tree, trees, subroot from subroots
+        union all
+        select height + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by pos))
+        from tops where n > 1 group by height, pos // 3, n),
+    turns as (
+        select l.id, h.height as level, h.height, l.source, null::bigint as tree, l.rank // cast(pow(3, h.height) as bigint) as pos
+        from leaves l join (select distinct source, height from nodes where n > 1) h on l.source is not distinct from h.source
+        union all
+        select l.id, 1000 + h.height, h.height, null, s.tree, s.tree // cast(pow(3, h.height) as bigint)
+        from leaves l join subroots s on l.source is not distinct from s.source
+        cross join (select distinct height from tops where n > 1) h),
+    met as (
+        select t.id, t.level, t.pos, x.pos as other, x.digest
+        from turns t join nodes x on t.tree is null and x.source is not distinct from t.source and x.height = t.height and x.pos // 3 = t.pos // 3
+        union all
+        select t.id, t.level, t.pos, x.pos, x.digest
+        from turns t join tops x on t.tree is not null and x.height = t.height and x.pos // 3 = t.pos // 3),
+    segments as (
+        select id, level, coalesce(string_agg(digest, '' order by other) filter (other < pos), '') as before,
+               coalesce(string_agg(digest, '' order by other) filter (other > pos), '') as after
+        from met group by id, level),
+    paths as (
+        select id, string_agg(before || after, '' order by level) as proof,
+               list({'b': before, 'd': '', 'a': after} order by level) as path
+        from segments group by id),
+    whole as (select digest as root from tops where n = 1),
+    folded as (
+        select l.doc_id, l.leaf, s.subroot, w.root, sha256(coalesce(p.proof, '')) as proof_sha256,
+               list_reduce(list_prepend({'b': '', 'd': coalesce(l.tampered, l.leaf), 'a': ''}, coalesce(p.path, [])),
+                           lambda x, y: {'b': '', 'd': sha256(y.b || x.d || y.a), 'a': ''}).d as folded_root
+        from leaves l join subroots s on l.source is not distinct from s.source cross join whole w left join paths p on p.id = l.id)
+    select *, folded_root = root as verified from folded
+    """
+)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the manifest is of the documents as they are; of half of them a text without line feeds is shown later
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    joined = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    shown = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, joined).otherwise(F.col("text"))
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", merkle.leaf_digest(*head, F.col("text")).alias("leaf"), merkle.leaf_digest(*head, shown).alias("shown")
+    )
+    proven = merkle.proofs(merkle.build(rows, "source", "doc_id", "leaf"))
+    found = proven.select(
+        "row.doc_id",
+        *[merkle.text_of(F.col(c)).alias(c.split(".")[-1]) for c in ("row.leaf", "subroot", "root")],
+        F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        merkle.folded(F.col("row.shown"), F.col("path")).alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
