@@ -19,9 +19,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from scoreloom.llm.common import broadcast_if_small
+from scoreloom.llm.common import broadcast_if_small, ranked
 from scoreloom.session import materialize
 
 #: Children of a node.
@@ -70,24 +69,6 @@ class Manifest:
     top: Forest
 
 
-def ranked(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """``rows`` with ``rank``, from 0, of each within its group.
-
-    Rows are sorted by range, so that a large group lies in many partitions; the number of its rows in earlier
-    ones is added to the place in the own. A table of one row per partition and group is all that is summed.
-    """
-    sorted_rows = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
-    placed = materialize(sorted_rows.withColumn("__place", F.monotonically_increasing_id()), "placed")
-    part = F.shiftright("__place", 33).alias("__part")
-    parts = placed.groupBy(F.col(group).alias("__group"), part).agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("n"))
-    earlier = Window.partitionBy("__group").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("__group", "__part", "__first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before"))
-    parts = materialize(parts, "places")
-    same = placed[group].eqNullSafe(parts["__group"]) & (F.shiftright(placed["__place"], 33) == parts["__part"])
-    met = placed.join(broadcast_if_small(parts), same)
-    return met.select(*rows.columns, (F.col("__place") - F.col("__first") + F.col("__before")).alias("rank"))
-
-
 def _height(n: str) -> str:
     """Levels above ``n`` leaves: how many powers of ``RUN`` are less than ``n``."""
     powers, power = [], 1

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import ann, byte_bpe, jaccard, language_id, line_dedup, merkle, packing, token_counts, topk, url_filters, warc
+from scoreloom.llm import alignment, ann, byte_bpe, embedding_dedup, jaccard, language_id, line_dedup, merkle, packing, token_counts, topk, url_filters, warc
 from scoreloom.llm.common import prepare
 from scoreloom.plans.catalog import Entry, table
 
@@ -294,3 +294,38 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.folded(F.col("row.shown"), F.col("path")).alias("folded_root"),
     )
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query(
+    """
+    with recursive sound as (
+        select vec_id, label, len(embedding) as length, list_transform(embedding, lambda x: x::double) as v from embeddings
+        where vec_id is not null and label is not null
+          and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    scaled as (select *, list_max(list_transform(v, lambda x: abs(x))) as widest from sound),
+    measured as (
+        select *, list_transform(v, lambda x: x / widest) as w, sqrt(list_sum(list_transform(v, lambda x: (x / widest) * (x / widest)))) as size
+        from scaled),
+    links as (
+        select a.vec_id as u, b.vec_id as v from measured a join measured b on a.label = b.label and a.length = b.length and a.vec_id <> b.vec_id
+        where list_dot_product(a.w, b.w) / (a.size * b.size) >= 0.98),
+    reached as (select u, v from links union select r.u, l.v from reached r join links l on r.v = l.u),
+    counted as (select u, count(*) as n from links group by u),
+    least as (select u, min(v) as v from reached group by u)
+    select vec_id, coalesce(n, 0) as n_links, least(vec_id, v) as component_id, coalesce(least(vec_id, v) = vec_id, false) as kept
+    from embeddings left join counted on counted.u = vec_id left join least on least.u = vec_id
+    """
+)
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_copies(table(spark, sf_dir, "embeddings"))
+
+
+def alignment_tokenizers() -> alignment.Tokenizers:
+    path = public_tokenizers.path
+    return alignment.Tokenizers.read(path("byte_bpe_50k.json"), public_tokenizers.PATTERN, path("piece_bpe_32k.model"))
+
+
+@query()
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _ = alignment.align_tokens(table(spark, sf_dir, "documents"), alignment_tokenizers())
+    return documents.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

@@ -17,7 +17,7 @@ from scoreloom.llm.queries import CATALOG, packing_tokenizer
 
 
 def test_all_are_registered():
-    assert {n.partition("_")[0] for n in CATALOG} == {f"op{i}" for i in (*range(1, 11), 13)}
+    assert {n.partition("_")[0] for n in CATALOG} == {f"op{i}" for i in range(1, 14)}
     assert {*CATALOG, "pipeline"} <= entry_point.queries().keys()
 
 
@@ -34,7 +34,7 @@ def test_native_plans(spark, name):
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "CartesianProduct"))
 
 
-@pytest.mark.parametrize("name", ["op1_ngram_jaccard", "op2_token_counts", "op4_byte_bpe", "op10_language_id"])
+@pytest.mark.parametrize("name", ["op1_ngram_jaccard", "op2_token_counts", "op4_byte_bpe", "op10_language_id", "op12_tokenizer_alignment"])
 def test_one_row_per_document(spark, name):
     want = {r[0] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()}
     got = [r.doc_id for r in CATALOG[name].run(spark, SF).select("doc_id").collect()]
