@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from scoreloom.operators import instructions as I
 from scoreloom.operators import prompts as P
 from scoreloom.operators import scoring as S
 from scoreloom.operators.generate import generate
@@ -191,6 +192,102 @@ def instruction_breakdown(spark, sf_dir):
     return scores.select("lang", "instruction", "n", r6("accuracy"))
 
 
+#: (kind, arguments by the number of the prompt), and the same checks in SQL
+ASKED = (
+    ("word_count", {"n": "20 + doc_id % 200", "relation": "if(doc_id % 2 = 0, 'at least', 'less than')"},
+     "case when doc_id % 2 = 0 then n_words >= 20 + doc_id % 200 else n_words < 20 + doc_id % 200 end"),
+    ("sentence_count", {"n": "1 + doc_id % 20"}, r"len(regexp_extract_all(t, '[^.!?\s][^.!?]*[.!?]+')) >= 1 + doc_id % 20"),
+    ("line_count", {"n": "2 + doc_id % 10", "relation": "'less than'"}, r"len(regexp_extract_all(t, '(?m)^.*\S.*$')) < 2 + doc_id % 10"),
+    ("paragraph_count", {"n": "1 + doc_id % 4"},
+     r"len(list_filter(regexp_split_to_array(t, '\n[ \t]*\n'), lambda p: regexp_matches(p, '\S'))) >= 1 + doc_id % 4"),
+    ("bullet_count", {"n": "doc_id % 3", "relation": "'exactly'"}, r"len(regexp_extract_all(t, '(?m)^[ \t]*[*-][ \t]+\S')) = doc_id % 3"),
+    ("letter_count", {"n": "doc_id % 300", "letter": "substr('etaonirs', int(1 + doc_id % 8), 1)"},
+     "length(t) - length(replace(lower(t), substr('etaonirs', 1 + doc_id % 8, 1), '')) >= doc_id % 300"),
+    ("word_frequency", {"n": "1 + doc_id % 7", "word": "element_at(array('the', 'DER', 'la', 'Le', 'de'), int(1 + doc_id % 5))"},
+     "len(list_filter(words, lambda w: w = list_value('the', 'der', 'la', 'le', 'de')[1 + doc_id % 5])) >= 1 + doc_id % 7"),
+    ("words_present", {"words": "if(doc_id % 2 = 0, 'de|la', 'Der|und')"},
+     "list_has_all(words, case when doc_id % 2 = 0 then ['de', 'la'] else ['der', 'und'] end)"),
+    ("words_absent", {"words": "if(doc_id % 2 = 0, 'le|de', 'and|THE')"},
+     "not list_has_any(words, case when doc_id % 2 = 0 then ['le', 'de'] else ['and', 'the'] end)"),
+    ("all_lower", {}, "t = lower(t)"),
+    ("no_comma", {}, "not contains(t, ',')"),
+    ("json", {}, "json_valid(t)"),
+    ("starts_with", {"text": "element_at(array('The', 'de', '{', 'l'), int(1 + doc_id % 4))"},
+     "starts_with(lower(ltrim(t)), list_value('the', 'de', '{', 'l')[1 + doc_id % 4])"),
+    ("ends_with", {"text": "if(doc_id % 3 = 0, '}', '.')"}, "ends_with(lower(rtrim(t)), case when doc_id % 3 = 0 then '}' else '.' end)"),
+    ("capital_word_count", {"n": "1 + doc_id % 3", "relation": "'less than'"},
+     r"len(list_filter(regexp_split_to_array(t, '[^\p{L}\p{N}_]+'), lambda w: regexp_full_match(w, '\p{Lu}{2,}'))) < 1 + doc_id % 3"),
+    ("placeholder_count", {"n": "0", "relation": "'exactly'"}, r"len(regexp_extract_all(t, '\[[^\[\]]+\]')) = 0"),
+)
+
+
+def _prompts(spark, sf_dir):
+    """Lists of one to four instructions for every document, and a response to each: a fifth of them JSON."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    asked = documents.select("doc_id", F.explode(F.sequence(F.lit(0), (F.col("doc_id") % 4).cast("int"))).alias("ord"))
+    arguments, kinds = None, F.array(*(F.lit(name) for name, *_ in ASKED))
+    asked = asked.withColumn("kind", F.get(kinds, F.expr(f"int((doc_id * 3 + ord * 5) % {len(ASKED)})")))
+    for name, given, _ in ASKED:
+        pairs = [F.struct(F.lit(k), F.expr(f"cast({v} as string)")) for k, v in given.items()]
+        own = F.map_from_entries(F.array(*pairs)) if pairs else F.create_map().cast("map<string,string>")
+        arguments = F.when(F.col("kind") == name, own) if arguments is None else arguments.when(F.col("kind") == name, own)
+    made = F.when(F.col("doc_id") % 5 == 0, F.to_json(F.struct("doc_id", "lang"))).otherwise(F.col("text"))
+    return documents.select("doc_id", "lang", made.alias("response")), asked.withColumn("arguments", arguments)
+
+
+_CASES = "\n        ".join(f"when '{name}' then {sql}" for name, _, sql in ASKED)
+MARKS_SQL = rf"""with responses as (
+    select doc_id, lang, case when doc_id % 5 = 0 then '{{"doc_id":' || doc_id || ',"lang":"' || lang || '"}}' else text end as response
+    from documents),
+cut as (
+    select *, string_split(response, chr(10)) as lines from responses),
+forms as (
+    select doc_id, lang, list_concat(c, list_transform(c, lambda x: replace(x, '*', ''))) as forms
+    from (select doc_id, lang, [response, trim(array_to_string(lines[2:], chr(10))), trim(array_to_string(lines[:-2], chr(10))),
+                 trim(array_to_string(lines[2:-2], chr(10)))] as c from cut)),
+tried as (
+    select doc_id, lang, f.form, f.t, len(regexp_extract_all(f.t, '\S+')) as n_words,
+           regexp_split_to_array(lower(f.t), '[^\p{{L}}\p{{N}}_]+') as words
+    from (select doc_id, lang, unnest(range(1, 9)) as form, unnest(forms) as t from forms) f),
+asked as (
+    select doc_id, ord, list_value({", ".join(f"'{name}'" for name, *_ in ASKED)})[1 + (doc_id * 3 + ord * 5) % {len(ASKED)}] as kind
+    from documents, unnest(range(0, 1 + doc_id % 4)) o(ord)),
+judged as (
+    select doc_id, lang, ord, kind, form, regexp_matches(t, '\S') and case kind
+        {_CASES} end as met
+    from tried join asked using (doc_id)),
+marks as (
+    select doc_id, lang, ord, kind, bool_or(met and form = 1) as strict, bool_or(met) as loose from judged group by all)
+"""
+
+
+@query(
+    MARKS_SQL
+    + """select lang, sum(asked)::bigint as n_instructions, count(*) as n_prompts,
+    round(sum(strict) / sum(asked), 6) as inst_level_strict_acc, round(avg((strict = asked)::int), 6) as prompt_level_strict_acc,
+    round(sum(loose) / sum(asked), 6) as inst_level_loose_acc, round(avg((loose = asked)::int), 6) as prompt_level_loose_acc
+from (select doc_id, lang, count(*) as asked, count_if(strict) as strict, count_if(loose) as loose from marks group by all)
+group by lang"""
+)
+def instruction_lists(spark, sf_dir):
+    """Every prompt with instructions of its own, strict and loose."""
+    responses, asked = _prompts(spark, sf_dir)
+    marks = I.judged(responses, asked, prompt="doc_id", response="response", keep=["lang"], loose=True)
+    found = I.accuracy(marks, ["lang"], ["doc_id"])
+    return found.select("lang", "n_instructions", "n_prompts", *[r6(f"{level}_level_{mark}_acc") for level in ("inst", "prompt") for mark in ("strict", "loose")])
+
+
+@query(
+    MARKS_SQL
+    + """select kind, count(*) as n, round(avg(strict::int), 6) as strict_accuracy, round(avg(loose::int), 6) as loose_accuracy
+from marks group by kind"""
+)
+def instruction_kinds(spark, sf_dir):
+    responses, asked = _prompts(spark, sf_dir)
+    found = I.by_kind(I.judged(responses, asked, prompt="doc_id", response="response", loose=True))
+    return found.select("kind", "n", r6("strict_accuracy"), r6("loose_accuracy"))
+
+
 PASS_SQL = """case when c = 0 then 0.0 when n - c < {k} then 1.0
     else 1 - list_reduce(list_transform(range(n - c + 1, n + 1), lambda i: 1 - {k}::double / i), lambda a, x: a * x) end"""
 
