@@ -23,10 +23,6 @@ def standard_error(value: Column | str) -> Column:
     return F.when(n > 1, F.stddev_samp(value) / F.sqrt(n))
 
 
-def mean_and_spread(value: Column | str) -> Column:
-    return F.struct(mean(value).alias("mean"), spread(value).alias("std"))
-
-
 def pass_at_k(n: Column, c: Column, k: int) -> Column:
     """Unbiased pass@k for ``c`` correct samples out of ``n``.
 

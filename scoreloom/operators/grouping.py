@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.functions import stats
+from scoreloom.functions import exact
 
 GROUP = ["task_name", "model_name"]
+METRIC = [*GROUP, "metric"]
 
 
 def metrics_long(results: DataFrame) -> DataFrame:
@@ -24,40 +25,65 @@ def metrics_long(results: DataFrame) -> DataFrame:
     )
 
 
-def group_stats(metrics: DataFrame) -> DataFrame:
-    """Mean and spread of value and stderr, each over its own non-null count.
+def partial_stats(metrics: DataFrame) -> DataFrame:
+    """Exact sums of value and stderr per metric. Such tables of several inputs add up, see ``merged_stats``.
 
-    The aggregates combine on the map side, so a hot (task, model) costs one partial
-    row per input partition.
+    They combine on the map side, so a hot (task, model) costs a few partial rows per input partition.
     """
-    return metrics.groupBy(*GROUP, "metric").agg(
-        F.count("value").alias("n"),
-        stats.mean("value").alias("value_mean"),
-        stats.spread("value").alias("value_std"),
-        F.count("stderr").alias("n_stderr"),
-        stats.mean("stderr").alias("stderr_mean"),
-        stats.spread("stderr").alias("stderr_std"),
+    return exact.partial_moments(metrics, METRIC, {"value": F.col("value"), "stderr": F.col("stderr")})
+
+
+def merged_stats(partials: DataFrame) -> DataFrame:
+    return exact.merged(partials, METRIC, ["value", "stderr"])
+
+
+def finished_stats(partials: DataFrame) -> DataFrame:
+    """Mean and spread of value and stderr, each over its own non-null count."""
+    found = exact.moments(partials, METRIC, ["value", "stderr"])
+    return found.select(
+        *METRIC,
+        F.col("value_n").alias("n"),
+        "value_mean",
+        "value_std",
+        F.col("stderr_n").alias("n_stderr"),
+        "stderr_mean",
+        "stderr_std",
     )
 
 
+def group_stats(metrics: DataFrame) -> DataFrame:
+    """Mean and spread of value and stderr, each rounded once, whatever the partitions."""
+    return finished_stats(partial_stats(metrics))
+
+
 def position() -> Column:
     """Order of runs: path first, then place in the document."""
     return F.struct("path", "task_ord")
 
 
+def partial_durations(results: DataFrame) -> DataFrame:
+    """Repetitions and exact sums of the durations per group; such tables add up."""
+    return exact.partial_moments(results, GROUP, {"duration": F.col("evaluation_duration_seconds")})
+
+
+def merged_durations(partials: DataFrame) -> DataFrame:
+    return exact.merged(partials, GROUP, ["duration"])
+
+
+def finished_durations(partials: DataFrame) -> DataFrame:
+    found = exact.moments(partials, GROUP, ["duration"])
+    return found.select(
+        *GROUP, F.col("rows").alias("num_repetitions"), F.col("duration_n").alias("n_durations"), "duration_mean", "duration_std"
+    )
+
+
 def duration_stats(results: DataFrame) -> DataFrame:
     """Repetitions with mean and spread of the durations per group."""
-    seconds = "evaluation_duration_seconds"
-    return results.groupBy(*GROUP).agg(
-        F.count(F.lit(1)).alias("num_repetitions"),
-        F.count(seconds).alias("n_durations"),
-        stats.mean(seconds).alias("duration_mean"),
-        stats.spread(seconds).alias("duration_std"),
-    )
+    return finished_durations(partial_durations(results))
 
 
 def first_run(results: DataFrame) -> DataFrame:
-    """Parameters and position of the first run of each group."""
+    """Parameters and position of the first run of each group; the first of several such tables is the first of all."""
     return results.groupBy(*GROUP).agg(
         F.min_by("inference_parameters", position()).alias("inference_parameters"),
         F.min(position()).alias("first_seen"),
@@ -66,12 +92,17 @@ def first_run(results: DataFrame) -> DataFrame:
 
 def group_rows(results: DataFrame) -> DataFrame:
     """Everything about a group that takes one row, ``first_seen`` giving report order."""
-    seconds = "evaluation_duration_seconds"
-    return results.groupBy(*GROUP).agg(
-        F.min_by("inference_parameters", position()).alias("inference_parameters"),
-        F.min(position()).alias("first_seen"),
-        F.count(F.lit(1)).alias("num_repetitions"),
-        stats.mean_and_spread(seconds).alias("evaluation_duration_seconds"),
+    return with_durations(first_run(results), duration_stats(results))
+
+
+def with_durations(firsts: DataFrame, durations: DataFrame) -> DataFrame:
+    """First runs and durations of the same groups as one row each."""
+    return firsts.join(durations, same_group(firsts, durations)).select(
+        *(firsts[name] for name in GROUP),
+        "inference_parameters",
+        "first_seen",
+        "num_repetitions",
+        F.struct(F.col("duration_mean").alias("mean"), F.col("duration_std").alias("std")).alias("evaluation_duration_seconds"),
     )
 
 

@@ -16,7 +16,8 @@ from scoreloom.session import materialize, shared_dir
 from scoreloom.sources.harness import harness_documents, write_documents
 from scoreloom.sources.report import report_lines
 from scoreloom.sources.scan import scan_documents
-from scoreloom.streaming.ingest import ingest, stored_outcomes
+from scoreloom.streaming.ingest import ingest
+from scoreloom.streaming.statistics import stored_statistics
 
 TASK_SQL = """case event_type when 'click' then 'gsm8k_platinum_cot_llama'
         when 'purchase' then 'mmlu_cot_llama' when 'signup' then 'mmlu_pro_chat'
@@ -562,14 +563,45 @@ def scan_files(spark, sf_dir):
 
 @query(
     RUNS_SQL
-    + """select task_name, model_name, count(*) as n, round(avg(value), 6) as value_mean from runs group by all"""
+    + """select task_name, model_name, count(*) as n, round(avg(value), 6) as value_mean, round(stddev_samp(value), 6) as value_std,
+    count(*) as num_repetitions, round(avg(user_id), 6) as duration_mean, min(source_filename) as first_file
+from runs group by all"""
 )
 def incremental_ingest(spark, sf_dir):
-    """A stream of documents, stored batch by batch, aggregated from the table."""
-    schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    stream = stream.withColumn("value", F.col("value") / SCALE)
+    """A stream of documents in four batches; the statistics come from the sums that each batch left."""
+    events = scored_events(spark, sf_dir)
     work = f"{shared_dir(spark)}/ingest-{uuid.uuid4().hex}"
-    ingest(synth.event_documents(stream), f"{work}/table", f"{work}/state").awaitTermination()
-    stats = G.group_stats(G.metrics_long(X.results(stored_outcomes(spark, f"{work}/table"))))
-    return stats.select(*G.GROUP, "n", r6("value_mean"))
+    batches = 4
+    files = max(1, spark.sparkContext.defaultParallelism // 2)
+    events.repartition(batches * files).write.parquet(f"{work}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{work}/events")
+    docs = synth.event_documents(stream, duration=F.col("user_id"))
+    ingest(docs, f"{work}/table", f"{work}/state", statistics=f"{work}/statistics").awaitTermination()
+    found = stored_statistics(spark, f"{work}/statistics")
+    stats, groups = found.stats, found.groups
+    joined = stats.join(groups, G.same_group(stats, groups)).drop(*(groups[name] for name in G.GROUP))
+    return joined.select(
+        *G.GROUP,
+        "n",
+        r6("value_mean"),
+        r6("value_std"),
+        "num_repetitions",
+        F.round("evaluation_duration_seconds.mean", 6).alias("duration_mean"),
+        F.substring_index("first_seen.path", "/", -1).alias("first_file"),
+    )
+
+
+@query("""select event_type as task_name, 3 * count(*) as n, sum(event_id % 1000)::double / (3 * count(*)) as value_mean, 0.1 as stderr_mean,
+    0.0 as stderr_std
+from events group by event_type""")
+def exact_means(spark, sf_dir):
+    """Small values among large ones that cancel, and copies of 0.1; the means are compared bit for bit."""
+    big = F.col("event_id") * F.lit(2.0**70) + F.lit(2.0**90)
+    rows = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("task_name"),
+        F.lit("m").alias("model_name"),
+        F.lit("x").alias("metric"),
+        F.explode(F.array(big, (F.col("event_id") % 1000).cast("double"), -big)).alias("value"),
+        F.lit(0.1).alias("stderr"),
+    )
+    return G.group_stats(rows).select("task_name", "n", "value_mean", "stderr_mean", "stderr_std")

@@ -14,6 +14,7 @@ from scoreloom.operators.extract import extract
 from scoreloom.operators.registry import Registry
 from scoreloom.session import ensure_conf
 from scoreloom.sources.scan import SUFFIX, _no_glob, check_directory
+from scoreloom.streaming.statistics import write_partials
 
 
 def document_stream(spark: SparkSession, directory: str, *, max_files: int | None = None) -> DataFrame:
@@ -44,17 +45,23 @@ def ingest(
     registry: Registry | None = None,
     adapters: Sequence[Adapter] = DEFAULT_ADAPTERS,
     metrics: str = "registry",
+    statistics: str | None = None,
 ) -> StreamingQuery:
     """Start a query that extracts what is there and stops.
 
     Extraction keeps no state, so there is nothing to expire. Every batch owns one
-    directory of the table and overwrites it, which makes a repeated batch harmless.
+    directory of the table and overwrites it, which makes a repeated batch harmless. With a folder for ``statistics`` it
+    also leaves its partial sums there, for ``stored_statistics``.
     """
     ensure_conf(stream.sparkSession)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         outcomes = extract(batch, registry=registry, adapters=adapters, metrics=metrics)
-        outcomes.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        target = f"{table}/batch_id={batch_id}"
+        outcomes.write.mode("overwrite").parquet(target)
+        if statistics is not None:
+            stored = batch.sparkSession.read.schema(outcomes.schema).parquet(target)
+            write_partials(stored, statistics, batch_id)
 
     return (
         stream.writeStream.foreachBatch(store)
