@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from hashlib import sha256
 
 import numpy as np
@@ -30,7 +31,9 @@ from pyspark.sql import functions as F
 from scoreloom.session import materialize
 
 #: A chunk closes at so many documents (their numbers have 16 bits) or postings.
-CHUNK_DOCS, CHUNK_POSTINGS = 1 << 16, 1 << 21
+CHUNK_DOCS, CHUNK_POSTINGS = 1 << 16, 1 << 20
+#: Bytes of text whose tokens are held at a time; a longer text is held whole.
+PART_BYTES = 1 << 19
 #: Links of a group from which its ids are counted before they are paired.
 WIDE_GROUP = 1 << 12
 #: Characters from which a text is encoded by the tokenizer file itself and not by the faster library.
@@ -50,7 +53,6 @@ class ByteLevel:
 
     def __init__(self, file: bytes, pattern: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
         letters = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
         hidden = [b for b in range(256) if b not in letters]
@@ -69,8 +71,15 @@ class ByteLevel:
         numbers = [vocabulary[m] for m in merges]
         in_order = numbers == sorted(numbers) and len(numbers) + 256 == len(plain) and min(numbers, default=256) == 256
         self.ranks = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=plain, special_tokens={}) if in_order else None
-        self.own = Tokenizer.from_buffer(file)
-        self.own.encode_special_tokens = True
+        self.file = file
+
+    @cached_property
+    def own(self):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_buffer(self.file)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
 
     def encode(self, text: str) -> np.ndarray:
         if self.ranks is None or len(text) > LONG_TEXT:
@@ -266,6 +275,15 @@ def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[starts], np.add.reduceat(times, starts) if len(starts) else times
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of ``PART_BYTES`` of text."""
+    before = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)) // PART_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), batch.num_rows]
+    for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+        if stop > start:
+            yield batch.slice(start, stop - start)
+
+
 def _read(docs: DataFrame, tokenizers: Tokenizers, key_field: str) -> DataFrame:
     """One pass over the texts: a row per document, and the bitmap rows of each chunk."""
     fields = f"{key_field}, chunk bigint, slot int, {_DOC_FIELDS}, {_POSTING_FIELDS}"
@@ -295,7 +313,7 @@ def _read(docs: DataFrame, tokenizers: Tokenizers, key_field: str) -> DataFrame:
                 if not len(further) or int(further.max()) >> (plane - 1) == 0:
                     break
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             if loaded is None:
                 first, second = ByteLevel(tokenizers.byte_level, tokenizers.pattern), Pieces(tokenizers.pieces)
                 tables = [pa.array(x.bytes_of, pa.large_binary()) for x in (first, second)]
