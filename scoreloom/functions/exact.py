@@ -47,13 +47,16 @@ def _factors() -> tuple[Column, Column]:
     return (F.array(*(F.lit(math.ldexp(1.0, p // 2)) for p in powers)), F.array(*(F.lit(math.ldexp(1.0, p - p // 2)) for p in powers)))
 
 
-def partial_moments(df: DataFrame, by: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
+def partial_moments(
+    df: DataFrame, by: Sequence[str], measures: Mapping[str, Column], others: Sequence[Column] = (), keep: Sequence[str] = ()
+) -> DataFrame:
     """Exact sums per group and class of each measure, as a table that ``merged`` and ``moments`` take.
 
     A group has a row for each combination of classes, some ten at most in real data; they combine on the map side.
+    ``others`` are further aggregates of the same groups, over the columns in ``keep``.
     """
     first, second = _factors()
-    rows = df.select(*by, *(value.cast("double").alias(f"_{name}") for name, value in measures.items()))
+    rows = df.select(*by, *keep, *(value.cast("double").alias(f"_{name}") for name, value in measures.items()))
     rows = rows.select("*", *(_class_of(F.col(f"_{name}")).alias(f"{name}_class") for name in measures))
     for name in measures:
         place = F.col(f"{name}_class") - FIRST
@@ -66,7 +69,7 @@ def partial_moments(df: DataFrame, by: Sequence[str], measures: Mapping[str, Col
         parts = dict(zip(_SUMS, (hi, lo, hi * hi, hi * lo, lo * lo)))
         sums.append(F.count(f"{name}_class").alias(f"{name}_n"))
         sums += [F.coalesce(F.sum(part), F.lit(0)).cast("decimal(38,0)").alias(f"{name}_{s}") for s, part in parts.items()]
-    return rows.groupBy(*by, *(f"{name}_class" for name in measures)).agg(F.count(F.lit(1)).alias("rows"), *sums)
+    return rows.groupBy(*by, *(f"{name}_class" for name in measures)).agg(F.count(F.lit(1)).alias("rows"), *sums, *others)
 
 
 def merged(partials: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:

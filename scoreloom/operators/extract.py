@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from scoreloom.functions import scalars as S
 from scoreloom.functions import variants as V
 from scoreloom.operators.adapters import DEFAULT_ADAPTERS, Adapter
-from scoreloom.operators.registry import Registry, as_mapping, registry_frame, with_registry
+from scoreloom.operators.registry import Registry, as_mapping, metrics_by_task, registry_frame
 
 PARAMS_TYPES = {
     "do_sample": "boolean",
@@ -45,13 +45,93 @@ def extract(
         raise ValueError("metrics must be 'registry' or 'auto'")
     known = as_mapping(registry)
     if known is None:
-        docs = with_registry(docs, registry_frame(docs.sparkSession, registry))
-    reported = None if known is None else tuple((task, tuple(keys)) for task, keys in known.items())
+        return _joined(docs, registry_frame(docs.sparkSession, registry), tuple(adapters), metrics == "auto")
+    reported = tuple((task, tuple(keys)) for task, keys in known.items())
     for columns in _stages(tuple(adapters), reported, metrics == "auto", _gateway()):
         docs = docs.select(*columns)
     return docs
 
 
+def _joined(docs: DataFrame, registry: DataFrame, adapters: tuple[Adapter, ...], auto: bool) -> DataFrame:
+    """The same outcomes with a registry of any size: tasks meet it in a join and come together again by document.
+
+    A document is known by its path, name and 128 bits of its text, all as they were read. So what becomes of
+    it does not hang on the order of rows, should a lost stage run again; documents equal in all of these are counted and
+    come out as often as they went in. Texts are dropped before the first shuffle; what travels is a task at a time.
+    """
+    before, task, after = _joined_stages(adapters, auto, _gateway())
+    for columns in before:
+        docs = docs.select(*columns)
+    rows = docs.select("*", F.posexplode_outer("_tasks").alias("_ord", "_task")).drop("_tasks")
+    # documents without tasks are spread over the partitions, as no task has this name
+    name = F.coalesce(F.col("_task.task_name"), F.concat(F.lit("\0"), F.hex("_text_hash")))
+    met = rows.withColumn("_name", name).join(metrics_by_task(registry), "_name", "left")
+    header = [c for c in rows.columns if c not in (*_IDENTITY, "_ord", "_task", "_quoted")]
+    met = met.select(
+        *_IDENTITY,
+        F.struct(*header).alias("_header"),
+        F.col("_ord"),
+        F.when(F.col("_task").isNotNull(), task).alias("_task"),
+    )
+    found = F.struct("_ord", "_task")
+    whole = met.groupBy(*_IDENTITY).agg(
+        F.any_value("_header").alias("_header"),
+        F.array_sort(F.collect_set(F.when(F.col("_task").isNotNull(), found))).alias("_found"),
+        F.count_if(F.coalesce(F.col("_ord"), F.lit(0)) == 0).cast("int").alias("_copies"),
+    )
+    tasks = F.when(F.col("_header._has_tasks"), F.transform("_found", lambda f: f["_task"]))
+    one = whole.select("path", "source_filename", "_header.*", tasks.alias("_tasks"), F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy"))
+    for columns in after:
+        one = one.select(*columns)
+    return one
+
+
+#: What tells documents apart while their tasks are on the way.
+_IDENTITY = ("path", "source_filename", "_text_hash", "_text_hash2")
+
+
+@lru_cache(maxsize=8)
+def _joined_stages(adapters: tuple[Adapter, ...], auto: bool, gateway: int) -> tuple:
+    """The projections up to the join, the task of a row that has met its metrics, and the projections after."""
+    hashes = ["_text_hash", "_text_hash2"]
+    before = [
+        ["path", "source_filename", "content", F.xxhash64("content").alias(hashes[0]), F.xxhash64(F.lit(1), "content").alias(hashes[1])],
+        *_parse(hashes),
+        *_locate(adapters, _raw_tasks, hashes),
+        ["_quoted", *hashes, *_typed(adapters), F.col("_tasks").isNotNull().alias("_has_tasks")],
+    ]
+    task = _by_adapter(
+        adapters,
+        lambda a: V.let(
+            V.as_map(F.col("_task.value")),
+            lambda members: F.when(
+                F.lit(True) if auto else F.col("reported").isNotNull(),
+                F.struct(
+                    F.col("_task.task_name").alias("task_name"),
+                    members.isNotNull().alias("is_object"),
+                    _metrics(a, None, members, None, auto, F.col("_quoted")).alias("metrics"),
+                ),
+            ),
+        ),
+    )
+    return before, task, [["*", _code().alias("code")], _finish(), _sealed()]
+
+
+def _raw_tasks(adapter: Adapter) -> Column:
+    """``array<struct<task_name, value>>`` of all tasks in document order; NULL as for ``_task_rows``."""
+    wanted = lambda names: F.filter(names, lambda n: _is_task(adapter, n))
+    return V.let(
+        V.field_map(F.col("_doc"), "results"),
+        lambda tasks: V.let(
+            wanted(F.map_keys(tasks)),
+            lambda names: F.transform(
+                F.when(F.size(names) > 1, _document_order(names, wanted)).otherwise(names),
+                lambda name: F.struct(name.alias("task_name"), F.try_element_at(tasks, name).alias("value")),
+            ),
+        ),
+    )
+
+
 def _gateway() -> int:
     """Columns are JVM objects: those of another JVM are of no use."""
     return id(SparkContext._gateway)
@@ -59,17 +139,16 @@ def _gateway() -> int:
 
 @lru_cache(maxsize=32)
 def _stages(
-    adapters: tuple[Adapter, ...], reported: tuple[tuple[str, tuple[str, ...]], ...] | None, auto: bool, gateway: int
+    adapters: tuple[Adapter, ...], reported: tuple[tuple[str, tuple[str, ...]], ...], auto: bool, gateway: int
 ) -> list[list[Column | str]]:
-    """The projections of an extraction, in order.
+    """The projections of an extraction with a registry that is a literal, in order.
 
     They do not depend on the input, and composing some thousand expressions from
-    Python takes a second or two, so they are kept for the next call. ``reported`` is the registry, or
-    None if each document brings its part of it in a column of that name.
+    Python takes a second or two, so they are kept for the next call.
     """
     return [
-        *_parse([] if reported is not None else ["reported"]),
-        *_locate(adapters, None if reported is None else dict(reported), auto),
+        *_parse([]),
+        *_locate(adapters, lambda a: _task_rows(a, dict(reported), auto), []),
         _typed(adapters),
         ["*", _code().alias("code")],
         _finish(),
@@ -161,10 +240,8 @@ def _by_adapter(adapters: Sequence[Adapter], build) -> Column:
     return chosen
 
 
-def _locate(
-    adapters: tuple[Adapter, ...], reported: dict[str, tuple[str, ...]] | None, auto: bool
-) -> list[list[Column | str]]:
-    """Classify the documents and pick the raw fields; the document is dropped here."""
+def _locate(adapters: tuple[Adapter, ...], tasks, kept: list[str]) -> list[list[Column | str]]:
+    """Classify the documents and pick the raw fields and ``tasks(adapter)``; the document is dropped here."""
     doc = F.col("_doc")
     framework = None
     for adapter in adapters:
@@ -182,11 +259,11 @@ def _locate(
             header("model").alias("_model_raw"),
         ],
         [
-            "path", "source_filename", "framework", "_unreadable", "_refused", "_quoted",
+            "path", "source_filename", *kept, "framework", "_unreadable", "_refused", "_quoted",
             doc.isNotNull().alias("_parsed"), "_has_results", "_params",
             "_started_raw", "_duration_raw", "_model_raw",
             _by_adapter(adapters, lambda a: a.broken_path(doc, F.col("_params"))).alias("_broken_path"),
-            _by_adapter(adapters, lambda a: _task_rows(a, reported, auto)).alias("_tasks"),
+            _by_adapter(adapters, tasks).alias("_tasks"),
         ],
     ]
 
@@ -211,14 +288,16 @@ def _typed(adapters: tuple[Adapter, ...]) -> list[Column | str]:
     ]
 
 
+def _is_task(adapter: Adapter, name: Column) -> Column:
+    if not adapter.skip_tasks:
+        return F.lit(True)
+    return ~F.array_contains(F.array(*map(F.lit, adapter.skip_tasks)), name)
+
+
 def _is_wanted(adapter: Adapter, name: Column, reported: dict[str, tuple[str, ...]], auto: bool) -> Column:
-    keep = F.lit(True)
-    if adapter.skip_tasks:
-        keep = ~F.array_contains(F.array(*map(F.lit, adapter.skip_tasks)), name)
+    keep = _is_task(adapter, name)
     if auto:
         return keep
-    if reported is None:
-        return keep & F.map_contains_key("reported", name)
     if not reported:
         return F.lit(False)
     return keep & F.array_contains(F.array(*map(F.lit, sorted(reported))), name)
@@ -338,11 +417,14 @@ def _metrics(adapter, task_name, members, reported, auto, quoted) -> Column:
 
 
 def _specs(adapter: Adapter, task_name: Column, reported: dict[str, tuple[str, ...]] | None) -> Column:
-    """``array<struct<metric, stderr_keys>>`` of a task, NULL if it is not registered."""
+    """``array<struct<metric, stderr_keys>>`` of a task, NULL if it is not registered.
+
+    Without a literal registry, column ``reported`` has the metrics of the row's own task.
+    """
     if reported is not None:
         return F.try_element_at(_known(adapter, reported), task_name)
     return F.transform(
-        F.try_element_at("reported", task_name),
+        F.col("reported"),
         lambda key: F.struct(key.alias("metric"), adapter.stderr_key_array(key).alias("stderr_keys")),
     )
 

@@ -77,6 +77,40 @@ def finished_durations(partials: DataFrame) -> DataFrame:
     )
 
 
+def partial_groups(results: DataFrame) -> DataFrame:
+    """``partial_stats``, ``partial_durations`` and ``first_run`` in one table and one pass: durations stand as values
+    without a metric, and every row has the first run of what it adds up."""
+    run = F.struct(
+        F.lit(None).cast("string").alias("metric"), F.col("evaluation_duration_seconds").alias("value"), F.lit(None).cast("double").alias("stderr")
+    )
+    measured = F.transform(
+        F.map_entries("metrics"),
+        lambda m: F.struct(m["key"].alias("metric"), m["value"]["value"].alias("value"), m["value"]["stderr"].alias("stderr")),
+    )
+    rows = results.select(*GROUP, "path", "task_ord", "inference_parameters", F.inline(F.concat(F.array(run), measured)))
+    alone = F.col("metric").isNull()
+    firsts = [
+        F.min_by(F.when(alone, F.col("inference_parameters")), position()).alias("inference_parameters"),
+        F.min(position()).alias("first_seen"),
+    ]
+    return exact.partial_moments(rows, METRIC, {"value": F.col("value"), "stderr": F.col("stderr")}, firsts, ["path", "task_ord", "inference_parameters"])
+
+
+def stats_of(partials: DataFrame) -> DataFrame:
+    """What ``group_stats`` gives, from tables of ``partial_groups``."""
+    return finished_stats(merged_stats(partials.where("metric is not null")))
+
+
+def groups_of(partials: DataFrame) -> DataFrame:
+    """What ``group_rows`` gives, from tables of ``partial_groups``."""
+    runs = partials.where("metric is null")
+    firsts = runs.groupBy(*GROUP).agg(
+        F.min_by("inference_parameters", "first_seen").alias("inference_parameters"), F.min("first_seen").alias("first_seen")
+    )
+    named = {c: c.replace("value", "duration") for c in runs.columns if c.startswith("value_")}
+    return with_durations(firsts, finished_durations(merged_durations(runs.withColumnsRenamed(named))))
+
+
 def duration_stats(results: DataFrame) -> DataFrame:
     """Repetitions with mean and spread of the durations per group."""
     return finished_durations(partial_durations(results))

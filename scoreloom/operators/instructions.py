@@ -147,10 +147,14 @@ def judged(
         asked = follows(text, F.col("kind"), F.col("arguments"), kinds)
         return F.when(asked.isNotNull(), asked & text.rlike(r"\S"))
 
-    marks = [mark(F.col("_text")).alias("strict")]
+    judged_rows = rows.withColumn("strict", mark(F.col("_text")))
+    marks = ["strict"]
     if loose:
-        marks.append(F.exists(loosened(F.col("_text")), mark).alias("loose"))
-    return rows.select(prompt, *keep, "ord", "kind", *marks)
+        # the loose forms are made where the strict one fails
+        others = F.array_except(loosened(F.col("_text")), F.array("_text"))
+        tried = F.coalesce(F.exists(others, mark), F.lit(False))
+        marks.append(F.when(F.col("strict").isNotNull(), F.col("strict") | tried).alias("loose"))
+    return judged_rows.select(prompt, *keep, "ord", "kind", *marks)
 
 
 def accuracy(marks: DataFrame, by: Sequence[str], reply: Sequence[str]) -> DataFrame:

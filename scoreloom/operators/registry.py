@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.functions import variants as V
+from scoreloom.session import broadcast_if_small, materialize
 
 # Task and metric names as the harnesses print them.
 DEFAULT_REGISTRY: dict[str, tuple[str, ...]] = {
@@ -58,21 +58,14 @@ def as_mapping(registry: Registry | None) -> dict[str, tuple[str, ...]] | None:
     return found if sum(map(len, found.values())) <= LITERAL_ENTRIES else None
 
 
-def with_registry(docs: DataFrame, registry: DataFrame) -> DataFrame:
-    """``docs`` with ``reported``: for each of its own tasks that the registry has, the metrics in order.
+def metrics_by_task(registry: DataFrame) -> DataFrame:
+    """``(_name, reported)``: the metrics of each task in order, to be joined with the tasks of documents.
 
-    Task names are exploded and joined with the registry, so no task holds it whole.
+    Broadcast if it is measured to be small; beyond, both sides are shuffled by task name.
     """
-    text = F.coalesce(V.quote_nonfinite(F.col("content")), F.col("content"))
-    names = F.json_object_keys(F.get_json_object(text, "$.results"))
-    asked = docs.select("path", F.explode(F.array_distinct(names)).alias("task_name"))
-    metrics = registry.groupBy("task_name").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("ord", "metric_key"))), lambda e: e["metric_key"]).alias("metrics")
-    )
-    found = asked.join(metrics, "task_name").distinct().groupBy("path")
-    found = found.agg(F.map_from_entries(F.collect_list(F.struct("task_name", "metrics"))).alias("reported"))
-    none = F.create_map().cast("map<string,array<string>>")
-    return docs.join(found, "path", "left").withColumn("reported", F.coalesce("reported", none))
+    entries = F.sort_array(F.collect_list(F.struct("ord", "metric_key")))
+    grouped = registry.groupBy(F.col("task_name").alias("_name")).agg(F.transform(entries, lambda e: e["metric_key"]).alias("reported"))
+    return broadcast_if_small(materialize(grouped, "registry"))
 
 
 def keep_registered(metrics: DataFrame, registry: DataFrame) -> DataFrame:

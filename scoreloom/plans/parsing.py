@@ -371,7 +371,10 @@ def custom_registry(spark, sf_dir):
 select 'q' || l_linenumber as metric, count(*) as n, round(avg(q), 6) as value_mean
 from lines where l_linenumber % 2 = 1 group by l_linenumber""")
 def large_registry(spark, sf_dir):
-    """A registry with a row per order line of odd number, far too long for a literal; one document per order."""
+    """A registry with a row per order line of odd number, far too long for a literal; one document per order.
+
+    Some documents have no path, some share one, and some have the key of the results twice, where the last counts.
+    """
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("q"))
     lines = lines.withColumn("metric", F.concat(F.lit("q"), F.col("l_linenumber").cast("string")))
     task = F.concat(F.lit("order_"), F.col("l_orderkey").cast("string"))
@@ -379,9 +382,12 @@ def large_registry(spark, sf_dir):
         task.alias("task_name"), F.col("metric").alias("metric_key"), F.col("l_linenumber").alias("ord")
     )
     orders = lines.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct("metric", "q"))).alias("members"))
-    docs = synth.documents(
-        orders, synth.file_path(F.col("l_orderkey")), synth.lm_eval_content(F.create_map(task, F.col("members")), model=F.lit("m"))
-    )
+    turn, path = F.col("l_orderkey") % 10, synth.file_path(F.col("l_orderkey"))
+    path = F.when(turn == 1, F.lit("/runs/same.json")).when(turn != 0, path)
+    content = synth.lm_eval_content(F.create_map(task, F.col("members")), model=F.lit("m"))
+    before = F.concat(F.lit('{"results":{"'), task, F.lit('":{"q1":-1}},'))
+    content = F.when(turn == 2, F.concat(before, F.substr(content, F.lit(2)))).otherwise(content)
+    docs = synth.documents(orders, path, content)
     long = G.metrics_long(X.results(X.extract(docs, registry=registry)))
     return long.groupBy("metric").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("value_mean"))
 
@@ -568,10 +574,10 @@ def scan_files(spark, sf_dir):
 from runs group by all"""
 )
 def incremental_ingest(spark, sf_dir):
-    """A stream of documents in four batches; the statistics come from the sums that each batch left."""
+    """A stream of documents in three batches; the statistics come from the sums that each batch left."""
     events = scored_events(spark, sf_dir)
     work = f"{shared_dir(spark)}/ingest-{uuid.uuid4().hex}"
-    batches = 4
+    batches = 3
     files = max(1, spark.sparkContext.defaultParallelism // 2)
     events.repartition(batches * files).write.parquet(f"{work}/events")
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{work}/events")

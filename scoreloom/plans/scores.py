@@ -223,7 +223,7 @@ ASKED = (
 
 def _prompts(spark, sf_dir):
     """Lists of one to four instructions for every document, and a response to each: a fifth of them JSON."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    documents = work_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     asked = documents.select("doc_id", F.explode(F.sequence(F.lit(0), (F.col("doc_id") % 4).cast("int"))).alias("ord"))
     arguments, kinds = None, F.array(*(F.lit(name) for name, *_ in ASKED))
     asked = asked.withColumn("kind", F.get(kinds, F.expr(f"int((doc_id * 3 + ord * 5) % {len(ASKED)})")))

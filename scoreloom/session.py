@@ -8,6 +8,7 @@ import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTINGS = {
     # ISO strings are UTC, and the last of two equal object keys wins.
@@ -18,6 +19,9 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles methods of more bytes than this. Plans here have long projections; as one generated
+    # method they would be interpreted for good, while Spark's other form cuts them into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -86,3 +90,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     target = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+#: Bytes of a table up to which it is broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if_small(stored: DataFrame) -> DataFrame:
+    """A hint to broadcast a stored table whose rows, written out, are few enough bytes; without it both sides are shuffled."""
+    row = F.octet_length(F.to_json(F.struct("*")))
+    size = stored.agg(F.sum(row + 16)).first()[0] or 0
+    return F.broadcast(stored) if size <= BROADCAST_BYTES else stored

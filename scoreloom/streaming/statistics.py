@@ -1,7 +1,7 @@
 """Statistics of everything ingested so far, kept as partial tables that add up exactly.
 
-Every batch leaves the exact sums of its own rows and the first run of each of its groups. To know the statistics after a
-further batch, these small tables are read, never the outcomes of earlier batches; and what they give
+Every batch leaves the exact sums of its own rows and the first run of each of its groups, in one table. To know the
+statistics after a further batch, these small tables are read, never the outcomes of earlier batches; and what they give
 is bit for bit what one pass over all outcomes would give.
 """
 
@@ -10,21 +10,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from scoreloom.operators import extract as X
 from scoreloom.operators import grouping as G
 
-_PARTS = ("metrics", "durations", "firsts")
-
 
 def write_partials(outcomes: DataFrame, folder: str, batch_id: int) -> None:
-    """The partial tables of one batch; a repeated batch replaces its own."""
-    results = X.results(outcomes)
-    tables = (G.partial_stats(G.metrics_long(results)), G.partial_durations(results), G.first_run(results))
-    for name, table in zip(_PARTS, tables, strict=True):
-        # a row per group of the batch: few files do
-        table.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}/batch_id={batch_id}")
+    """The partial table of one batch; a repeated batch replaces its own."""
+    partials = G.partial_groups(X.results(outcomes))
+    # a few rows per group of the batch: one file does
+    partials.coalesce(1).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
 
 @dataclass(frozen=True)
@@ -37,12 +32,8 @@ class Statistics:
 
 def stored_statistics(spark: SparkSession, folder: str) -> Statistics | None:
     """Statistics of all batches; None if none has come yet."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/firsts")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return None
-    metrics, durations, firsts = (spark.read.parquet(f"{folder}/{name}").drop("batch_id") for name in _PARTS)
-    first = firsts.groupBy(*G.GROUP).agg(
-        F.min_by("inference_parameters", "first_seen").alias("inference_parameters"), F.min("first_seen").alias("first_seen")
-    )
-    stats = G.finished_stats(G.merged_stats(metrics))
-    return Statistics(stats, G.with_durations(first, G.finished_durations(G.merged_durations(durations))))
+    partials = spark.read.parquet(folder).drop("batch_id")
+    return Statistics(G.stats_of(partials), G.groups_of(partials))

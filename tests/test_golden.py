@@ -354,19 +354,30 @@ def test_rejects(docs):
     assert [(r.path, r.code) for r in rows] == [("/g/b.json", "MALFORMED_JSON")]
 
 
-def test_joined_registry_reports_the_same(docs, monkeypatch):
+@pytest.mark.parametrize("metrics", ["registry", "auto"])
+def test_joined_registry_reports_the_same(spark, monkeypatch, metrics):
     from scoreloom.operators import registry
 
-    contents = {
-        "/g/a.json": json.dumps(lm({IFEVAL_KEY: 0.5, "other": 1})), "/g/b.json": json.dumps(lm({IFEVAL_KEY: "x"})),
-        "/g/c.json": json.dumps(lm({IFEVAL_KEY: float("nan")})), "/g/d.json": "{", "/g/e.json": json.dumps(lm({"k": 1}, task="unknown")),
-        "/g/f.json": json.dumps(le({"acc": 0.5}, task="mrcr")), "/g/g.json": "",
-    }
-    columns = ("path", "code", "model_name", "rows")
-    literal = sorted(map(str, extract(docs(contents)).select(*columns).collect()))
+    two = json.dumps(lm({"AUC": 1, "score_gt_16k_le_32k": 0.25, "AUC_stderr": "N/A"}, task="mrcr"))
+    repeated = '{"results": {"ifeval": {"inst_level_strict_acc,none": 1}}, "configs": {}, "config": {}, "results": {"zeta": {"x": 1}, "mrcr": {"AUC": 0.5}, "ifeval": {"inst_level_strict_acc,none": 0.125}}}'
+    contents = [
+        ("/g/a.json", json.dumps(lm({IFEVAL_KEY: 0.5, "other": 1}))), ("/g/b.json", json.dumps(lm({IFEVAL_KEY: "x"}))),
+        ("/g/c.json", json.dumps(lm({IFEVAL_KEY: float("nan")}))), ("/g/d.json", "{"), ("/g/e.json", json.dumps(lm({"k": 1}, task="unknown"))),
+        ("/g/f.json", json.dumps(le({"acc": 0.5}, task="mrcr"))), ("/g/g.json", ""), (None, json.dumps(lm())), (None, json.dumps(lm())), (None, two),
+        ("/g/h.json", two), ("/g/h.json", two), ("/g/h.json", json.dumps(lm())), ("/g/i.json", repeated), ("/g/j.json", json.dumps(without(le(), "results"))),
+        ("/g/k.json", json.dumps(lm(results=None))), ("/g/l.json", json.dumps(lm(results={"ifeval": 1}))), ("/g/m.json", json.dumps(lm(results={}))),
+        ("/g/n.json", None), ("/g/o.json", json.dumps(le({MATH_KEY: 1, MATH_KEY + "_stderr": 0.5}, generation={"temperature": 1}))),
+        *((path, json.dumps(doc)) for path, (doc, _) in CODES.items()),
+    ]
+    frame = spark.createDataFrame([(p, p and p[3:], c) for p, c in contents], "path string, source_filename string, content string").repartition(3)
+    literal = sorted(map(str, extract(frame, metrics=metrics).collect()))
     monkeypatch.setattr(registry, "LITERAL_ENTRIES", 3)
-    joined = sorted(map(str, extract(docs(contents), registry=registry.DEFAULT_REGISTRY).select(*columns).collect()))
-    assert joined == literal
+    assert registry.as_mapping(registry.DEFAULT_REGISTRY) is None
+    for small in (True, False):
+        monkeypatch.setattr("scoreloom.session.BROADCAST_BYTES", 1 << 20 if small else 0)
+        found = extract(frame, registry=registry.DEFAULT_REGISTRY, metrics=metrics)
+        assert sorted(map(str, found.collect())) == literal
+    assert extract(frame.where("false"), registry=registry.DEFAULT_REGISTRY).collect() == []
 
 
 def test_rejects_name_step_task_and_metric(docs):
