@@ -37,8 +37,9 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """
     prepare(spark)
     found = line_dedup.repeated_lines(docs)
-    cleaned = line_dedup.without_lines(docs, found)
-    cleaned = cleaned.where((F.col("removed") == 0) | (F.trim(F.translate("text", "\r\n\t", "   ")) != ""))
+    number = "__removed"
+    cleaned = line_dedup.without_lines(docs, found, removed=number)
+    cleaned = cleaned.where((F.col(number) == 0) | (F.trim(F.translate("text", "\r\n\t", "   ")) != ""))
     return cleaned.select(*[F.length("text").cast("bigint").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.llm.common import broadcast_if_small
+from scoreloom.llm.common import broadcast_if_small, ranked
 from scoreloom.session import materialize
 
 THRESHOLD = 2
@@ -58,7 +58,7 @@ def _lines(docs: DataFrame, skip: DataFrame | None = None) -> DataFrame:
 
 
 def _identity() -> list[Column]:
-    """128 bits of two hashes; the first is also the number of the line in the join."""
+    """128 bits of two hashes."""
     return [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
 
 
@@ -114,17 +114,59 @@ def _tokens(threshold: int) -> tuple[Column, Column]:
     return F.array(*index), F.array_distinct(F.array(*probe))
 
 
+def _distinct_lines(docs: DataFrame, skip: DataFrame, min_chars: int) -> DataFrame:
+    """Lines that take part in the join, stored once, with what the join needs to know of them.
+
+    ``id`` is the place of the line among all in the order of addresses, so of two lines the earlier has the smaller one.
+    """
+    lines = _lines(docs, skip).where(F.length("line") >= min_chars)
+    numbered = ranked(lines.withColumn("all", F.lit(0)), "all", _ADDRESS).withColumnRenamed("rank", "id").drop("all")
+    facts = {"length": F.length("line"), "parity": F.expr(_PARITY), "counts": F.expr(_COUNTS)}
+    return materialize(numbered.withColumns(facts), "lines")
+
+
+#: Classes of earlier lines of which the first and the last are tried before all others.
+_TRIED = 4
+
+
+def _meetings(indexed: DataFrame, probing: DataFrame, threshold: int) -> DataFrame:
+    """``(earlier, later)`` for every common hash of two lines whose words and letters differ by no more than the threshold allows."""
+    met = indexed.alias("a").join(probing.alias("b"), "token")
+    # an edit changes three words at most (two become one, or one two), and each change one bit;
+    # and it takes away one character at most and adds one at most
+    met = met.where(f"bit_count(a.parity ^ b.parity) <= {3 * threshold}")
+    met = met.where(f"{_count_distance('a.counts', 'b.counts')} <= {2 * threshold}")
+    # of two lines of one length each probes for the other; one of the two meetings is enough
+    met = met.where("a.id <> b.id and (a.length < b.length or a.id < b.id)")
+    return met.select(F.least("a.id", "b.id").alias("earlier"), F.greatest("a.id", "b.id").alias("later"))
+
+
+def _close(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
+    """The ``later`` lines of those pairs that are within the threshold."""
+    pairs = materialize(pairs, "line-pairs")
+    ids = materialize(pairs.select(F.col("earlier").alias("id")).unionByName(pairs.select(F.col("later").alias("id"))).distinct(), "line-ids")
+    texts = materialize(lines.select("id", "line").join(broadcast_if_small(ids), "id", "left_semi"), "line-texts")
+    met = pairs
+    for side in ("earlier", "later"):
+        met = met.join(texts.select(F.col("id").alias(side), F.col("line").alias(f"line_{side}")), side)
+    # equal lines are left only where rows repeat key and text, and those are one document
+    met = met.where("line_earlier <> line_later")
+    return met.where(F.levenshtein("line_earlier", "line_later", threshold) >= 0).select(F.col("later").alias("id")).distinct()
+
+
 def near_repeats(docs: DataFrame, skip: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
     """``(key, text_hash, line_no)`` of lines within ``threshold`` edits of an earlier line.
 
     Lines that ``skip`` names take no part; they equal one that does.
+
+    A line needs one earlier neighbour. So of the earlier lines it meets, the first and the last of a few classes are
+    verified at first: a few pairs a line, however large its group of near copies. A line for which none of them is near, and which met
+    others, then meets all earlier ones.
     """
     if not 2 * threshold < min_chars or SHORT <= 2 * threshold:
         raise ValueError("lines must be longer than twice the threshold")
     index, probe = _tokens(threshold)
-    lines = _lines(docs, skip).where(F.length("line") >= min_chars).withColumns(
-        {"id": F.xxhash64("line"), "length": F.length("line"), "parity": F.expr(_PARITY), "counts": F.expr(_COUNTS)}
-    )
+    lines = _distinct_lines(docs, skip, min_chars)
     facts = ["id", "length", "parity", "counts"]
     # of two lines the shorter says how they meet
     short = lines.where(F.length("line") < SHORT + threshold).select(*facts, _shortened(threshold).alias("tokens"))
@@ -132,23 +174,20 @@ def near_repeats(docs: DataFrame, skip: DataFrame, threshold: int = THRESHOLD, m
     long = lines.where(F.length("line") >= SHORT)
     indexed = long.select(*facts, F.explode(index).alias("token")).unionByName(short.where(F.col("length") < SHORT))
     probing = long.select(*facts, F.explode(probe).alias("token")).unionByName(short)
-    pairs = indexed.alias("a").join(probing.alias("b"), "token")
-    # an edit changes three words at most (two become one, or one two), and each change one bit;
-    # and it takes away one character at most and adds one at most
-    pairs = pairs.where(f"bit_count(a.parity ^ b.parity) <= {3 * threshold}")
-    pairs = pairs.where(f"{_count_distance('a.counts', 'b.counts')} <= {2 * threshold}")
-    # of two lines of one length each probes for the other; one of the two meetings is enough
-    pairs = pairs.where("a.id <> b.id and (a.length < b.length or a.id < b.id)")
-    pairs = materialize(pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "line-pairs")
-    met = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-ids")
-    texts = materialize(lines.select("id", *_ADDRESS, "line").join(broadcast_if_small(met), "id", "left_semi"), "line-texts")
-
-    def side(name: str) -> DataFrame:
-        return texts.select(F.col("id").alias(name), F.struct(*_ADDRESS).alias(f"at_{name}"), F.col("line").alias(f"line_{name}"))
-
-    close = pairs.join(side("a"), "a").join(side("b"), "b")
-    close = close.where(F.levenshtein("line_a", "line_b", threshold) >= 0)
-    return close.select(F.greatest("at_a", "at_b").alias("at")).select("at.*").distinct()
+    met = _meetings(indexed, probing, threshold).withColumn("class", F.pmod(F.xxhash64("earlier"), F.lit(_TRIED)))
+    ends = met.groupBy("later", "class").agg(F.min("earlier").alias("first"), F.max("earlier").alias("last"), F.count(F.lit(1)).alias("n"))
+    ends = materialize(ends, "line-ends")
+    tried = ends.select("later", F.col("first").alias("earlier")).unionByName(ends.where("last > first").select("later", F.col("last").alias("earlier")))
+    found = materialize(_close(tried, lines, threshold), "near-lines")
+    more = ends.where("last > first and n > 2").select(F.col("later").alias("id")).distinct()
+    more = materialize(more.join(broadcast_if_small(found), "id", "left_anti"), "open-lines")
+    if not more.isEmpty():
+        only = broadcast_if_small(more)
+        rest = _meetings(indexed.join(only, "id", "left_semi"), probing, threshold)
+        rest = rest.unionByName(_meetings(indexed, probing.join(only, "id", "left_semi"), threshold))
+        rest = rest.join(only.withColumnRenamed("id", "later"), "later", "left_semi").select("earlier", "later").distinct()
+        found = found.unionByName(_close(rest, lines, threshold))
+    return lines.select("id", *_ADDRESS).join(broadcast_if_small(materialize(found, "close-lines")), "id", "left_semi").select(*_ADDRESS)
 
 
 def repeated_lines(
@@ -172,12 +211,15 @@ def repeated_lines(
     return materialize(found.withColumnRenamed("key", key), "repeated-lines")
 
 
-def without_lines(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the lines that ``found`` names taken out of the text, and ``removed``, their number."""
+def without_lines(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text", removed: str = "removed") -> DataFrame:
+    """``docs`` with the lines that ``found`` names taken out of the text, and ``removed``, their number.
+
+    A column of that name in ``docs`` gives way; ``removed`` can be given another name.
+    """
     marks = found.select(F.col(key).alias("__key"), F.col("text_hash").alias("__hash"), F.col("lines").alias("__lines"))
     joined = docs.join(broadcast_if_small(marks, F.size("__lines")), (F.col(key) == F.col("__key")) & (F.xxhash64(F.col(text)) == F.col("__hash")), "left")
     numbered = F.filter(F.split(F.col(text), "\n"), lambda line, i: ~F.array_contains("__lines", i))
-    removed = F.coalesce(F.size("__lines"), F.lit(0))
+    number = F.coalesce(F.size("__lines"), F.lit(0))
     kept = F.when(F.col("__lines").isNull(), F.col(text)).otherwise(F.array_join(numbered, "\n"))
-    columns = [kept.alias(c) if c == text else F.col(c) for c in docs.columns if c != "removed"]
-    return joined.select(*columns, removed.alias("removed"))
+    columns = [kept.alias(c) if c == text else F.col(c) for c in docs.columns if c != removed]
+    return joined.select(*columns, number.alias(removed))

@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 import regex
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from scoreloom.llm import (
     ann,
@@ -195,14 +196,33 @@ def test_line_dedup(spark):
     df = frame(spark, docs)
     found = line_dedup.repeated_lines(df)
     got = {(r.doc_id, i) for r in found.collect() for i in r.lines}
-    places = sorted({(k, i, x) for k, t in docs if k is not None and t is not None for i, x in enumerate(t.split("\n")) if len(x) >= 40})
-    want = {(k, i) for n, (k, i, x) in enumerate(places) for _, _, y in places[:n] if abs(len(x) - len(y)) <= 2 and within(x, y, 2)}
+    places = sorted({(k, i, x) for k, t in docs if k is not None and t is not None for i, x in enumerate(t.split("\n")) if x.strip()})
+    near = lambda x, y: x == y or min(len(x), len(y)) >= line_dedup.MIN_CHARS and abs(len(x) - len(y)) <= 2 and within(x, y, 2)
+    want = {(k, i) for n, (k, i, x) in enumerate(places) for _, _, y in places[:n] if near(x, y)}
     assert got == want and want
     cleaned = line_dedup.without_lines(df, found).select("doc_id", "text", "removed").collect()
     for (key, text), row in zip(sorted(docs, key=str), sorted(cleaned, key=lambda r: str((r[0], r[1]))), strict=True):
         assert row.text == (text and "\n".join(x for i, x in enumerate(text.split("\n")) if (key, i) not in got))
 
 
+def test_large_group_of_near_lines(spark):
+    """Lines of one sentence, each with a word or two of its own: the first candidates are not always near."""
+    rng = random.Random(9)
+    sentence = "the quick brown fox jumps over the lazy dog and runs away from it"
+    lines = ["".join(rng.choice("xyz") if rng.random() < 0.04 else c for c in sentence) for _ in range(120)]
+    docs = [(i, line) for i, line in enumerate(lines)]
+    got = {r.doc_id for r in line_dedup.repeated_lines(frame(spark, docs)).collect()}
+    want = {i for i, x in enumerate(lines) if any(x == y or abs(len(x) - len(y)) <= 2 and within(x, y, 2) for y in lines[:i])}
+    assert got == want and 20 < len(want) < 119
+
+
+def test_removed_has_a_name_of_its_own(spark):
+    docs = spark.createDataFrame([(1, "a line\na line", 7), (2, None, 8)], "doc_id int, text string, removed int")
+    found = line_dedup.repeated_lines(docs)
+    got = {r.doc_id: (r.removed, r.gone) for r in line_dedup.without_lines(docs, found, removed="gone").collect()}
+    assert got == {1: (7, 1), 2: (8, 0)}
+
+
 def test_byte_bpe_round_trip_in_chunks(spark, vocabulary):
     docs = DOCS + [(20, "many words and 123 numbers, " * 60), (21, "a b" * 200 + "z" * 700)]
     encoding = vocabulary.encoding()
@@ -309,8 +329,10 @@ def test_nearest_neighbours(spark):
 
 def test_packing(spark):
     tokenizer = packing_tokenizer()
-    reference = tokenizer._load()
-    docs = DOCS + [(30 + i, f"Document {i} on topic {i % 3}, éa ß. Und " * (i + 1)) for i in range(25)]
+    reference = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    special = [(28, "a <|endoftext|> b<|startoftext|>c <|endoftext|>"), (29, "<|startoftext|>")]
+    assert reference.encode(special[0][1], add_special_tokens=False).ids == [320, 49407, 321, 49406, 322, 49407]
+    docs = DOCS + special + [(30 + i, f"Document {i} on topic {i % 3}, éa ß. Und " * (i + 1)) for i in range(25)]
     rows = packing.pack(frame(spark, docs), tokenizer, window=64, shard_tokens=500, partition_tokens=2000).collect()
     want = sorted((k, tuple([*reference.encode(t or "", add_special_tokens=False).ids, 2])) for k, t in docs if k not in (None, 1))
     got = {}

@@ -6,14 +6,16 @@ import zlib
 
 import corpus_pipeline
 import numpy as np
+import public_tokenizers
 import pytest
 from conftest import SF
 from oracle import connect, spark_rows, sql_rows
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_point
 from scoreloom.llm import line_dedup
-from scoreloom.llm.queries import CATALOG, packing_tokenizer
+from scoreloom.llm.queries import CATALOG
 
 
 def test_all_are_registered():
@@ -60,11 +62,11 @@ def test_pipeline(spark):
 
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()}
     first: dict[str, tuple] = {}
-    places = [(k, i, x) for k, t in docs.items() for i, x in enumerate(t.split("\n")) if len(x) >= line_dedup.MIN_CHARS]
+    places = [(k, i, x) for k, t in docs.items() for i, x in enumerate(t.split("\n")) if x.strip()]
     for k, i, x in places:
         first.setdefault(x, (k, i))
     gone = {(k, i) for k, i, x in places if first[x] < (k, i)}
-    lines = sorted(first, key=len)
+    lines = sorted((x for x in first if len(x) >= line_dedup.MIN_CHARS), key=len)
     for n, x in enumerate(lines):
         for y in reversed(lines[:n]):
             if len(x) - len(y) > 2:
@@ -77,7 +79,7 @@ def test_pipeline(spark):
         if left == t or left.strip():
             kept[k] = left
     stays = {k: kept[k] for k, _, c in brute_components(list(kept.items())) if c == k}
-    tokenizer = packing_tokenizer()._load()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     want = {k: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for k, t in stays.items()}
     rows = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in rows} == set(want)
