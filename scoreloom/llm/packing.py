@@ -29,7 +29,7 @@ WINDOW = 4096
 SHARD_TOKENS = 1 << 19
 PARTITION_TOKENS = 1 << 23
 #: Units of text whose ids a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 K1, B = 1.2, 0.75
 
 
@@ -51,26 +51,35 @@ class WordTokenizer:
     def _load(self):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_buffer(self.file)
-        tokenizer.encode_special_tokens = True
-        return tokenizer
+        return Tokenizer.from_buffer(self.file)
 
     def encoder(self, kind: str):
         """A function from texts to packed ids. Runs without blanks are encoded once and remembered."""
         tokenizer, plain, known = self._load(), _PlainWords(self.file), {}
         end = np.asarray([self.end_id], kind).tobytes()
 
-        def encode(texts: list[str]) -> list[bytes]:
-            cut = [t.replace("\n", " ").split(" ") for t in texts]
-            if len(known) > REMEMBERED:
-                known.clear()
-            new = {u for units in cut for u in units if u not in known}
+        def learn(new: set[str]) -> None:
             words = [u for u in new if plain.takes(u)]
             known.update(plain.encode(words, kind))
             rest = list(new.difference(words))
             for unit, found in zip(rest, tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
                 known[unit] = np.asarray(found.ids, kind).tobytes()
-            return [b"".join(map(known.__getitem__, units)) + end for units in cut]
+
+        def encode(texts: list[str]) -> list[bytes]:
+            if len(known) > REMEMBERED:
+                known.clear()
+            packed, open_ = [], {}
+            for text in texts:
+                units = text.replace("\n", " ").split(" ")
+                try:  # most texts have known units only; a missing one is None, which does not join
+                    packed.append(b"".join(map(known.get, units)) + end)
+                except TypeError:
+                    open_[len(packed)] = units
+                    packed.append(b"")
+            learn({u for units in open_.values() for u in units if u not in known})
+            for place, units in open_.items():
+                packed[place] = b"".join(map(known.__getitem__, units)) + end
+            return packed
 
         return encode
 
