@@ -34,7 +34,11 @@ SIMILAR = (3, 4)
 #: The order needs to know common shingles only: seen this often, and at most this many of them.
 COMMON_FROM, COMMON_MOST = 20, 1 << 18
 #: Nodes under one shingle that are still paired row by row; shingles in the sets of a block.
-PAIRED, BLOCK_TOKENS = 32, 1 << 18
+PAIRED, BLOCK_TOKENS = 32, 1 << 19
+#: Shingles of two blocks that are compared as columns of a matrix at a time.
+COLUMNS = 1 << 13
+#: Holders of a shingle that are met one by one.
+FEW = 4
 #: Nodes from which a component gets blocks of its own.
 PURE = 16
 #: Shingles counted at a time.
@@ -48,7 +52,7 @@ class _Words(dict):
     """Hash of each word; forgets when it grows beyond a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
@@ -242,10 +246,27 @@ def _forest(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.ndarra
     shared = np.bincount(at, minlength=len(tokens)) > 1
     column = np.cumsum(shared) - 1
     kept = shared[at]
-    present = np.zeros((len(sizes), int(shared.sum())), np.float32)
-    present[rows[kept], column[at[kept]]] = 1
+    order = np.argsort(column[at[kept]], kind="stable")
+    rows, column = rows[kept][order], column[at[kept]][order]
     cut = len(left)
-    overlap = np.rint(present[:cut] @ present[cut:].T).astype(np.int64)
+    overlap = np.zeros((cut, len(sizes) - cut), np.float32)
+    # holders of a shingle in few of the sets are met one by one, the others as slices of a matrix
+    starts = np.flatnonzero(np.concatenate(([True], column[1:] != column[:-1]))) if len(column) else np.zeros(0, int)
+    counts = np.diff(np.append(starts, len(column)))
+    for size in range(2, FEW + 1):
+        held = rows[starts[counts == size][:, None] + np.arange(size)]
+        for i in range(size):
+            for j in range(size):
+                crossing = (held[:, i] < cut) & (held[:, j] >= cut)
+                np.add.at(overlap, (held[crossing, i], held[crossing, j] - cut), 1)
+    wide = np.repeat(counts > FEW, counts)
+    rows, column = rows[wide], np.repeat(np.cumsum(counts > FEW) - 1, counts)[wide]
+    for start in range(0, int((counts > FEW).sum()), COLUMNS):
+        a, b = np.searchsorted(column, (start, start + COLUMNS))
+        present = np.zeros((len(sizes), int(column[b - 1]) - start + 1), np.float32)
+        present[rows[a:b], column[a:b] - start] = 1
+        overlap += present[:cut] @ present[cut:].T
+    overlap = np.rint(overlap).astype(np.int64)
     union = sizes[:cut, None] + sizes[None, cut:] - overlap
     parent = list(range(len(sizes)))
 
@@ -267,12 +288,19 @@ def _forest(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.ndarra
     return links
 
 
-def _blocks(nodes: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``nodes (node, pool, pure)`` dealt to blocks of about ``BLOCK_TOKENS`` within each pool; and the blocks with their sets."""
+def _size_class(similar: tuple[int, int]) -> str:
+    """Sets can be similar only if their classes differ by one at most; classes are a little wider than they must be."""
+    return f"cast(floor(ln(size) / ln(1.001 * {similar[1]} / {similar[0]})) as int)"
+
+
+def _blocks(nodes: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """``nodes (node, pool, pure)`` dealt to blocks of about ``BLOCK_TOKENS`` of one pool and class of sizes; and the blocks with their sets."""
     sized = nodes.join(sets.select("node", (F.octet_length("tokens") / 8).alias("size")), "node")
-    pools = sized.groupBy("pool", "pure").agg(F.ceil(F.sum("size") / BLOCK_TOKENS).alias("parts"))
-    dealt = nodes.join(pools, ["pool", "pure"]).select(
-        "node", "pure", "pool", F.xxhash64("pool", "pure", F.expr("pmod(xxhash64(node), parts)")).alias("block")
+    sized = materialize(sized.withColumn("class", F.expr(_size_class(similar))), "sized")
+    whole = ["pool", "pure", "class"]
+    pools = materialize(sized.groupBy(*whole).agg(F.ceil(F.sum("size") / BLOCK_TOKENS).alias("parts")), "pools")
+    dealt = sized.join(broadcast_if_small(pools), whole).select(
+        "node", *whole, F.xxhash64(*whole, F.expr("pmod(xxhash64(node), parts)")).alias("block")
     )
     dealt = materialize(dealt, "blocks")
     filled = dealt.join(sets, "node").groupBy("block").agg(F.collect_list(F.struct("node", "tokens")).alias("sets"))
@@ -304,19 +332,19 @@ def _crowded_links(buckets: DataFrame, sets: DataFrame, links: DataFrame, simila
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
     largest = F.max(F.struct("m", "bucket"))["bucket"]
     nodes = buckets.join(sizes, "bucket").groupBy("node").agg(largest.alias("pool"))
-    dealt, filled = _blocks(nodes.withColumn("pure", F.lit(False)), sets)
-    placed = buckets.join(dealt, "node").select("bucket", "block").distinct()
-    hubs = placed.groupBy("bucket").agg(F.min("block").alias("p"))
-    met = placed.join(hubs, "bucket").select("p", F.col("block").alias("q")).distinct()
+    dealt, filled = _blocks(nodes.withColumn("pure", F.lit(False)), sets, similar)
+    placed = buckets.join(dealt, "node").select("bucket", "class", "block").distinct()
+    hubs = placed.groupBy("bucket", "class").agg(F.min("block").alias("p"))
+    met = placed.join(hubs, ["bucket", "class"]).select("p", F.col("block").alias("q")).distinct()
     first = materialize(_links_of_blocks(met, filled, similar), "hub-links")
     roots = materialize(components(links.unionByName(first)), "roots")
     labelled = nodes.join(roots, "node", "left").select("node", "pool", F.coalesce("root", "node").alias("root"))
     sizes = labelled.groupBy("root").agg((F.count(F.lit(1)) >= PURE).alias("pure"))
     labelled = labelled.join(sizes, "root").select("node", "pure", F.when(F.col("pure"), F.col("root")).otherwise(F.col("pool")).alias("pool"))
-    dealt, filled = _blocks(labelled, sets)
-    placed = materialize(buckets.join(dealt, "node").select("bucket", "block", "pure", "pool").distinct(), "placed")
+    dealt, filled = _blocks(labelled, sets, similar)
+    placed = materialize(buckets.join(dealt, "node").select("bucket", "block", "pure", "pool", "class").distinct(), "placed")
     p, q = placed.alias("p"), placed.alias("q")
-    open_ = "p.block <= q.block and not (p.pure and q.pure and p.pool = q.pool)"
+    open_ = "p.block <= q.block and abs(p.class - q.class) <= 1 and not (p.pure and q.pure and p.pool = q.pool)"
     met = p.join(q, "bucket").where(open_).select(F.col("p.block").alias("p"), F.col("q.block").alias("q")).distinct()
     return first.unionByName(materialize(_links_of_blocks(met, filled, similar), "late-links"))
 
