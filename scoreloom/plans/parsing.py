@@ -14,7 +14,7 @@ from scoreloom.plans import synth
 from scoreloom.plans.catalog import query, table, work_table
 from scoreloom.session import materialize, shared_dir
 from scoreloom.sources.harness import harness_documents, write_documents
-from scoreloom.sources.report import report_lines
+from scoreloom.sources.report import read_report, report_lines, write_report
 from scoreloom.sources.scan import scan_documents
 from scoreloom.streaming.ingest import ingest
 from scoreloom.streaming.statistics import stored_statistics
@@ -501,6 +501,46 @@ def report_line_counts(spark, sf_dir):
     )
 
 
+PARAMS_TEXT = '{"do_sample":null,"temperature":null,"top_p":null,"top_k":null,"max_gen_toks":null,"seed":null}'
+
+
+@query(
+    RUNS_SQL
+    + f""", scored as (select *, (1 + user_id % 5) / 8.0::double as v, (10 + user_id % 5)::double as d from runs),
+groups as (
+    select task_name, model_name, metric, v, d, count(*) as n, min(event_id) as first, min(min(event_id)) over () as very_first
+    from scored group by all),
+names as (
+    select 'task' as kind, task_name as name from groups union select 'model', model_name from groups),
+firsts as (select kind, min(name) as first from names group by kind)
+select '{{"results":[' as text
+union all select case when first <> very_first then ',' else '' end || '{{"task_name":"' || task_name || '","model_name":"' || model_name
+    || '","inference_parameters":{PARAMS_TEXT},"num_repetitions":' || n
+    || ',"aggregate_stats":{{"evaluation_duration_seconds":{{"mean":' || d || ',"std":0.0}},"metrics":{{' from groups
+union all select '"' || metric || '":{{"value":{{"mean":' || v || ',"std":0.0}},"stderr":{{"mean":null,"std":null}}}}' from groups
+union all select '}}}},"runs":[' from groups
+union all select case when event_id <> first then ',' else '' end || '{{"source_filename":"' || source_filename
+    || '","evaluation_datetime":null,"evaluation_datetime_iso":null,"evaluation_duration_seconds":' || s.d || ',"metrics":{{"' || s.metric
+    || '":{{"value":' || s.v || ',"stderr":null}}}}}}' from scored s join groups using (task_name, model_name)
+union all select ']}}' from groups
+union all select '],"metadata":{{"parser_version":"1.0","parse_datetime":"2024-01-01T00:00:00+00:00","total_results_parsed":' || (select count(*) from runs)
+    || ',"total_files_parsed":' || (select count(*) from events) || ',"unique_tasks":['
+union all select case when name <> first then ',' else '' end || '"' || name || '"' from names join firsts using (kind)
+union all select '],"unique_models":['
+union all select ']}}}}'"""
+)
+def report_text(spark, sf_dir):
+    """The report, written and read back, line by line. Scores and durations are alike within a group, so its spreads are 0."""
+    from datetime import datetime, timezone
+
+    model = F.pmod(F.col("user_id"), F.lit(5))
+    events = work_table(spark, sf_dir, "events").withColumn("value", (model + 1) / F.lit(8.0))
+    docs = synth.event_documents(events, duration=(model + 10).cast("double"))
+    outcomes = materialize(X.extract(docs), "outcomes")
+    folder = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
+    return read_report(spark, write_report(outcomes, folder, layout="parts", now=datetime(2024, 1, 1, tzinfo=timezone.utc)))
+
+
 LANG_TASK_SQL = """case lang when 'de' then 'gsm8k_platinum_cot_llama' when 'en' then 'mmlu_cot_llama'
         when 'es' then 'mmlu_pro_chat' when 'fr' then 'ifeval' end"""
 

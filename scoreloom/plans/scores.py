@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from scoreloom.operators import instructions as I
 from scoreloom.operators import prompts as P
 from scoreloom.operators import scoring as S
-from scoreloom.operators.generate import generate
+from scoreloom.operators.generate import generate, generate_with_ledger, ledger_of
 from scoreloom.plans.catalog import query, table, work_table
 from scoreloom.plans.parsing import SCALE, r6, scored_events
-from scoreloom.session import shared_dir, ship_with_tasks
+from scoreloom.session import materialize, shared_dir, ship_with_tasks
 from scoreloom.sources.harness import write_details
 
 ship_with_tasks(__name__)
@@ -368,11 +368,35 @@ def batch_generate(spark, sf_dir):
     return answered.select("conv_id", "turn", "output", "error", "attempts")
 
 
+def _breaks_off(text: str) -> str:
+    if len(text) % 2:
+        raise ConnectionError("gone")
+    return str(len(text))
+
+
+@query("""select conv_id, turn, length(text)::varchar as output, 1::bigint as n_answers,
+    case when length(text) % 2 = 0 then 'first' else 'second' end as answered_in
+from conversations""")
+def resumed_generation(spark, sf_dir):
+    """Two passes over all turns with a ledger: the first breaks off at every second text, the other answers the rest."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    turns = turns.withColumn("key", F.concat_ws(":", "conv_id", "turn"))
+    ledger = f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    options = {"key": "key", "prompt": "text", "tasks": spark.sparkContext.defaultParallelism, "threads": 4, "batch": 512}
+    generate_with_ledger(turns, _breaks_off, ledger, retries=0, **options)
+    first = materialize(ledger_of(spark, ledger).where("error is null").select("key", F.lit("first").alias("answered_in")), "first-pass")
+    answered = generate_with_ledger(turns, lambda text: str(len(text)), ledger, retries=0, **options)
+    counts = spark.read.parquet(ledger).where("error is null").groupBy("key").agg(F.count(F.lit(1)).alias("n_answers"))
+    return answered.join(counts, "key").join(first, "key", "left").select(
+        "conv_id", "turn", "output", "n_answers", F.coalesce("answered_in", F.lit("second")).alias("answered_in")
+    )
+
+
 @query(f"""select event_type as task_name, 'm' || (user_id % 5) as model_name, (event_id % 3 + 1)::int as rep,
     count(*) as n, round(avg(value / {SCALE}), 6) as score
 from events group by all""")
 def details_sink(spark, sf_dir):
-    """Per-sample details stored per run, scored from the stored table."""
+    """Per-sample details stored per run, scored from the stored table. A third of the runs is stored twice."""
     samples = scored_events(spark, sf_dir).select(
         F.col("event_type").alias("task_name"),
         F.concat(F.lit("m"), F.pmod(F.col("user_id"), F.lit(5)).cast("string")).alias("model_name"),
@@ -382,6 +406,7 @@ def details_sink(spark, sf_dir):
     )
     target = f"{shared_dir(spark)}/details-{uuid.uuid4().hex}"
     write_details(samples, target)
+    write_details(samples.where("rep = 2"), target)
     stored = spark.read.parquet(target)
     return stored.groupBy("task_name", "model_name", "rep").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("score")

@@ -126,9 +126,12 @@ def write_details(
 ) -> None:
     """Per-sample rows as Parquet, one directory per run.
 
+    The runs in ``samples`` replace what is stored of them, and all other runs stay: a run may be written again, whole.
+    Rows are staged beside the table and take their place when the job is done, so a job that dies
+    leaves the table as it was.
+
     The rebalance hint puts a run's rows together and splits the large ones, so a hot
     run becomes several files instead of one slow task.
     """
-    samples.hint("rebalance", *by).write.mode("append").option(
-        "maxRecordsPerFile", max_rows_per_file
-    ).partitionBy(*by).parquet(target)
+    writer = samples.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("maxRecordsPerFile", max_rows_per_file).partitionBy(*by).parquet(target)

@@ -34,8 +34,8 @@ def write_report(
     """Write ``parsed_results_<UTC time>.json`` and return its path.
 
     The lines are sorted in ranges and written by many tasks. ``layout="parts"`` leaves a directory of part
-    files which, concatenated in name order, are the document; ``"file"`` streams them, one
-    after the other, into one file of any size. Pass ``stored=False`` for outcomes that are not backed by a
+    files which, concatenated in name order, are the document; ``"file"`` joins them to one: where the file system
+    can join files by their blocks that moves no bytes, elsewhere they are streamed, one after the other. Pass ``stored=False`` for outcomes that are not backed by a
     table yet.
     """
     if layout not in ("file", "parts"):
@@ -60,9 +60,16 @@ def write_report(
 
 
 def _concatenate(spark, parts_dir: str, target: str) -> None:
-    """Copy part files in name order into one file, a buffer at a time."""
+    """Part files in name order as one file: joined by the file system, or else copied a buffer at a time."""
     fs, path = _hadoop(spark, target)
     parts = sorted(s.getPath().toString() for s in fs.globStatus(_hadoop(spark, f"{parts_dir}/part-*")[1]))
+    if fs.hasPathCapability(path, "fs.capability.paths.concat") and parts:
+        paths = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(parts))
+        for i, part in enumerate(parts):
+            paths[i] = _hadoop(spark, part)[1]
+        fs.create(path, True).close()
+        fs.concat(path, paths)
+        return
     out = fs.create(path, True)
     try:
         for part in parts:
@@ -75,6 +82,11 @@ def _concatenate(spark, parts_dir: str, target: str) -> None:
         out.close()
 
 
+def read_report(spark, report: str) -> DataFrame:
+    """The lines of a report of either layout, as ``text``."""
+    return spark.read.text(report).withColumnRenamed("value", "text")
+
+
 def _hadoop(spark, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
