@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scoreloom.operators import extract as X
@@ -127,6 +128,43 @@ def stderr_lookup(spark, sf_dir):
     return stats.select(*G.GROUP, "n", "n_stderr", r6("stderr_mean"), r6("stderr_std"))
 
 
+@query(f"""select task_name, count(*) as n, count(stderr) as n_stderr, round(avg(stderr), 4) as stderr_mean
+from (select case o_orderpriority when '1-URGENT' then 'math_500|0' when '2-HIGH' then 'aime25|0'
+        when '3-MEDIUM' then 'gpqa:diamond|0' when '4-NOT SPECIFIED' then 'lcb:codegeneration_v6' end as task_name,
+        case o_orderkey % 3 when 0 then o_totalprice / {SCALE} / 7 end as stderr from orders)
+where task_name is not null group by task_name""")
+def lighteval_stderr(spark, sf_dir):
+    """The other harness appends its mark to the whole name; a mark before a comma, or a text, is none."""
+    docs = synth.order_documents(scored_orders(spark, sf_dir).withColumn("o_totalprice", F.col("o_totalprice") / 7))
+    key = F.col("content")
+    marked = F.regexp_replace(key, r'("[^"]*pass@k:k=1&n=1)":([0-9.Ee+-]+)', '$1":$2,$1_stderr":$2')
+    unmarked = F.regexp_replace(key, r'("[^"]*pass@k:k=1&n=1)":([0-9.Ee+-]+)', '$1":$2,$1_stderr":"N/A",$1_stderr,x":$2')
+    number = F.substring_index("source_filename", ".", 1).cast("bigint") % 3
+    docs = docs.withColumn("content", F.when(number == 0, marked).when(number == 1, unmarked).otherwise(key))
+    stats = G.metrics_long(X.results(X.extract(docs))).groupBy("task_name")
+    return stats.agg(F.count("value").alias("n"), F.count("stderr").alias("n_stderr"), F.round(F.avg("stderr"), 4).alias("stderr_mean"))
+
+
+@query(
+    RUNS_SQL
+    + """select row_number() over (order by min(event_id))::int as position, task_name, model_name, count(*) as num_repetitions
+from runs group by task_name, model_name"""
+)
+def report_order(spark, sf_dir):
+    """Places of the groups in the written report: by their first run."""
+    outcomes = materialize(X.extract(synth.event_documents(scored_events(spark, sf_dir))), "outcomes")
+    folder = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
+    lines = read_report(spark, write_report(outcomes, folder, layout="parts"), position=True)
+    heads = lines.where(F.col("text").rlike('^,?\\{"task_name"'))
+    field = lambda name, kind: F.get_json_object(F.concat(F.regexp_extract("text", '^,?(.*),"aggregate_stats"', 1), F.lit("}")), f"$.{name}").cast(kind)
+    # as many rows as groups
+    order = F.row_number().over(W.orderBy("file", "line"))
+    return heads.select(
+        order.alias("position"), field("task_name", "string").alias("task_name"), field("model_name", "string").alias("model_name"),
+        field("num_repetitions", "bigint").alias("num_repetitions"),
+    )
+
+
 @query(
     RUNS_SQL
     + """select task_name, model_name, count(*) as num_repetitions, count(seconds) as n_durations,

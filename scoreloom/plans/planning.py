@@ -113,6 +113,35 @@ def suite_rollup(spark, sf_dir):
     return rolled.select("suite", "model_name", "n_tasks", r6("suite_mean"))
 
 
+def _config_rows() -> str:
+    """The configurations as rows of SQL: suite, script, label, task, harness, model, reps, length of an answer."""
+    rows = [(c[0], c[2], c[3], c[5], c[6], c[8], c[10], c[12]) for c in runplan.RUN_CONFIGS]
+    return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in row) + ")" for row in rows)
+
+
+@query(
+    RUNS_SQL
+    + f""", configs(suite, script, label, task_name, harness, model, reps, gen) as (values {_config_rows()}),
+planned as (
+    select *, 'results/' || label || '_' || rep || '_seed_' || (1233 + rep) || case when harness = 'lm_eval' then '.json' else '' end as output_path
+    from configs, unnest(range(1, 9)) r(rep) where rep <= reps),
+observed as (select task_name, event_id % 9 as rep, count(*) as n, min(value) as least from runs group by all)
+select suite, script, harness, model as model_name, rep::int as rep, (1233 + rep)::int as seed, output_path, gen as max_gen_toks,
+    coalesce(n, 0) as n_results, round(least, 6) as least
+from planned left join observed using (task_name, rep)"""
+)
+def run_matrix(spark, sf_dir):
+    """The 44 runs of the 13 configurations, each with the results that were found for its task and repetition."""
+    rep = F.pmod(F.substring_index("source_filename", ".", 1).cast("bigint"), F.lit(9)).cast("int")
+    long = event_results(spark, sf_dir).select("task_name", rep.alias("rep"), F.explode(F.map_values("metrics")).alias("m"))
+    observed = long.groupBy("task_name", "rep").agg(F.count(F.lit(1)).alias("n_results"), F.min("m.value").alias("least"))
+    runs = runplan.expand_runs(runplan.run_configs(spark)).join(observed, ["task_name", "rep"], "left")
+    return runs.select(
+        "suite", "script", "harness", "model_name", "rep", "seed", "output_path", F.col("max_gen_toks").cast("int").alias("max_gen_toks"),
+        F.coalesce("n_results", F.lit(0).cast("bigint")).alias("n_results"), r6("least"),
+    )
+
+
 def _planned_and_observed(spark, sf_dir):
     """Even events plan two runs of their (type, user), odd events are runs that happened."""
     events = table(spark, sf_dir, "events")

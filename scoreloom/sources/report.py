@@ -82,9 +82,14 @@ def _concatenate(spark, parts_dir: str, target: str) -> None:
         out.close()
 
 
-def read_report(spark, report: str) -> DataFrame:
-    """The lines of a report of either layout, as ``text``."""
-    return spark.read.text(report).withColumnRenamed("value", "text")
+def read_report(spark, report: str, position: bool = False) -> DataFrame:
+    """The lines of a report of either layout, as ``text``; with ``position`` also ``file`` and ``line``, by which they sort."""
+    lines = spark.read.text(report)
+    if not position:
+        return lines.select(F.col("value").alias("text"))
+    # numbers grow within a file, which is read in pieces from front to back
+    place = [F.col("_metadata.file_name").alias("file"), F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("line")]
+    return lines.select(F.col("value").alias("text"), *place)
 
 
 def _hadoop(spark, path: str):
