@@ -27,6 +27,9 @@ UNKNOWN = "und"
 BUCKETS = 1 << 16
 #: Labelled rows that the text model is fitted on, about; all if there are fewer.
 TRAIN_ROWS = 50_000
+#: Share of a language's trigrams that is spread over all buckets. So an unseen trigram costs the same however long the
+#: training text was, and a key or a number in a text does not outweigh its words.
+UNSEEN = 0.1
 #: Trigrams overlap, so each counts for a third of an observation.
 TRIGRAM_WEIGHT = 1 / 3
 #: How often a declared language and an address tell the truth.
@@ -89,9 +92,11 @@ def fit(
 
     counts = rows.mapInArrow(count, "language bigint, code bigint, n bigint")
     counts = counts.groupBy("language", "code").agg(F.sum("n").alias("n")).toPandas()
-    seen = np.full((BUCKETS, len(languages) + 1), 0.5)
+    seen = np.zeros((BUCKETS, len(languages) + 1))
     seen[counts["code"], counts["language"]] += counts["n"]
-    return TextModel(languages, np.log(seen / seen.sum(0)).astype(np.float32))
+    total = seen.sum(0)
+    share = np.where(total > 0, (1 - UNSEEN) * seen / np.maximum(total, 1) + UNSEEN / BUCKETS, 1 / BUCKETS)
+    return TextModel(languages, np.log(share).astype(np.float32))
 
 
 def suggested(address: Column, languages: Sequence[str], country: Mapping[str, str] = COUNTRY) -> Column:
@@ -110,14 +115,36 @@ def declared_in(html: Column) -> Column:
     return F.lower(F.nullif(F.regexp_extract(html, r"(?i)<html[^>]*\slang\s*=\s*[\"']?([a-z]{2,3})", 1), F.lit("")))
 
 
-#: What is no prose of the page itself.
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|nav|footer|template|noscript)\b.*?</\1\s*>", re.I | re.S)
+#: Where something opens that is no prose of the page itself, and what closes it.
+_OPENS = re.compile(r"<!--|<(script|style|nav|footer|template|noscript)\b", re.I)
+_CLOSES = {None: re.compile("-->")} | {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "nav", "footer", "template", "noscript")}
 _TAG = re.compile(r"<[/!?]?[a-z][^>]*>", re.I)
 
 
+def _without_hidden(page: str) -> str:
+    """The page without comments, scripts and the like; what is not closed stays.
+
+    Positions only move on: the next closing of each kind is looked up once and kept until it is passed.
+    """
+    kept, at, start = [], 0, 0
+    closing: dict[str | None, tuple[int, int] | None] = {}
+    while opened := _OPENS.search(page, at):
+        kind = opened.group(1) and opened.group(1).lower()
+        at = opened.end()
+        if kind not in closing or (closing[kind] is not None and closing[kind][0] < at):
+            found = _CLOSES[kind].search(page, at)
+            closing[kind] = found and found.span()
+        if closing[kind] is not None:
+            kept.append(page[start : opened.start()])
+            at = start = closing[kind][1]
+    return " ".join([*kept, page[start:]])
+
+
 def page_text(page: str) -> str:
-    """The text of a page without markup, scripts, menus and footers."""
-    return " ".join(markup.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", page))).split())
+    """The text of a page without markup, scripts, menus and footers, in time that grows with its length."""
+    page = _without_hidden(page)
+    last = page.rfind(">") + 1  # no tag ends behind it, so none is looked for
+    return " ".join(markup.unescape(_TAG.sub(" ", page[:last]) + page[last:]).split())
 
 
 def with_page_text(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
