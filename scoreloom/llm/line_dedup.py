@@ -27,17 +27,20 @@ SHORT = 5 * (THRESHOLD + 1)
 #: For each of 64 classes of words, whether the line has an odd number of them.
 _PARITY = "aggregate(split(line, ' '), 0L, (a, w) -> a ^ shiftleft(1L, cast(xxhash64(w) & 63 as int)))"
 
-#: Counts of eight frequent letters, a byte each (modulo 256), in one number.
-_LETTERS = "etaonirs"
-_COUNTS = " | ".join(
-    f"shiftleft(cast((length(line) - length(replace(line, '{c}'))) & 255 as bigint), {8 * i})" for i, c in enumerate(_LETTERS)
-)
+#: Counts of sixteen frequent letters, a byte each (modulo 256), in two numbers.
+_LETTERS = ("etaonirs", "hldcumfp")
+
+
+def _counts(letters: str) -> str:
+    return " | ".join(
+        f"shiftleft(cast((length(line) - length(replace(line, '{c}'))) & 255 as bigint), {8 * i})" for i, c in enumerate(letters)
+    )
 
 
 def _count_distance(a: str, b: str) -> str:
-    """At most the difference of the counts, summed over the letters."""
+    """At most the difference of the counts, summed over eight letters."""
     terms = []
-    for shift in range(0, 8 * len(_LETTERS), 8):
+    for shift in range(0, 64, 8):
         apart = f"abs((shiftright({a}, {shift}) & 255) - (shiftright({b}, {shift}) & 255))"
         terms.append(f"least({apart}, 256 - {apart})")
     return " + ".join(terms)
@@ -121,21 +124,23 @@ def _distinct_lines(docs: DataFrame, skip: DataFrame, min_chars: int) -> DataFra
     """
     lines = _lines(docs, skip).where(F.length("line") >= min_chars)
     numbered = ranked(lines.withColumn("all", F.lit(0)), "all", _ADDRESS).withColumnRenamed("rank", "id").drop("all")
-    facts = {"length": F.length("line"), "parity": F.expr(_PARITY), "counts": F.expr(_COUNTS)}
+    facts = {"length": F.length("line"), "parity": F.expr(_PARITY)}
+    facts |= {f"counts{i}": F.expr(_counts(letters)) for i, letters in enumerate(_LETTERS)}
     return materialize(numbered.withColumns(facts), "lines")
 
 
 #: Classes of earlier lines of which the first and the last are tried before all others.
-_TRIED = 4
+_TRIED = 32
 
 
 def _meetings(indexed: DataFrame, probing: DataFrame, threshold: int) -> DataFrame:
     """``(earlier, later)`` for every common hash of two lines whose words and letters differ by no more than the threshold allows."""
     met = indexed.alias("a").join(probing.alias("b"), "token")
     # an edit changes three words at most (two become one, or one two), and each change one bit;
-    # and it takes away one character at most and adds one at most
-    met = met.where(f"bit_count(a.parity ^ b.parity) <= {3 * threshold}")
-    met = met.where(f"{_count_distance('a.counts', 'b.counts')} <= {2 * threshold}")
+    # and it takes away one character at most and adds one at most, only one of the two if it changes the length
+    most = f"{2 * threshold} - abs(a.length - b.length)"
+    first, second = (_count_distance(f"a.counts{i}", f"b.counts{i}") for i in range(len(_LETTERS)))
+    met = met.where(f"{first} <= {most}").where(f"{first} + {second} <= {most}")
     # of two lines of one length each probes for the other; one of the two meetings is enough
     met = met.where("a.id <> b.id and (a.length < b.length or a.id < b.id)")
     return met.select(F.least("a.id", "b.id").alias("earlier"), F.greatest("a.id", "b.id").alias("later"))
@@ -167,7 +172,7 @@ def near_repeats(docs: DataFrame, skip: DataFrame, threshold: int = THRESHOLD, m
         raise ValueError("lines must be longer than twice the threshold")
     index, probe = _tokens(threshold)
     lines = _distinct_lines(docs, skip, min_chars)
-    facts = ["id", "length", "parity", "counts"]
+    facts = ["id", "length", "parity", "counts0", "counts1"]
     # of two lines the shorter says how they meet
     short = lines.where(F.length("line") < SHORT + threshold).select(*facts, _shortened(threshold).alias("tokens"))
     short = materialize(short, "short-lines").select(*facts, F.explode("tokens").alias("token"))
@@ -175,11 +180,17 @@ def near_repeats(docs: DataFrame, skip: DataFrame, threshold: int = THRESHOLD, m
     indexed = long.select(*facts, F.explode(index).alias("token")).unionByName(short.where(F.col("length") < SHORT))
     probing = long.select(*facts, F.explode(probe).alias("token")).unionByName(short)
     met = _meetings(indexed, probing, threshold).withColumn("class", F.pmod(F.xxhash64("earlier"), F.lit(_TRIED)))
-    ends = met.groupBy("later", "class").agg(F.min("earlier").alias("first"), F.max("earlier").alias("last"), F.count(F.lit(1)).alias("n"))
-    ends = materialize(ends, "line-ends")
+    place = F.col("earlier").cast("decimal(18,0)")
+    ends = met.groupBy("later", "class").agg(
+        F.min("earlier").alias("first"), F.max("earlier").alias("last"), F.count(F.lit(1)).alias("n"),
+        F.sum(place).cast("decimal(38,0)").alias("total"), F.sum(place * place).cast("decimal(38,0)").alias("squares"),
+    )
+    # the sum of (x - first) * (last - x), which is above 0 if and only if some x lies between the two
+    between = "squares < (first + last) * total - n * cast(first as decimal(18,0)) * last"
+    ends = materialize(ends.withColumn("more", F.expr(between)), "line-ends").select("later", "first", "last", "more")
     tried = ends.select("later", F.col("first").alias("earlier")).unionByName(ends.where("last > first").select("later", F.col("last").alias("earlier")))
     found = materialize(_close(tried, lines, threshold), "near-lines")
-    more = ends.where("last > first and n > 2").select(F.col("later").alias("id")).distinct()
+    more = ends.where("more").select(F.col("later").alias("id")).distinct()
     more = materialize(more.join(broadcast_if_small(found), "id", "left_anti"), "open-lines")
     if not more.isEmpty():
         only = broadcast_if_small(more)
