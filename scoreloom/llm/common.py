@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import string
 from collections.abc import Callable, Iterator
 
@@ -62,6 +64,15 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def release_memory() -> None:
+    """Give back what earlier tasks of this Python worker have freed; allocators keep it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def add_columns(df: DataFrame, make: Callable[[], Work], fields: str, drop: tuple[str, ...] = ()) -> DataFrame:
     """Columns computed from whole batches in Python; the other columns pass untouched.
 
@@ -74,6 +85,7 @@ def add_columns(df: DataFrame, make: Callable[[], Work], fields: str, drop: tupl
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         work = None
         for batch in batches:
             work = work or make()

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from scoreloom.llm.components import components
-from scoreloom.llm.common import broadcast_if_small
+from scoreloom.llm.common import broadcast_if_small, release_memory
 from scoreloom.session import materialize
 
 WORDS = 5
@@ -34,7 +34,7 @@ SIMILAR = (3, 4)
 #: The order needs to know common shingles only: seen this often, and at most this many of them.
 COMMON_FROM, COMMON_MOST = 20, 1 << 18
 #: Nodes under one shingle that are still paired row by row; shingles in the sets of a block.
-PAIRED, BLOCK_TOKENS = 32, 1 << 19
+PAIRED, BLOCK_TOKENS = 32, 1 << 20
 #: Shingles of two blocks that are compared as columns of a matrix at a time.
 COLUMNS = 1 << 13
 #: Holders of a shingle that are met one by one.
@@ -92,6 +92,7 @@ def _survey(docs: DataFrame, words: int) -> DataFrame:
     key_type = docs.schema["key"].dataType.simpleString()
 
     def run(batches):
+        release_memory()
         known, held, size = _Words(), [], 0
 
         def counted():
@@ -148,6 +149,7 @@ def _postings(docs: DataFrame, order: _Order, words: int, similar: tuple[int, in
     """Rows (token, node, group, n): each node under its prefix, and under its group."""
 
     def run(batches):
+        release_memory()
         known = _Words()
         for batch in batches:
             tokens, nodes, groups, sizes = [], [], [], []
@@ -172,6 +174,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     """``(node, tokens)``: the whole set, packed."""
 
     def run(batches):
+        release_memory()
         known = _Words()
         for batch in batches:
             found = [s.tobytes() for s in (shingles(t, known, words) for t in batch.column("text").to_pylist())]
@@ -317,6 +320,7 @@ def _links_of_blocks(met: DataFrame, filled: DataFrame, similar: tuple[int, int]
         def unpacked(members):
             return [(m["node"], np.frombuffer(m["tokens"], np.uint64)) for m in members]
 
+        release_memory()
         for batch in batches:
             for row in range(batch.num_rows):
                 left, right = (unpacked(batch.column(c)[row].as_py()) for c in ("sets_p", "sets_q"))

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.llm.common import add_columns
+from scoreloom.llm.common import add_columns, release_memory
 from scoreloom.session import materialize
 
 WINDOW = 4096
@@ -308,6 +308,7 @@ def pack(
     terms = term_statistics(tokens, kind, vocabulary)
 
     def run(batches):
+        release_memory()
         packer, held, size, number = _Packer(terms, window), [], 0, TaskContext.get().partitionId() << 40
         key_type = None
 
