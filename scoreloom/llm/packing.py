@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ WINDOW = 4096
 SHARD_TOKENS = 1 << 19
 PARTITION_TOKENS = 1 << 23
 #: Units of text whose ids a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 500_000
 K1, B = 1.2, 0.75
 
 
@@ -54,7 +55,7 @@ class WordTokenizer:
         return Tokenizer.from_buffer(self.file)
 
     def encoder(self, kind: str):
-        """A function from texts to packed ids. Runs without blanks are encoded once and remembered."""
+        """A function from a column of texts to packed ids. Runs without blanks are encoded once and remembered."""
         tokenizer, plain, known = self._load(), _PlainWords(self.file), {}
         end = np.asarray([self.end_id], kind).tobytes()
 
@@ -65,21 +66,18 @@ class WordTokenizer:
             for unit, found in zip(rest, tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
                 known[unit] = np.asarray(found.ids, kind).tobytes()
 
-        def encode(texts: list[str]) -> list[bytes]:
+        def encode(texts: pa.Array) -> list[bytes]:
             if len(known) > REMEMBERED:
                 known.clear()
-            packed, open_ = [], {}
-            for text in texts:
-                units = text.replace("\n", " ").split(" ")
-                try:  # most texts have known units only; a missing one is None, which does not join
-                    packed.append(b"".join(map(known.get, units)) + end)
-                except TypeError:
-                    open_[len(packed)] = units
-                    packed.append(b"")
-            learn({u for units in open_.values() for u in units if u not in known})
-            for place, units in open_.items():
-                packed[place] = b"".join(map(known.__getitem__, units)) + end
-            return packed
+            cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            coded = cut.flatten().dictionary_encode()
+            units = coded.dictionary.to_pylist()
+            learn(set(units).difference(known))
+            packed = pa.array(map(known.__getitem__, units), pa.large_binary(), size=len(units)).take(coded.indices)
+            ends = np.frombuffer(packed.buffers()[1], np.int64)[cut.offsets.to_numpy()].tolist()
+            data = packed.buffers()[2]
+            data = data.to_pybytes() if data is not None else b""
+            return [data[a:b] + end for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
         return encode
 
@@ -139,7 +137,7 @@ def tokens_of(docs: DataFrame, tokenizer: WordTokenizer, key: str, text: str) ->
         encode = tokenizer.encoder(kind)
 
         def work(batch):
-            ids = encode(batch.column("text").to_pylist())
+            ids = encode(batch.column("text"))
             leads = [int(np.frombuffer(x, kind).max()) for x in ids]
             return [pa.array(leads, pa.int32()), pa.array(ids, pa.binary())]
 
