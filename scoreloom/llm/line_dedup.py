@@ -114,7 +114,7 @@ def _tokens(threshold: int) -> tuple[Column, Column]:
             highest = min(number, less + (threshold - number))
             for shift in range(lowest, highest + 1):
                 probe.append(_token(number, length, start + shift, size))
-    return F.array(*index), F.array_distinct(F.array(*probe))
+    return F.array(*index), F.array(*probe)
 
 
 def _distinct_lines(docs: DataFrame, skip: DataFrame, min_chars: int) -> DataFrame:
@@ -130,7 +130,7 @@ def _distinct_lines(docs: DataFrame, skip: DataFrame, min_chars: int) -> DataFra
 
 
 #: Classes of earlier lines of which the first and the last are tried before all others.
-_TRIED = 32
+_TRIED = 256
 
 
 def _meetings(indexed: DataFrame, probing: DataFrame, threshold: int) -> DataFrame:
