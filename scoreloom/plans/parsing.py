@@ -675,8 +675,8 @@ def incremental_ingest(spark, sf_dir):
     )
 
 
-@query("""select event_type as task_name, 3 * count(*) as n, sum(event_id % 1000)::double / (3 * count(*)) as value_mean, 0.1 as stderr_mean,
-    0.0 as stderr_std
+@query("""select event_type as task_name, 3 * count(*) as n, sum(event_id % 1000)::double / (3 * count(*)) as value_mean, 0.1::double as stderr_mean,
+    0.0::double as stderr_std
 from events group by event_type""")
 def exact_means(spark, sf_dir):
     """Small values among large ones that cancel, and copies of 0.1; the means are compared bit for bit."""
