@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.session import ship_with_tasks
@@ -97,10 +97,12 @@ def write_documents(docs: DataFrame, directory: str) -> int:
 
     Spark's writers name their own files, so the tasks write these. A file is finished
     under another name and then moved, and a retried task writes the same file again.
+    On a cluster, a folder of the local file system has to be below ``spark.checkpoint.dir`` or the warehouse, which all
+    executors share.
     """
     spark = docs.sparkSession
     root = listable(qualified(spark, directory))
-    if root.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+    if root.startswith("file:") and not spark.sparkContext.master.startswith("local") and not _is_shared(spark, root):
         raise ValueError("documents need a file system that all executors share")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -117,6 +119,13 @@ def write_documents(docs: DataFrame, directory: str) -> int:
     return written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
+def _is_shared(spark: SparkSession, root: str) -> bool:
+    """Whether a folder lies in one of those that the driver and all executors reach under the same address."""
+    named = (spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.getCheckpointDir(), spark.conf.get("spark.sql.warehouse.dir", None))
+    inside = lambda folder: f"{root.rstrip('/')}/".startswith(f"{qualified(spark, folder).rstrip('/')}/")
+    return any(inside(folder) for folder in named if folder)
+
+
 def write_details(
     samples: DataFrame,
     target: str,

@@ -279,3 +279,15 @@ def test_hostile_scores_to_documents_and_back(spark, harness):
     assert got["p1"].rows[0].metrics[0].stderr == float("inf")
     assert list(got["p2"].rows) == []
     assert (got["p3"].rows[0].metrics[0].value, got["p3"].rows[0].metrics[0].stderr) == (0.5, 0.5)
+
+
+def test_documents_on_a_cluster_go_to_the_shared_folder_only(spark, tmp_path, monkeypatch):
+    from scoreloom.session import shared_dir
+
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://master:7077")
+    docs = spark.createDataFrame([("a/b.json", "{}"), ("c.json", "[]")], "path string, content string")
+    shared = f"{shared_dir(spark)}/cluster"
+    assert write_documents(docs, shared) == 2
+    assert {r.source_filename: r.content for r in scan_documents(spark, [shared]).collect()} == {"b.json": "{}", "c.json": "[]"}
+    with pytest.raises(ValueError, match="share"):
+        write_documents(docs, str(tmp_path / "own"))
