@@ -19,8 +19,8 @@ from scoreloom.functions import variants as V
 
 Check = Callable[[Column, Column], Column]
 
-#: Signs on both sides of which a word ends.
-_NO_WORD = r"[^\p{L}\p{N}_]"
+#: A sign of a word.
+_SIGN = r"[\p{L}\p{N}_]"
 
 
 def _argument(arguments: Column, name: str) -> Column:
@@ -47,10 +47,10 @@ def _literally(text: Column) -> Column:
     return F.concat(F.lit(r"\Q"), F.replace(text, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
 
 
-def _occurrences(text: Column, word: Column) -> Column:
-    """How often ``word`` stands in the text as a whole word, upper and lower case alike."""
-    pattern = F.concat(F.lit(rf"(?iu)(?:^|(?<={_NO_WORD}))"), _literally(word), F.lit(rf"(?={_NO_WORD}|$)"))
-    return F.regexp_count(text, pattern)
+def _whole_word(word: Column) -> Column:
+    """A pattern for ``word`` as a whole word, upper and lower case alike. It looks for the word before it looks around it."""
+    word = _literally(word)
+    return F.concat(F.lit("(?iu)(?="), word, F.lit(rf")(?<!{_SIGN})"), word, F.lit(rf"(?!{_SIGN})"))
 
 
 def _words(text: Column) -> Column:
@@ -59,14 +59,15 @@ def _words(text: Column) -> Column:
 
 def _json(text: Column, arguments: Column) -> Column:
     body = F.regexp_replace(F.trim(text), r"^```(?:json)?\s*|\s*```$", "")
-    return V.envelope_is_strict(V.strict_envelope(body), body)
+    return V.let(body, lambda b: V.let(V.strict_envelope(b), lambda e: V.envelope_is_strict(e, b)))
 
 
 #: What a response is asked for. Arguments: ``n`` with ``relation`` (at least, less than, exactly), ``word`` or
 #: ``words`` (parted by ``|``), ``letter``, ``text``, ``choices`` (parted by ``|``), ``separator``.
 KINDS: dict[str, Check] = {
     "word_count": lambda t, a: _related(_words(t), a),
-    "sentence_count": lambda t, a: _related(F.regexp_count(t, F.lit(r"[^.!?\s][^.!?]*[.!?]+")), a),
+    # the end of a sentence: its last sign and a mark. A pattern for whole sentences takes the square of a text without marks
+    "sentence_count": lambda t, a: _related(F.regexp_count(t, F.lit(r"[^.!?\s]\s*+[.!?]")), a),
     "line_count": lambda t, a: _related(F.regexp_count(t, F.lit(r"(?m)^.*\S.*$")), a),
     "paragraph_count": lambda t, a: _related(
         F.size(F.filter(F.split(t, r"\n[ \t]*\n"), lambda p: p.rlike(r"\S"))), a
@@ -74,13 +75,13 @@ KINDS: dict[str, Check] = {
     "bullet_count": lambda t, a: _related(F.regexp_count(t, F.lit(r"(?m)^[ \t]*[*-][ \t]+\S")), a),
     "placeholder_count": lambda t, a: _related(F.regexp_count(t, F.lit(r"\[[^\[\]]+\]")), a),
     "highlight_count": lambda t, a: _related(F.regexp_count(t, F.lit(r"\*[^*\n]+\*")), a),
-    "capital_word_count": lambda t, a: _related(F.regexp_count(t, F.lit(rf"(?:^|(?<={_NO_WORD}))\p{{Lu}}{{2,}}(?={_NO_WORD}|$)")), a),
+    "capital_word_count": lambda t, a: _related(F.regexp_count(t, F.lit(rf"(?=\p{{Lu}}{{2}})(?<!{_SIGN})\p{{Lu}}{{2,}}+(?!{_SIGN})")), a),
     "letter_count": lambda t, a: _related(
         F.length(t) - F.length(F.replace(F.lower(t), F.lower(_argument(a, "letter")), F.lit(""))), a
     ),
-    "word_frequency": lambda t, a: _related(_occurrences(t, _argument(a, "word")), a),
-    "words_present": lambda t, a: F.forall(_listed(a, "words"), lambda w: _occurrences(t, w) > 0),
-    "words_absent": lambda t, a: F.forall(_listed(a, "words"), lambda w: _occurrences(t, w) == 0),
+    "word_frequency": lambda t, a: _related(F.regexp_count(t, _whole_word(_argument(a, "word"))), a),
+    "words_present": lambda t, a: F.forall(_listed(a, "words"), lambda w: F.regexp_like(t, _whole_word(w))),
+    "words_absent": lambda t, a: F.forall(_listed(a, "words"), lambda w: ~F.regexp_like(t, _whole_word(w))),
     "all_lower": lambda t, a: t == F.lower(t),
     "all_upper": lambda t, a: t == F.upper(t),
     "no_comma": lambda t, a: ~t.contains(","),
@@ -145,7 +146,8 @@ def judged(
 
     def mark(text: Column) -> Column:
         asked = follows(text, F.col("kind"), F.col("arguments"), kinds)
-        return F.when(asked.isNotNull(), asked & text.rlike(r"\S"))
+        # one of the two is evaluated
+        return F.when(text.rlike(r"\S"), asked).otherwise(F.when(asked.isNotNull(), False))
 
     judged_rows = rows.withColumn("strict", mark(F.col("_text")))
     marks = ["strict"]

@@ -76,3 +76,28 @@ def test_one_long_list(spark):
     replies = spark.createDataFrame([(1, "word " * 250)], "id int, text string")
     total = I.accuracy(I.judged(replies, asked, prompt="id", response="text"), [], ["id"]).first()
     assert (total.n_instructions, total.inst_level_strict_acc, total.prompt_level_strict_acc) == (500, 251 / 500, 0.0)
+
+
+def test_patterns_give_the_counts_of_whole_sentences_and_words(spark):
+    import re
+
+    texts = ["", ".", "a.", "a .", " . a", "a. b", "a.. b!? c", "a\n.\nb", "... a", "a . . b.", "é. ß!x", "no mark", "AB CD.EF AB_ ÄÖ-Ü ABc", "DE de\tde_ Dé DE", "a . b"]
+    sentences = lambda t: len(re.findall(r"[^.!?\s][^.!?]*[.!?]+", t, re.ASCII))
+    capitals = lambda t: sum(len(w) > 1 and w.isalpha() and w == w.upper() and w != w.lower() for w in re.split(r"\W+", t))
+    words = lambda t: sum(w.lower() == "de" for w in re.split(r"\W+", t))
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind, given, count in [("sentence_count", {}, sentences), ("capital_word_count", {}, capitals), ("word_frequency", {"word": "de"}, words)]:
+        for t in texts:
+            arguments = F.create_map(*(F.lit(x) for pair in {**given, "n": str(count(t)), "relation": "exactly"}.items() for x in pair))
+            assert df.where(F.col("t") == t).select(I.follows(F.col("t"), F.lit(kind), arguments)).first()[0], (kind, t)
+
+
+def test_long_text_without_marks_takes_linear_time(spark):
+    import time
+
+    df = spark.range(2).select(F.repeat(F.lit("word "), 60_000).alias("t"))
+    arguments = F.create_map(F.lit("n"), F.lit("1"))
+    judged = df.select(I.follows(F.col("t"), F.lit("sentence_count"), arguments).alias("ok"))
+    start = time.perf_counter()
+    assert [r.ok for r in judged.collect()] == [False, False]
+    assert time.perf_counter() - start < 20
