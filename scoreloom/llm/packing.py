@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,8 @@ SHARD_TOKENS = 1 << 19
 PARTITION_TOKENS = 1 << 23
 #: Units of text whose ids a task remembers.
 REMEMBERED = 500_000
+#: Units encoded in one call; what that takes on the way is far more than their ids.
+AT_ONCE = 1 << 14
 K1, B = 1.2, 0.75
 
 
@@ -58,13 +61,18 @@ class WordTokenizer:
         """A function from a column of texts to packed ids. Runs without blanks are encoded once and remembered."""
         tokenizer, plain, known = self._load(), _PlainWords(self.file), {}
         end = np.asarray([self.end_id], kind).tobytes()
+        # what reading the file took is as much as a batch and its ids
+        release_memory()
 
-        def learn(new: set[str]) -> None:
-            words = [u for u in new if plain.takes(u)]
-            known.update(plain.encode(words, kind))
-            rest = list(new.difference(words))
-            for unit, found in zip(rest, tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
-                known[unit] = np.asarray(found.ids, kind).tobytes()
+        def learn(new: list[str]) -> None:
+            words, rest = [], []
+            for unit in new:
+                (words if plain.takes(unit) else rest).append(unit)
+            for some in _slices(words):
+                known.update(plain.encode(some, kind))
+            for some in _slices(rest):
+                for unit, found in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                    known[unit] = np.asarray(found.ids, kind).tobytes()
 
         def encode(texts: pa.Array) -> list[bytes]:
             if len(known) > REMEMBERED:
@@ -72,7 +80,7 @@ class WordTokenizer:
             cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
             coded = cut.flatten().dictionary_encode()
             units = coded.dictionary.to_pylist()
-            learn(set(units).difference(known))
+            learn([u for u in units if u not in known])
             packed = pa.array(map(known.__getitem__, units), pa.large_binary(), size=len(units)).take(coded.indices)
             ends = np.frombuffer(packed.buffers()[1], np.int64)[cut.offsets.to_numpy()].tolist()
             data = packed.buffers()[2]
@@ -82,6 +90,10 @@ class WordTokenizer:
         return encode
 
 
+def _slices(units: list[str]) -> Iterator[list[str]]:
+    return (units[i : i + AT_ONCE] for i in range(0, len(units), AT_ONCE))
+
+
 class _PlainWords:
     """The same merges on plain words, many in one call: Latin-1 letters, then a comma or full stop or nothing.
 
@@ -118,7 +130,7 @@ class _PlainWords:
             return {}
         pieces = [[w[:-1], w[-1]] if w[-1] in ",." else [w] for w in words]
         text = "\0".join(p for piece in pieces for p in piece).lower() + "\0"
-        ids = np.asarray(self.encoding.encode_ordinary(text))
+        ids = self.encoding.encode_to_numpy(text, disallowed_special=())
         ends = np.flatnonzero(self.closes[ids])[np.cumsum([len(p) for p in pieces]) - 1] + 1
         data, width = ids.astype(kind).tobytes(), np.dtype(kind).itemsize
         cuts = [0, *(ends * width).tolist()]

@@ -401,3 +401,21 @@ def test_empty_tables(spark, vocabulary):
         language_id.identify(docs, model),
     ]
     assert [df.count() for df in results] == [0] * len(results)
+
+
+def test_packing_encodes_few_units_in_one_call(monkeypatch):
+    import pyarrow as pa
+
+    from scoreloom.llm import packing
+    from scoreloom.llm.queries import packing_tokenizer
+
+    texts = pa.array(["one two three, four five. six", "x1 y2 z3 a-b c_d", "", "one again\nand more words"])
+    tokenizer = packing_tokenizer()
+    kind = packing.id_kind(tokenizer)
+    whole = tokenizer.encoder(kind)(texts)
+    calls = []
+    plain = packing._PlainWords.encode
+    monkeypatch.setattr(packing._PlainWords, "encode", lambda self, words, kind: calls.append(len(words)) or plain(self, words, kind))
+    monkeypatch.setattr(packing, "AT_ONCE", 2)
+    assert tokenizer.encoder(kind)(texts) == whole
+    assert len(calls) > 2 and max(calls) == 2
