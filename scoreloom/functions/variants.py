@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,18 +66,52 @@ def has_long_string(text: Column) -> Column:
     return F.when(F.octet_length(text) > MAX_STRING, longest > MAX_STRING).otherwise(False)
 
 
-def field(envelope: Column, *keys: str) -> Column:
-    """Member of the document: NULL if missing, a variant null if it is a JSON null."""
-    return F.try_variant_get(envelope, _path(keys), "variant")
+@dataclass(frozen=True)
+class Document:
+    """A parsed document: its envelope, and the members that are asked for in a struct.
 
+    Each walk along a path copies the whole document first, so the members are taken out in one.
+    """
 
-def field_map(envelope: Column, *keys: str) -> Column:
-    """Members of an object in the document; NULL if it is missing or not an object."""
-    return F.try_variant_get(envelope, _path(keys), "map<string,variant>")
+    envelope: Column
+    members: Column
+    kinds: Mapping[str, str]
+
+    @staticmethod
+    def members_of(envelope: Column, kinds: Mapping[str, str]) -> Column:
+        """Members of the document by name, each as the type in ``kinds``; NULL where it is missing or of another type."""
+        fields = ", ".join(f"`{key.replace('`', '``')}`: {kind}" for key, kind in kinds.items())
+        return F.try_variant_get(envelope, DOCUMENT, f"struct<{fields}>")
+
+    def field(self, *keys: str) -> Column:
+        """Member of the document: NULL if missing, a variant null if it is a JSON null."""
+        first = self._first(keys)
+        if first is None:
+            return F.try_variant_get(self.envelope, DOCUMENT + _path(keys), "variant")
+        return first if len(keys) == 1 else F.try_variant_get(first, "$" + _path(keys[1:]), "variant")
+
+    def field_map(self, *keys: str) -> Column:
+        """Members of an object in the document; NULL if it is missing or not an object."""
+        if len(keys) == 1 and self.kinds.get(keys[0], "").startswith("map<"):
+            return self.members[keys[0]]
+        first = self._first(keys)
+        if first is None:
+            return F.try_variant_get(self.envelope, DOCUMENT + _path(keys), "map<string,variant>")
+        return F.try_variant_get(first, "$" + _path(keys[1:]), "map<string,variant>")
+
+    def has(self, key: str) -> Column:
+        """Whether there is such a member of any type."""
+        kind = self.kinds.get(key)
+        if kind is None or kind == "variant":
+            return self.field(key).isNotNull()
+        return self.members[key].isNotNull() | F.try_variant_get(self.envelope, DOCUMENT + _path((key,)), "variant").isNotNull()
+
+    def _first(self, keys: tuple[str, ...]) -> Column | None:
+        return self.members[keys[0]] if self.kinds.get(keys[0]) == "variant" else None
 
 
 def _path(keys: tuple[str, ...]) -> str:
-    return DOCUMENT + "".join(f"[{_quote(key)}]" for key in keys)
+    return "".join(f"[{_quote(key)}]" for key in keys)
 
 
 def _quote(key: str) -> str:

@@ -56,17 +56,22 @@ class Adapter:
     skip_metrics: tuple[str, ...] = ()
     stderr_inside: bool = False
 
-    def matches(self, doc: Column) -> Column:
+    def members(self) -> set[str]:
+        """Members of the document itself that the other methods look at."""
+        header = self.header[:1] or (self.started, self.duration, self.model)
+        return {"results", *self.required, *header, *self.params[:1]}
+
+    def matches(self, doc: V.Document) -> Column:
         """Key presence decides; a JSON null counts as present."""
         found = F.lit(True)
         for key in self.required:
-            found = found & V.field(doc, key).isNotNull()
+            found = found & doc.has(key)
         return found
 
-    def header_field(self, doc: Column, key: str) -> Column:
-        return V.field(doc, *self.header, key)
+    def header_field(self, doc: V.Document, key: str) -> Column:
+        return doc.field(*self.header, key)
 
-    def broken_path(self, doc: Column, params: Column) -> Column:
+    def broken_path(self, doc: V.Document, params: Column) -> Column:
         """Some object on the way to header or parameters is present but not an object.
 
         ``params`` is what was found at the end of the parameter path; if it is there,
@@ -100,13 +105,13 @@ class Adapter:
             F.array_join(F.slice(parts, cut + 1, F.size(parts)), ","),
         )
         inside = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), marked)
-        return F.when(F.size(parts) > 1, F.concat(inside, whole)).otherwise(whole)
+        return F.when(metric.contains(","), F.concat(inside, whole)).otherwise(whole)
 
 
-def _any_not_object(doc: Column, paths: list[tuple[str, ...]]) -> Column:
+def _any_not_object(doc: V.Document, paths: list[tuple[str, ...]]) -> Column:
     broken = F.lit(False)
     for path in paths:
-        broken = broken | V.not_object(V.field(doc, *path))
+        broken = broken | V.not_object(doc.field(*path))
     return broken
 
 

@@ -97,7 +97,7 @@ def _joined_stages(adapters: tuple[Adapter, ...], auto: bool, gateway: int) -> t
     before = [
         ["path", "source_filename", "content", F.xxhash64("content").alias(hashes[0]), F.xxhash64(F.lit(1), "content").alias(hashes[1])],
         *_parse(hashes),
-        *_locate(adapters, _raw_tasks, hashes),
+        *_locate(adapters, _raw_tasks, hashes, "map<string,variant>"),
         ["_quoted", *hashes, *_typed(adapters), F.col("_tasks").isNotNull().alias("_has_tasks")],
     ]
     task = _by_adapter(
@@ -117,11 +117,11 @@ def _joined_stages(adapters: tuple[Adapter, ...], auto: bool, gateway: int) -> t
     return before, task, [["*", _code().alias("code")], _finish(), _sealed()]
 
 
-def _raw_tasks(adapter: Adapter) -> Column:
+def _raw_tasks(adapter: Adapter, tasks: Column) -> Column:
     """``array<struct<task_name, value>>`` of all tasks in document order; NULL as for ``_task_rows``."""
     wanted = lambda names: F.filter(names, lambda n: _is_task(adapter, n))
     return V.let(
-        V.field_map(F.col("_doc"), "results"),
+        tasks,
         lambda tasks: V.let(
             wanted(F.map_keys(tasks)),
             lambda names: F.transform(
@@ -148,7 +148,8 @@ def _stages(
     """
     return [
         *_parse([]),
-        *_locate(adapters, lambda a: _task_rows(a, dict(reported), auto), []),
+        # where every task is wanted, the members of each are taken out with the tasks
+        *_locate(adapters, lambda a, tasks: _task_rows(a, tasks, dict(reported), auto), [], f"map<string,{'map<string,variant>' if auto else 'variant'}>"),
         _typed(adapters),
         ["*", _code().alias("code")],
         _finish(),
@@ -240,34 +241,49 @@ def _by_adapter(adapters: Sequence[Adapter], build) -> Column:
     return chosen
 
 
-def _locate(adapters: tuple[Adapter, ...], tasks, kept: list[str]) -> list[list[Column | str]]:
-    """Classify the documents and pick the raw fields and ``tasks(adapter)``; the document is dropped here."""
-    doc = F.col("_doc")
+def _locate(adapters: tuple[Adapter, ...], tasks, kept: list[str], results: str) -> list[list[Column | str]]:
+    """Classify the documents and pick the raw fields and ``tasks(adapter, results)``, with the results as a map of that type.
+
+    The document is dropped here.
+    """
+    kinds = _kinds(adapters, results)
+    doc = V.Document(F.col("_doc"), F.col("_members"), kinds)
     framework = None
     for adapter in adapters:
         hit, name = adapter.matches(doc), F.lit(adapter.name)
         framework = F.when(hit, name) if framework is None else framework.when(hit, name)
     header = lambda key: _by_adapter(adapters, lambda a: a.header_field(doc, getattr(a, key)))
     return [
+        ["*", V.Document.members_of(F.col("_doc"), kinds).alias("_members")],
         ["*", framework.alias("framework")],
         [
             "*",
-            V.field(doc, "results").isNotNull().alias("_has_results"),
-            _by_adapter(adapters, lambda a: V.field_map(doc, *a.params)).alias("_params"),
+            doc.has("results").alias("_has_results"),
+            _by_adapter(adapters, lambda a: doc.field_map(*a.params)).alias("_params"),
             header("started").alias("_started_raw"),
             header("duration").alias("_duration_raw"),
             header("model").alias("_model_raw"),
         ],
         [
             "path", "source_filename", *kept, "framework", "_unreadable", "_refused", "_quoted",
-            doc.isNotNull().alias("_parsed"), "_has_results", "_params",
+            F.col("_doc").isNotNull().alias("_parsed"), "_has_results", "_params",
             "_started_raw", "_duration_raw", "_model_raw",
             _by_adapter(adapters, lambda a: a.broken_path(doc, F.col("_params"))).alias("_broken_path"),
-            _by_adapter(adapters, tasks).alias("_tasks"),
+            _by_adapter(adapters, lambda a: tasks(a, doc.field_map("results"))).alias("_tasks"),
         ],
     ]
 
 
+def _kinds(adapters: tuple[Adapter, ...], results: str) -> dict[str, str]:
+    """Type of each member to be taken out. Spark cannot tell fields of a struct apart by case, so such members are left to their paths."""
+    names = sorted({name for a in adapters for name in a.members()})
+    folded = [name.lower() for name in names]
+    kinds = {name: "variant" for name in names if folded.count(name.lower()) == 1}
+    if "results" in kinds:
+        kinds["results"] = results
+    return kinds
+
+
 def _typed(adapters: tuple[Adapter, ...]) -> list[Column | str]:
     """Raw fields to their types, with a flag where the type is wrong."""
     quoted = F.col("_quoted")
@@ -352,7 +368,7 @@ def _param_value(adapter: Adapter, spec: ParamField, kind: str, quoted: Column)
     return typed
 
 
-def _task_rows(adapter: Adapter, reported: dict[str, tuple[str, ...]], auto: bool) -> Column:
+def _task_rows(adapter: Adapter, tasks: Column, reported: dict[str, tuple[str, ...]], auto: bool) -> Column:
     """``array<struct<task_name, is_object, metrics>>`` of the wanted tasks in document order.
 
     NULL if there are no results or they are not an object.
@@ -360,23 +376,21 @@ def _task_rows(adapter: Adapter, reported: dict[str, tuple[str, ...]], auto: boo
     quoted = F.col("_quoted")
     wanted = lambda names: F.filter(names, lambda n: _is_wanted(adapter, n, reported, auto))
 
-    def task(name: Column, value: Column) -> Column:
-        return V.let(
-            V.as_map(value),
-            lambda members: F.struct(
-                name.alias("task_name"),
-                members.isNotNull().alias("is_object"),
-                _metrics(adapter, name, members, reported, auto, quoted).alias("metrics"),
-            ),
+    def task(name: Column, members: Column) -> Column:
+        return F.struct(
+            name.alias("task_name"),
+            members.isNotNull().alias("is_object"),
+            _metrics(adapter, name, members, reported, auto, quoted).alias("metrics"),
         )
 
+    members_of = V.let if auto else lambda value, body: V.let(V.as_map(value), body)
     return V.let(
-        V.field_map(F.col("_doc"), "results"),
+        tasks,
         lambda tasks: V.let(
             wanted(F.map_keys(tasks)),
             lambda names: F.transform(
                 F.when(F.size(names) > 1, _document_order(names, wanted)).otherwise(names),
-                lambda name: task(name, F.try_element_at(tasks, name)),
+                lambda name: members_of(F.try_element_at(tasks, name), lambda members: task(name, members)),
             ),
         ),
     )
@@ -404,14 +418,19 @@ def _metrics(adapter, task_name, members, reported, auto, quoted) -> Column:
     ) if reported is None or reported else None
     if not auto:
         return registered
-    is_metric = lambda e: (
-        ~e["key"].contains("_stderr")
-        & (~F.array_contains(F.array(*map(F.lit, adapter.skip_metrics)), e["key"]) if adapter.skip_metrics else F.lit(True))
-        & V.number(e["value"], quoted).isNotNull()
-    )
-    every = F.transform(
-        F.filter(F.map_entries(members), is_metric),
-        lambda e: _measure(e["key"], e["value"], adapter.stderr_key_array(e["key"]), members, quoted),
+    # one comparison each: inside lambdas a search in a constant array is far slower
+    def may_be(name: Column) -> Column:
+        wanted = ~name.contains("_stderr")
+        for skipped in adapter.skip_metrics:
+            wanted = wanted & (name != skipped)
+        return wanted
+
+    every = F.filter(
+        F.transform(
+            F.filter(F.map_keys(members), may_be),
+            lambda name: _measure(name, F.try_element_at(members, name), adapter.stderr_key_array(name), members, quoted),
+        ),
+        lambda m: m["value"].isNotNull(),
     )
     return every if registered is None else F.coalesce(registered, every)
 

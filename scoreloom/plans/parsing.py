@@ -363,21 +363,18 @@ from (unpivot (select l_returnflag, l_quantity, l_extendedprice, l_discount, l_t
 group by all""")
 def auto_metrics(spark, sf_dir):
     """No registry: every numeric key of every task is a metric, names and stderr keys are not."""
-    members = F.create_map(
-        F.lit("alias"), synth.variant(F.lit("l"), "string"),
-        F.lit("sample_len"), synth.variant(F.lit(7), "bigint"),
-        F.lit("note"), synth.variant(F.lit("12"), "string"),
-        F.lit("l_quantity_stderr"), synth.variant(F.lit(0.5), "double"),
-        *(
-            part
-            for name in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-            for part in (F.lit(name), synth.variant(F.col(name), "double"))
-        ),
-    )
+    numbers = (F.col(name).cast("double").alias(name) for name in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+    members = F.struct(
+        F.lit("l").alias("alias"),
+        F.lit(7).alias("sample_len"),
+        F.lit("12").alias("note"),
+        F.lit(0.5).alias("l_quantity_stderr"),
+        *numbers,
+    )
     results = F.create_map(F.concat(F.lit("flag_"), F.col("l_returnflag")), members)
     path = F.concat(synth.file_path(F.col("l_orderkey")), F.lit("."), F.col("l_linenumber").cast("string"))
     docs = synth.documents(
-        work_table(spark, sf_dir, "lineitem"), path, synth.lm_eval_content(results, model=F.lit("m"))
+        work_table(spark, sf_dir, "lineitem"), path, synth.lm_eval_content(results, model=F.lit("m"), keep_nulls=True)
     )
     found = X.results(X.extract(docs, registry={}, metrics="auto"))
     return G.group_stats(G.metrics_long(found)).select(

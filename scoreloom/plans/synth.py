@@ -56,7 +56,9 @@ def lm_eval_content(
     date: Column | None = None,
     duration: Column | None = None,
     gen_kwargs: Column | None = None,
+    keep_nulls: bool = False,
 ) -> Column:
+    """With ``keep_nulls`` a null member of a struct is written as ``null``, like one of a map."""
     config = F.create_map().cast("map<string,string>")
     if gen_kwargs is not None:
         config = F.struct(gen_kwargs.alias("gen_kwargs"))
@@ -70,7 +72,7 @@ def lm_eval_content(
         fields.append(date.alias("date"))
     if duration is not None:
         fields.append(duration.alias("total_evaluation_time_seconds"))
-    return F.to_json(F.struct(*fields))
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"} if keep_nulls else None)
 
 
 def lighteval_content(
