@@ -7,7 +7,7 @@ of each of its segments, together with l and the segment's number, and probes wi
 a segment of each length from its own down to the threshold less. Segments of short lines would be a letter or
 two, so a line under ``SHORT`` characters meets others on the hash of what is left without any ``threshold`` of its characters
 or fewer, which two lines within the distance share. Pairs that meet, and whose
-words and letters differ by no more than the threshold allows, are verified on their texts with Spark's ``levenshtein`` with a threshold, which works on a band.
+letters differ by no more than the threshold allows, are verified on their texts with Spark's ``levenshtein`` with a threshold, which works on a band.
 """
 
 from __future__ import annotations
@@ -24,25 +24,19 @@ MIN_CHARS = 2 * THRESHOLD + 1
 #: Lines from here on have segments of five characters at least.
 SHORT = 5 * (THRESHOLD + 1)
 
-#: For each of 64 classes of words, whether the line has an odd number of them.
-_PARITY = "aggregate(split(line, ' '), 0L, (a, w) -> a ^ shiftleft(1L, cast(xxhash64(w) & 63 as int)))"
+#: Frequent letters. A line's counts of them, four bits each (modulo 16), are one number.
+_LETTERS = "etaonirshldcumfp"
+_COUNTS = " | ".join(
+    f"shiftleft(cast((octet_length(line) - octet_length(replace(line, '{c}'))) & 15 as bigint), {4 * i})" for i, c in enumerate(_LETTERS)
+)
 
-#: Counts of sixteen frequent letters, a byte each (modulo 256), in two numbers.
-_LETTERS = ("etaonirs", "hldcumfp")
 
-
-def _counts(letters: str) -> str:
-    return " | ".join(
-        f"shiftleft(cast((length(line) - length(replace(line, '{c}'))) & 255 as bigint), {8 * i})" for i, c in enumerate(letters)
-    )
-
-
-def _count_distance(a: str, b: str) -> str:
-    """At most the difference of the counts, summed over eight letters."""
+def _count_distance(a: str, b: str, letters: range) -> str:
+    """At most the difference of the counts, summed over those of the letters."""
     terms = []
-    for shift in range(0, 64, 8):
-        apart = f"abs((shiftright({a}, {shift}) & 255) - (shiftright({b}, {shift}) & 255))"
-        terms.append(f"least({apart}, 256 - {apart})")
+    for i in letters:
+        apart = f"abs((shiftright({a}, {4 * i}) & 15) - (shiftright({b}, {4 * i}) & 15))"
+        terms.append(f"least({apart}, 16 - {apart})")
     return " + ".join(terms)
 
 
@@ -124,9 +118,7 @@ def _distinct_lines(docs: DataFrame, skip: DataFrame, min_chars: int) -> DataFra
     """
     lines = _lines(docs, skip).where(F.length("line") >= min_chars)
     numbered = ranked(lines.withColumn("all", F.lit(0)), "all", _ADDRESS).withColumnRenamed("rank", "id").drop("all")
-    facts = {"length": F.length("line"), "parity": F.expr(_PARITY)}
-    facts |= {f"counts{i}": F.expr(_counts(letters)) for i, letters in enumerate(_LETTERS)}
-    return materialize(numbered.withColumns(facts), "lines")
+    return materialize(numbered.withColumns({"length": F.length("line"), "counts": F.expr(_COUNTS)}), "lines")
 
 
 #: Classes of earlier lines of which the first and the last are tried before all others.
@@ -134,12 +126,12 @@ _TRIED = 256
 
 
 def _meetings(indexed: DataFrame, probing: DataFrame, threshold: int) -> DataFrame:
-    """``(earlier, later)`` for every common hash of two lines whose words and letters differ by no more than the threshold allows."""
+    """``(earlier, later)`` for every common hash of two lines whose letters differ by no more than the threshold allows."""
     met = indexed.alias("a").join(probing.alias("b"), "token")
-    # an edit changes three words at most (two become one, or one two), and each change one bit;
-    # and it takes away one character at most and adds one at most, only one of the two if it changes the length
+    # an edit takes away one character at most and adds one at most, only one of the two if it changes the length
     most = f"{2 * threshold} - abs(a.length - b.length)"
-    first, second = (_count_distance(f"a.counts{i}", f"b.counts{i}") for i in range(len(_LETTERS)))
+    half = len(_LETTERS) // 2
+    first, second = (_count_distance("a.counts", "b.counts", range(i, i + half)) for i in (0, half))
     met = met.where(f"{first} <= {most}").where(f"{first} + {second} <= {most}")
     # of two lines of one length each probes for the other; one of the two meetings is enough
     met = met.where("a.id <> b.id and (a.length < b.length or a.id < b.id)")
@@ -172,7 +164,7 @@ def near_repeats(docs: DataFrame, skip: DataFrame, threshold: int = THRESHOLD, m
         raise ValueError("lines must be longer than twice the threshold")
     index, probe = _tokens(threshold)
     lines = _distinct_lines(docs, skip, min_chars)
-    facts = ["id", "length", "parity", "counts0", "counts1"]
+    facts = ["id", "length", "counts"]
     # of two lines the shorter says how they meet
     short = lines.where(F.length("line") < SHORT + threshold).select(*facts, _shortened(threshold).alias("tokens"))
     short = materialize(short, "short-lines").select(*facts, F.explode("tokens").alias("token"))
