@@ -35,6 +35,8 @@ SIMILAR = (3, 4)
 COMMON_FROM, COMMON_MOST = 20, 1 << 18
 #: Nodes under one shingle that are still paired row by row; shingles in the sets of a block.
 PAIRED, BLOCK_TOKENS = 32, 1 << 20
+#: Nodes up to which a pool of few shingles is one block, whatever the sizes of its sets.
+BLOCK_NODES = 1 << 11
 #: Shingles of two blocks that are compared as columns of a matrix at a time.
 COLUMNS = 1 << 13
 #: Holders of a shingle that are met one by one.
@@ -171,26 +173,35 @@ def _postings(docs: DataFrame, order: _Order, words: int, similar: tuple[int, in
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """``(node, tokens)``: the whole set, packed."""
+    """``(node, tokens)``: the whole set, packed, once for each node. Rows with ``several`` may share a set, others share none."""
 
     def run(batches):
         release_memory()
         known = _Words()
         for batch in batches:
             found = [s.tobytes() for s in (shingles(t, known, words) for t in batch.column("text").to_pylist())]
-            nodes = pa.array(map(_number, found), pa.int64())
-            yield pa.RecordBatch.from_arrays([nodes, pa.array(found, pa.binary())], names=["node", "tokens"])
+            columns = [pa.array(map(_number, found), pa.int64()), pa.array(found, pa.binary()), batch.column("several")]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "tokens", "several"])
 
-    return docs.select("text").mapInArrow(run, "node bigint, tokens binary")
+    found = materialize(docs.select("text", "several").mapInArrow(run, "node bigint, tokens binary, several boolean"), "sets")
+    shared = materialize(found.where("several").select("node", "tokens").dropDuplicates(["node"]), "shared-sets")
+    return found.where("not several").select("node", "tokens").unionByName(shared)
+
+
+def _live(posted: DataFrame) -> DataFrame:
+    """Postings of tokens that more than one node has; ``m`` is the number of groups under a token, and ``head`` marks one row of each of them."""
+    within = Window.partitionBy("token").orderBy("group")
+    placed = posted.withColumns({"place": F.dense_rank().over(within), "before": F.lag("group").over(within)})
+    whole = Window.partitionBy("token")
+    placed = placed.withColumns({"rows": F.count(F.lit(1)).over(whole), "m": F.max("place").over(whole)}).where("rows > 1")
+    return placed.select("token", "node", "group", "n", "m", F.expr("before is null or before <> `group`").alias("head"))
 
 
 def _candidates(live: DataFrame, similar: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     """Pairs of nodes to verify, and the members ``(bucket, node)`` of buckets with too many to pair."""
     num, den = similar
     members = materialize(live.select("group", "node", "n").distinct(), "members")
-    posted = live.where("token <> `group`").select("token", "group", "n").distinct()
-    counts = posted.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    posted = materialize(posted.join(counts, "token"), "group-postings")
+    posted = live.where("head and m > 1 and token <> `group`")
     crowded = posted.where(f"m > {PAIRED}")
     paired = posted.where(f"m <= {PAIRED}").select("token", "group", "n")
     # shingles under which a group may meet another without being counted below
@@ -228,9 +239,10 @@ def _similar(a: np.ndarray, b: np.ndarray, similar: tuple[int, int]) -> bool:
 
 def _verified(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """The pairs whose whole sets are similar."""
-    joined = pairs
-    for side in "uv":
-        joined = joined.join(sets.select(F.col("node").alias(side), F.col("tokens").alias(f"set_{side}")), side)
+    left, right = (sets.select(F.col("node").alias(side), F.col("tokens").alias(f"set_{side}")) for side in "uv")
+    # sets of the second side move once; those of the first move with their pairs only
+    second = materialize(pairs.select("v").distinct(), "second")
+    joined = left.join(broadcast_if_small(pairs), "u").join(right.join(broadcast_if_small(second), "v", "left_semi"), "v")
 
     def run(batches):
         for batch in batches:
@@ -296,25 +308,38 @@ def _size_class(similar: tuple[int, int]) -> str:
     return f"cast(floor(ln(size) / ln(1.001 * {similar[1]} / {similar[0]})) as int)"
 
 
-def _blocks(nodes: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
-    """``nodes (node, pool, pure)`` dealt to blocks of about ``BLOCK_TOKENS`` of one pool and class of sizes; and the blocks with their sets."""
+def _blocks(nodes: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """``nodes (node, pool, pure)`` dealt to blocks of about ``BLOCK_TOKENS`` of one pool and class of sizes.
+
+    A pool that fits in one block is one, of class -1.
+    """
     sized = nodes.join(sets.select("node", (F.octet_length("tokens") / 8).alias("size")), "node")
     sized = materialize(sized.withColumn("class", F.expr(_size_class(similar))), "sized")
-    whole = ["pool", "pure", "class"]
-    pools = materialize(sized.groupBy(*whole).agg(F.ceil(F.sum("size") / BLOCK_TOKENS).alias("parts")), "pools")
-    dealt = sized.join(broadcast_if_small(pools), whole).select(
-        "node", *whole, F.xxhash64(*whole, F.expr("pmod(xxhash64(node), parts)")).alias("block")
-    )
-    dealt = materialize(dealt, "blocks")
-    filled = dealt.join(sets, "node").groupBy("block").agg(F.collect_list(F.struct("node", "tokens")).alias("sets"))
-    return dealt, filled
+    whole, pool = ["pool", "pure", "class"], Window.partitionBy("pool", "pure")
+    pools = sized.groupBy(*whole).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    fits = (F.sum("size").over(pool) <= BLOCK_TOKENS) & (F.sum("n").over(pool) <= BLOCK_NODES)
+    pools = pools.withColumn("fits", fits).select(*whole, "fits", F.ceil(F.col("size") / BLOCK_TOKENS).alias("parts"))
+    dealt = sized.join(broadcast_if_small(materialize(pools, "pools")), whole)
+    dealt = dealt.withColumns({"class": F.expr("if(fits, -1, class)"), "parts": F.expr("if(fits, 1, parts)")})
+    dealt = dealt.select("node", *whole, F.xxhash64(*whole, F.expr("pmod(xxhash64(node), parts)")).alias("block"))
+    return materialize(dealt, "blocks")
 
 
-def _links_of_blocks(met: DataFrame, filled: DataFrame, similar: tuple[int, int]) -> DataFrame:
+def _links_of_blocks(met: DataFrame, dealt: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Links between the blocks of each pair ``(p, q)``."""
+    blocks = materialize(met.select(F.explode(F.array("p", "q")).alias("block")).distinct(), "met-blocks")
+    members = dealt.select("node", "block").join(broadcast_if_small(blocks), "block", "left_semi")
+    members = broadcast_if_small(materialize(members, "block-members"))
+    filled = sets.join(members, "node").groupBy("block").agg(F.collect_list(F.struct("node", "tokens")).alias("sets"))
     filled = materialize(filled, "filled-blocks")
-    for side in "pq":
-        met = met.join(filled.select(F.col("block").alias(side), F.col("sets").alias(f"sets_{side}")), side)
+    # a block that meets itself need not move
+    alone = broadcast_if_small(materialize(met.where("p = q").select(F.col("p").alias("block")), "lone-blocks"))
+    own = filled.join(alone, "block", "left_semi").select(F.col("sets").alias("sets_p"), F.col("sets").alias("sets_q"))
+    two = materialize(met.where("p <> q"), "block-pairs")
+    seconds = broadcast_if_small(materialize(two.select(F.col("q").alias("block")).distinct(), "second-blocks"))
+    first = filled.select(F.col("block").alias("p"), F.col("sets").alias("sets_p")).join(broadcast_if_small(two), "p")
+    second = filled.join(seconds, "block", "left_semi").select(F.col("block").alias("q"), F.col("sets").alias("sets_q"))
+    both = own.unionByName(first.join(second, "q").select("sets_p", "sets_q"))
 
     def run(batches):
         def unpacked(members):
@@ -328,7 +353,7 @@ def _links_of_blocks(met: DataFrame, filled: DataFrame, similar: tuple[int, int]
                 columns = zip(*links, strict=True) if links else ([], [])
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["u", "v"])
 
-    return met.select("sets_p", "sets_q").mapInArrow(run, "u bigint, v bigint")
+    return both.mapInArrow(run, "u bigint, v bigint")
 
 
 def _crowded_links(buckets: DataFrame, sets: DataFrame, links: DataFrame, similar: tuple[int, int]) -> DataFrame:
@@ -336,21 +361,34 @@ def _crowded_links(buckets: DataFrame, sets: DataFrame, links: DataFrame, simila
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
     largest = F.max(F.struct("m", "bucket"))["bucket"]
     nodes = buckets.join(sizes, "bucket").groupBy("node").agg(largest.alias("pool"))
-    dealt, filled = _blocks(nodes.withColumn("pure", F.lit(False)), sets, similar)
+    nodes = materialize(nodes, "pooled")
+    dealt = _blocks(nodes.withColumn("pure", F.lit(False)), sets, similar)
     placed = buckets.join(dealt, "node").select("bucket", "class", "block").distinct()
     hubs = placed.groupBy("bucket", "class").agg(F.min("block").alias("p"))
-    met = placed.join(hubs, ["bucket", "class"]).select("p", F.col("block").alias("q")).distinct()
-    first = materialize(_links_of_blocks(met, filled, similar), "hub-links")
+    met = materialize(placed.join(hubs, ["bucket", "class"]).select("p", F.col("block").alias("q")).distinct(), "hub-pairs")
+    first = materialize(_links_of_blocks(met, dealt, sets, similar), "hub-links")
+    before, done = dealt.select("node", F.col("block").alias("old")), met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
     roots = materialize(components(links.unionByName(first)), "roots")
     labelled = nodes.join(roots, "node", "left").select("node", "pool", F.coalesce("root", "node").alias("root"))
     sizes = labelled.groupBy("root").agg((F.count(F.lit(1)) >= PURE).alias("pure"))
     labelled = labelled.join(sizes, "root").select("node", "pure", F.when(F.col("pure"), F.col("root")).otherwise(F.col("pool")).alias("pool"))
-    dealt, filled = _blocks(labelled, sets, similar)
+    dealt = _blocks(labelled, sets, similar)
     placed = materialize(buckets.join(dealt, "node").select("bucket", "block", "pure", "pool", "class").distinct(), "placed")
     p, q = placed.alias("p"), placed.alias("q")
-    open_ = "p.block <= q.block and abs(p.class - q.class) <= 1 and not (p.pure and q.pure and p.pool = q.pool)"
+    near = "(abs(p.class - q.class) <= 1 or least(p.class, q.class) < 0)"
+    open_ = f"p.block <= q.block and {near} and not (p.pure and q.pure and p.pool = q.pool)"
     met = p.join(q, "bucket").where(open_).select(F.col("p.block").alias("p"), F.col("q.block").alias("q")).distinct()
-    return first.unionByName(materialize(_links_of_blocks(met, filled, similar), "late-links"))
+    # blocks that are parts of two that have met need not meet again
+    old = dealt.join(before, "node").groupBy("block").agg(F.min("old").alias("old"), F.max("old").alias("last"))
+    old = materialize(old.where("old = last"), "old-blocks")
+    for side in "pq":
+        met = met.join(old.select(F.col("block").alias(side), F.col("old").alias(f"old_{side}")), side, "left")
+    again = (F.least("old_p", "old_q") == F.col("a")) & (F.greatest("old_p", "old_q") == F.col("b"))
+    known = F.col("old_p").isNotNull() & F.col("old_q").isNotNull()
+    met = materialize(met.join(done, known & again, "left_anti").select("p", "q"), "late-pairs")
+    if met.isEmpty():
+        return first
+    return first.unionByName(materialize(_links_of_blocks(met, dealt, sets, similar), "late-links"))
 
 
 def near_duplicates(
@@ -379,15 +417,12 @@ def near_duplicates(
     copies = materialize(listed.join(broadcast_if_small(twice), "node").where("key > first").select("key", "text_hash").distinct(), "copies")
     alone = rows.join(broadcast_if_small(copies), ["key", "text_hash"], "left_anti")
     posted = _postings(alone, order, words, similar)
-    many = Window.partitionBy("token")
-    live = posted.withColumn("m", F.count(F.lit(1)).over(many)).where("m > 1").select("token", "node", "group", "n")
-    live = materialize(live, "postings")
+    live = materialize(_live(posted), "postings")
     pairs, buckets = _candidates(live, similar)
     pairs, buckets = materialize(pairs.distinct(), "node-pairs"), materialize(buckets, "crowded")
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).unionByName(buckets.select("node")).distinct()
-    keys = materialize(nodes.join(wanted, "node").select(F.col("first").alias("key")), "wanted")
-    sets = _sets(alone.join(broadcast_if_small(keys), "key", "left_semi"), words).dropDuplicates(["node"])
-    sets = materialize(sets, "sets")
+    keys = nodes.join(wanted, "node").groupBy(F.col("first").alias("key")).agg(F.max(F.col("rows") > 1).alias("several"))
+    sets = _sets(alone.join(broadcast_if_small(materialize(keys, "wanted")), "key"), words)
     links = materialize(_verified(pairs, sets, similar), "pair-links")
     if not buckets.isEmpty():
         links = links.unionByName(_crowded_links(buckets, sets, links, similar))

@@ -121,6 +121,23 @@ def test_near_duplicates_in_crowded_groups(spark, monkeypatch):
     assert 2 < len({c for _, _, c in want}) < len(docs)
 
 
+def test_small_pools_are_one_block(spark):
+    nodes = spark.createDataFrame([(i, i % 2, False) for i in range(20)], "node bigint, pool bigint, pure boolean")
+    sets = spark.createDataFrame([(i, bytearray(8 * (10 + 20 * i))) for i in range(20)], "node bigint, tokens binary")
+    dealt = jaccard._blocks(nodes, sets, jaccard.SIMILAR).collect()
+    assert len(dealt) == 20 and len({r.block for r in dealt}) == 2 == len({(r.pool, r.block) for r in dealt})
+
+
+def test_groups_under_a_token(spark):
+    rng = random.Random(3)
+    rows = [(rng.randrange(12), i, rng.randrange(4), 9) for i in range(30)] + [(99, 5, 7, 9)]
+    live = jaccard._live(spark.createDataFrame(rows, "token bigint, node bigint, `group` bigint, n bigint")).collect()
+    under = {t: [r for r in rows if r[0] == t] for t, *_ in rows}
+    assert sorted((r.token, r.node, r.group, r.n) for r in live) == sorted(r for r in rows if len(under[r[0]]) > 1)
+    assert all(r.m == len({g for _, _, g, _ in under[r.token]}) for r in live)
+    assert sorted((r.token, r.group) for r in live if r.head) == sorted({(r.token, r.group) for r in live})
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)]
@@ -182,6 +199,18 @@ def within(a, b, limit):
     return row[-1] <= limit
 
 
+def test_line_facts(spark):
+    # more of one letter than four bits count, within two edits and beyond
+    lines = ["e" * 40 + " x", "e" * 42 + " x", "e" * 58 + " x", "tea " * 16 + "end", "tea " * 15 + "te end", "tee " * 16 + "end"]
+    docs = list(enumerate(lines))
+    got = {r.doc_id for r in line_dedup.repeated_lines(frame(spark, docs)).collect()}
+    assert got == {j for j, y in docs for i, x in docs[:j] if within(x, y, 2)} == {1, 4}
+    rows = frame(spark, docs).select(F.col("doc_id").alias("key"), "text")
+    none = line_dedup.exact_repeats(rows)
+    # a line carries what the join reads and nothing else
+    assert set(line_dedup._distinct_lines(rows, none, 5).columns) == {"key", "text_hash", "line_no", "line", "id", "length", "counts"}
+
+
 def test_line_dedup(spark):
     rng = random.Random(5)
     base = ["".join(rng.choice("abcde fgh é") for _ in range(rng.randrange(40, 60))) for _ in range(12)]
