@@ -50,7 +50,9 @@ class WordTokenizer:
             return cls(file.read(), end_id)
 
     def size(self) -> int:
-        return self._load().get_vocab_size()
+        found = self._load().get_vocab_size()
+        release_memory()  # the driver keeps what loading took otherwise
+        return found
 
     def _load(self):
         from tokenizers import Tokenizer
