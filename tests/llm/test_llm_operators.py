@@ -448,3 +448,26 @@ def test_packing_encodes_few_units_in_one_call(monkeypatch):
     monkeypatch.setattr(packing, "AT_ONCE", 2)
     assert tokenizer.encoder(kind)(texts) == whole
     assert len(calls) > 2 and max(calls) == 2
+
+
+def test_packing_takes_words_with_marks_in_one_call():
+    import string
+
+    tokenizer = packing_tokenizer()
+    plain, rng = packing._PlainWords(tokenizer.file), random.Random(11)
+    tails = [m * n for m in string.punctuation for n in (1, 2, 3)] + ["".join(rng.choice(string.punctuation) for _ in range(rng.randrange(1, 6))) for _ in range(2000)]
+    words = sorted({rng.choice(["a", "Über", "naïve", "don", "endoftext", "ÿµ", "it"]) + tail for tail in tails})
+    taken = [w for w in words if plain.takes(w)]
+    assert all(map(plain.takes, ["a%%%", "Über!!", "it,.", "ÿµ#"]))
+    assert not any(c in w for w in taken for c in "'<|>") and len(taken) > 500
+    want = {w: np.asarray(e.ids, "<u2").tobytes() for w, e in zip(taken, tokenizer._load().encode_batch(taken, add_special_tokens=False), strict=True)}
+    assert plain.encode(taken, "<u2") == want
+
+
+def test_packing_lists_units_and_columns():
+    import pyarrow as pa
+
+    for units in ([], [""], ["", "a", "", "é,"], ["a"]):
+        assert packing._listed(pa.array(units, pa.string())) == units
+        values = [u.encode() for u in units]
+        assert packing._column(values).to_pylist() == values
