@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from scoreloom.functions import scalars as S
 from scoreloom.functions import variants as V
 from scoreloom.operators.adapters import DEFAULT_ADAPTERS, Adapter
-from scoreloom.operators.registry import Registry, as_mapping, metrics_by_task, registry_frame
+from scoreloom.operators.registry import Registry, as_mapping, metrics_by_task, registry_frame, stored_registry
+from scoreloom.session import materialize
 
 PARAMS_TYPES = {
     "do_sample": "boolean",
@@ -43,6 +44,8 @@ def extract(
     """
     if metrics not in ("registry", "auto"):
         raise ValueError("metrics must be 'registry' or 'auto'")
+    if isinstance(registry, DataFrame):
+        registry = stored_registry(registry)
     known = as_mapping(registry)
     if known is None:
         return _joined(docs, registry_frame(docs.sparkSession, registry), tuple(adapters), metrics == "auto")
@@ -57,30 +60,37 @@ def _joined(docs: DataFrame, registry: DataFrame, adapters: tuple[Adapter, ...],
 
     A document is known by its path, name and 128 bits of its text, all as they were read. So what becomes of
     it does not hang on the order of rows, should a lost stage run again; documents equal in all of these are counted and
-    come out as often as they went in. Texts are dropped before the first shuffle; what travels is a task at a time.
+    come out as often as they went in. Texts are dropped before the first shuffle; what travels is a task at a time. A
+    document of one task or none is whole after the join and is not grouped; the rows are stored, so that the two kinds
+    part without a second parse.
     """
     before, task, after = _joined_stages(adapters, auto, _gateway())
     for columns in before:
         docs = docs.select(*columns)
+    docs = docs.withColumn("_several", F.coalesce(F.size("_tasks") > 1, F.lit(False)))
     rows = docs.select("*", F.posexplode_outer("_tasks").alias("_ord", "_task")).drop("_tasks")
     # documents without tasks are spread over the partitions, as no task has this name
     name = F.coalesce(F.col("_task.task_name"), F.concat(F.lit("\0"), F.hex("_text_hash")))
     met = rows.withColumn("_name", name).join(metrics_by_task(registry), "_name", "left")
-    header = [c for c in rows.columns if c not in (*_IDENTITY, "_ord", "_task", "_quoted")]
+    header = [c for c in rows.columns if c not in (*_IDENTITY, "_several", "_ord", "_task", "_quoted")]
     met = met.select(
         *_IDENTITY,
+        "_several",
         F.struct(*header).alias("_header"),
         F.col("_ord"),
         F.when(F.col("_task").isNotNull(), task).alias("_task"),
     )
+    met = materialize(met, "task-rows")
     found = F.struct("_ord", "_task")
-    whole = met.groupBy(*_IDENTITY).agg(
+    whole = met.where("_several").groupBy(*_IDENTITY).agg(
         F.any_value("_header").alias("_header"),
         F.array_sort(F.collect_set(F.when(F.col("_task").isNotNull(), found))).alias("_found"),
         F.count_if(F.coalesce(F.col("_ord"), F.lit(0)) == 0).cast("int").alias("_copies"),
     )
     tasks = F.when(F.col("_header._has_tasks"), F.transform("_found", lambda f: f["_task"]))
-    one = whole.select("path", "source_filename", "_header.*", tasks.alias("_tasks"), F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy"))
+    one = whole.select("path", "source_filename", "_header.*", tasks.alias("_tasks"), F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy")).drop("_copy")
+    tasks = F.when(F.col("_header._has_tasks"), F.filter(F.array("_task"), lambda t: t.isNotNull()))
+    one = one.unionByName(met.where("not _several").select("path", "source_filename", "_header.*", tasks.alias("_tasks")))
     for columns in after:
         one = one.select(*columns)
     return one

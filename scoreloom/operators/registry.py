@@ -42,6 +42,11 @@ def registry_frame(spark: SparkSession, registry: Registry | None = None) -> Dat
     return spark.createDataFrame(rows, REGISTRY_SCHEMA)
 
 
+def stored_registry(registry: DataFrame) -> DataFrame:
+    """The registry as a table in the shared folder: it is read to see how long it is and again to be joined, but made once."""
+    return materialize(registry.select("task_name", "metric_key", "ord"), "registry-rows")
+
+
 def as_mapping(registry: Registry | None) -> dict[str, tuple[str, ...]] | None:
     """Registry as a dictionary that becomes a literal in the plan; None if it is too large for one."""
     if registry is None:

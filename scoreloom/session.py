@@ -98,6 +98,8 @@ BROADCAST_BYTES = 32 << 20
 
 def broadcast_if_small(stored: DataFrame) -> DataFrame:
     """A hint to broadcast a stored table whose rows, written out, are few enough bytes; without it both sides are shuffled."""
+    if 16 * stored.count() > BROADCAST_BYTES:  # no need to write rows out
+        return stored
     row = F.octet_length(F.to_json(F.struct("*")))
     size = stored.agg(F.sum(row + 16)).first()[0] or 0
     return F.broadcast(stored) if size <= BROADCAST_BYTES else stored

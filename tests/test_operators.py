@@ -318,3 +318,30 @@ def test_registry_forms(spark):
     assert registry.as_mapping(frame)["mrcr"] == ("score_gt_16k_le_32k", "AUC")
     metrics = spark.createDataFrame([("mrcr", "AUC", 1.0), ("mrcr", "x", 2.0)], "task_name string, metric string, value double")
     assert registry.keep_registered(metrics, frame).collect()[0].metric == "AUC"
+
+
+def test_registry_frame_is_made_once(spark):
+    from scoreloom.operators import registry
+    from scoreloom.operators.extract import extract
+
+    made = spark.sparkContext.accumulator(0)
+
+    def entry(i):
+        made.add(1)
+        return f"q{i % 3}"
+
+    entries = registry.LITERAL_ENTRIES + 500
+    frame = spark.range(entries).select(
+        F.format_string("t%d", "id").alias("task_name"), F.udf(entry, "string")("id").alias("metric_key"), F.lit(0).alias("ord")
+    )
+    results = ['{"t0":{"q0":1}}', '{"t1":{"q1":2},"t2":{"q2":3}}', '{"t3":{"x":4}}', "{}", '{"none":{"q0":5}}', '{"t1":{"q1":2},"t2":{"q2":3}}']
+    contents = [(f"/r/{i % 5}.json", f"{i % 5}.json", f'{{"results":{r},"configs":{{}},"config":{{}},"model_name":"m"}}') for i, r in enumerate(results)]
+    contents += [(None, None, contents[0][2])] * 2
+    docs = spark.createDataFrame([*contents, contents[1]], "path string, source_filename string, content string")
+    rows = extract(docs, registry=frame).collect()
+    got = sorted((str(r.path), r.code, [(t.task_name, [(m.metric, m.value) for m in t.metrics]) for t in r.rows]) for r in rows)
+    one, two = [("t0", [("q0", 1.0)])], [("t1", [("q1", 2.0)]), ("t2", [("q2", 3.0)])]
+    want = [("/r/0.json", None, one), ("/r/0.json", None, two), ("/r/1.json", None, two), ("/r/1.json", None, two)]
+    want += [("/r/2.json", None, [("t3", [])]), ("/r/3.json", None, []), ("/r/4.json", None, []), ("None", None, one), ("None", None, one)]
+    assert got == want
+    assert made.value == entries
