@@ -26,9 +26,19 @@ SHORT = 5 * (THRESHOLD + 1)
 
 #: Frequent letters. A line's counts of them, four bits each (modulo 16), are one number.
 _LETTERS = "etaonirshldcumfp"
-_COUNTS = " | ".join(
-    f"shiftleft(cast((octet_length(line) - octet_length(replace(line, '{c}'))) & 15 as bigint), {4 * i})" for i, c in enumerate(_LETTERS)
-)
+
+
+def _counts() -> str:
+    """Each letter is looked for in what the earlier ones have left of the line, and is what that loses; the steps are common subexpressions."""
+    rest, terms = "line", []
+    for i, c in enumerate(_LETTERS):
+        less = f"replace({rest}, '{c}')"
+        terms.append(f"shiftleft(cast((octet_length({rest}) - octet_length({less})) & 15 as bigint), {4 * i})")
+        rest = less
+    return " | ".join(terms)
+
+
+_COUNTS = _counts()
 
 
 def _count_distance(a: str, b: str, letters: range) -> str:
@@ -78,7 +88,14 @@ def _segment(number: int, length: Column, threshold: int) -> tuple[Column, Colum
 
 
 def _token(number: int, length: Column, start: Column, size: Column) -> Column:
-    return F.xxhash64(F.lit(number), length, F.substring("line", start + 1, size))
+    """Hash of a part of the line, of its bytes either way; characters are only counted where they are no bytes."""
+    part = F.when(F.col("plain"), F.substring("bytes", start + 1, size)).otherwise(F.substring("line", start + 1, size).cast("binary"))
+    return F.xxhash64(F.lit(number), length, part)
+
+
+def _by_token(rows: DataFrame, tokens: Column, facts: list[str]) -> DataFrame:
+    """A row per token; the array is a projection of its own, since a generator's child may be interpreted."""
+    return rows.select(*facts, tokens.alias("tokens")).select(*facts, F.explode("tokens").alias("token"))
 
 
 def _shortened(threshold: int) -> Column:
@@ -169,8 +186,9 @@ def near_repeats(docs: DataFrame, skip: DataFrame, threshold: int = THRESHOLD, m
     short = lines.where(F.length("line") < SHORT + threshold).select(*facts, _shortened(threshold).alias("tokens"))
     short = materialize(short, "short-lines").select(*facts, F.explode("tokens").alias("token"))
     long = lines.where(F.length("line") >= SHORT)
-    indexed = long.select(*facts, F.explode(index).alias("token")).unionByName(short.where(F.col("length") < SHORT))
-    probing = long.select(*facts, F.explode(probe).alias("token")).unionByName(short)
+    long = long.withColumns({"bytes": F.col("line").cast("binary"), "plain": F.octet_length("line") == F.col("length")})
+    indexed = _by_token(long, index, facts).unionByName(short.where(F.col("length") < SHORT))
+    probing = _by_token(long, probe, facts).unionByName(short)
     met = _meetings(indexed, probing, threshold).withColumn("class", F.pmod(F.xxhash64("earlier"), F.lit(_TRIED)))
     place = F.col("earlier").cast("decimal(18,0)")
     ends = met.groupBy("later", "class").agg(

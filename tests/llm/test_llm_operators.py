@@ -471,3 +471,21 @@ def test_packing_lists_units_and_columns():
         assert packing._listed(pa.array(units, pa.string())) == units
         values = [u.encode() for u in units]
         assert packing._column(values).to_pylist() == values
+
+
+def test_letters_are_counted_in_what_is_left(spark):
+    # each step looks at what the steps before have left of the line, and the counts are those of the whole line
+    assert "replace(replace(line, 'e'), 't')" in line_dedup._COUNTS
+    rng = random.Random(3)
+    lines = ["", "e", "éé xyz"] + ["".join(rng.choice("etaonirshldcumfp é.xE") for _ in range(rng.randrange(1, 400))) for _ in range(40)]
+    rows = spark.createDataFrame([(x,) for x in lines], "line string").select("line", F.expr(line_dedup._COUNTS)).collect()
+    for line, counts in rows:
+        assert [counts >> 4 * i & 15 for i in range(16)] == [line.count(c) % 16 for c in line_dedup._LETTERS]
+
+
+def test_tokens_of_bytes_and_of_characters(spark):
+    # a segment is known by the same hash whether the line has other characters than ASCII or not
+    line = "the same long segment of a line, and then another part of it, and the end"
+    docs = [(1, line), (2, line[:-2] + "é" + line[-1]), (3, line[:-30] + "xyz" + line[-30:-4]), (4, "ß" + line[1:])]
+    got = {r.doc_id for r in line_dedup.repeated_lines(frame(spark, docs)).collect()}
+    assert got == {j for j, y in docs for i, x in docs if i < j and within(x, y, 2)} == {2, 4}
