@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from scoreloom.llm import jaccard, language_id, line_dedup, packing
 from scoreloom.llm.common import broadcast_if_small, prepare
 from scoreloom.llm.queries import LANGUAGES, packing_tokenizer
-from scoreloom.session import materialize
+from scoreloom.session import materialize, scratch
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,9 +49,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Documents without id stay. An id that several rows share stays if one of them does.
     """
     prepare(spark)
-    found = jaccard.near_duplicates(docs)
-    dropped = found.groupBy("doc_id").agg(F.min(F.col("component_id") != F.col("doc_id")).alias("dropped"))
-    dropped = broadcast_if_small(materialize(dropped.where("dropped").select("doc_id"), "dropped"))
+    with scratch() as keep:
+        found = jaccard.near_duplicates(docs)
+        dropped = found.groupBy("doc_id").agg(F.min(F.col("component_id") != F.col("doc_id")).alias("dropped"))
+        dropped = keep(materialize(dropped.where("dropped").select("doc_id"), "dropped"))
+    dropped = broadcast_if_small(dropped)
     return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -18,6 +18,9 @@ from scoreloom.session import ensure_conf, materialize
 #: Rows and bytes of an Arrow batch: a task holds a few batches at a time, however long the texts are.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2048", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
 
+#: Shuffle files go when the action that made them ends; the driver deletes them at a collection of its garbage otherwise, however full the disks are.
+SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 #: Values of a side up to which it is broadcast: some tens of megabytes.
 BROADCAST_VALUES = 1_000_000
 
@@ -27,7 +30,7 @@ Work = Callable[[pa.RecordBatch], list]
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings for rows that carry whole texts."""
     ensure_conf(spark)
-    for key, value in BATCH.items():
+    for key, value in (BATCH | SHUFFLES).items():
         spark.conf.set(key, value)
     return spark
 

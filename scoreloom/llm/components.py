@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.session import materialize
+from scoreloom.session import materialize, scratch
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -19,19 +19,21 @@ def components(links: DataFrame) -> DataFrame:
     star), until nothing changes. No neighbourhood is collected: minima combine on the map
     side, and a node with many links is split by the skew join. Every round is a table in the shared folder.
     """
-    edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    edges = materialize(edges, "links")
-    before = _state(edges)
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        edges = small.unionByName(smallest.select("u", F.col("m").alias("v"))).distinct()
+    with scratch() as keep:
+        edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
         edges = materialize(edges, "links")
-        after = _state(edges)
-        if after == before:
-            roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
-        before = after
+        before = _state(edges)
+        while True:
+            both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+            large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            smallest = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+            edges = small.unionByName(smallest.select("u", F.col("m").alias("v"))).distinct()
+            edges = materialize(edges, "links")
+            after = _state(edges)
+            if after == before:
+                roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+                keep(edges)
+                return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+            before = after

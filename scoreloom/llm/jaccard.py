@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 
 from scoreloom.llm.components import components
 from scoreloom.llm.common import broadcast_if_small, release_memory
-from scoreloom.session import materialize
+from scoreloom.session import materialize, scratch
 
 WORDS = 5
 #: Least similarity, as a fraction.
@@ -200,36 +200,53 @@ def _live(posted: DataFrame) -> DataFrame:
 def _candidates(live: DataFrame, similar: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     """Pairs of nodes to verify, and the members ``(bucket, node)`` of buckets with too many to pair."""
     num, den = similar
-    members = materialize(live.select("group", "node", "n").distinct(), "members")
-    posted = live.where("head and m > 1 and token <> `group`")
-    crowded = posted.where(f"m > {PAIRED}")
-    paired = posted.where(f"m <= {PAIRED}").select("token", "group", "n")
-    # shingles under which a group may meet another without being counted below
-    unseen = crowded.groupBy("group").agg(F.count(F.lit(1)).alias("unseen"))
-    a, b = paired.alias("a"), paired.alias("b")
-    sizes = f"{den} * least(a.n, b.n) >= {num} * greatest(a.n, b.n)"
-    met = a.join(b, "token").where(f"a.`group` < b.`group` and {sizes}")
-    met = met.groupBy(F.col("a.group").alias("g"), F.col("b.group").alias("h"), F.col("a.n").alias("gn"), F.col("b.n").alias("hn")).count()
-    for side in "gh":
-        extra = unseen.select(F.col("group").alias(side), F.col("unseen").alias(f"unseen_{side}"))
-        met = met.join(extra, side, "left").fillna(0, [f"unseen_{side}"])
-    needed = f"ceil({num} * (gn + hn) / {num + den})"
-    after = " , ".join(f"ceil({num} * {n} / {den}) - 1" for n in ("gn", "hn"))
-    met = met.where(f"count + least(unseen_g, unseen_h) + greatest({after}) >= {needed}").select("g", "h")
-    own = members.groupBy("group").agg(F.count(F.lit(1)).alias("k"))
-    several = own.where("k > 1").select(F.col("group").alias("g"), F.col("group").alias("h"))
-    met = met.unionByName(several)
-    for side in "gh":
-        met = met.join(own.select(F.col("group").alias(side), F.col("k").alias(f"k{side}")), side)
-    met = materialize(met, "group-pairs")
-    few = met.where(f"kg * kh <= {PAIRED * PAIRED}")
-    many = met.where(f"kg * kh > {PAIRED * PAIRED}").withColumn("bucket", F.xxhash64("g", "h"))
-    in_g, in_h = (members.select(F.col("group").alias(s), F.col("node").alias(t)) for s, t in (("g", "u"), ("h", "v")))
-    pairs = few.join(in_g, "g").join(in_h, "h").where("g <> h or u < v").select("u", "v")
-    buckets = crowded.select(F.col("token").alias("bucket"), "group")
-    for side in "gh":
-        buckets = buckets.unionByName(many.select("bucket", F.col(side).alias("group")))
-    return pairs, buckets.join(members, "group").select("bucket", "node").distinct()
+
+    def bound(shared: str) -> str:
+        # what two groups may have in common: shingles of both prefixes, and all that come after one of them
+        after = ", ".join(f"ceil({num} * {n} / {den}) - 1" for n in ("gn", "hn"))
+        return f"{shared} + greatest({after}) >= ceil({num} * (gn + hn) / {num + den})"
+
+    with scratch() as keep:
+        members = materialize(live.select("group", "node", "n").distinct(), "members")
+        posted = live.where("head and m > 1 and token <> `group`")
+        crowded = posted.where(f"m > {PAIRED}")
+        paired = posted.where(f"m <= {PAIRED}").select("token", "group", "n")
+        # shingles under which a group may meet another without being counted below
+        unseen = crowded.groupBy("group").agg(F.count(F.lit(1)).alias("unseen"))
+        a, b = paired.alias("a"), paired.alias("b")
+        sizes = f"{den} * least(a.n, b.n) >= {num} * greatest(a.n, b.n)"
+        met = a.join(b, "token").where(f"a.`group` < b.`group` and {sizes}")
+        met = met.groupBy(F.col("a.group").alias("g"), F.col("b.group").alias("h"), F.col("a.n").alias("gn"), F.col("b.n").alias("hn")).count()
+        for side in "gh":
+            extra = unseen.select(F.col("group").alias(side), F.col("unseen").alias(f"unseen_{side}"))
+            met = met.join(extra, side, "left").fillna(0, [f"unseen_{side}"])
+        met = met.where(bound("count + least(unseen_g, unseen_h)")).select("g", "h")
+        # of groups that meet under crowded shingles only, one with too few of them for a partner of its own size has few partners, of other sizes
+        few = f"unseen + ceil({num} * n / {den}) - 1 < ceil({num} * 2 * n / {num + den})"
+        crowded = crowded.select("token", "group", "n").join(unseen, "group").withColumn("few", F.expr(few))
+        crowded = materialize(crowded, "crowded-groups")
+        g, h = (crowded.select("token", *[F.col(c).alias(x) for c, x in names]) for names in (
+            (("group", "g"), ("n", "gn"), ("unseen", "unseen_g")), (("group", "h"), ("n", "hn"), ("unseen", "unseen_h"), ("few", "few_h"))
+        ))
+        sizes = f"{den} * least(gn, hn) >= {num} * greatest(gn, hn)"
+        lone = g.join(crowded.where("few").select("token", F.col("group").alias("g")), ["token", "g"], "left_semi")
+        lone = lone.join(h, "token").where(f"g <> h and (g < h or not few_h) and {sizes} and {bound('least(unseen_g, unseen_h)')}")
+        met = met.unionByName(lone.select(F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h")).distinct())
+        own = members.groupBy("group").agg(F.count(F.lit(1)).alias("k"))
+        several = own.where("k > 1").select(F.col("group").alias("g"), F.col("group").alias("h"))
+        met = met.unionByName(several)
+        for side in "gh":
+            met = met.join(own.select(F.col("group").alias(side), F.col("k").alias(f"k{side}")), side)
+        met = materialize(met, "group-pairs")
+        pairs = met.where(f"kg * kh <= {PAIRED * PAIRED}")
+        many = met.where(f"kg * kh > {PAIRED * PAIRED}").withColumn("bucket", F.xxhash64("g", "h"))
+        in_g, in_h = (members.select(F.col("group").alias(s), F.col("node").alias(t)) for s, t in (("g", "u"), ("h", "v")))
+        pairs = pairs.join(in_g, "g").join(in_h, "h").where("g <> h or u < v").select("u", "v")
+        buckets = crowded.where("not few").select(F.col("token").alias("bucket"), "group")
+        for side in "gh":
+            buckets = buckets.unionByName(many.select("bucket", F.col(side).alias("group")))
+        buckets = buckets.join(members, "group").select("bucket", "node").distinct()
+        return keep(materialize(pairs.distinct(), "node-pairs")), keep(materialize(buckets, "crowded"))
 
 
 def _similar(a: np.ndarray, b: np.ndarray, similar: tuple[int, int]) -> bool:
@@ -313,33 +330,21 @@ def _blocks(nodes: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> Data
 
     A pool that fits in one block is one, of class -1.
     """
-    sized = nodes.join(sets.select("node", (F.octet_length("tokens") / 8).alias("size")), "node")
-    sized = materialize(sized.withColumn("class", F.expr(_size_class(similar))), "sized")
-    whole, pool = ["pool", "pure", "class"], Window.partitionBy("pool", "pure")
-    pools = sized.groupBy(*whole).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
-    fits = (F.sum("size").over(pool) <= BLOCK_TOKENS) & (F.sum("n").over(pool) <= BLOCK_NODES)
-    pools = pools.withColumn("fits", fits).select(*whole, "fits", F.ceil(F.col("size") / BLOCK_TOKENS).alias("parts"))
-    dealt = sized.join(broadcast_if_small(materialize(pools, "pools")), whole)
-    dealt = dealt.withColumns({"class": F.expr("if(fits, -1, class)"), "parts": F.expr("if(fits, 1, parts)")})
-    dealt = dealt.select("node", *whole, F.xxhash64(*whole, F.expr("pmod(xxhash64(node), parts)")).alias("block"))
-    return materialize(dealt, "blocks")
-
-
-def _links_of_blocks(met: DataFrame, dealt: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """Links between the blocks of each pair ``(p, q)``."""
-    blocks = materialize(met.select(F.explode(F.array("p", "q")).alias("block")).distinct(), "met-blocks")
-    members = dealt.select("node", "block").join(broadcast_if_small(blocks), "block", "left_semi")
-    members = broadcast_if_small(materialize(members, "block-members"))
-    filled = sets.join(members, "node").groupBy("block").agg(F.collect_list(F.struct("node", "tokens")).alias("sets"))
-    filled = materialize(filled, "filled-blocks")
-    # a block that meets itself need not move
-    alone = broadcast_if_small(materialize(met.where("p = q").select(F.col("p").alias("block")), "lone-blocks"))
-    own = filled.join(alone, "block", "left_semi").select(F.col("sets").alias("sets_p"), F.col("sets").alias("sets_q"))
-    two = materialize(met.where("p <> q"), "block-pairs")
-    seconds = broadcast_if_small(materialize(two.select(F.col("q").alias("block")).distinct(), "second-blocks"))
-    first = filled.select(F.col("block").alias("p"), F.col("sets").alias("sets_p")).join(broadcast_if_small(two), "p")
-    second = filled.join(seconds, "block", "left_semi").select(F.col("block").alias("q"), F.col("sets").alias("sets_q"))
-    both = own.unionByName(first.join(second, "q").select("sets_p", "sets_q"))
+    with scratch() as keep:
+        sized = nodes.join(sets.select("node", (F.octet_length("tokens") / 8).alias("size")), "node")
+        sized = materialize(sized.withColumn("class", F.expr(_size_class(similar))), "sized")
+        whole, pool = ["pool", "pure", "class"], Window.partitionBy("pool", "pure")
+        pools = sized.groupBy(*whole).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+        fits = (F.sum("size").over(pool) <= BLOCK_TOKENS) & (F.sum("n").over(pool) <= BLOCK_NODES)
+        pools = pools.withColumn("fits", fits).select(*whole, "fits", F.ceil(F.col("size") / BLOCK_TOKENS).alias("parts"))
+        dealt = sized.join(broadcast_if_small(materialize(pools, "pools")), whole)
+        dealt = dealt.withColumns({"class": F.expr("if(fits, -1, class)"), "parts": F.expr("if(fits, 1, parts)")})
+        dealt = dealt.select("node", *whole, F.xxhash64(*whole, F.expr("pmod(xxhash64(node), parts)")).alias("block"))
+        return keep(materialize(dealt, "blocks"))
+
+
+def _links_of_blocks(met: DataFrame, dealt: DataFrame, sets: DataFrame, similar: tuple[int, int], name: str) -> DataFrame:
+    """Links between the blocks of each pair ``(p, q)``, stored under ``name``."""
 
     def run(batches):
         def unpacked(members):
@@ -353,42 +358,72 @@ def _links_of_blocks(met: DataFrame, dealt: DataFrame, sets: DataFrame, similar:
                 columns = zip(*links, strict=True) if links else ([], [])
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["u", "v"])
 
-    return both.mapInArrow(run, "u bigint, v bigint")
+    with scratch() as keep:
+        blocks = materialize(met.select(F.explode(F.array("p", "q")).alias("block")).distinct(), "met-blocks")
+        members = dealt.select("node", "block").join(broadcast_if_small(blocks), "block", "left_semi")
+        members = broadcast_if_small(materialize(members, "block-members"))
+        filled = sets.join(members, "node").groupBy("block").agg(F.collect_list(F.struct("node", "tokens")).alias("sets"))
+        filled = materialize(filled, "filled-blocks")
+        # a block that meets itself need not move
+        alone = broadcast_if_small(materialize(met.where("p = q").select(F.col("p").alias("block")), "lone-blocks"))
+        own = filled.join(alone, "block", "left_semi").select(F.col("sets").alias("sets_p"), F.col("sets").alias("sets_q"))
+        two = materialize(met.where("p <> q"), "block-pairs")
+        seconds = broadcast_if_small(materialize(two.select(F.col("q").alias("block")).distinct(), "second-blocks"))
+        first = filled.select(F.col("block").alias("p"), F.col("sets").alias("sets_p")).join(broadcast_if_small(two), "p")
+        second = filled.join(seconds, "block", "left_semi").select(F.col("block").alias("q"), F.col("sets").alias("sets_q"))
+        both = own.unionByName(first.join(second, "q").select("sets_p", "sets_q"))
+        return keep(materialize(both.mapInArrow(run, "u bigint, v bigint"), name))
 
 
 def _crowded_links(buckets: DataFrame, sets: DataFrame, links: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Links among nodes of crowded buckets, as few as connect what those links connect."""
-    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
-    largest = F.max(F.struct("m", "bucket"))["bucket"]
-    nodes = buckets.join(sizes, "bucket").groupBy("node").agg(largest.alias("pool"))
-    nodes = materialize(nodes, "pooled")
-    dealt = _blocks(nodes.withColumn("pure", F.lit(False)), sets, similar)
-    placed = buckets.join(dealt, "node").select("bucket", "class", "block").distinct()
-    hubs = placed.groupBy("bucket", "class").agg(F.min("block").alias("p"))
-    met = materialize(placed.join(hubs, ["bucket", "class"]).select("p", F.col("block").alias("q")).distinct(), "hub-pairs")
-    first = materialize(_links_of_blocks(met, dealt, sets, similar), "hub-links")
-    before, done = dealt.select("node", F.col("block").alias("old")), met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
-    roots = materialize(components(links.unionByName(first)), "roots")
-    labelled = nodes.join(roots, "node", "left").select("node", "pool", F.coalesce("root", "node").alias("root"))
-    sizes = labelled.groupBy("root").agg((F.count(F.lit(1)) >= PURE).alias("pure"))
-    labelled = labelled.join(sizes, "root").select("node", "pure", F.when(F.col("pure"), F.col("root")).otherwise(F.col("pool")).alias("pool"))
-    dealt = _blocks(labelled, sets, similar)
-    placed = materialize(buckets.join(dealt, "node").select("bucket", "block", "pure", "pool", "class").distinct(), "placed")
-    p, q = placed.alias("p"), placed.alias("q")
-    near = "(abs(p.class - q.class) <= 1 or least(p.class, q.class) < 0)"
-    open_ = f"p.block <= q.block and {near} and not (p.pure and q.pure and p.pool = q.pool)"
-    met = p.join(q, "bucket").where(open_).select(F.col("p.block").alias("p"), F.col("q.block").alias("q")).distinct()
-    # blocks that are parts of two that have met need not meet again
-    old = dealt.join(before, "node").groupBy("block").agg(F.min("old").alias("old"), F.max("old").alias("last"))
-    old = materialize(old.where("old = last"), "old-blocks")
-    for side in "pq":
-        met = met.join(old.select(F.col("block").alias(side), F.col("old").alias(f"old_{side}")), side, "left")
-    again = (F.least("old_p", "old_q") == F.col("a")) & (F.greatest("old_p", "old_q") == F.col("b"))
-    known = F.col("old_p").isNotNull() & F.col("old_q").isNotNull()
-    met = materialize(met.join(done, known & again, "left_anti").select("p", "q"), "late-pairs")
-    if met.isEmpty():
-        return first
-    return first.unionByName(materialize(_links_of_blocks(met, dealt, sets, similar), "late-links"))
+    with scratch() as keep:
+        sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
+        largest = F.max(F.struct("m", "bucket"))["bucket"]
+        nodes = buckets.join(sizes, "bucket").groupBy("node").agg(largest.alias("pool"))
+        nodes = materialize(nodes, "pooled")
+        dealt = _blocks(nodes.withColumn("pure", F.lit(False)), sets, similar)
+        placed = buckets.join(dealt, "node").select("bucket", "class", "block").distinct()
+        hubs = placed.groupBy("bucket", "class").agg(F.min("block").alias("p"))
+        met = materialize(placed.join(hubs, ["bucket", "class"]).select("p", F.col("block").alias("q")).distinct(), "hub-pairs")
+        first = keep(_links_of_blocks(met, dealt, sets, similar, "hub-links"))
+        before, done = dealt.select("node", F.col("block").alias("old")), met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+        roots = materialize(components(links.unionByName(first)), "roots")
+        labelled = nodes.join(roots, "node", "left").select("node", "pool", F.coalesce("root", "node").alias("root"))
+        sizes = labelled.groupBy("root").agg((F.count(F.lit(1)) >= PURE).alias("pure"))
+        labelled = labelled.join(sizes, "root").select("node", "pure", F.when(F.col("pure"), F.col("root")).otherwise(F.col("pool")).alias("pool"))
+        dealt = _blocks(labelled, sets, similar)
+        placed = materialize(buckets.join(dealt, "node").select("bucket", "block", "pure", "pool", "class").distinct(), "placed")
+        p, q = placed.alias("p"), placed.alias("q")
+        near = "(abs(p.class - q.class) <= 1 or least(p.class, q.class) < 0)"
+        open_ = f"p.block <= q.block and {near} and not (p.pure and q.pure and p.pool = q.pool)"
+        met = p.join(q, "bucket").where(open_).select(F.col("p.block").alias("p"), F.col("q.block").alias("q")).distinct()
+        # blocks that are parts of two that have met need not meet again
+        old = dealt.join(before, "node").groupBy("block").agg(F.min("old").alias("old"), F.max("old").alias("last"))
+        old = materialize(old.where("old = last"), "old-blocks")
+        for side in "pq":
+            met = met.join(old.select(F.col("block").alias(side), F.col("old").alias(f"old_{side}")), side, "left")
+        again = (F.least("old_p", "old_q") == F.col("a")) & (F.greatest("old_p", "old_q") == F.col("b"))
+        known = F.col("old_p").isNotNull() & F.col("old_q").isNotNull()
+        met = materialize(met.join(done, known & again, "left_anti").select("p", "q"), "late-pairs")
+        if met.isEmpty():
+            return first
+        return first.unionByName(keep(_links_of_blocks(met, dealt, sets, similar, "late-links")))
+
+
+def _links(alone: DataFrame, nodes: DataFrame, order: _Order, words: int, similar: tuple[int, int]) -> DataFrame:
+    """Links that connect what similar sets connect; ``alone`` has one row of each set."""
+    with scratch() as keep:
+        with scratch() as keep_pairs:
+            live = materialize(_live(_postings(alone, order, words, similar)), "postings")
+            pairs, buckets = map(keep_pairs, _candidates(live, similar))
+        wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).unionByName(buckets.select("node")).distinct()
+        keys = nodes.join(wanted, "node").groupBy(F.col("first").alias("key")).agg(F.max(F.col("rows") > 1).alias("several"))
+        sets = _sets(alone.join(broadcast_if_small(materialize(keys, "wanted")), "key"), words)
+        links = materialize(_verified(pairs, sets, similar), "pair-links")
+        if not buckets.isEmpty():
+            links = links.unionByName(_crowded_links(buckets, sets, links, similar))
+        return keep(materialize(links, "node-links"))
 
 
 def near_duplicates(
@@ -406,29 +441,20 @@ def near_duplicates(
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).where("key is not null")
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    survey = materialize(_survey(rows, words), "survey")
-    order = _common(survey)
-    listed = survey.where("token is null").select("key", "n", "node", "text_hash")
-    nodes = materialize(
-        listed.where("node is not null").groupBy("node").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("rows")), "nodes"
-    )
-    # one row of each set is enough from here on; the others are few and known by key and text
-    twice = nodes.where("rows > 1").select("node", "first")
-    copies = materialize(listed.join(broadcast_if_small(twice), "node").where("key > first").select("key", "text_hash").distinct(), "copies")
-    alone = rows.join(broadcast_if_small(copies), ["key", "text_hash"], "left_anti")
-    posted = _postings(alone, order, words, similar)
-    live = materialize(_live(posted), "postings")
-    pairs, buckets = _candidates(live, similar)
-    pairs, buckets = materialize(pairs.distinct(), "node-pairs"), materialize(buckets, "crowded")
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).unionByName(buckets.select("node")).distinct()
-    keys = nodes.join(wanted, "node").groupBy(F.col("first").alias("key")).agg(F.max(F.col("rows") > 1).alias("several"))
-    sets = _sets(alone.join(broadcast_if_small(materialize(keys, "wanted")), "key"), words)
-    links = materialize(_verified(pairs, sets, similar), "pair-links")
-    if not buckets.isEmpty():
-        links = links.unionByName(_crowded_links(buckets, sets, links, similar))
-    roots = components(links).join(nodes, "node")
-    least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = materialize(roots.join(least, "root").select("node", "component_id"), "classes")
+    with scratch() as keep:
+        survey = keep(materialize(_survey(rows, words), "survey"))
+        order = _common(survey)
+        listed = survey.where("token is null").select("key", "n", "node", "text_hash")
+        nodes = listed.where("node is not null").groupBy("node").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("rows"))
+        nodes = keep(materialize(nodes, "nodes"))
+        # one row of each set is enough from here on; the others are few and known by key and text
+        twice = nodes.where("rows > 1").select("node", "first")
+        copies = materialize(listed.join(broadcast_if_small(twice), "node").where("key > first").select("key", "text_hash").distinct(), "copies")
+        alone = rows.join(broadcast_if_small(copies), ["key", "text_hash"], "left_anti")
+        links = _links(alone, nodes, order, words, similar)
+        roots = components(links).join(nodes, "node")
+        least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
+        classes = keep(materialize(roots.join(least, "root").select("node", "component_id"), "classes"))
     own = listed.join(nodes.where("rows > 1").select("node", "first"), "node", "left")
     found = own.join(classes, "node", "left")
     component = F.coalesce("component_id", "first", "key")

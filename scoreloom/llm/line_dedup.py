@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.llm.common import broadcast_if_small, ranked
-from scoreloom.session import materialize
+from scoreloom.session import materialize, scratch
 
 THRESHOLD = 2
 #: Shorter lines are compared for equality only: within the threshold they might have less than half in common.
@@ -71,12 +71,13 @@ def _identity() -> list[Column]:
 
 def exact_repeats(docs: DataFrame) -> DataFrame:
     """``(key, text_hash, lines)``: numbers of lines that equal an earlier one, per document that has any."""
-    hashed = _lines(docs).select(*_ADDRESS, *_identity())
-    address = F.struct(*_ADDRESS)
-    groups = hashed.groupBy("h1", "h2").agg(F.min(address).alias("first"), F.count(F.lit(1)).alias("n"))
-    groups = materialize(groups.where("n > 1").select("h1", "h2", "first"), "line-groups")
-    later = hashed.join(broadcast_if_small(groups), ["h1", "h2"]).where(address > F.col("first"))
-    return materialize(later.groupBy("key", "text_hash").agg(F.collect_set("line_no").alias("lines")), "line-repeats")
+    with scratch() as keep:
+        hashed = _lines(docs).select(*_ADDRESS, *_identity())
+        address = F.struct(*_ADDRESS)
+        groups = hashed.groupBy("h1", "h2").agg(F.min(address).alias("first"), F.count(F.lit(1)).alias("n"))
+        groups = materialize(groups.where("n > 1").select("h1", "h2", "first"), "line-groups")
+        later = hashed.join(broadcast_if_small(groups), ["h1", "h2"]).where(address > F.col("first"))
+        return keep(materialize(later.groupBy("key", "text_hash").agg(F.collect_set("line_no").alias("lines")), "line-repeats"))
 
 
 def _segment(number: int, length: Column, threshold: int) -> tuple[Column, Column]:
@@ -133,9 +134,10 @@ def _distinct_lines(docs: DataFrame, skip: DataFrame, min_chars: int) -> DataFra
 
     ``id`` is the place of the line among all in the order of addresses, so of two lines the earlier has the smaller one.
     """
-    lines = _lines(docs, skip).where(F.length("line") >= min_chars)
-    numbered = ranked(lines.withColumn("all", F.lit(0)), "all", _ADDRESS).withColumnRenamed("rank", "id").drop("all")
-    return materialize(numbered.withColumns({"length": F.length("line"), "counts": F.expr(_COUNTS)}), "lines")
+    with scratch() as keep:
+        lines = _lines(docs, skip).where(F.length("line") >= min_chars)
+        numbered = ranked(lines.withColumn("all", F.lit(0)), "all", _ADDRESS).withColumnRenamed("rank", "id").drop("all")
+        return keep(materialize(numbered.withColumns({"length": F.length("line"), "counts": F.expr(_COUNTS)}), "lines"))
 
 
 #: Classes of earlier lines of which the first and the last are tried before all others.
@@ -157,15 +159,17 @@ def _meetings(indexed: DataFrame, probing: DataFrame, threshold: int) -> DataFra
 
 def _close(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
     """The ``later`` lines of those pairs that are within the threshold."""
-    pairs = materialize(pairs, "line-pairs")
-    ids = materialize(pairs.select(F.col("earlier").alias("id")).unionByName(pairs.select(F.col("later").alias("id"))).distinct(), "line-ids")
-    texts = materialize(lines.select("id", "line").join(broadcast_if_small(ids), "id", "left_semi"), "line-texts")
-    met = pairs
-    for side in ("earlier", "later"):
-        met = met.join(texts.select(F.col("id").alias(side), F.col("line").alias(f"line_{side}")), side)
-    # equal lines are left only where rows repeat key and text, and those are one document
-    met = met.where("line_earlier <> line_later")
-    return met.where(F.levenshtein("line_earlier", "line_later", threshold) >= 0).select(F.col("later").alias("id")).distinct()
+    with scratch() as keep:
+        pairs = materialize(pairs, "line-pairs")
+        ids = materialize(pairs.select(F.col("earlier").alias("id")).unionByName(pairs.select(F.col("later").alias("id"))).distinct(), "line-ids")
+        texts = materialize(lines.select("id", "line").join(broadcast_if_small(ids), "id", "left_semi"), "line-texts")
+        met = pairs
+        for side in ("earlier", "later"):
+            met = met.join(texts.select(F.col("id").alias(side), F.col("line").alias(f"line_{side}")), side)
+        # equal lines are left only where rows repeat key and text, and those are one document
+        met = met.where("line_earlier <> line_later")
+        met = met.where(F.levenshtein("line_earlier", "line_later", threshold) >= 0)
+        return keep(materialize(met.select(F.col("later").alias("id")).distinct(), "near-lines"))
 
 
 def near_repeats(docs: DataFrame, skip: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -199,7 +203,7 @@ def near_repeats(docs: DataFrame, skip: DataFrame, threshold: int = THRESHOLD, m
     between = "squares < (first + last) * total - n * cast(first as decimal(18,0)) * last"
     ends = materialize(ends.withColumn("more", F.expr(between)), "line-ends").select("later", "first", "last", "more")
     tried = ends.select("later", F.col("first").alias("earlier")).unionByName(ends.where("last > first").select("later", F.col("last").alias("earlier")))
-    found = materialize(_close(tried, lines, threshold), "near-lines")
+    found = _close(tried, lines, threshold)
     more = ends.where("more").select(F.col("later").alias("id")).distinct()
     more = materialize(more.join(broadcast_if_small(found), "id", "left_anti"), "open-lines")
     if not more.isEmpty():
@@ -225,11 +229,12 @@ def repeated_lines(
     are not looked at.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key is not null and text is not null")
-    exact = exact_repeats(rows)
-    near = near_repeats(rows, exact, threshold, min_chars)
-    both = exact.select("key", "text_hash", F.explode("lines").alias("line_no")).unionByName(near)
-    found = both.groupBy("key", "text_hash").agg(F.sort_array(F.collect_set("line_no")).alias("lines"))
-    return materialize(found.withColumnRenamed("key", key), "repeated-lines")
+    with scratch() as keep:
+        exact = exact_repeats(rows)
+        near = near_repeats(rows, exact, threshold, min_chars)
+        both = exact.select("key", "text_hash", F.explode("lines").alias("line_no")).unionByName(near)
+        found = both.groupBy("key", "text_hash").agg(F.sort_array(F.collect_set("line_no")).alias("lines"))
+        return keep(materialize(found.withColumnRenamed("key", key), "repeated-lines"))
 
 
 def without_lines(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text", removed: str = "removed") -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -80,6 +83,10 @@ def spread(df: DataFrame, pieces: int | None) -> DataFrame:
     return df.repartition(pieces) if pieces else df
 
 
+#: Tables written in the innermost open ``scratch``, with their folders.
+_WRITTEN: ContextVar[list[tuple[DataFrame, str]] | None] = ContextVar("written", default=None)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -89,7 +96,37 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     target = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(target)
-    return spark.read.schema(df.schema).parquet(target)
+    stored = spark.read.schema(df.schema).parquet(target)
+    if (written := _WRITTEN.get()) is not None:
+        written.append((stored, target))
+    return stored
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables materialized inside are deleted at the end, but for those passed to the function it gives.
+
+    Kept tables belong to the scratch around it, if there is one. No plan that runs later may read the others.
+    """
+    outer, own = _WRITTEN.get(), []
+    kept: set[int] = set()
+    token = _WRITTEN.set(own)
+
+    def keep(stored: DataFrame) -> DataFrame:
+        kept.add(id(stored))
+        return stored
+
+    try:
+        yield keep
+    finally:
+        _WRITTEN.reset(token)
+        for stored, target in own:
+            if id(stored) not in kept:
+                spark = stored.sparkSession
+                path = spark._jvm.org.apache.hadoop.fs.Path(target)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            elif outer is not None:
+                outer.append((stored, target))
 
 
 #: Bytes of a table up to which it is broadcast.
