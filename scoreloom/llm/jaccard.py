@@ -37,8 +37,8 @@ COMMON_FROM, COMMON_MOST = 20, 1 << 18
 PAIRED, BLOCK_TOKENS = 32, 1 << 20
 #: Nodes up to which a pool of few shingles is one block, whatever the sizes of its sets.
 BLOCK_NODES = 1 << 11
-#: Shingles of two blocks that are compared as columns of a matrix at a time.
-COLUMNS = 1 << 13
+#: Cells of a matrix of two blocks that are held at a time.
+CELLS = 1 << 21
 #: Holders of a shingle that are met one by one.
 FEW = 4
 #: Nodes from which a component gets blocks of its own.
@@ -271,52 +271,54 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> Da
 
 
 def _forest(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.ndarray]], similar: tuple[int, int]) -> list[tuple[int, int]]:
-    """Links between two blocks of sets, as few as connect what the links connect."""
-    tokens, at = np.unique(np.concatenate([s for _, s in left + right]), return_inverse=True)
+    """Links between two blocks of sets, as few as connect what the links connect.
+
+    Their overlaps are counted for some sets of ``left`` at a time, and matrices have ``CELLS`` cells or a row.
+    """
     sizes = np.asarray([len(s) for _, s in left + right])
-    rows = np.repeat(np.arange(len(sizes)), sizes)
-    shared = np.bincount(at, minlength=len(tokens)) > 1
-    column = np.cumsum(shared) - 1
-    kept = shared[at]
-    order = np.argsort(column[at[kept]], kind="stable")
-    rows, column = rows[kept][order], column[at[kept]][order]
-    cut = len(left)
-    overlap = np.zeros((cut, len(sizes) - cut), np.float32)
+    tokens = np.concatenate([s for _, s in left + right])
+    order = np.argsort(tokens, kind="stable")
+    tokens, rows = tokens[order], np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
+    del order
+    starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))) if len(tokens) else np.zeros(0, int)
+    counts = np.diff(np.append(starts, len(tokens)))
+    del tokens
+    cut, across = len(left), len(right)
     # holders of a shingle in few of the sets are met one by one, the others as slices of a matrix
-    starts = np.flatnonzero(np.concatenate(([True], column[1:] != column[:-1]))) if len(column) else np.zeros(0, int)
-    counts = np.diff(np.append(starts, len(column)))
-    for size in range(2, FEW + 1):
-        held = rows[starts[counts == size][:, None] + np.arange(size)]
-        for i in range(size):
-            for j in range(size):
-                crossing = (held[:, i] < cut) & (held[:, j] >= cut)
-                np.add.at(overlap, (held[crossing, i], held[crossing, j] - cut), 1)
+    held = {size: rows[starts[counts == size][:, None] + np.arange(size)] for size in range(2, FEW + 1)}
     wide = np.repeat(counts > FEW, counts)
-    rows, column = rows[wide], np.repeat(np.cumsum(counts > FEW) - 1, counts)[wide]
-    for start in range(0, int((counts > FEW).sum()), COLUMNS):
-        a, b = np.searchsorted(column, (start, start + COLUMNS))
-        present = np.zeros((len(sizes), int(column[b - 1]) - start + 1), np.float32)
-        present[rows[a:b], column[a:b] - start] = 1
-        overlap += present[:cut] @ present[cut:].T
-    overlap = np.rint(overlap).astype(np.int64)
-    union = sizes[:cut, None] + sizes[None, cut:] - overlap
-    parent = list(range(len(sizes)))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
+    rows, column = rows[wide], np.repeat(np.arange((counts > FEW).sum(), dtype=np.int32), counts[counts > FEW])
+    del wide
     # a set that is in both blocks is one node
     place: dict[int, int] = {}
-    for i, (node, _) in enumerate(left + right):
-        parent[i] = place.setdefault(node, i)
+    label = np.asarray([place.setdefault(node, i) for i, (node, _) in enumerate(left + right)])
     links = []
-    for i, j in zip(*np.nonzero(similar[1] * overlap >= similar[0] * union), strict=True):
-        a, b = root(int(i)), root(int(j) + cut)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            links.append((left[i][0], right[j][0]))
+    step, width = max(1, CELLS // max(across, 1)), max(1, CELLS // len(sizes))
+    for first in range(0, cut, step):
+        last = min(first + step, cut)
+        overlap = np.zeros((last - first, across), np.float32)
+        for size, nodes in held.items():
+            for i in range(size):
+                for j in range(size):
+                    crossing = (nodes[:, i] >= first) & (nodes[:, i] < last) & (nodes[:, j] >= cut)
+                    np.add.at(overlap, (nodes[crossing, i] - first, nodes[crossing, j] - cut), 1)
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+            a, b = np.searchsorted(column, (start, start + width))
+            here, at = rows[a:b], column[a:b] - start
+            ours, theirs = (here >= first) & (here < last), here >= cut
+            present = np.zeros((last - first, width), np.float32)
+            present[here[ours] - first, at[ours]] = 1
+            others = np.zeros((across, width), np.float32)
+            others[here[theirs] - cut, at[theirs]] = 1
+            overlap += present @ others.T
+        overlap = np.rint(overlap).astype(np.int64)
+        near = similar[1] * overlap >= similar[0] * (sizes[first:last, None] + sizes[None, cut:] - overlap)
+        for i in range(first, last):
+            met = np.flatnonzero(near[i - first]) + cut
+            while len(met := met[label[met] != label[i]]):
+                j = int(met[0])
+                links.append((left[i][0], right[j - cut][0]))
+                label[label == label[j]] = label[i]
     return links
 
 

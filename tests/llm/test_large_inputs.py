@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_llm_operators import brute_components, frame, near_copies
@@ -71,6 +73,41 @@ def test_shuffle_files_go_with_the_action(spark):
     assert held.size() <= before
 
 
+def sets_of(seed, n, size, base):
+    rng = np.random.default_rng(seed)
+    return [np.unique(np.concatenate([rng.choice(base, size - size // 12, replace=False), rng.integers(1, 1 << 62, size // 12).astype(np.uint64)])) for _ in range(n)]
+
+
+def grouped(links, nodes):
+    label = {x: x for x in nodes}
+    for a, b in links:
+        old, new = label[a], label[b]
+        label = {x: new if y == old else y for x, y in label.items()}
+    return {frozenset(x for x in nodes if label[x] == y) for y in label.values()}
+
+
+def test_forest_of_few_cells(monkeypatch):
+    bases = [np.random.default_rng(i).integers(1, 1 << 62, 40).astype(np.uint64) for i in range(3)]
+    sets = [s for i, base in enumerate(bases) for s in sets_of(i, 14, 40, base)] + [bases[0][:2], bases[0][:1]]
+    left, right = [*enumerate(sets)][::2], [*enumerate(sets)][1::2] + [(0, sets[0])]
+    pairs = [(i, j) for i, a in left for j, b in right if 4 * len(np.intersect1d(a, b)) >= 3 * len(np.union1d(a, b))]
+    for cells in (1, 50, 1 << 21):
+        monkeypatch.setattr(jaccard, "CELLS", cells, raising=False)
+        links = jaccard._forest(left, right, jaccard.SIMILAR)
+        assert {*links} <= {*pairs} and len(links) == len(sets) - len(grouped(pairs, range(len(sets))))
+        assert grouped(links, range(len(sets))) == grouped(pairs, range(len(sets)))
+
+
+def test_forest_of_full_blocks_stays_small():
+    base = np.random.default_rng(5).integers(1, 1 << 62, 60).astype(np.uint64)
+    sets = [*enumerate(sets_of(6, 4000, 30, base))]
+    tracemalloc.start()
+    jaccard._forest(sets[:2000], sets[2000:], jaccard.SIMILAR)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+
+
 def test_few_crowded_shingles_make_no_bucket(spark):
     """Forty sets of one size that have one shingle of their prefixes in common are no candidates; of two sizes they may be."""
     kind = "token bigint, node bigint, `group` bigint, n bigint, m bigint, head boolean"
