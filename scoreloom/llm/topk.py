@@ -28,6 +28,19 @@ SEGMENTS, POSSIBLE = 8, 256
 SHARES = (0.25, 0.5, 0.65, 0.75, 0.85, 0.95, 1.0)
 #: Whole numbers up to this are exact as doubles.
 EXACT = 1 << 53
+#: Groups of blocks that the queries are sent to, each with a copy of all of them.
+GROUPS = 256
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers held as doubles, in the narrowest type that has them all."""
+    most = np.abs(values).max(initial=0)
+    return values.astype("<i2" if most < 1 << 15 else "<i4" if most < 1 << 31 else "<f8").tobytes()
+
+
+def _unpacked(data: bytes, rows: int, width: int) -> np.ndarray:
+    kind = {2: "<i2", 4: "<i4", 8: "<f8"}[len(data) // (rows * width)]
+    return np.frombuffer(data, kind).reshape(rows, width).astype(np.float64)
 
 
 @dataclass(frozen=True)
@@ -51,16 +64,16 @@ class BlockIndex:
         return cls(keys, values, order, np.take_along_axis(values.T, order, 1), np.asarray(starts, np.int32))
 
     def fields(self) -> dict:
-        parts = {"keys": self.keys.astype("<i8"), "values": self.values.astype("<f8"), "order": self.order, "starts": self.starts}
-        return {n: p.tobytes() for n, p in parts.items()}
+        order = self.order.astype("<u2" if len(self.keys) <= 1 << 16 else "<i4")
+        parts = {"keys": self.keys.astype("<i8"), "order": order, "starts": self.starts}
+        return {"values": _packed(self.values), **{n: p.tobytes() for n, p in parts.items()}}
 
     @classmethod
     def load(cls, row: dict) -> BlockIndex:
         keys = np.frombuffer(row["keys"], "<i8")
-        values = np.frombuffer(row["values"], "<f8").reshape(len(keys), -1)
-        width = values.shape[1]
-        order = np.frombuffer(row["order"], np.int32).reshape(width, len(keys))
-        starts = np.frombuffer(row["starts"], np.int32).reshape(width, SEGMENTS + 1)
+        starts = np.frombuffer(row["starts"], np.int32).reshape(-1, SEGMENTS + 1)
+        values = _unpacked(row["values"], len(keys), len(starts))
+        order = np.frombuffer(row["order"], "<u2" if len(keys) <= 1 << 16 else "<i4").astype(np.int32).reshape(len(starts), len(keys))
         return cls(keys, values, order, np.take_along_axis(values.T, order, 1), starts)
 
     def possible(self, query: np.ndarray, own: int, k: int) -> np.ndarray:
@@ -137,15 +150,16 @@ def search(
     """
     rows = usable(vectors, key, vector)
     blocks = in_blocks(
-        rows, block, "keys binary, values binary, `order` binary, starts binary",
+        rows, block, "values binary, keys binary, `order` binary, starts binary",
         lambda keys, m: BlockIndex.build(keys, _whole(m, scale)).fields(),
     )
     blocks = materialize(blocks.withColumn("number", F.monotonically_increasing_id()), "impact-blocks")
-    cells = max(1, blocks.count())
+    count = max(1, blocks.count())
+    cells = min(count, GROUPS)
     asked = rows.withColumnRenamed("key", key).where(queries).withColumnRenamed(key, "key")
     asked = in_blocks(
-        asked.repartition(max(1, math.ceil(cells * block / 100 / query_block))), query_block, "queries binary, asked binary",
-        lambda keys, m: {"queries": keys.astype("<i8").tobytes(), "asked": _whole(m, scale).astype("<f8").tobytes()},
+        asked.repartition(max(1, math.ceil(count * block / 100 / query_block))), query_block, "queries binary, asked binary",
+        lambda keys, m: {"queries": keys.astype("<i8").tobytes(), "asked": _packed(_whole(m, scale))},
     )
     every = asked.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
     met = blocks.withColumn("cell", F.expr(f"cast(pmod(xxhash64(number), {cells}) as int)")).join(every, "cell")
@@ -155,7 +169,7 @@ def search(
             for row in batch.to_pylist():
                 index = BlockIndex.load(row)
                 keys = np.frombuffer(row["queries"], "<i8")
-                asked = np.frombuffer(row["asked"], "<f8").reshape(len(keys), -1)
+                asked = _unpacked(row["asked"], len(keys), index.values.shape[1])
                 found = [(q, *hit) for q, v in zip(keys.tolist(), asked, strict=True) for hit in index.best(v, q, k)]
                 columns = zip(*found, strict=True) if found else ([], [], [])
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])

@@ -9,9 +9,9 @@ from pathlib import Path
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from test_llm_operators import brute_components, frame, near_copies
+from test_llm_operators import best_of, brute_components, frame, near_copies
 
-from scoreloom.llm import jaccard, line_dedup
+from scoreloom.llm import jaccard, line_dedup, topk
 from scoreloom.llm.common import prepare
 from scoreloom.session import materialize, scratch, shared_dir
 
@@ -134,3 +134,27 @@ def test_near_duplicates_under_shared_phrases(spark, monkeypatch):
     docs += [(2000 + k, t) for k, t in near_copies(3, 2, 20)]
     got = jaccard.near_duplicates(frame(spark, docs)).collect()
     assert sorted(map(tuple, got)) == brute_components(docs)
+
+
+def test_blocks_of_whole_numbers_are_narrow():
+    rng = np.random.default_rng(2)
+    for most, width in ((1 << 10, 2), (1 << 20, 4), (1 << 40, 8)):
+        values = rng.integers(-most, most, (300, 16)).astype(np.float64)
+        values[0, 0] = 1 - most
+        index = topk.BlockIndex.build(np.arange(300), values)
+        row = index.fields()
+        assert len(row["values"]) == 300 * 16 * width and len(row["order"]) == 300 * 16 * 2
+        again = topk.BlockIndex.load(row)
+        assert all((getattr(index, n) == getattr(again, n)).all() for n in ("keys", "values", "order", "ordered", "starts"))
+
+
+def test_exact_topk_in_few_groups_of_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).round(3).tolist()) for i in range(700)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    whole = {k: np.floor(1024 * np.asarray(v)) for k, v in rows}
+    want = [r for key in range(0, 700, 100) for r in best_of(whole, key, 5, int)]
+    for groups in (1, 3, 256):
+        monkeypatch.setattr(topk, "GROUPS", groups, raising=False)
+        got = topk.search(df, F.col("vec_id") % 100 == 0, 5, 1024.0, block=64, query_block=3).collect()
+        assert sorted(map(tuple, got)) == sorted(want)
